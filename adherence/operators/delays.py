@@ -22,6 +22,7 @@ from adherence.constants import (
     VEHICLE_TYPES,
 )
 from adherence.functions import gtfs_time as T
+from adherence.functions.numeric import display_round
 from adherence.operators.dims import join_dim
 from adherence.operators.filters import ALL, Filters
 
@@ -310,8 +311,8 @@ def lateness_display(lateness: DataFrame) -> DataFrame:
     """The lateness table in display units (minutes, percent rounded to 1)."""
     return lateness.select(
         "route_short_name",
-        F.round(F.col("pct_late") * 100, 1).alias("pct_late_display"),
-        F.round(F.col("pct_very_late") * 100, 1).alias("pct_very_late_display"),
+        display_round(F.col("pct_late") * 100, 1).alias("pct_late_display"),
+        display_round(F.col("pct_very_late") * 100, 1).alias("pct_very_late_display"),
         (F.col("avg_delay_sec") / 60.0).alias("avg_delay_min"),
         (F.col("median_delay_sec") / 60.0).alias("median_delay_min"),
         "n_observations",

@@ -86,8 +86,8 @@ def q_route_lateness_by_avg(spark, d):
 
 
 @register("lateness_display", with_views(["measured"], f"""
-    SELECT route_short_name, round(pct_late * 100, 1) AS pct_late_display,
-           round(pct_very_late * 100, 1) AS pct_very_late_display,
+    SELECT route_short_name, round_even(pct_late * 100 * 10, 0) / 10 AS pct_late_display,
+           round_even(pct_very_late * 100 * 10, 0) / 10 AS pct_very_late_display,
            {R('avg_delay_sec / 60.0')} AS avg_delay_min, {R('median_delay_sec / 60.0')} AS median_delay_min,
            n_observations
     FROM ({_LATENESS_SQL} ORDER BY pct_late DESC, avg_delay_sec DESC, route_short_name ASC NULLS LAST LIMIT 25)"""))

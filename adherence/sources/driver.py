@@ -100,9 +100,18 @@ def _delay(qty: Column, rflag: Column, lstatus: Column) -> Column:
     )
 
 
-def facts(spark: SparkSession, sf_dir: str, vehicle_types: DataFrame | None = None) -> DataFrame:
-    """``fact_trip_delay`` shape (natural keys double as surrogate keys here)."""
-    li = dedup_lineitem(spark, sf_dir)
+def raw_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(
+        spark, sf_dir, "lineitem",
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
+    )
+
+
+def facts(spark: SparkSession, sf_dir: str, vehicle_types: DataFrame | None = None, dedupe: bool = True) -> DataFrame:
+    """``fact_trip_delay`` shape (natural keys double as surrogate keys here).
+
+    ``dedupe=False`` gives the candidate rows before W3 (grain duplicates included)."""
+    li = dedup_lineitem(spark, sf_dir) if dedupe else raw_lineitem(spark, sf_dir)
     t = trips(spark, sf_dir)
     vt = vehicle_types if vehicle_types is not None else D.vehicle_type_dim(spark)
     t = D.lookup_vehicle_type(t, vt, F.col("route_type"))
@@ -235,3 +244,20 @@ def routes_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
         "route_long_name",
         F.lit("3").alias("route_type"),
     )
+
+
+def quality_facts(facts_df: DataFrame) -> DataFrame:
+    """Facts with defects injected by expression, so the data-quality checks have something to
+    find: delays x20 on trips whose id is divisible by 97 (out of range), and no trip id on trips
+    divisible by 101.  Rows are never dropped."""
+    k = F.col("trip_id").cast("bigint")
+    return facts_df.withColumn(
+        "delay_seconds", F.when(k % 97 == 0, F.col("delay_seconds") * 20).otherwise(F.col("delay_seconds"))
+    ).withColumn("trip_id", F.when(k % 101 != 0, F.col("trip_id")))
+
+
+def loaded_stop_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stop dimension missing the stops of suppliers with a negative balance (not loaded yet),
+    which leaves orphan facts for the referential checks."""
+    s = read(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal").filter(F.col("s_acctbal") >= 0)
+    return stop_dim(spark, sf_dir).join(s.select(F.col("s_suppkey").alias("stop_key")), "stop_key", "left_semi")
