@@ -32,7 +32,7 @@ def gtfs_time_to_seconds(t) -> Column:
 
 def service_day_start(service_date) -> Column:
     """Midnight of the service date as local wall time."""
-    return F.to_date(_c(service_date)).cast("timestamp_ntz")
+    return _c(service_date).try_cast("date").cast("timestamp_ntz")
 
 
 def local_datetime(service_date, seconds) -> Column:
@@ -71,7 +71,7 @@ def rt_start_to_epoch(start_date, start_time, zone: str = DEFAULT_ZONE) -> Colum
     already an epoch; either part missing/blank -> NULL."""
     sd = F.nullif(F.trim(_c(start_date)), F.lit(""))
     st = F.nullif(F.trim(_c(start_time)), F.lit(""))
-    day = F.to_date(sd, "yyyyMMdd")
+    day = F.try_to_date(sd, "yyyyMMdd")
     local = local_datetime(day, gtfs_time_to_seconds(st))
     return (
         F.when(sd.isNull() | st.isNull(), F.lit(None).cast("bigint"))

@@ -207,26 +207,36 @@ def schedule_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rt_trip_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TripDescriptor of each realtime trip: start_date yyyymmdd and a start_time that is 0-6
+    minutes off the schedule's first departure (so the fallback band is exercised both ways);
+    low-priority orders carry no start_time."""
+    t = trips(spark, sf_dir)
+    start_secs = (F.lit(5) + F.col("o_orderkey") % 21) * 3600 + (F.col("o_orderkey") % 7) * 60
+    return t.select(
+        "o_orderkey", "route_key", "full_date",
+        F.date_format("full_date", "yyyyMMdd").alias("start_date"),
+        F.when(F.col("o_orderpriority") != "5-LOW", gtfs_time_text(start_secs)).alias("start_time"),
+    )
+
+
 def realtime_updates(spark: SparkSession, sf_dir: str, zone: str = DEFAULT_ZONE) -> DataFrame:
     """Flat TripUpdates rows (S5 output shape) derived from lineitem, duplicates included."""
     li = read(
         spark, sf_dir, "lineitem",
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
     ).filter(~((F.col("l_linenumber") == 7) & (F.col("l_linestatus") == "F")))
-    t = trips(spark, sf_dir)
+    t = rt_trip_descriptors(spark, sf_dir)
     rflag, lstatus = F.col("l_returnflag"), F.col("l_linestatus")
     secs = sched_seconds(F.col("l_orderkey"), F.col("l_linenumber"))
     sched_epoch = T.local_to_epoch(T.local_datetime(F.col("full_date"), secs), zone)
     d = ((F.col("l_quantity") - 20) * 30).cast("int")
     neither = (rflag == "N") & (lstatus == "F")
-    start_secs = (F.lit(5) + F.col("l_orderkey") % 21) * 3600 + (F.col("l_orderkey") % 7) * 60
-    start_time = F.when(F.col("o_orderpriority") != "5-LOW", gtfs_time_text(start_secs))
-    start_date = F.date_format("full_date", "yyyyMMdd")
     return li.join(t, li.l_orderkey == t.o_orderkey).select(
         F.col("l_orderkey").cast("string").alias("trip_id"),
         F.col("route_key").cast("string").alias("route_id"),
-        T.rt_start_to_epoch(start_date, start_time, zone).alias("trip_start_epoch"),
-        start_date.alias("start_date"),
+        T.rt_start_to_epoch(F.col("start_date"), F.col("start_time"), zone).alias("trip_start_epoch"),
+        "start_date",
         F.col("l_suppkey").cast("string").alias("stop_id"),
         F.col("l_linenumber").alias("stop_sequence"),
         F.when(~neither & (rflag != "R"), d).alias("delay_seconds"),
@@ -234,15 +244,65 @@ def realtime_updates(spark: SparkSession, sf_dir: str, zone: str = DEFAULT_ZONE)
     )
 
 
+def _agency_id(k: Column) -> Column:
+    """nation key -> agency id; nations 0 and 1 carry the operator's regional ids."""
+    return F.when(k == 0, F.lit("275")).when(k == 1, F.lit("1:275")).otherwise(k.cast("string"))
+
+
+def agency_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = read(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    return n.select(_agency_id(F.col("n_nationkey")).alias("agency_id"), F.col("n_name").alias("agency_name"))
+
+
 def routes_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """routes.txt shape: route_id, agency_id, names, route_type (strings)."""
+    """routes.txt (strings): agency by ``route_key % 25``; route_type text with blanks and an
+    unknown code among the numeric ones, as real feeds have."""
     r = route_dim(spark, sf_dir)
+    k = F.col("route_key")
+    rtype = F.when(k % 10 == 9, F.lit("")).when(k % 10 == 8, F.lit("715")).otherwise((k % 5).cast("string"))
     return r.select(
         "route_id",
-        F.when(F.col("route_key") % 4 == 0, F.lit("275")).otherwise(F.lit("999")).alias("agency_id"),
+        _agency_id(k % 25).alias("agency_id"),
         F.coalesce("route_short_name", F.lit("")).alias("route_short_name"),
         "route_long_name",
-        F.lit("3").alias("route_type"),
+        rtype.alias("route_type"),
+    )
+
+
+def trips_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("trip_id"),
+        (F.col("o_custkey") % ROUTES).cast("string").alias("route_id"),
+        F.to_date("o_orderdate").alias("service_date"),
+    )
+
+
+def stops_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = stop_dim(spark, sf_dir)
+    return s.select(
+        "stop_id", "stop_name",
+        F.coalesce(F.col("stop_lat").cast("string"), F.lit("")).alias("stop_lat"),
+        F.coalesce(F.col("stop_lon").cast("string"), F.lit("")).alias("stop_lon"),
+    )
+
+
+def stop_times_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schedule_stop_times(spark, sf_dir).select(
+        "trip_id", "stop_id", "stop_sequence", "arrival_time", "departure_time")
+
+
+def gtfs(spark: SparkSession, sf_dir: str):
+    from adherence.operators.match import Gtfs
+
+    return Gtfs(
+        agency=agency_txt(spark, sf_dir),
+        routes=routes_txt(spark, sf_dir),
+        trips=trips_txt(spark, sf_dir),
+        stops=stops_txt(spark, sf_dir),
+        stop_times=stop_times_txt(spark, sf_dir),
+        routes_max_rows=ROUTES,
+        stops_max_rows=None,
     )
 
 
