@@ -26,7 +26,6 @@ from adherence.functions.numeric import display_round
 from adherence.operators.dims import join_dim
 from adherence.operators.filters import ALL, Filters
 
-DELAY = F.col("delay_seconds")
 
 
 def _pct(cond: Column) -> Column:
@@ -39,7 +38,7 @@ def delay_view(star, filters: Filters = ALL, *, route: bool = False, stop: bool
     """Facts joined to the dimensions the caller needs, filtered."""
     f = star.facts.filter(filters.date_predicate())
     if measured:
-        f = f.filter(DELAY.isNotNull())
+        f = f.filter(F.col("delay_seconds").isNotNull())
     if route or filters.needs_routes():
         f = join_dim(f, star.routes, "route_key", max_rows=star.routes_max_rows)
     if vehicle or filters.needs_vehicle_types():
@@ -75,9 +74,9 @@ def kpis(star, filters: Filters = ALL) -> DataFrame:
     agg = f.agg(
         F.count(F.lit(1)).alias("total_facts"),
         F.countDistinct("trip_id").alias("trips_observed"),
-        F.percentile(DELAY, 0.5).alias("median_delay_sec"),
-        F.avg(F.when(DELAY.isNull(), None).when(DELAY <= 0, 1.0).otherwise(0.0).cast("double")).alias("on_time_rate"),
-        F.count(DELAY).alias("observed_delay_count"),
+        F.percentile(F.col("delay_seconds"), 0.5).alias("median_delay_sec"),
+        F.avg(F.when(F.col("delay_seconds").isNull(), None).when(F.col("delay_seconds") <= 0, 1.0).otherwise(0.0).cast("double")).alias("on_time_rate"),
+        F.count(F.col("delay_seconds")).alias("observed_delay_count"),
     )
     return agg.withColumn(
         "realtime_match_rate",
@@ -102,7 +101,7 @@ def default_window(star) -> DataFrame:
 def _route_avgs(star, filters: Filters) -> DataFrame:
     f = delay_view(star, filters, route=True, measured=True)
     return f.groupBy("route_short_name").agg(
-        F.avg(DELAY).alias("avg_delay_sec"), F.count(F.lit(1)).alias("n_observations")
+        F.avg(F.col("delay_seconds")).alias("avg_delay_sec"), F.count(F.lit(1)).alias("n_observations")
     )
 
 
@@ -129,10 +128,10 @@ def route_lateness_all(star, filters: Filters = ALL, min_observations: int = ROU
     f = delay_view(star, filters, route=True, measured=True)
     g = f.groupBy("route_short_name").agg(
         F.count(F.lit(1)).alias("n_observations"),
-        F.avg(DELAY).alias("avg_delay_sec"),
-        F.percentile(DELAY, 0.5).alias("median_delay_sec"),
-        _pct(DELAY > LATE_THRESHOLD_SEC).alias("pct_late"),
-        _pct(DELAY > VERY_LATE_THRESHOLD_SEC).alias("pct_very_late"),
+        F.avg(F.col("delay_seconds")).alias("avg_delay_sec"),
+        F.percentile(F.col("delay_seconds"), 0.5).alias("median_delay_sec"),
+        _pct(F.col("delay_seconds") > LATE_THRESHOLD_SEC).alias("pct_late"),
+        _pct(F.col("delay_seconds") > VERY_LATE_THRESHOLD_SEC).alias("pct_very_late"),
     )
     return g.filter(F.col("n_observations") >= min_observations)
 
@@ -163,7 +162,7 @@ def delay_heatmap(star, filters: Filters = ALL) -> DataFrame:
     """Average delay by service weekday and local hour of the scheduled arrival."""
     f = delay_view(star, filters, date_attrs=True, measured=True)
     return f.groupBy("day_name", "day_of_week", T.hour_of("scheduled_arrival").alias("hour_of_day")).agg(
-        F.avg(DELAY).alias("avg_delay_sec")
+        F.avg(F.col("delay_seconds")).alias("avg_delay_sec")
     )
 
 
@@ -197,7 +196,7 @@ def worst_stops(star, filters: Filters = ALL, limit: int = 10, min_observations:
     """A7."""
     f = delay_view(star, filters, stop=True, measured=True)
     g = f.groupBy("stop_name", "stop_id").agg(
-        F.avg(DELAY).alias("avg_delay_sec"), F.count(F.lit(1)).alias("n_observations")
+        F.avg(F.col("delay_seconds")).alias("avg_delay_sec"), F.count(F.lit(1)).alias("n_observations")
     ).filter(F.col("n_observations") >= min_observations)
     return top_k(g, limit, F.col("avg_delay_sec").desc(), F.col("stop_id").asc())
 
@@ -208,7 +207,7 @@ def stops_map(star, filters: Filters = ALL) -> DataFrame:
         F.col("stop_lat").isNotNull() & F.col("stop_lon").isNotNull()
     )
     return f.groupBy("stop_name", "stop_lat", "stop_lon").agg(
-        F.avg(DELAY).alias("avg_delay_sec"), F.count(F.lit(1)).alias("n_observations")
+        F.avg(F.col("delay_seconds")).alias("avg_delay_sec"), F.count(F.lit(1)).alias("n_observations")
     )
 
 
@@ -248,7 +247,7 @@ def delay_sample(star, filters: Filters = ALL, sample_limit: int = 20000) -> Dat
 def punctuality_summary(star, filters: Filters = ALL) -> DataFrame:
     """A10 + A11 (wide): over *all* measured delays in minutes (D13 fixed: no 20k subset)."""
     f = delay_view(star, filters, measured=True)
-    m = (DELAY / 60.0).cast("double")
+    m = (F.col("delay_seconds") / 60.0).cast("double")
     n = F.count(F.lit(1))
 
     def share(cond):

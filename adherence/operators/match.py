@@ -122,7 +122,8 @@ def prepare_realtime(rt: DataFrame, static_feed: str, realtime_feed: str) -> Dat
 
 def match_primary(sched: DataFrame, rt: DataFrame) -> DataFrame:
     """Inner on (trip_id, stop_id); the schedule's stop_sequence is kept (D7 fan-out kept)."""
-    r = rt.select("trip_id", "stop_id", "delay_seconds", "actual_epoch")
+    extra = [F.col("stop_sequence").alias("rt_stop_sequence")] + [c for c in ("snapshot_ts",) if c in rt.columns]
+    r = rt.select("trip_id", "stop_id", "delay_seconds", "actual_epoch", *extra)
     return sched.join(r, ["trip_id", "stop_id"], "inner")
 
 
