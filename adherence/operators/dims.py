@@ -24,8 +24,24 @@ def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_rows:
 
 def vehicle_type_dim(spark: SparkSession) -> DataFrame:
     """L2: the fixed vehicle-type seed; ``vehicle_type_key`` is the seed position (1-based)."""
-    rows = [(i + 1, code, name) for i, (code, name) in enumerate(VEHICLE_TYPES)]
-    return spark.createDataFrame(rows, "vehicle_type_key int, gtfs_route_type int, type_name string")
+    return literal_table(spark, [(i + 1, code, name) for i, (code, name) in enumerate(VEHICLE_TYPES)],
+                         "vehicle_type_key int, gtfs_route_type int, type_name string")
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A fixed seed table as a JVM-side local relation (no Python RDD scan)."""
+    names = [c.strip().split()[0] for c in schema.split(",")]
+    types = [c.strip().split()[1] for c in schema.split(",")]
+
+    def lit(v, t):
+        if v is None:
+            return f"CAST(NULL AS {t})"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return f"CAST({v!r} AS {t})"
+
+    values = ", ".join("(" + ", ".join(lit(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
 def bus_key() -> int:

@@ -33,7 +33,7 @@ from adherence.constants import (
     W_STOPS,
 )
 from adherence.functions.geo import haversine_km, in_bbox
-from adherence.operators.dims import join_dim
+from adherence.operators.dims import join_dim, literal_table
 from adherence.operators.filters import ALL, Filters
 
 BUS = "Bus"
@@ -41,7 +41,7 @@ BUS = "Bus"
 
 def regions(spark) -> DataFrame:
     """Region list (id, name)."""
-    return spark.createDataFrame([(rid, name) for rid, name, _ in REGIONS], "region_id string, region_name string")
+    return literal_table(spark, [(rid, name) for rid, name, _ in REGIONS], "region_id string, region_name string")
 
 
 def bus_stop_rows(star, filters: Filters = ALL, vehicle_type: str = BUS) -> DataFrame:

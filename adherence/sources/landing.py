@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adherence.operators.dims import literal_table
 from adherence.sources.tripupdates import with_layout
 
 REQUIRED_MEMBERS = ["stops.txt", "routes.txt", "trips.txt", "stop_times.txt"]
@@ -79,7 +80,7 @@ def latest_snapshot_path(spark: SparkSession, base: str, service_date: str) -> s
 def missing_members(members: DataFrame, required=REQUIRED_MEMBERS) -> DataFrame:
     """S3: required archive members that are absent (left-anti of required names vs found)."""
     spark = members.sparkSession
-    req = spark.createDataFrame([(m,) for m in required], "member string")
+    req = literal_table(spark, [(m,) for m in required], "member string")
     found = members.select(F.regexp_extract("member", r"([^/]+)$", 1).alias("member"))
     return req.join(found, "member", "left_anti")
 
