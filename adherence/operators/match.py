@@ -80,15 +80,24 @@ def operator_stop_times(g: Gtfs, static_feed: str, sample_fraction: float | None
 
 def trip_starts(stop_times: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     """Departure of the first stop (lowest integer stop_sequence) of each trip -> local start
-    and epoch.  An aggregate (map-side combined) on the trip key, not a window over whole trips."""
-    seq = F.col("stop_sequence").try_cast("int")
+    and epoch.
+
+    A hash aggregate on the trip key (map-side combined), not a window over whole trips: the
+    ordering pair (sequence, departure seconds) is packed into one bigint so ``min`` picks the first
+    stop, and the service date is constant per trip."""
+    seq = F.col("stop_sequence").try_cast("int").cast("bigint")
+    secs = F.coalesce(T.gtfs_time_to_seconds("departure_time").cast("bigint"), F.lit(_NO_TIME))
     first = stop_times.groupBy("trip_id").agg(
-        F.min_by(F.struct("departure_time", "service_date"), F.struct(seq, F.col("departure_time"))).alias("f")
-    )
-    local = T.gtfs_time_to_datetime(F.col("f.service_date"), F.col("f.departure_time"))
+        F.min(seq * _PACK + secs).alias("_p"), F.max("service_date").alias("service_date"))
+    dep = F.when(F.col("_p") % _PACK != _NO_TIME, (F.col("_p") % _PACK).cast("int"))
+    local = T.local_datetime(F.col("service_date"), dep)
     return first.select("trip_id", local.alias("trip_start_ts"), T.local_to_epoch(local, zone).alias("trip_start_epoch"))
 
 
+_PACK = 1_000_000          # GTFS times stay below 1e6 seconds (277 h)
+_NO_TIME = _PACK - 1       # an unparsable departure sorts last within its sequence
+
+
 def scheduled(g: Gtfs, static_feed: str, service_date: str | None = None, zone: str = DEFAULT_ZONE,
               sample_fraction: float | None = None) -> DataFrame:
     """The scheduled stop visits with names, coordinates, local arrival and epochs."""
@@ -129,22 +138,26 @@ def match_primary(sched: DataFrame, rt: DataFrame) -> DataFrame:
 
 def match_fallback(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC) -> DataFrame:
     """Inner on (route_id, stop_id, stop_sequence) where either start is NULL or the starts
-    differ by at most ``band`` seconds; the realtime trip_id is discarded."""
+    differ by at most ``band`` seconds; the realtime trip_id is discarded.
+
+    One equi-join on (route_id, stop_id, stop_sequence, bucket): a scheduled row carries its start
+    bucket (or the NULL-start marker) plus one ANY copy; a realtime row with a start probes its own
+    and the two neighbouring buckets and the NULL-start marker, a realtime row without a start
+    probes ANY.  Every result pair is produced exactly once and no pair outside the band is formed,
+    except neighbours within one bucket that the residual removes."""
     keys = ["route_id", "stop_id", "stop_sequence"]
-    r = rt.select(*keys, F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch")
-    s_start, r_start = F.col("trip_start_epoch"), F.col("rt_trip_start_epoch")
-
-    # both starts known: bucketed band join (each pair found once: the scheduled row has one bucket)
-    s_known = sched.filter(s_start.isNotNull()).withColumn("_b", F.floor(s_start / band))
-    r_known = r.filter(r_start.isNotNull()).withColumn(
-        "_b", F.explode(F.sequence(F.floor(r_start / band) - 1, F.floor(r_start / band) + 1)))
-    banded = s_known.join(r_known, keys + ["_b"]).filter(F.abs(r_start - s_start) <= band).drop("_b")
-    # realtime start unknown: matches every scheduled trip of that route/stop/sequence
-    any_sched = sched.join(r.filter(r_start.isNull()), keys)
-    # scheduled start unknown, realtime start known
-    null_sched = sched.filter(s_start.isNull()).join(r.filter(r_start.isNotNull()), keys)
-    cols = sched.columns + ["rt_trip_start_epoch", "delay_seconds", "actual_epoch"]
-    return banded.select(*cols).unionByName(any_sched.select(*cols)).unionByName(null_sched.select(*cols))
+    null_mark, any_mark = F.lit(-(1 << 62)), F.lit((1 << 62))
+    s_start = F.col("trip_start_epoch")
+    s_bucket = F.when(s_start.isNull(), null_mark).otherwise(F.floor(s_start / band))
+    s = sched.withColumn("_b", F.explode(F.array(s_bucket, any_mark)))
+    r_start = F.col("rt_trip_start_epoch")
+    rb = F.floor(r_start / band)
+    probes = F.when(r_start.isNull(), F.array(any_mark)).otherwise(F.array(rb - 1, rb, rb + 1, null_mark))
+    r = rt.select(*keys, F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch") \
+        .withColumn("_b", F.explode(probes))
+    j = s.join(r, keys + ["_b"])
+    ok = r_start.isNull() | s_start.isNull() | (F.abs(r_start - s_start) <= band)
+    return j.filter(ok).drop("_b")
 
 
 def match(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC) -> tuple[DataFrame, str]:

@@ -140,7 +140,7 @@ def q_dq_rejects(spark, d):
 def q_fact_dedupe(spark, d):
     """One row per grain, last one wins under the total order, with the collapse count."""
     li = driver.dedup_lineitem(spark, d)
-    t = driver.trips(spark, d).select("o_orderkey", "date_key")
+    t = driver.order_trips(spark, d).select("o_orderkey", "date_key")
     delay = driver._delay(F.col("l_quantity"), F.col("l_returnflag"), F.col("l_linestatus"))
     return li.join(t, li.l_orderkey == t.o_orderkey).select(
         F.col("l_orderkey").cast("string").alias("trip_id"), F.col("l_suppkey").alias("stop_key"),

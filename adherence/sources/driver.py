@@ -61,6 +61,18 @@ def gtfs_time_text(seconds: Column) -> Column:
     )
 
 
+def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per trip from orders alone (no vehicle type, so no customer join)."""
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    return o.select(
+        F.col("o_orderkey"),
+        F.to_date("o_orderdate").alias("full_date"),
+        T.date_key(F.col("o_orderdate")).alias("date_key"),
+        (F.col("o_custkey") % ROUTES).alias("route_key"),
+        F.col("o_orderpriority"),
+    )
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per trip (order): service date, route, route_type text."""
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
@@ -193,7 +205,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 def schedule_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """stop_times.txt shape (all strings, as read from GTFS CSV) plus route_id and service date."""
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber").distinct()
-    t = trips(spark, sf_dir).select("o_orderkey", "route_key", "full_date")
+    t = order_trips(spark, sf_dir).select("o_orderkey", "route_key", "full_date")
     secs = sched_seconds(F.col("l_orderkey"), F.col("l_linenumber"))
     txt = gtfs_time_text(secs)
     return li.join(t, li.l_orderkey == t.o_orderkey).select(
@@ -211,7 +223,7 @@ def rt_trip_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TripDescriptor of each realtime trip: start_date yyyymmdd and a start_time that is 0-6
     minutes off the schedule's first departure (so the fallback band is exercised both ways);
     low-priority orders carry no start_time."""
-    t = trips(spark, sf_dir)
+    t = order_trips(spark, sf_dir)
     start_secs = (F.lit(5) + F.col("o_orderkey") % 21) * 3600 + (F.col("o_orderkey") % 7) * 60
     return t.select(
         "o_orderkey", "route_key", "full_date",
