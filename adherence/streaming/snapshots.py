@@ -41,10 +41,18 @@ def latest_per_key(updates: DataFrame, keys: list[str], order: list[str], value_
 
 def window_stats(updates: DataFrame, ts: str, keys: list[str], value: str, watermark: str | None = None) -> DataFrame:
     """Count and mean of ``value`` per key per 15-minute tumbling window (batch or stream)."""
-    src = updates.withWatermark(ts, watermark) if watermark else updates
+    ntz = dict(updates.dtypes).get(ts) == "timestamp_ntz"
+    src = updates
+    if watermark:
+        # watermarks need TIMESTAMP; the wall-clock value is kept (session-zone round trip)
+        src = src.withColumn(ts, F.col(ts).cast("timestamp")) if ntz else src
+        src = src.withWatermark(ts, watermark)
     g = src.groupBy(F.window(ts, WINDOW).alias("w"), *keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg_value"))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n", "avg_value")
+    start, end = F.col("w.start"), F.col("w.end")
+    if ntz:
+        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    return g.select(start.alias("window_start"), end.alias("window_end"), *keys, "n", "avg_value")
 
 
 def stream_files(spark, path: str, schema, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -79,8 +87,18 @@ def run_latest_merge(stream: DataFrame, keys: list[str], order: list[str], value
 
 
 def run_window_stats(stream: DataFrame, ts: str, keys: list[str], value: str, watermark: str, sink_path: str,
-                     checkpoint: str):
-    """R3 as a streaming job (append mode, Parquet sink)."""
+                     checkpoint: str, mode: str = "append"):
+    """R3 as a streaming job.
+
+    ``append``: each window is written once, when the watermark passes its end (rows later than
+    the watermark are dropped); Parquet file sink.  ``complete``: the whole result table is
+    rewritten each micro-batch through ``foreachBatch`` (state keeps every window)."""
     q = window_stats(stream, ts, keys, value, watermark)
-    return (q.writeStream.outputMode("append").format("parquet").option("path", sink_path)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    w = q.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "append":
+        return w.outputMode("append").format("parquet").option("path", sink_path).start()
+
+    def overwrite(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(sink_path)
+
+    return w.outputMode("complete").foreachBatch(overwrite).start()
