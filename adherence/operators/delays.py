@@ -28,6 +28,12 @@ from adherence.operators.filters import ALL, Filters
 
 
 
+def median(c: Column, approx: bool = False) -> Column:
+    """Exact median (linear interpolation, as PERCENTILE_CONT) or, as an option, the approximate
+    percentile whose memory per group is bounded by its accuracy rather than by distinct values."""
+    return F.percentile_approx(c, 0.5, 10000) if approx else F.percentile(c, 0.5)
+
+
 def _pct(cond: Column) -> Column:
     """avg of a 1.0/0.0 indicator as DOUBLE (a bare 1.0 literal would be DECIMAL in Spark)."""
     return F.avg(F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0)).cast("double"))
@@ -68,13 +74,13 @@ def top_k(df: DataFrame, k: int, *order: Column, rank_col: str | None = "rank")
 # ---------------------------------------------------------------------------- A1-A3
 
 
-def kpis(star, filters: Filters = ALL) -> DataFrame:
+def kpis(star, filters: Filters = ALL, approx: bool = False) -> DataFrame:
     """A1: one pass over the facts; median is exact (percentile over integer delays)."""
     f = delay_view(star, filters)
     agg = f.agg(
         F.count(F.lit(1)).alias("total_facts"),
         F.countDistinct("trip_id").alias("trips_observed"),
-        F.percentile(F.col("delay_seconds"), 0.5).alias("median_delay_sec"),
+        median(F.col("delay_seconds"), approx).alias("median_delay_sec"),
         F.avg(F.when(F.col("delay_seconds").isNull(), None).when(F.col("delay_seconds") <= 0, 1.0).otherwise(0.0).cast("double")).alias("on_time_rate"),
         F.count(F.col("delay_seconds")).alias("observed_delay_count"),
     )
@@ -124,12 +130,13 @@ def avg_delay_by_route(star, filters: Filters = ALL, limit: int = 20) -> DataFra
     )
 
 
-def route_lateness_all(star, filters: Filters = ALL, min_observations: int = ROUTE_MIN_OBSERVATIONS) -> DataFrame:
+def route_lateness_all(star, filters: Filters = ALL, min_observations: int = ROUTE_MIN_OBSERVATIONS,
+                       approx: bool = False) -> DataFrame:
     f = delay_view(star, filters, route=True, measured=True)
     g = f.groupBy("route_short_name").agg(
         F.count(F.lit(1)).alias("n_observations"),
         F.avg(F.col("delay_seconds")).alias("avg_delay_sec"),
-        F.percentile(F.col("delay_seconds"), 0.5).alias("median_delay_sec"),
+        median(F.col("delay_seconds"), approx).alias("median_delay_sec"),
         _pct(F.col("delay_seconds") > LATE_THRESHOLD_SEC).alias("pct_late"),
         _pct(F.col("delay_seconds") > VERY_LATE_THRESHOLD_SEC).alias("pct_very_late"),
     )
@@ -137,10 +144,10 @@ def route_lateness_all(star, filters: Filters = ALL, min_observations: int = ROU
 
 
 def route_lateness(star, filters: Filters = ALL, *, min_observations: int = ROUTE_MIN_OBSERVATIONS,
-                   limit: int = 25) -> DataFrame:
+                   limit: int = 25, approx: bool = False) -> DataFrame:
     """A5: share of arrivals more than 60 s / 300 s late per route short name."""
     return top_k(
-        route_lateness_all(star, filters, min_observations), limit,
+        route_lateness_all(star, filters, min_observations, approx), limit,
         F.col("pct_late").desc(), F.col("avg_delay_sec").desc(), F.col("route_short_name").asc_nulls_last(),
     )
 

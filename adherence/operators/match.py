@@ -129,11 +129,50 @@ def prepare_realtime(rt: DataFrame, static_feed: str, realtime_feed: str) -> Dat
     return out
 
 
-def match_primary(sched: DataFrame, rt: DataFrame) -> DataFrame:
-    """Inner on (trip_id, stop_id); the schedule's stop_sequence is kept (D7 fan-out kept)."""
+def match_primary(sched: DataFrame, rt: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+    """Inner on (trip_id, stop_id); the schedule's stop_sequence is kept (D7 fan-out kept).
+    ``keep_unmatched`` (D5 option) keeps scheduled visits without realtime as NULL-delay rows."""
     extra = [F.col("stop_sequence").alias("rt_stop_sequence")] + [c for c in ("snapshot_ts",) if c in rt.columns]
     r = rt.select("trip_id", "stop_id", "delay_seconds", "actual_epoch", *extra)
-    return sched.join(r, ["trip_id", "stop_id"], "inner")
+    return sched.join(r, ["trip_id", "stop_id"], "left" if keep_unmatched else "inner")
+
+
+def same_service_day(rt: DataFrame, service_date: str) -> DataFrame:
+    """D6 option: drop realtime trips whose start_date names another service day (absent = kept)."""
+    day = F.date_format(F.lit(service_date).cast("date"), "yyyyMMdd")
+    return rt.filter(F.col("start_date").isNull() | (F.col("start_date") == day))
+
+
+def active_services(calendar: DataFrame | None, calendar_dates: DataFrame | None, service_date: str) -> DataFrame:
+    """D6 option: service_ids running on ``service_date`` from calendar.txt (weekday flag inside the
+    start/end range) plus calendar_dates additions (type 1) minus removals (type 2)."""
+    d = F.lit(service_date).cast("date")
+    ymd = F.date_format(d, "yyyyMMdd")
+    weekday = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+    flag = None
+    for i, name in enumerate(weekday):
+        flag = (F.when(T.iso_day_of_week(d) == i + 1, F.col(name)) if flag is None
+                else flag.when(T.iso_day_of_week(d) == i + 1, F.col(name)))
+    parts = []
+    if calendar is not None:
+        parts.append(calendar.filter((F.col("start_date") <= ymd) & (F.col("end_date") >= ymd) & (flag == "1"))
+                     .select("service_id"))
+    if calendar_dates is not None:
+        cd = calendar_dates.filter(F.col("date") == ymd)
+        parts.append(cd.filter(F.col("exception_type") == "1").select("service_id"))
+    base = parts[0]
+    for p in parts[1:]:
+        base = base.unionByName(p)
+    base = base.distinct()
+    if calendar_dates is not None:
+        removed = calendar_dates.filter((F.col("date") == ymd) & (F.col("exception_type") == "2")).select("service_id")
+        base = base.join(removed, "service_id", "left_anti")
+    return base
+
+
+def running_trips(trips: DataFrame, services: DataFrame) -> DataFrame:
+    """Trips whose service runs that day (semi join against a dimension-sized id list)."""
+    return trips.join(services, "service_id", "left_semi")
 
 
 def match_fallback(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC) -> DataFrame:

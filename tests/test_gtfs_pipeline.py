@@ -238,3 +238,26 @@ def test_sidecars_audit_inventory(spark, landing, tmp_path):
     assert r.n_snapshots == 2 and r.audit_lines == 2 and r.static_bytes > 0
     assert r.latest_snapshot == dt.datetime(2026, 7, 12, 6, 15)
     os.listdir(audit)
+
+
+def test_options_keep_unmatched_and_service_day(spark, feed, landing):
+    sched = M.scheduled(feed, STATIC_FEED_NATIONAL, service_date=SERVICE_DATE)
+    rt = _rt(spark, landing)
+    inner = M.match_primary(sched, rt).count()
+    left = M.match_primary(sched, rt, keep_unmatched=True)
+    assert left.count() > inner and left.filter("delay_seconds is null and actual_epoch is null").count() > 0
+    other_day = rt.withColumn("start_date", F.lit("20260713"))
+    assert M.same_service_day(other_day, SERVICE_DATE).count() == 0
+    assert M.same_service_day(rt, SERVICE_DATE).count() == rt.count()
+
+
+def test_calendar_active_services(spark):
+    cal = spark.createDataFrame([("WK", "1", "1", "1", "1", "1", "0", "0", "20260101", "20261231"),
+                                 ("WE", "0", "0", "0", "0", "0", "1", "1", "20260101", "20261231")],
+                                ",".join(f"{c} string" for c in G.GTFS_COLUMNS["calendar"]))
+    cdates = spark.createDataFrame([("XTRA", "20260712", "1"), ("WE", "20260712", "2")],
+                                   "service_id string, date string, exception_type string")
+    got = sorted(r.service_id for r in M.active_services(cal, cdates, "2026-07-12").collect())  # a Sunday
+    assert got == ["XTRA"]
+    got = sorted(r.service_id for r in M.active_services(cal, cdates, "2026-07-13").collect())
+    assert got == ["WK"]
