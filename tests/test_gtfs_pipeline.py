@@ -261,3 +261,21 @@ def test_calendar_active_services(spark):
     assert got == ["XTRA"]
     got = sorted(r.service_id for r in M.active_services(cal, cdates, "2026-07-13").collect())
     assert got == ["WK"]
+
+
+def test_jobs_end_to_end(spark, landing, tmp_path):
+    from adherence.plans import jobs
+    wh = str(tmp_path / "warehouse")
+    rep = jobs.run_transform(spark, SERVICE_DATE, str(landing), wh, "SL")
+    assert rep["strategy"] == "primary" and rep["rows_loaded"] > 0
+    n1 = spark.read.parquet(f"{wh}/fact_trip_delay").count()
+    jobs.run_transform(spark, SERVICE_DATE, str(landing), wh, "SL")          # rerun: same date replaced
+    assert spark.read.parquet(f"{wh}/fact_trip_delay").count() == n1 == rep["rows_loaded"]
+    assert spark.read.parquet(f"{wh}/dim_route").count() == 3
+    rep_dq = {r.check_id: r.passed for r in jobs.run_quality(spark, SERVICE_DATE, wh).collect()}
+    assert rep_dq["DQ-001"] and rep_dq["DQ-005"] and rep_dq["DQ-006"] and not rep_dq["DQ-007"]
+    with pytest.raises(Exception, match="DQ-001"):
+        jobs.run_quality(spark, "2025-01-01", wh)                             # empty date fails the gate
+    assert jobs.run_energy(spark, SERVICE_DATE, wh) >= 0
+    runs = spark.read.parquet(f"{wh}/pipeline_runs")
+    assert runs.filter("status = 'success'").count() == 2
