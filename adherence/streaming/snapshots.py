@@ -102,3 +102,22 @@ def run_window_stats(stream: DataFrame, ts: str, keys: list[str], value: str, wa
         batch.write.mode("overwrite").parquet(sink_path)
 
     return w.outputMode("complete").foreachBatch(overwrite).start()
+
+
+def stream_trip_updates(spark, realtime_root: str, zone: str | None = None, max_files: int | None = None) -> DataFrame:
+    """R1 on the real feed: new ``tripupdates.pb`` snapshots under ``realtime_root`` as a stream of
+    flat TripUpdates rows (binaryFile stream -> mapInPandas decoder, one snapshot per task)."""
+    from adherence.constants import DEFAULT_ZONE
+    from adherence.sources import tripupdates as TU
+
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    r = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.pb")
+         .option("recursiveFileLookup", "true"))
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return TU.decode(r.load(realtime_root), zone=zone or DEFAULT_ZONE)
+
+
+UPDATE_KEYS = ["service_date", "trip_id", "stop_id", "stop_sequence"]
+UPDATE_ORDER = ["snapshot_ts", "actual_epoch", "delay_seconds"]
+UPDATE_VALUES = ["route_id", "start_date", "trip_start_epoch", "path"]
