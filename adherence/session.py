@@ -43,11 +43,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is respected as-is.  Only when
-    it is unset (tests, local runs) do we create a scratch folder for it.
+    On a cluster that setting points at shared storage and is respected as-is; if it is missing
+    there, this fails rather than invent a machine-local folder.  Only a local master (tests,
+    bench) gets a scratch folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name shared storage on a cluster")
         current = tempfile.mkdtemp(prefix="adherence-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

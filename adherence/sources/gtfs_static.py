@@ -31,8 +31,17 @@ GTFS_COLUMNS = {
 }
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _fs(uri: str):
+    """(pyarrow filesystem, path) for a Spark-style URI: file:, s3a:/s3:, gs:, hdfs:, or a bare path."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    if uri.startswith("s3a://") or uri.startswith("s3n://"):
+        uri = "s3://" + uri.split("://", 1)[1]
+    if "://" in uri:
+        return pafs.FileSystem.from_uri(uri)
+    return pafs.LocalFileSystem(), uri
 
 
 def list_members(archives: DataFrame) -> DataFrame:
@@ -41,28 +50,34 @@ def list_members(archives: DataFrame) -> DataFrame:
         for pdf in batches:
             rows = []
             for p in pdf["path"]:
-                with zipfile.ZipFile(_local(p)) as zf:
+                fs, fp = _fs(p)
+                with fs.open_input_file(fp) as f, zipfile.ZipFile(f) as zf:
                     rows += [(p, i.filename, i.file_size) for i in zf.infolist() if not i.is_dir()]
             yield pd.DataFrame(rows, columns=["path", "member", "size"])
     return archives.select("path").mapInPandas(run, "path string, member string, size long")
 
 
 def stage_members(members: DataFrame, staging: str) -> DataFrame:
-    """One task per (archive, member): stream the member to ``{staging}/{table}/{archive-id}.txt``."""
+    """One task per (archive, member): stream the member to ``{staging}/{table}/{archive-id}.txt``.
+
+    Written under a temporary name and then moved into place; the content is a pure function of
+    the archive, so a retried or speculative task rewrites the same bytes."""
     def run(batches):
         for pdf in batches:
             out = []
             for p, m in zip(pdf["path"], pdf["member"]):
                 table = os.path.splitext(os.path.basename(m))[0]
                 arch = uuid.uuid5(uuid.NAMESPACE_URL, p).hex[:16]
-                target_dir = os.path.join(_local(staging), table)
-                os.makedirs(target_dir, exist_ok=True)
-                target = os.path.join(target_dir, f"{arch}.txt")
-                tmp = f"{target}.{uuid.uuid4().hex}.tmp"
-                with zipfile.ZipFile(_local(p)) as zf, zf.open(m) as src, open(tmp, "wb") as dst:
+                target = f"{staging.rstrip('/')}/{table}/{arch}.txt"
+                sfs, sp = _fs(p)
+                tfs, tp = _fs(target)
+                tfs.create_dir(tp.rsplit("/", 1)[0], recursive=True)
+                tmp = f"{tp}.{uuid.uuid4().hex}.tmp"
+                with sfs.open_input_file(sp) as f, zipfile.ZipFile(f) as zf, zf.open(m) as src, \
+                        tfs.open_output_stream(tmp) as dst:
                     shutil.copyfileobj(src, dst, 1 << 20)
-                os.replace(tmp, target)
-                out.append((p, m, table, target, os.path.getsize(target)))
+                tfs.move(tmp, tp)
+                out.append((p, m, table, target, tfs.get_file_info(tp).size))
             yield pd.DataFrame(out, columns=["path", "member", "table", "staged_path", "bytes"])
     n = max(1, members.count())  # a handful of members per archive: one task each
     return members.repartition(n, "path", "member").mapInPandas(
