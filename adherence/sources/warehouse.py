@@ -135,3 +135,17 @@ def export_energy(energy: DataFrame, path: str) -> bool:
         return False
     energy.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(path)
     return True
+
+
+def load_star(spark: SparkSession, warehouse: str, start_key: int | None = None, end_key: int | None = None):
+    """The materialised star for the dashboard queries: facts pruned by date_key partitions, the
+    merged dimensions, and the fixed vehicle-type seed (route/stop sizes left to AQE)."""
+    from adherence.operators.dims import vehicle_type_dim
+    from adherence.sources.driver import Star
+
+    return Star(
+        facts=read_star(spark, f"{warehouse}/fact_trip_delay", start_key, end_key),
+        routes=spark.read.parquet(f"{warehouse}/dim_route"),
+        stops=spark.read.parquet(f"{warehouse}/dim_stop"),
+        vehicle_types=vehicle_type_dim(spark),
+    )

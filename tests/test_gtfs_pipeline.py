@@ -277,6 +277,12 @@ def test_jobs_end_to_end(spark, landing, tmp_path):
     with pytest.raises(Exception, match="DQ-001"):
         jobs.run_quality(spark, "2025-01-01", wh)                             # empty date fails the gate
     assert jobs.run_energy(spark, SERVICE_DATE, wh) >= 0
+    from adherence.operators import delays as A
+    star = W.load_star(spark, wh, 20260712, 20260712)
+    k = A.kpis(star).first()
+    assert k.total_facts == n1 and k.trips_observed == 3
+    plan = A.kpis(star)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_key" in plan                  # static partition pruning
     runs = spark.read.parquet(f"{wh}/pipeline_runs")
     assert runs.filter("status = 'success'").count() == 2
 
