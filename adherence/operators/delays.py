@@ -53,9 +53,7 @@ def delay_view(star, filters: Filters = ALL, *, route: bool = False, stop: bool
         f = join_dim(f, star.stops, "stop_key", max_rows=star.stops_max_rows)
     if date_attrs:
         # dim_date covers every service date, so its attributes are computed in place
-        f = f.withColumn("day_name", T.day_name("full_date")).withColumn(
-            "day_of_week", T.iso_day_of_week("full_date")
-        )
+        f = f.withColumns({"day_name": T.day_name("full_date"), "day_of_week": T.iso_day_of_week("full_date")})
     if filters.needs_routes() or filters.needs_vehicle_types():
         f = f.filter(filters.predicate())
     return f

@@ -63,13 +63,10 @@ def with_legs(rows: DataFrame) -> DataFrame:
          .rowsBetween(Window.unboundedPreceding, -1))
     pt = F.when(located, F.struct(F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon")))
     prev = F.last(pt, ignorenulls=True).over(w)
-    return (
-        rows.withColumn("_located", located)
-        .withColumn("_prev", prev)
-        .withColumn("leg_km", F.when(F.col("_located") & F.col("_prev").isNotNull(),
-                                     haversine_km(F.col("_prev.lat"), F.col("_prev.lon"), "stop_lat", "stop_lon")))
-        .drop("_prev")
-    )
+    step = rows.withColumns({"_located": located, "_prev": prev})
+    leg = F.when(F.col("_located") & F.col("_prev").isNotNull(),
+                 haversine_km(F.col("_prev.lat"), F.col("_prev.lon"), "stop_lat", "stop_lon"))
+    return step.withColumn("leg_km", leg).drop("_prev")
 
 
 def _trip_hours(first: Column, last: Column) -> Column:
@@ -168,21 +165,21 @@ def route_scores(routes: DataFrame, consistent_congestion: bool = False) -> Data
     hpk = _ratio(F.col("p90_hours"), F.col("avg_km"))
     # The route's own congestion ratio divides by p90 hours unless made consistent
     dr_route = dr_peer if consistent_congestion else _ratio(F.col("delay_hours"), F.col("p90_hours"))
-    s = (
-        routes.withColumn("energy_score", F.when(hi - lo < SCALE_MIN_SPREAD, F.lit(50.0))
-                          .otherwise(F.lit(100.0) * (F.col("raw_score") - lo) / (hi - lo)))
-        .withColumn("_spk", spk).withColumn("_dr_peer", dr_peer).withColumn("_hpk", hpk)
-        .withColumn("_dr_route", dr_route)
-    )
-    s = (
-        s.withColumn("km_p75", F.percentile("avg_km", 0.75).over(w))
-        .withColumn("hours_p75", F.percentile("p90_hours", 0.75).over(w))
-        .withColumn("spk_p75", F.percentile("_spk", 0.75).over(w))
-        .withColumn("dr_p75", F.percentile("_dr_peer", 0.75).over(w))
-        .withColumn("tc_p75", F.percentile(F.col("trip_count").cast("double"), 0.75).over(w))
-        .withColumn("hpk_p75", F.percentile("_hpk", 0.75).over(w))
-        .withColumn("score_p90", F.percentile("energy_score", 0.9).over(w))
-    )
+    # two projections (not a withColumn chain, whose analysis grows quadratically)
+    s = routes.withColumns({
+        "energy_score": F.when(hi - lo < SCALE_MIN_SPREAD, F.lit(50.0))
+        .otherwise(F.lit(100.0) * (F.col("raw_score") - lo) / (hi - lo)),
+        "_spk": spk, "_dr_peer": dr_peer, "_hpk": hpk, "_dr_route": dr_route,
+    })
+    s = s.withColumns({
+        "km_p75": F.percentile("avg_km", 0.75).over(w),
+        "hours_p75": F.percentile("p90_hours", 0.75).over(w),
+        "spk_p75": F.percentile("_spk", 0.75).over(w),
+        "dr_p75": F.percentile("_dr_peer", 0.75).over(w),
+        "tc_p75": F.percentile(F.col("trip_count").cast("double"), 0.75).over(w),
+        "hpk_p75": F.percentile("_hpk", 0.75).over(w),
+        "score_p90": F.percentile("energy_score", 0.9).over(w),
+    })
     tests = [
         (F.col("avg_km"), "km_p75"),
         (F.col("p90_hours"), "hours_p75"),

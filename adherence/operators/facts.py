@@ -50,10 +50,12 @@ def build(derived: DataFrame, routes: DataFrame, stops: DataFrame, vehicle_types
     """Matched + derived rows -> (facts, load report).  ``derived`` carries service_date,
     scheduled_arrival, actual_arrival and delay_seconds (see ``match.derive``)."""
     keyed = with_keys(derived, routes, stops, vehicle_types, routes_max_rows, stops_max_rows)
-    keyed = keyed.withColumn("date_key", T.date_key("service_date")).withColumn(
-        "full_date", F.col("service_date").cast("date")).withColumn(
-        "stop_sequence", F.col("stop_sequence").cast("int")).withColumn(
-        "data_source", F.lit(FACT_DATA_SOURCE))
+    keyed = keyed.withColumns({
+        "date_key": T.date_key("service_date"),
+        "full_date": F.col("service_date").cast("date"),
+        "stop_sequence": F.col("stop_sequence").cast("int"),
+        "data_source": F.lit(FACT_DATA_SOURCE),
+    })
     report = load_report(keyed)
     facts = dedupe(keyed.filter("has_dim"))
     return facts.select(*FACT_COLUMNS), report

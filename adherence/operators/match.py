@@ -73,9 +73,7 @@ def operator_stop_times(g: Gtfs, static_feed: str, sample_fraction: float | None
         trips = sample_trips(trips, sample_fraction)  # J10 is subsumed: the semi join below filters
     keep = ["trip_id", "route_id"] + (["service_date"] if "service_date" in trips.columns else [])
     st = g.stop_times.join(trips.select(*keep), "trip_id")
-    for c in ("route_id", "stop_id", "trip_id", "stop_sequence"):
-        st = st.withColumn(c, as_key_string(F.col(c)))
-    return st
+    return st.withColumns({c: as_key_string(F.col(c)) for c in ("route_id", "stop_id", "trip_id", "stop_sequence")})
 
 
 def trip_starts(stop_times: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
@@ -122,11 +120,9 @@ def scheduled(g: Gtfs, static_feed: str, service_date: str | None = None, zone:
 
 def prepare_realtime(rt: DataFrame, static_feed: str, realtime_feed: str) -> DataFrame:
     """P2 + P3 + F8: translated, non-blank stop ids; keys as strings."""
-    out = rt.withColumn("stop_id", rt_stop_id(F.col("stop_id"), static_feed, realtime_feed)).filter(
-        F.col("stop_id").isNotNull())
-    for c in ("route_id", "trip_id", "stop_sequence"):
-        out = out.withColumn(c, as_key_string(F.col(c)))
-    return out
+    keys = {c: as_key_string(F.col(c)) for c in ("route_id", "trip_id", "stop_sequence")}
+    keys["stop_id"] = rt_stop_id(F.col("stop_id"), static_feed, realtime_feed)
+    return rt.withColumns(keys).filter(F.col("stop_id").isNotNull())
 
 
 def match_primary(sched: DataFrame, rt: DataFrame, keep_unmatched: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from adherence.functions.numeric import display_round
 from adherence.operators import delays as A
 from adherence.operators import energy as E
 from adherence.plans.oracle import with_views
-from adherence.plans.registry import R, register
+from adherence.plans.registry import R, register, star
 from adherence.sources import driver
 
 _HAV = """2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(stop_lat - plat) / 2), 2)
@@ -113,15 +113,15 @@ def _sql(body: str) -> str:
 
 
 def _rows(spark, d):
-    return E.bus_stop_rows(driver.star(spark, d))
+    return E.bus_stop_rows(star(spark, d))
 
 
 def _scores(spark, d):
-    return E.compute(driver.star(spark, d))
+    return E.compute(star(spark, d))
 
 
 def _collapsed(spark, d):
-    st = driver.star(spark, d)
+    st = star(spark, d)
     return E.collapse(E.read_scores(E.compute(st), st, region_id="all"))
 
 
@@ -171,7 +171,7 @@ def q_route_energy(spark, d):
            {R('quantile_cont(hpk, 0.75)')} AS hpk_p75
     FROM sc GROUP BY date_key, region_id"""))
 def q_energy_thresholds(spark, d):
-    st = driver.star(spark, d)
+    st = star(spark, d)
     return E.thresholds(E.route_aggregate(E.trip_features(E.bus_stop_rows(st))))
 
 
@@ -187,7 +187,7 @@ def q_energy_flags(spark, d):
            {R('total_hours')} AS total_hours, {R('avg_stops')} AS avg_stops, {R('delay_hours')} AS delay_hours,
            {R('energy_score')} AS energy_score, is_flagged, flag_reasons FROM view_all"""))
 def q_energy_read(spark, d):
-    st = driver.star(spark, d)
+    st = star(spark, d)
     return E.read_scores(E.compute(st), st, region_id="all")
 
 

@@ -11,7 +11,7 @@ from adherence.operators import dims as D
 from adherence.operators import match as M
 from adherence.operators.delays import delay_view
 from adherence.plans.oracle import with_views
-from adherence.plans.registry import R, register
+from adherence.plans.registry import R, memo, register, star
 from adherence.sources import driver
 
 ZONE = "Europe/Stockholm"
@@ -79,16 +79,17 @@ def _sql(body: str, views=("trips",)) -> str:
 
 
 def _gtfs(spark, d):
-    return driver.gtfs(spark, d)
+    return memo(spark, d, "gtfs", lambda: driver.gtfs(spark, d))
 
 
 def _sched(spark, d):
     # a per-operator (regional) feed: every agency is kept, so the whole timetable is matched
-    return M.scheduled(_gtfs(spark, d), REALTIME_FEED_REGIONAL, zone=ZONE)
+    return memo(spark, d, "sched", lambda: M.scheduled(_gtfs(spark, d), REALTIME_FEED_REGIONAL, zone=ZONE))
 
 
 def _rt(spark, d):
-    return M.prepare_realtime(driver.realtime_updates(spark, d, ZONE), REALTIME_FEED_REGIONAL, REALTIME_FEED_REGIONAL)
+    return memo(spark, d, "rt", lambda: M.prepare_realtime(
+        driver.realtime_updates(spark, d, ZONE), REALTIME_FEED_REGIONAL, REALTIME_FEED_REGIONAL))
 
 
 @register("gtfs_seconds", _sql(f"""
@@ -260,7 +261,7 @@ _WIDE_COLS = ("date_key, full_date, day_name, day_of_week, trip_id, stop_sequenc
 @register("wide_export", with_views(["wide"], f"SELECT {_WIDE_COLS} FROM wide"))
 def q_wide_export(spark, d):
     """S14's 19-column wide delay rows (J12 full star join)."""
-    st = driver.star(spark, d)
+    st = star(spark, d)
     v = delay_view(st, route=True, stop=True, vehicle=True, date_attrs=True)
     v = v.withColumn("hour_of_day", T.hour_of("scheduled_arrival"))
     return v.select(*[c.strip() for c in _WIDE_COLS.split(",")])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adherence.operators import quality as Q
 from adherence.operators.dims import join_dim
 from adherence.plans.oracle import with_views
-from adherence.plans.registry import register
+from adherence.plans.registry import register, star
 from adherence.sources import driver
 
 _QFACTS = ("qfacts", """
@@ -69,7 +69,7 @@ def q_dq_duplicates(spark, d):
     UNION ALL SELECT 'vehicle_type', COUNT(*) FROM facts
               WHERE vehicle_type_key NOT IN (SELECT vehicle_type_key FROM dim_vehicle_type)""", [_QSTOPS]))
 def q_dq_referential(spark, d):
-    st = driver.star(spark, d)
+    st = star(spark, d)
     return Q.referential(st.facts, {
         "stop": (driver.loaded_stop_dim(spark, d), "stop_key"),
         "route": (st.routes, "route_key"),

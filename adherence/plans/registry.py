@@ -44,7 +44,20 @@ _STAR_CACHE: dict = {}
 
 
 def star(spark: SparkSession, sf_dir: str):
-    return driver.star(spark, sf_dir)
+    """The driver star of a directory, built once per session: DataFrames are immutable logical
+    plans, so queries can share one (each still executes over the whole tables)."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _STAR_CACHE:
+        _STAR_CACHE[key] = driver.star(spark, sf_dir)
+    return _STAR_CACHE[key]
+
+
+def memo(spark: SparkSession, sf_dir: str, name: str, build):
+    """Share one lazily-built view (a logical plan, no data) between the queries of a session."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
+    if key not in _STAR_CACHE:
+        _STAR_CACHE[key] = build()
+    return _STAR_CACHE[key]
 
 
 def R(x: str) -> str:

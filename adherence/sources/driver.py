@@ -41,22 +41,30 @@ SEGMENT_ROUTE_TYPE = {
 
 # tables large enough that a single-split scan would serialise the map side of the plan
 _SPREAD = {"lineitem", "orders", "events", "customer"}
+# per-process memo of facts about input files that do not change between queries: the schema
+# (so later reads skip Parquet footer inference, which is a Spark job per read) and the split count
+_FILE_FACTS: dict[tuple[str, int], tuple] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    par = spark.sparkContext.defaultParallelism
+    key = (path, par)
+    if key not in _FILE_FACTS:
+        probe = spark.read.parquet(path)
+        _FILE_FACTS[key] = (probe.schema, probe.rdd.getNumPartitions())
+    schema, splits = _FILE_FACTS[key]
+    df = spark.read.schema(schema).parquet(path)
     df = df.select(*cols) if cols else df
-    return spread(df) if name in _SPREAD and os.environ.get("ADHERENCE_SPREAD", "1") == "1" else df
+    spread_on = name in _SPREAD and os.environ.get("ADHERENCE_SPREAD", "1") == "1"
+    return spread(df, splits, par) if spread_on else df
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, splits: int, par: int) -> DataFrame:
     """Give an under-split input (one file, one row group) as many partitions as the cluster has
     cores; inputs that already have that many splits (any large table) are left untouched, so at
-    scale this adds nothing.  Split planning only, no job."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
-        return df
-    return df.repartition(par)
+    scale this adds nothing."""
+    return df if splits >= par else df.repartition(par)
 
 
 def _segment_route_type(seg: Column) -> Column:
