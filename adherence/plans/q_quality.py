@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adherence.operators import quality as Q
 from adherence.operators.dims import join_dim
 from adherence.plans.oracle import with_views
-from adherence.plans.registry import register, star
+from adherence.plans.registry import memo, register, star
 from adherence.sources import driver
 
 _QFACTS = ("qfacts", """
@@ -38,11 +38,11 @@ _ORPHANS_BY_DATE_SQL = """
 
 
 def _qfacts(spark, d):
-    return driver.quality_facts(driver.facts(spark, d))
+    return driver.quality_facts(star(spark, d).facts)
 
 
 def _raw(spark, d):
-    return driver.facts(spark, d, dedupe=False)
+    return memo(spark, d, "raw_facts", lambda: driver.facts(spark, d, dedupe=False))
 
 
 def _report(spark, d):
