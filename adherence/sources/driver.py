@@ -52,19 +52,37 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     key = (path, par)
     if key not in _FILE_FACTS:
         probe = spark.read.parquet(path)
-        _FILE_FACTS[key] = (probe.schema, probe.rdd.getNumPartitions())
-    schema, splits = _FILE_FACTS[key]
+        _FILE_FACTS[key] = (probe.schema, _read_units(probe))
+    schema, units = _FILE_FACTS[key]
     df = spark.read.schema(schema).parquet(path)
     df = df.select(*cols) if cols else df
     spread_on = name in _SPREAD and os.environ.get("ADHERENCE_SPREAD", "1") == "1"
-    return spread(df, splits, par) if spread_on else df
+    return spread(df, units, par) if spread_on else df
 
 
-def spread(df: DataFrame, splits: int, par: int) -> DataFrame:
+def _read_units(df: DataFrame, max_files: int = 64) -> int:
+    """How many tasks can actually read data: Parquet splits only at row groups, so for a table of a
+    few files count their row groups (footers only); a table of many files counts as well split."""
+    files = df.inputFiles()
+    if len(files) > max_files:
+        return len(files)
+    from pyarrow import parquet as pq
+
+    from adherence.sources.gtfs_static import _fs
+
+    units = 0
+    for f in files:
+        fs, p = _fs(f)
+        with fs.open_input_file(p) as fh:
+            units += pq.ParquetFile(fh).metadata.num_row_groups
+    return units
+
+
+def spread(df: DataFrame, units: int, par: int) -> DataFrame:
     """Give an under-split input (one file, one row group) as many partitions as the cluster has
-    cores; inputs that already have that many splits (any large table) are left untouched, so at
-    scale this adds nothing."""
-    return df if splits >= par else df.repartition(par)
+    cores; inputs that already have that many readable units (any large table) are left untouched,
+    so at scale this adds nothing."""
+    return df if units >= par else df.repartition(par)
 
 
 def _segment_route_type(seg: Column) -> Column:
