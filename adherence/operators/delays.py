@@ -25,6 +25,7 @@ from adherence.functions import gtfs_time as T
 from adherence.functions.numeric import display_round
 from adherence.operators.dims import join_dim
 from adherence.operators.filters import ALL, Filters
+from adherence.operators.order_stats import quantiles, smallest_k
 
 
 
@@ -225,28 +226,37 @@ def stops_map_evidence(stops: DataFrame, min_observations: int = MAP_MIN_OBSERVA
 
 
 def robust_color_range(values: DataFrame, col: str, pad: float = 0.5) -> DataFrame:
-    """p5..p95 of ``col`` padded; a spread < 1 uses median +/- 5; empty -> (-5, 15)."""
-    q = values.filter(F.col(col).isNotNull()).agg(
-        F.percentile(F.col(col), [0.05, 0.5, 0.95]).alias("q"), F.count(F.lit(1)).alias("n")
-    )
-    lo, mid, hi = F.col("q")[0], F.col("q")[1], F.col("q")[2]
-    narrow = (hi - lo) < 1.0
-    lo2 = F.when(narrow, mid - 5.0).otherwise(lo)
-    hi2 = F.when(narrow, mid + 5.0).otherwise(hi)
-    return q.select(
-        F.when(F.col("n") == 0, F.lit(EMPTY_COLOR_RANGE[0])).otherwise(lo2 - pad).alias("color_min"),
-        F.when(F.col("n") == 0, F.lit(EMPTY_COLOR_RANGE[1])).otherwise(hi2 + pad).alias("color_max"),
-    )
+    """p5..p95 of ``col`` padded; a spread < 1 uses median +/- 5; empty -> (-5, 15).
+
+    The values are free-valued doubles (per-stop averages), so the quantiles are exact order
+    statistics found by histogram refinement rather than one task's value map; only the three
+    resulting numbers come back, as a one-row frame."""
+    from adherence.session import cut_lineage
+
+    vals = cut_lineage(values.select(col))  # one row per stop: read once, then several small passes
+    lo, mid, hi = quantiles(vals, col, [0.05, 0.5, 0.95])
+    if lo is None:
+        cmin, cmax = EMPTY_COLOR_RANGE
+    elif hi - lo < 1.0:
+        cmin, cmax = mid - 5.0 - pad, mid + 5.0 + pad
+    else:
+        cmin, cmax = lo - pad, hi + pad
+    return values.sparkSession.range(1).select(
+        F.lit(float(cmin)).alias("color_min"), F.lit(float(cmax)).alias("color_max"))
 
 
 # ---------------------------------------------------------------------------- A9-A12, A17
 
 
 def delay_sample(star, filters: Filters = ALL, sample_limit: int = 20000) -> DataFrame:
-    """A deterministic, hash-ordered sample of measured delays (the limit is the feature)."""
+    """A deterministic sample of measured delays: the ``sample_limit`` rows with the smallest
+    hash of their grain (the limit is the feature).  Found as an exact order statistic, so no task
+    receives ``sample_limit`` rows from every partition."""
     f = delay_view(star, filters, measured=True)
     h = F.xxhash64("trip_id", "stop_key", "stop_sequence", "date_key")
-    return f.select(h.alias("_h"), "delay_seconds").orderBy("_h").limit(sample_limit).drop("_h")
+    keyed = f.select(h.alias("_h"), "trip_id", "stop_key", "stop_sequence", "date_key", "delay_seconds")
+    return smallest_k(keyed, "_h", sample_limit, ["trip_id", "stop_key", "stop_sequence", "date_key"]).select(
+        "delay_seconds")
 
 
 def punctuality_summary(star, filters: Filters = ALL) -> DataFrame:

@@ -1,0 +1,111 @@
+"""Exact order statistics without a single task holding the data.
+
+``F.percentile`` merges one value->count map per group in one task, which is fine when the values
+are few (integer delays, whole-second durations) but not for a global quantile of free-valued
+doubles; ``orderBy(...).limit(k)`` sends ``k`` rows per partition to one task.  Here:
+
+* ``kth_smallest`` narrows the value range with histograms (one aggregate job per round, at most
+  ``buckets`` rows back to the driver) until the range holds a single value or few rows, then
+  ranks those few rows.  Exact; each round shrinks the candidate count by about ``buckets``.
+* ``quantile`` interpolates between the two neighbouring ranks exactly as ``percentile`` does.
+* ``smallest_k`` returns the ``k`` rows with the smallest key: a threshold filter keeps all
+  candidates (checkpointed, checked by a count, widened when short) and the exact top-k runs over
+  those only.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL = 50_000
+
+
+def _stats(df: DataFrame, col: str, lo=None, hi=None):
+    c = F.col(col)
+    d = df if lo is None else df.filter(c.between(lo, hi))
+    r = d.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+    return r.n, r.lo, r.hi
+
+
+def kth_smallest(df: DataFrame, col: str, k: int, buckets: int = 1024):
+    """The value of rank ``k`` (0-based) among the non-null values of ``col``."""
+    c = F.col(col)
+    vals = df.select(col).filter(c.isNotNull())
+    n, lo, hi = _stats(vals, col)
+    if not 0 <= k < n:
+        raise IndexError(f"rank {k} outside 0..{n - 1}")
+    while True:
+        if lo == hi:
+            return lo
+        if n <= SMALL:
+            row = vals.filter(c.between(lo, hi)).orderBy(c).offset(k).limit(1).first()
+            return row[0]
+        span = F.lit(float(hi)) - F.lit(float(lo))
+        b = F.least(F.floor((c.cast("double") - F.lit(float(lo))) / span * buckets), F.lit(buckets - 1))
+        hist = (vals.filter(c.between(lo, hi)).groupBy(b.alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"))
+                .orderBy("b").collect())                      # at most `buckets` rows
+        seen = 0
+        for h in hist:
+            if k < seen + h.n:
+                k, n, lo, hi = k - seen, h.n, h.lo, h.hi
+                break
+            seen += h.n
+
+
+def quantile(df: DataFrame, col: str, p: float):
+    """Exact linear-interpolation quantile (the ``percentile`` / PERCENTILE_CONT definition);
+    None when there are no values."""
+    n = df.filter(F.col(col).isNotNull()).count()
+    if n == 0:
+        return None
+    pos = (n - 1) * p
+    lower, higher = math.floor(pos), math.ceil(pos)
+    lo = float(kth_smallest(df, col, lower))
+    if higher == lower:
+        return lo
+    hi = float(kth_smallest(df, col, higher))
+    if hi == lo:
+        return lo
+    return (higher - pos) * lo + (pos - lower) * hi
+
+
+def quantiles(df: DataFrame, col: str, probs: list[float]) -> list:
+    """Several exact quantiles.  Up to ``SMALL`` values one ``percentile`` aggregate is bounded by
+    that size; above it each quantile is found by order statistics."""
+    n = df.filter(F.col(col).isNotNull()).count()
+    if n == 0:
+        return [None] * len(probs)
+    if n <= SMALL:
+        return list(df.agg(F.percentile(F.col(col), list(probs))).first()[0])
+    return [quantile(df, col, p) for p in probs]
+
+
+def smallest_k(df: DataFrame, key: str, k: int, tie_break: list[str] | None = None) -> DataFrame:
+    """The ``k`` rows with the smallest ``key`` (then ``tie_break``), as a distributed frame.
+
+    Two passes over ``df``: one aggregate (count, min, max), one filter that keeps every row with
+    ``key <= t`` and is checkpointed.  ``t`` is guessed from the key range for about 2k candidates
+    (keys are hashes, so uniform) and widened while fewer than ``k`` came through.  The exact
+    k-th key, the rows below it and the ranked ties are then found inside the candidates only."""
+    from adherence.session import cut_lineage
+
+    c = F.col(key)
+    n, lo, hi = _stats(df, key)
+    if n <= k:
+        return df.filter(c.isNotNull())
+    frac = min(1.0, 2.0 * k / n)
+    while True:
+        t = lo + (type(lo)((hi - lo) * frac) if isinstance(lo, int) else (hi - lo) * frac)
+        cand = cut_lineage(df.filter(c <= t))
+        if frac >= 1.0 or cand.count() >= k:
+            break
+        frac = min(1.0, frac * 4)
+    kth = kth_smallest(cand, key, k - 1)
+    below = cand.filter(c < kth)
+    need = k - below.count()
+    ties = cand.filter(c == kth).orderBy(c, *[F.col(x) for x in (tie_break or [])]).limit(need)
+    return below.unionByName(ties)

@@ -22,7 +22,11 @@ def scans(spark_plan):
     return out
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+# order statistics are computed eagerly into a checkpoint / a one-row result (see order_stats)
+MATERIALISED = {"delay_sample", "robust_color_range"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - MATERIALISED))
 def test_plan_hygiene(spark, sf_dir, name):
     qe = E.queries()[name](spark, sf_dir)._jdf.queryExecution()
     plan = qe.sparkPlan()

@@ -63,3 +63,32 @@ def test_epoch_matches_python_zoneinfo_fold0(spark, stamps):
     got = [r.e for r in df.select(T.local_to_epoch(F.col("ts")).alias("e")).collect()]
     for s, e in zip(stamps, got):
         assert e == int(s.replace(tzinfo=z, fold=0).timestamp()), s
+
+
+def test_exact_order_statistics_against_brute_force(spark):
+    import random
+
+    from adherence.operators import order_stats as OS
+    rnd = random.Random(7)
+    vals = [rnd.choice([1.5, 2.0, 2.0, 2.0]) if i % 3 == 0 else rnd.gauss(0, 100) for i in range(70_000)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double")
+    s = sorted(vals)
+    for k in (0, 1, 12345, 69_999):
+        assert OS.kth_smallest(df, "v", k) == s[k]
+    exp = df.agg(F.percentile("v", [0.05, 0.5, 0.95])).first()[0]
+    got = [OS.quantile(df, "v", p) for p in (0.05, 0.5, 0.95)]
+    assert got == exp
+    assert OS.quantiles(df, "v", [0.05, 0.5, 0.95]) == exp          # above SMALL: order statistics
+    small = df.limit(1000)
+    assert OS.quantiles(small, "v", [0.5]) == small.agg(F.percentile("v", [0.5])).first()[0]
+
+
+def test_smallest_k_equals_ordered_limit(spark):
+    from adherence.operators import order_stats as OS
+    df = spark.range(0, 200_000).select(F.xxhash64("id").alias("h"), F.col("id"))
+    got = sorted(r.id for r in OS.smallest_k(df, "h", 1000, ["id"]).collect())
+    exp = sorted(r.id for r in df.orderBy("h", "id").limit(1000).collect())
+    assert got == exp
+    ties = spark.range(0, 100).select((F.col("id") % 3).alias("h"), "id")
+    got = sorted(r.id for r in OS.smallest_k(ties, "h", 40, ["id"]).collect())
+    assert got == sorted(r.id for r in ties.orderBy("h", "id").limit(40).collect())
