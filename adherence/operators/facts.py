@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from adherence.constants import FACT_DATA_SOURCE
 from adherence.functions import gtfs_time as T
 from adherence.operators.dims import join_dim, lookup_vehicle_type
-from adherence.operators.quality import GRAIN, load_report
+from adherence.operators.quality import GRAIN, load_report, split_rejects
 
 FACT_COLUMNS = ["date_key", "full_date", "route_key", "stop_key", "vehicle_type_key", "trip_id", "stop_sequence",
                 "scheduled_arrival", "actual_arrival", "delay_seconds", "data_source"]
@@ -46,9 +46,14 @@ def dedupe(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
 
 
 def build(derived: DataFrame, routes: DataFrame, stops: DataFrame, vehicle_types: DataFrame,
-          routes_max_rows: int | None = None, stops_max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Matched + derived rows -> (facts, load report).  ``derived`` carries service_date,
-    scheduled_arrival, actual_arrival and delay_seconds (see ``match.derive``)."""
+          routes_max_rows: int | None = None, stops_max_rows: int | None = None,
+          quarantine_out_of_range: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Matched + derived rows -> (facts, load report, rejects).  ``derived`` carries service_date,
+    scheduled_arrival, actual_arrival and delay_seconds (see ``match.derive``).
+
+    Rows breaking the fact table's NOT NULL contract (no trip id, unparsable scheduled time, D12)
+    go to the rejects with a reason instead of failing the load; out-of-range delays stay in the
+    facts (a WARN check) unless ``quarantine_out_of_range`` sends them to the rejects too (Q10)."""
     keyed = with_keys(derived, routes, stops, vehicle_types, routes_max_rows, stops_max_rows)
     keyed = keyed.withColumns({
         "date_key": T.date_key("service_date"),
@@ -57,5 +62,10 @@ def build(derived: DataFrame, routes: DataFrame, stops: DataFrame, vehicle_types
         "data_source": F.lit(FACT_DATA_SOURCE),
     })
     report = load_report(keyed)
-    facts = dedupe(keyed.filter("has_dim"))
-    return facts.select(*FACT_COLUMNS), report
+    accepted, rejected = split_rejects(keyed.filter("has_dim"))
+    if not quarantine_out_of_range:
+        back = rejected.filter(F.col("reject_reason") == "delay_out_of_range").drop("reject_reason")
+        accepted = accepted.unionByName(back)
+        rejected = rejected.filter(F.col("reject_reason") != "delay_out_of_range")
+    facts = dedupe(accepted)
+    return facts.select(*FACT_COLUMNS), report, rejected.select(*FACT_COLUMNS, "reject_reason")

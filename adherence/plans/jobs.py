@@ -79,9 +79,10 @@ def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehou
     stops.write.mode("overwrite").parquet(f"{warehouse}/dim_stop")
 
     vt = D.vehicle_type_dim(spark)
-    facts, report = FACTS.build(derived, routes, stops, vt)
+    facts, report, rejects = FACTS.build(derived, routes, stops, vt)
     facts = facts.checkpoint(eager=True)      # reused by the write and by the counts below
     W.write_facts(facts, f"{warehouse}/fact_trip_delay")
+    W.write_facts(rejects, f"{warehouse}/fact_rejects")      # D12/Q10: set aside with a reason
     rep = report.first().asDict()
     rep.update(strategy=strategy, service_date=service_date)
     RUNS.append(RUNS.run_record(spark, service_date, "success", rep["rows_loaded"], dag_run_id, started),

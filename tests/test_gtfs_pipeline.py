@@ -174,7 +174,8 @@ def test_primary_match_dedupe_and_load(spark, feed, landing, tmp_path):
                           ["route_id"], "SL", "route_key")
     stops = D.merge_scd1(None, M.referenced_stops(feed.stops, feed.stop_times), ["stop_id"], "SL", "stop_key")
     vt = D.vehicle_type_dim(spark)
-    facts, report = FACTS.build(derived, routes, stops, vt)
+    facts, report, rejects = FACTS.build(derived, routes, stops, vt)
+    assert rejects.count() == 0
     rep = report.first()
     assert rep.rows_seen == derived.count()
     assert rep.duplicates_collapsed == rep.rows_seen - rep.rows_loaded - rep.skipped_no_dim

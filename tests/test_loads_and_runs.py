@@ -83,3 +83,25 @@ def test_calendar_span(spark):
     assert cal.count() == 1461
     r = cal.filter("date_key = 20240101").first()
     assert (r.day_of_week, r.day_name, r.is_weekend) == (1, "Mon", False)
+
+
+def test_fact_build_rejects_and_quarantine(spark):
+    from adherence.operators import facts as FACTS
+    t = dt.datetime(2026, 7, 12, 8, 0)
+    derived = spark.createDataFrame([
+        ("T1", "S1", "1", "R1", "3", dt.date(2026, 7, 12), t, t, 60, 1),
+        ("T1", "S2", "2", "R1", "3", dt.date(2026, 7, 12), None, None, 30, 2),        # malformed time (D12)
+        ("T2", "S1", "1", "R1", "3", dt.date(2026, 7, 12), t, t, 20000, 3),           # out of range
+        ("T3", "S9", "1", "R1", "3", dt.date(2026, 7, 12), t, t, 5, 4),               # stop not in dim
+    ], "trip_id string, stop_id string, stop_sequence string, route_id string, route_type string, "
+       "service_date date, scheduled_arrival timestamp_ntz, actual_arrival timestamp_ntz, delay_seconds int, "
+       "actual_epoch long")
+    routes = D.merge_scd1(None, spark.createDataFrame([("R1",)], "route_id string"), ["route_id"], "SL", "route_key")
+    stops = D.merge_scd1(None, spark.createDataFrame([("S1",), ("S2",)], "stop_id string"), ["stop_id"], "SL", "stop_key")
+    facts, report, rejects = FACTS.build(derived, routes, stops, D.vehicle_type_dim(spark))
+    assert sorted(r.trip_id for r in facts.collect()) == ["T1", "T2"]
+    assert [(r.trip_id, r.reject_reason) for r in rejects.collect()] == [("T1", "null_scheduled_arrival")]
+    assert report.first().skipped_no_dim == 1
+    facts_q, _, rejects_q = FACTS.build(derived, routes, stops, D.vehicle_type_dim(spark), quarantine_out_of_range=True)
+    assert [r.trip_id for r in facts_q.collect()] == ["T1"]
+    assert sorted(r.reject_reason for r in rejects_q.collect()) == ["delay_out_of_range", "null_scheduled_arrival"]
