@@ -99,7 +99,7 @@ _E_VIEWS = [
                e.p90_hours, e.total_hours, e.avg_stops, e.delay_hours, e.energy_score, e.is_flagged, e.flag_reasons
         FROM scores e JOIN dim_route r ON e.route_key = r.route_key WHERE e.region_id = 'all'"""),
     ("collapsed", """
-        SELECT route_id, route_short_name, route_long_name, SUM(trip_count) AS trip_count, AVG(avg_km) AS avg_km,
+        SELECT route_id, route_short_name, route_long_name, CAST(SUM(trip_count) AS BIGINT) AS trip_count, AVG(avg_km) AS avg_km,
                SUM(total_km) AS total_km, MAX(p90_hours) AS p90_hours, SUM(total_hours) AS total_hours,
                AVG(avg_stops) AS avg_stops, SUM(delay_hours) AS delay_hours, AVG(energy_score) AS energy_score,
                BOOL_OR(is_flagged) AS is_flagged,
