@@ -171,25 +171,30 @@ def running_trips(trips: DataFrame, services: DataFrame) -> DataFrame:
     return trips.join(services, "service_id", "left_semi")
 
 
-def match_fallback(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC) -> DataFrame:
+def match_fallback(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC,
+                   rt_null_starts: bool = True, sched_null_starts: bool = True) -> DataFrame:
     """Inner on (route_id, stop_id, stop_sequence) where either start is NULL or the starts
     differ by at most ``band`` seconds; the realtime trip_id is discarded.
 
     One equi-join on (route_id, stop_id, stop_sequence, bucket): a scheduled row carries its start
-    bucket (or the NULL-start marker) plus one ANY copy; a realtime row with a start probes its own
-    and the two neighbouring buckets and the NULL-start marker, a realtime row without a start
-    probes ANY.  Every result pair is produced exactly once and no pair outside the band is formed,
+    bucket (or the NULL-start marker) plus, when some realtime start is NULL, one ANY copy; a
+    realtime row with a start probes its own and the two neighbouring buckets (and the NULL-start
+    marker when some scheduled start is NULL), a realtime row without a start probes ANY.  Every result pair is produced exactly once and no pair outside the band is formed,
     except neighbours within one bucket that the residual removes."""
     keys = ["route_id", "stop_id", "stop_sequence"]
     null_mark, any_mark = F.lit(-(1 << 62)), F.lit((1 << 62))
     s_start = F.col("trip_start_epoch")
-    s_bucket = F.when(s_start.isNull(), null_mark).otherwise(F.floor(s_start / band))
-    s = sched.withColumn("_b", F.explode(F.array(s_bucket, any_mark)))
+    r = rt.select(*keys, F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch")
     r_start = F.col("rt_trip_start_epoch")
+    # a caller that knows a side has no NULL start (e.g. from its load report) can drop the copies
+    # made for them; probing here would cost a pass over the input, so the default keeps them
+    rt_nulls, sched_nulls = rt_null_starts, sched_null_starts
+    s_bucket = F.when(s_start.isNull(), null_mark).otherwise(F.floor(s_start / band))
+    s = sched.withColumn("_b", F.explode(F.array(s_bucket, any_mark)) if rt_nulls else s_bucket)
     rb = F.floor(r_start / band)
-    probes = F.when(r_start.isNull(), F.array(any_mark)).otherwise(F.array(rb - 1, rb, rb + 1, null_mark))
-    r = rt.select(*keys, F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch") \
-        .withColumn("_b", F.explode(probes))
+    near = [rb - 1, rb, rb + 1] + ([null_mark] if sched_nulls else [])
+    probes = F.when(r_start.isNull(), F.array(any_mark)).otherwise(F.array(*near))
+    r = r.withColumn("_b", F.explode(probes))
     j = s.join(r, keys + ["_b"])
     ok = r_start.isNull() | s_start.isNull() | (F.abs(r_start - s_start) <= band)
     return j.filter(ok).drop("_b")
