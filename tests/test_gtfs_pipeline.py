@@ -302,3 +302,12 @@ def test_stream_snapshots_keep_latest(spark, landing, tmp_path):
     cols = S.UPDATE_KEYS + ["snapshot_ts", "delay_seconds"]
     assert got.count() == batch.count() > 0
     assert got.select(*cols).exceptAll(batch.select(*cols)).count() == 0
+
+
+def test_fallback_flags_equal_default_without_null_starts(spark, feed, landing):
+    sched = M.scheduled(feed, STATIC_FEED_NATIONAL, service_date=SERVICE_DATE)
+    rt = _rt(spark, landing, "fallback").filter(F.col("trip_start_epoch").isNotNull())
+    full = M.match_fallback(sched, rt)
+    lean = M.match_fallback(sched, rt, rt_null_starts=False, sched_null_starts=False)
+    assert full.count() == lean.count() > 0
+    assert full.exceptAll(lean.select(*full.columns)).count() == 0
