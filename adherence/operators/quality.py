@@ -50,15 +50,15 @@ def duplicate_grain(facts: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
 def referential(facts: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows whose foreign key has no dimension row, per dimension.
 
-    ``dims`` maps a label to (dimension frame, key column).  Each test is a left-anti join on
-    the distinct fact keys (reduced map-side first), so fact rows never shuffle for it; the
-    orphan keys are then counted back against the facts with a semi join.
-    """
+    ``dims`` maps a label to (dimension frame, key column).  The facts are aggregated once into
+    (key combination -> rows), which shrinks map-side; every dimension test is a left-anti join of
+    that aggregate, whose exchange Spark reuses across the branches, so fact rows are read once."""
+    keys = sorted({key for _, key in dims.values()})
+    combos = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     out = None
     for label, (dim, key) in dims.items():
-        keys = facts.select(key).distinct()
-        missing = keys.join(dim.select(key), on=key, how="left_anti")
-        n = facts.join(missing, on=key, how="left_semi").agg(F.count(F.lit(1)).alias("orphan_rows"))
+        missing = combos.join(dim.select(key).distinct(), on=key, how="left_anti")
+        n = missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
         n = n.select(F.lit(label).alias("dimension"), "orphan_rows")
         out = n if out is None else out.unionByName(n)
     return out
@@ -128,13 +128,14 @@ def split_rejects(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def orphan_rows_by_date(facts: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """DQ-005 per date: fact rows whose key is missing from a dimension (summed over dims)."""
+    """DQ-005 per date: fact rows whose key is missing from a dimension (summed over dims), from
+    one aggregate of the facts by (date_key, keys)."""
+    keys = sorted({key for _, key in dims.values()})
+    combos = facts.groupBy("date_key", *keys).agg(F.count(F.lit(1)).alias("_n"))
     out = None
     for _, (dim, key) in dims.items():
-        keys = facts.select(key).distinct()
-        missing = keys.join(dim.select(key), on=key, how="left_anti")
-        n = facts.join(missing, on=key, how="left_semi").groupBy("date_key").agg(
-            F.count(F.lit(1)).alias("orphan_rows"))
+        n = combos.join(dim.select(key).distinct(), on=key, how="left_anti").groupBy("date_key").agg(
+            F.sum("_n").alias("orphan_rows"))
         out = n if out is None else out.unionByName(n)
     return out.groupBy("date_key").agg(F.sum("orphan_rows").cast("bigint").alias("orphan_rows"))
 

@@ -9,7 +9,6 @@ from adherence.operators import delays as A
 from adherence.operators import energy as E
 from adherence.plans.oracle import with_views
 from adherence.plans.registry import R, register, star
-from adherence.sources import driver
 
 _HAV = """2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(stop_lat - plat) / 2), 2)
           + cos(radians(plat)) * cos(radians(stop_lat)) * pow(sin(radians(stop_lon - plon) / 2), 2))))"""

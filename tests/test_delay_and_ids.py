@@ -1,6 +1,5 @@
 """Golden values for delay derivation (F5/F6) and stop-id translation."""
 import pytest
-from pyspark.sql import functions as F
 
 from adherence.constants import REALTIME_FEED_REGIONAL, STATIC_FEED_NATIONAL
 from adherence.functions import delay as DL
