@@ -1,5 +1,10 @@
 """Data-quality gate (Q1-Q10, J17) for the fact table, per service date.
 
+L9: the constraints a database would enforce (NOT NULL, the UNIQUE grain, foreign keys) are not
+available on Parquet; they are checked here (DQ-002, DQ-006, DQ-005) and enforced at load time
+by ``facts.build`` (NOT NULL violations go to the rejects, the grain is de-duplicated, rows
+without dimension keys are counted and skipped).
+
 All statistics of a fact table come out of a single aggregate pass (no repeated scans);
 the duplicate count is a two-level aggregate whose first level combines map-side.  Only the
 small per-date report ever reaches the driver (``gate``).
