@@ -78,11 +78,15 @@ def _read_units(df: DataFrame, max_files: int = 64) -> int:
     return units
 
 
+SPREAD_BELOW = 64
+
+
 def spread(df: DataFrame, units: int, par: int) -> DataFrame:
-    """Give an under-split input (one file, one row group) as many partitions as the cluster has
-    cores; inputs that already have that many readable units (any large table) are left untouched,
-    so at scale this adds nothing."""
-    return df if units >= par else df.repartition(par)
+    """Give a severely under-split input (a file or two with a handful of row groups) as many
+    partitions as the cluster has cores.  Anything with at least ``min(par, SPREAD_BELOW)``
+    readable units is left alone: its map side is already parallel enough, and a large table is
+    never re-shuffled just to widen it."""
+    return df if units >= min(par, SPREAD_BELOW) else df.repartition(par)
 
 
 def _segment_route_type(seg: Column) -> Column:
