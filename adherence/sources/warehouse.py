@@ -152,3 +152,21 @@ def load_star(spark: SparkSession, warehouse: str, start_key: int | None = None,
         stops=spark.read.parquet(f"{warehouse}/dim_stop"),
         vehicle_types=vehicle_type_dim(spark),
     )
+
+
+def star_from_wide(wide: DataFrame):
+    """The star seen through the wide exchange format (S12 input for the same delay queries):
+    stable hash keys for routes and stops, dimension tables as distinct rows of the wide frame
+    (reduced map-side), the vehicle-type key from the fixed seed by name."""
+    from adherence.functions.ids import stable_key
+    from adherence.operators.dims import vehicle_type_dim
+    from adherence.sources.driver import Star
+
+    vt = vehicle_type_dim(wide.sparkSession)
+    w = wide.withColumns({"route_key": stable_key("route_id"), "stop_key": stable_key("stop_id")})
+    w = w.join(F.broadcast(vt.select("type_name", "vehicle_type_key")), "type_name", "left")  # 8-row seed
+    facts = w.select("date_key", "full_date", "route_key", "stop_key", "vehicle_type_key", "trip_id",
+                     "stop_sequence", "scheduled_arrival", "actual_arrival", "delay_seconds", "data_source")
+    routes = w.select("route_key", "route_id", "route_short_name", "route_long_name").dropDuplicates(["route_key"])
+    stops = w.select("stop_key", "stop_id", "stop_name", "stop_lat", "stop_lon").dropDuplicates(["stop_key"])
+    return Star(facts=facts, routes=routes, stops=stops, vehicle_types=vt)

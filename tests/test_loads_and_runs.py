@@ -105,3 +105,27 @@ def test_fact_build_rejects_and_quarantine(spark):
     facts_q, _, rejects_q = FACTS.build(derived, routes, stops, D.vehicle_type_dim(spark), quarantine_out_of_range=True)
     assert [r.trip_id for r in facts_q.collect()] == ["T1"]
     assert sorted(r.reject_reason for r in rejects_q.collect()) == ["delay_out_of_range", "null_scheduled_arrival"]
+
+
+def test_star_vs_wide_parity(spark, sf_dir, tmp_path):
+    """S14 export -> gz CSV -> S12 read -> the same delay answers as the star."""
+    import __spark_entry__ as E
+    from adherence.operators import delays as A
+    from adherence.sources import driver
+
+    wide = E.queries()["wide_export"](spark, sf_dir)
+    W.export_wide(wide.select([c if c not in ("full_date", "scheduled_arrival", "actual_arrival")
+                               else F.col(c).cast("string").alias(c) for c in wide.columns]), str(tmp_path / "w"))
+    back = W.star_from_wide(W.read_wide_csv(spark, str(tmp_path / "w")))
+    star = driver.star(spark, sf_dir)
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.drop("rank").collect()),
+                      key=lambda t: tuple((x is None, str(x)) for x in t))
+
+    assert rows(A.kpis(star)) == rows(A.kpis(back))
+    assert rows(A.route_lateness(star, min_observations=1, limit=1000)) == \
+        rows(A.route_lateness(back, min_observations=1, limit=1000))
+    assert rows(A.delay_heatmap(star)) == rows(A.delay_heatmap(back))
+    assert rows(A.worst_stops(star, limit=1000, min_observations=1)) == \
+        rows(A.worst_stops(back, limit=1000, min_observations=1))
