@@ -340,10 +340,12 @@ def available_routes(star) -> DataFrame:
     """Routes that have facts.  The fact side is reduced to distinct keys first (partial
     aggregation), so the semi join never moves fact rows."""
     keys = star.facts.select("route_key").distinct()
-    return star.routes.join(keys, "route_key", "left_semi").select("route_id", "route_short_name").distinct()
+    out = star.routes.join(keys, "route_key", "left_semi").select("route_id", "route_short_name").distinct()
+    return out.orderBy(F.col("route_short_name").asc_nulls_last(), F.col("route_id").asc())  # D15
 
 
 def available_vehicle_types(star) -> DataFrame:
     """A15."""
     keys = star.facts.select("vehicle_type_key").distinct()
-    return star.vehicle_types.join(keys, "vehicle_type_key", "left_semi").select("type_name").distinct()
+    out = star.vehicle_types.join(keys, "vehicle_type_key", "left_semi").select("type_name").distinct()
+    return out.orderBy(F.col("type_name").asc_nulls_last())

@@ -103,3 +103,9 @@ def test_energy_collapse_first_reasons(spark):
     c = E.collapse(v).first()
     assert c.trip_count == 5 and c.p90_hours == 2.0 and c.is_flagged is True
     assert c.flag_reasons == "LONG_DISTANCE" and c.energy_score == 65.0
+
+
+def test_available_routes_nulls_last(spark):
+    st = star(spark, {1: [5], 2: [6], 3: [7]}, null_name_route=1)
+    got = [r.route_short_name for r in A.available_routes(st).collect()]
+    assert got == ["2", "3", None]
