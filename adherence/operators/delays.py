@@ -249,7 +249,7 @@ def robust_color_range(values: DataFrame, col: str, pad: float = 0.5) -> DataFra
 
 
 def delay_sample(star, filters: Filters = ALL, sample_limit: int = 20000) -> DataFrame:
-    """A deterministic sample of measured delays: the ``sample_limit`` rows with the smallest
+    """A9 + T3: a deterministic sample of measured delays: the ``sample_limit`` rows with the smallest
     hash of their grain (the limit is the feature).  Found as an exact order statistic, so no task
     receives ``sample_limit`` rows from every partition."""
     f = delay_view(star, filters, measured=True)

@@ -80,7 +80,8 @@ def _trip_hours(first: Column, last: Column) -> Column:
 
 
 def trip_geometry(rows: DataFrame) -> DataFrame:
-    """Per (date_key, trip_id): km, located stops, per-region inside counts, hours, delay hours."""
+    """E2-E4 per (date_key, trip_id): km, located stops, per-region inside counts, hours (E3:
+    coalesce(actual, scheduled) at each end, capped at 8 h), delay hours."""
     legs = with_legs(rows)
     order = F.struct("stop_sequence", "stop_key")
     ends = F.struct("scheduled_arrival", "actual_arrival", "route_key", "vehicle_type_key")
@@ -227,7 +228,7 @@ def compute(star, filters: Filters = ALL, consistent_congestion: bool = False) -
 
 def read_scores(scores: DataFrame, star, start_key: int | None = None, end_key: int | None = None,
                 region_id: str = "all") -> DataFrame:
-    """Scores of a date range and region with route names and dates."""
+    """E13 + J13: scores of a date range and region joined to route names and dates."""
     s = scores.filter(F.col("region_id") == region_id)
     if start_key is not None:
         s = s.filter(F.col("date_key") >= start_key)

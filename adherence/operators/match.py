@@ -59,7 +59,8 @@ def select_operator(g: Gtfs, static_feed: str) -> tuple[DataFrame, DataFrame]:
 
 
 def sample_trips(trips: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """P10: deterministic hash sample of trips (the same subset on every recompute, D19)."""
+    """P10 + J10: deterministic hash sample of trips (the same subset on every recompute, D19);
+    the stop_times of sampled trips follow through the trip join."""
     if not 0 < fraction < 1:
         raise ValueError("sample fraction must be in (0, 1)")
     bucket = F.pmod(F.xxhash64(F.col("trip_id").cast("string"), F.lit(seed)), F.lit(10000))

@@ -71,7 +71,7 @@ def referential(facts: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> Dat
 
 def report(stats: DataFrame, dups: DataFrame, orphans_by_date: DataFrame | None = None,
            static_age_days: Column | None = None) -> DataFrame:
-    """Q1-Q7 as rows (date_key, check_id, severity, passed, observed).
+    """Q1-Q7 (and L9's constraints) as rows (date_key, check_id, severity, passed, observed).
 
     ``static_age_days`` is the age of the static feed against an injected ``as_of`` time (S9);
     unknown age fails DQ-007, as in the source system.

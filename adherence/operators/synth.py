@@ -14,6 +14,7 @@ from adherence.functions import gtfs_time as T
 
 def synthetic_facts(spark: SparkSession, start: str, days: int, trips_per_day: int = 40, stops_per_trip: int = 6,
                     seed: int = 42) -> DataFrame:
+    """``days`` x ``trips_per_day`` x ``stops_per_trip`` fact rows with clipped gaussian delays."""
     base = spark.range(days * trips_per_day).select(
         (F.col("id") / trips_per_day).cast("int").alias("day"), (F.col("id") % trips_per_day).alias("trip"))
     rows = base.select("*", F.explode(F.sequence(F.lit(1), F.lit(stops_per_trip))).alias("stop_sequence"))
