@@ -15,12 +15,13 @@ def _c(x) -> Column:
 
 def delay_seconds(rt_delay, actual_epoch, scheduled_epoch) -> Column:
     """the realtime delay if present, else actual - scheduled, else NULL."""
-    return F.coalesce(_c(rt_delay).cast("bigint"), _c(actual_epoch) - _c(scheduled_epoch)).cast("int")
+    diff = F.try_subtract(_c(actual_epoch).cast("bigint"), _c(scheduled_epoch).cast("bigint"))
+    return F.coalesce(_c(rt_delay).cast("bigint"), diff).try_cast("int")  # an absurd epoch -> NULL, not a failure
 
 
 def actual_epoch(rt_actual_epoch, scheduled_epoch, rt_delay) -> Column:
     """the realtime time if present, else scheduled + delay, else NULL."""
-    return F.coalesce(_c(rt_actual_epoch), _c(scheduled_epoch) + _c(rt_delay))
+    return F.coalesce(_c(rt_actual_epoch), F.try_add(_c(scheduled_epoch).cast("bigint"), _c(rt_delay).cast("bigint")))
 
 
 def choose_event(arrival, departure, field: str) -> Column:

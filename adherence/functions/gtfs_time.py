@@ -24,10 +24,12 @@ def _c(x) -> Column:
 def gtfs_time_to_seconds(t) -> Column:
     """``'25:30:00' -> 91800``; blanks around allowed; anything malformed -> NULL."""
     parts = F.split(F.trim(_c(t)), ":")
-    h = F.get(parts, 0).try_cast("int")
-    m = F.get(parts, 1).try_cast("int")
-    s = F.get(parts, 2).try_cast("int")
-    return F.when(F.size(parts) == 3, h * 3600 + m * 60 + s).cast("int")
+    h = F.get(parts, 0).try_cast("bigint")
+    m = F.get(parts, 1).try_cast("bigint")
+    s = F.get(parts, 2).try_cast("bigint")
+    # try_ arithmetic: one absurd value (e.g. 999999999:00:00) becomes NULL instead of failing the job
+    total = F.try_add(F.try_add(F.try_multiply(h, F.lit(3600)), F.try_multiply(m, F.lit(60))), s)
+    return F.when(F.size(parts) == 3, total.try_cast("int"))
 
 
 def service_day_start(service_date) -> Column:

@@ -14,9 +14,10 @@ from pyspark.sql import SparkSession
 
 from adherence.constants import EARTH_RADIUS_KM
 
-_SECONDS = ("CASE WHEN size(split(trim(t), ':')) = 3 THEN "
-            "try_cast(get(split(trim(t), ':'), 0) AS INT) * 3600 + try_cast(get(split(trim(t), ':'), 1) AS INT) * 60"
-            " + try_cast(get(split(trim(t), ':'), 2) AS INT) END")
+_SECONDS = ("CASE WHEN size(split(trim(t), ':')) = 3 THEN try_cast(try_add(try_add("
+            "try_multiply(try_cast(get(split(trim(t), ':'), 0) AS BIGINT), 3600), "
+            "try_multiply(try_cast(get(split(trim(t), ':'), 1) AS BIGINT), 60)), "
+            "try_cast(get(split(trim(t), ':'), 2) AS BIGINT)) AS INT) END")
 
 FUNCTIONS = [
     f"CREATE OR REPLACE TEMPORARY FUNCTION gtfs_seconds(t STRING) RETURNS INT RETURN {_SECONDS}",

@@ -64,3 +64,11 @@ def test_coordinate_parse(spark):
     assert one(spark, T.parse_coordinate(F.lit(""))) is None
     assert one(spark, T.parse_coordinate(F.lit("59.33"))) == 59.33
     assert one(spark, T.parse_coordinate(F.lit("north"))) is None
+
+
+def test_absurd_values_become_null_not_failures(spark):
+    from adherence.functions import delay as DL
+    assert one(spark, T.gtfs_time_to_seconds(F.lit("999999999:00:00"))) is None
+    assert one(spark, T.gtfs_time_to_seconds(F.lit("99999999999999999999:00:00"))) is None
+    df = spark.createDataFrame([(None, 9_000_000_000_000_000_000, -9_000_000_000_000_000_000)], "d int, a long, s long")
+    assert df.select(DL.delay_seconds("d", "a", "s").alias("v")).first().v is None

@@ -9,6 +9,7 @@ from adherence.functions import gtfs_time as T
 
 def test_sql_functions(spark):
     assert set(sql.register(spark)) >= {"gtfs_seconds", "rt_start_epoch", "haversine_km"}
+    assert spark.sql("SELECT gtfs_seconds('999999999:00:00')").first()[0] is None
     r = spark.sql("""SELECT gtfs_seconds('25:30:00') s, gtfs_seconds('8:15') bad,
                             gtfs_local_datetime(DATE'2026-07-11', '25:30:00') t,
                             rt_start_epoch('20260329', '02:30:00', 'Europe/Stockholm') gap,
