@@ -58,7 +58,7 @@ def build(derived: DataFrame, routes: DataFrame, stops: DataFrame, vehicle_types
     keyed = keyed.withColumns({
         "date_key": T.date_key("service_date"),
         "full_date": F.col("service_date").cast("date"),
-        "stop_sequence": F.col("stop_sequence").cast("int"),
+        "stop_sequence": F.col("stop_sequence").try_cast("int"),
         "data_source": F.lit(FACT_DATA_SOURCE),
     })
     report = load_report(keyed)

@@ -122,11 +122,11 @@ def gate(rep: DataFrame) -> None:
 
 def split_rejects(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Q10: (accepted, rejected-with-reason).  Reasons in priority order."""
-    reason = (
-        F.when(F.col("trip_id").isNull(), "null_trip_id")
-        .when(F.col("scheduled_arrival").isNull(), "null_scheduled_arrival")
-        .when(_out_of_range(F.col("delay_seconds")), "delay_out_of_range")
-    )
+    reason = F.when(F.col("trip_id").isNull(), "null_trip_id").when(
+        F.col("scheduled_arrival").isNull(), "null_scheduled_arrival")
+    if "stop_sequence" in facts.columns:
+        reason = reason.when(F.col("stop_sequence").isNull(), "null_stop_sequence")
+    reason = reason.when(_out_of_range(F.col("delay_seconds")), "delay_out_of_range")
     tagged = facts.withColumn("reject_reason", reason)
     return (tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
             tagged.filter(F.col("reject_reason").isNotNull()))

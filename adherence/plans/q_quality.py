@@ -120,8 +120,9 @@ def q_dq_status(spark, d):
     SELECT trip_id, stop_key, stop_sequence, date_key, delay_seconds,
            CASE WHEN trip_id IS NULL THEN 'null_trip_id'
                 WHEN scheduled_arrival IS NULL THEN 'null_scheduled_arrival'
+                WHEN stop_sequence IS NULL THEN 'null_stop_sequence'
                 ELSE 'delay_out_of_range' END AS reject_reason
-    FROM qfacts WHERE trip_id IS NULL OR scheduled_arrival IS NULL
+    FROM qfacts WHERE trip_id IS NULL OR scheduled_arrival IS NULL OR stop_sequence IS NULL
        OR (delay_seconds IS NOT NULL AND (delay_seconds < -3600 OR delay_seconds > 10800))""", [_QFACTS]))
 def q_dq_rejects(spark, d):
     _, rejected = Q.split_rejects(_qfacts(spark, d))

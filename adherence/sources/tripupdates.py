@@ -106,6 +106,8 @@ def decode_feed(path: str, payload: bytes, zero_is_missing: bool = False) -> lis
                 continue
             delay, t = _event(stu, zero_is_missing)
             seq = stu.stop_sequence if stu.HasField("stop_sequence") else None
+            if seq is not None and seq > 2_147_483_647:  # uint32 beyond the int column: unusable
+                seq = None
             if zero_is_missing and not seq:
                 seq = None
             rows.append((path, trip_id, route_id, start_date, start_time, stop_id, seq, delay, t))
