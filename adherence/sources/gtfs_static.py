@@ -80,7 +80,8 @@ def stage_members(members: DataFrame, staging: str) -> DataFrame:
                 out.append((p, m, table, target, tfs.get_file_info(tp).size))
             yield pd.DataFrame(out, columns=["path", "member", "table", "staged_path", "bytes"])
     n = max(1, members.count())  # a handful of members per archive: one task each
-    return members.repartition(n, "path", "member").mapInPandas(
+    # range partitioning over n distinct keys puts each member in its own partition (hash could pair two)
+    return members.repartitionByRange(n, "path", "member").mapInPandas(
         run, "path string, member string, table string, staged_path string, bytes long")
 
 
