@@ -35,10 +35,11 @@ log = logging.getLogger("adherence.jobs")
 
 
 def _read_dim(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load: no dimension yet
-        return None
+    """The existing dimension, or None on the first load.  Only absence means "first load": any
+    other read error propagates, so a failing read can never replace a dimension with new rows only."""
+    from adherence.session import path_exists
+
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehouse: str, operator_name: str,

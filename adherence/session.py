@@ -58,6 +58,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its Hadoop filesystem (HDFS, S3A, local)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -72,11 +72,13 @@ def run_latest_merge(stream: DataFrame, keys: list[str], order: list[str], value
     def merge(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        from adherence.session import path_exists
+
         touched = batch.select(partition_col).distinct()
-        try:
+        if path_exists(spark, table_path):   # only absence means "first batch"; read errors propagate
             current = spark.read.parquet(table_path).join(touched, partition_col, "left_semi")
-            merged = latest_per_key(current.unionByName(batch), keys, order, value_cols)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
+            merged = latest_per_key(current.unionByName(batch.select(*current.columns)), keys, order, value_cols)
+        else:
             merged = batch
         # materialise before overwriting the files it was read from
         merged = merged.checkpoint(eager=True)
