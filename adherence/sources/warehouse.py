@@ -78,7 +78,9 @@ def write_energy(scores: DataFrame, path: str, requested: list[tuple[int, str]]
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     scores.repartition("date_key", "region_id").write.mode("overwrite").partitionBy("date_key", "region_id").parquet(path)
     if requested:
-        produced = {(r.date_key, r.region_id) for r in scores.select("date_key", "region_id").distinct().collect()}
+        dates = sorted({d for d, _ in requested})
+        produced = {(r.date_key, r.region_id) for r in scores.filter(F.col("date_key").isin(dates))
+                    .select("date_key", "region_id").distinct().collect()}   # requested partitions only
         for date_key, region in requested:  # requested partitions: a few per run, not data-sized
             if (date_key, region) not in produced:
                 _delete(spark, f"{path.rstrip('/')}/date_key={date_key}/region_id={region}")
