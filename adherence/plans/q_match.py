@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adherence.constants import REALTIME_FEED_REGIONAL, STATIC_FEED_NATIONAL
 from adherence.functions import gtfs_time as T
 from adherence.operators import dims as D
+from adherence.operators import facts as FACTS
 from adherence.operators import match as M
 from adherence.operators.delays import delay_view
 from adherence.plans.oracle import with_views
@@ -70,7 +71,8 @@ _M_VIEWS = [
         FROM lineitem JOIN rtd d ON l_orderkey = d.o_orderkey
         WHERE NOT (l_linenumber = 7 AND l_linestatus = 'F')"""),
     ("primary_m", """
-        SELECT s.*, r.delay_seconds, r.actual_epoch FROM sched s JOIN rt r USING (trip_id, stop_id)"""),
+        SELECT s.*, r.delay_seconds, r.actual_epoch, r.stop_sequence AS rt_stop_sequence
+        FROM sched s JOIN rt r USING (trip_id, stop_id)"""),
 ]
 
 
@@ -271,3 +273,34 @@ def q_wide_export(spark, d):
 def q_trip_sample(spark, d):
     g = _gtfs(spark, d)
     return M.sample_trips(g.trips, 0.05).select("trip_id", "route_id")
+
+
+@register("transform_facts", with_views(["dim_vehicle_type"], f"""
+    SELECT CAST(strftime(service_date, '%Y%m%d') AS INTEGER) AS date_key, trip_id, stop_id,
+           CAST(stop_sequence AS INTEGER) AS stop_sequence, route_id, COALESCE(vt.vehicle_type_key, 4) AS vehicle_type_key,
+           scheduled_arrival, CAST(timezone('{ZONE}', to_timestamp(ae)) AS TIMESTAMP) AS actual_arrival,
+           delay2 AS delay_seconds
+    FROM (SELECT *, CAST(COALESCE(rd, ae - scheduled_epoch) AS INTEGER) AS delay2 FROM (
+            SELECT trip_id, stop_id, stop_sequence, route_id, service_date, scheduled_arrival, scheduled_epoch,
+                   rt_stop_sequence, delay_seconds AS rd, COALESCE(actual_epoch, scheduled_epoch + delay_seconds) AS ae
+            FROM primary_m)) d
+    LEFT JOIN dim_vehicle_type vt ON vt.gtfs_route_type = COALESCE(TRY_CAST(
+        CASE WHEN CAST(route_id AS INTEGER) % 10 = 9 THEN '' WHEN CAST(route_id AS INTEGER) % 10 = 8 THEN '715'
+             ELSE CAST(CAST(route_id AS INTEGER) % 5 AS VARCHAR) END AS INTEGER), 3)
+    QUALIFY row_number() OVER (PARTITION BY trip_id, stop_id, service_date, stop_sequence
+        ORDER BY COALESCE(rt_stop_sequence = stop_sequence, false) DESC, ae DESC NULLS LAST,
+                 delay2 DESC NULLS LAST) = 1""", _M_VIEWS))
+def q_transform_facts(spark, d):
+    """The load path on the driver data: J7 match -> F5/F6 derive -> J15/J16 key lookup -> D12
+    rejects -> W3 de-duplication (D8 order) -> fact rows, reported with natural keys."""
+    g = _gtfs(spark, d)
+    derived = M.derive(M.match_primary(_sched(spark, d), _rt(spark, d)), ZONE)
+    routes = D.merge_scd1(None, g.routes.select("route_id", "route_short_name", "route_long_name"),
+                          ["route_id"], "SL", "route_key")
+    stops = D.merge_scd1(None, M.referenced_stops(g.stops, g.stop_times).select("stop_id", "stop_name"),
+                         ["stop_id"], "SL", "stop_key")
+    facts, _, _ = FACTS.build(derived, routes, stops, D.vehicle_type_dim(spark), routes_max_rows=driver.ROUTES)
+    out = D.join_dim(facts, routes.select("route_key", "route_id"), "route_key", max_rows=driver.ROUTES)
+    out = D.join_dim(out, stops.select("stop_key", "stop_id"), "stop_key")
+    return out.select("date_key", "trip_id", "stop_id", "stop_sequence", "route_id", "vehicle_type_key",
+                      "scheduled_arrival", "actual_arrival", "delay_seconds")
