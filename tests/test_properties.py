@@ -92,3 +92,22 @@ def test_smallest_k_equals_ordered_limit(spark):
     ties = spark.range(0, 100).select((F.col("id") % 3).alias("h"), "id")
     got = sorted(r.id for r in OS.smallest_k(ties, "h", 40, ["id"]).collect())
     assert got == sorted(r.id for r in ties.orderBy("h", "id").limit(40).collect())
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 2), st.one_of(st.none(), st.integers(0, 3000))),
+                min_size=1, max_size=60),
+       st.lists(st.tuples(st.integers(0, 2), st.integers(0, 2), st.one_of(st.none(), st.integers(0, 3000))),
+                min_size=1, max_size=60))
+def test_bucketed_band_join_equals_brute_force(spark, sched_rows, rt_rows):
+    """The bucketed equi-join returns exactly the pairs of the brute-force band join."""
+    from adherence.operators import match as M
+    s = spark.createDataFrame([(f"t{i}", "r", str(a), str(b), e) for i, (a, b, e) in enumerate(sched_rows)],
+                              "trip_id string, route_id string, stop_id string, stop_sequence string, trip_start_epoch long")
+    r = spark.createDataFrame([("r", str(a), str(b), e, i, None) for i, (a, b, e) in enumerate(rt_rows)],
+                              "route_id string, stop_id string, stop_sequence string, trip_start_epoch long, "
+                              "delay_seconds int, actual_epoch long")
+    got = sorted((x.trip_id, x.delay_seconds) for x in M.match_fallback(s, r, band=300).collect())
+    exp = sorted((f"t{i}", j) for i, (a, b, e) in enumerate(sched_rows) for j, (c, d, f) in enumerate(rt_rows)
+                 if (a, b) == (c, d) and (e is None or f is None or abs(e - f) <= 300))
+    assert got == exp
