@@ -141,3 +141,26 @@ def test_dedupe_picks_the_d8_winner(spark, rows):
     for g in exp:  # ties on the whole order key leave rows that differ in nothing we compare
         assert key(best[g]) == key(next(r for r in rows if (f"T{r[0]}", r[1]) == g and r[4] == got[g])), g
     assert set(got) == set(exp)
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.one_of(st.integers(1, 30).map(str), st.just("x")),
+                          st.one_of(st.integers(0, 30 * 3600).map(lambda s: f"{s // 3600:02d}:{s % 3600 // 60:02d}:{s % 60:02d}"),
+                                    st.just("bad"))), min_size=1, max_size=80))
+def test_trip_start_is_first_stop_departure(spark, rows):
+    """The packed-bigint min equals "departure of the lowest integer sequence" (ties: earliest)."""
+    from adherence.operators import match as M
+    df = spark.createDataFrame([(f"T{t}", seq, dep, dt.date(2026, 7, 12)) for t, seq, dep in rows],
+                               "trip_id string, stop_sequence string, departure_time string, service_date date")
+    got = {r.trip_id: r.trip_start_ts for r in M.trip_starts(df).collect()}
+    exp = {}
+    for t, seq, dep in rows:
+        if not seq.isdigit():
+            continue
+        secs = py_seconds(dep)
+        k = (int(seq), secs if secs is not None else 10 ** 9)
+        if f"T{t}" not in exp or k < exp[f"T{t}"][0]:
+            exp[f"T{t}"] = (k, secs)
+    for trip, (_, secs) in exp.items():
+        want = None if secs is None else dt.datetime(2026, 7, 12) + dt.timedelta(seconds=secs)
+        assert got[trip] == want, trip
