@@ -308,7 +308,9 @@ def punctuality_story(summary: DataFrame) -> DataFrame:
         "%.0f%% were early, and %.0f%% were late. Most arrivals in this filter fall in the %s group. "
         "Half of arrivals were within about %+.1f min of the plan (median), and 9 out of 10 were at "
         "or below %+.1f min (p90).",
-        F.col("n"), o, e, l, dom, F.col("median_min"), F.col("p90_min"),
+        # pre-rounded half-even on the binary value, as Python formats; %f alone rounds half-up
+        F.col("n"), display_round(o, 0), display_round(e, 0), display_round(l, 0), dom,
+        display_round(F.col("median_min"), 1), display_round(F.col("p90_min"), 1),
     )
     return summary.select(
         F.when(F.col("n") > 0, text).otherwise(F.lit("No delay measurements available for these filters.")).alias("story")

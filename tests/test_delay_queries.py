@@ -109,3 +109,12 @@ def test_available_routes_nulls_last(spark):
     st = star(spark, {1: [5], 2: [6], 3: [7]}, null_name_route=1)
     got = [r.route_short_name for r in A.available_routes(st).collect()]
     assert got == ["2", "3", None]
+
+
+def test_story_rounds_like_python(spark):
+    s = spark.createDataFrame([(8, 12.5, 37.5, 50.0, 0.25, 1.0)],
+                              "n long, early_pct double, on_time_pct double, late_pct double, median_min double, p90_min double")
+    story = A.punctuality_story(s).first().story
+    py = (f"Out of **{8:,}** ".replace("**", "") + f"stop arrivals with a live update, {37.5:.0f}% were about on time "
+          f"(+/-1 min), {12.5:.0f}% were early, and {50.0:.0f}% were late.")
+    assert story.startswith(py) and f"{0.25:+.1f} min" in story
