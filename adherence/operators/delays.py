@@ -22,7 +22,7 @@ from adherence.constants import (
     VEHICLE_TYPES,
 )
 from adherence.functions import gtfs_time as T
-from adherence.functions.numeric import display_round
+from adherence.functions.numeric import display_round, py_format, py_signed
 from adherence.operators.dims import join_dim
 from adherence.operators.filters import ALL, Filters
 from adherence.operators.order_stats import quantiles, smallest_k
@@ -304,13 +304,13 @@ def punctuality_story(summary: DataFrame) -> DataFrame:
     e, o, l = F.col("early_pct"), F.col("on_time_pct"), F.col("late_pct")
     dom = F.when((e >= o) & (e >= l), "early").when(o >= l, "about on time").otherwise("late")
     text = F.format_string(
-        "Out of %,d stop arrivals with a live update, %.0f%% were about on time (+/-1 min), "
-        "%.0f%% were early, and %.0f%% were late. Most arrivals in this filter fall in the %s group. "
-        "Half of arrivals were within about %+.1f min of the plan (median), and 9 out of 10 were at "
-        "or below %+.1f min (p90).",
-        # pre-rounded half-even on the binary value, as Python formats; %f alone rounds half-up
-        F.col("n"), display_round(o, 0), display_round(e, 0), display_round(l, 0), dom,
-        display_round(F.col("median_min"), 1), display_round(F.col("p90_min"), 1),
+        "Out of %,d stop arrivals with a live update, %s%% were about on time (+/-1 min), "
+        "%s%% were early, and %s%% were late. Most arrivals in this filter fall in the %s group. "
+        "Half of arrivals were within about %s min of the plan (median), and 9 out of 10 were at "
+        "or below %s min (p90).",
+        # numbers formatted as Python formats them (format_string's %f would round half-up)
+        F.col("n"), py_format(o, 0), py_format(e, 0), py_format(l, 0), dom,
+        py_signed(F.col("median_min"), 1), py_signed(F.col("p90_min"), 1),
     )
     return summary.select(
         F.when(F.col("n") > 0, text).otherwise(F.lit("No delay measurements available for these filters.")).alias("story")
@@ -320,7 +320,9 @@ def punctuality_story(summary: DataFrame) -> DataFrame:
 def fmt_minutes(seconds) -> Column:
     """``+1.5 min`` / ``-0.3 min``; NULL -> ``N/A``."""
     s = F.col(seconds) if isinstance(seconds, str) else seconds
-    return F.when(s.isNull(), F.lit("N/A")).otherwise(F.format_string("%+.1f min", s / 60.0))
+    m = s / 60.0
+    sign = F.when(m >= 0, F.lit("+")).otherwise(F.lit(""))  # the dashboard's own sign rule
+    return F.when(s.isNull(), F.lit("N/A")).otherwise(F.concat(sign, py_format(m, 1), F.lit(" min")))
 
 
 def lateness_display(lateness: DataFrame) -> DataFrame:

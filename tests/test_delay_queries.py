@@ -118,3 +118,14 @@ def test_story_rounds_like_python(spark):
     py = (f"Out of **{8:,}** ".replace("**", "") + f"stop arrivals with a live update, {37.5:.0f}% were about on time "
           f"(+/-1 min), {12.5:.0f}% were early, and {50.0:.0f}% were late.")
     assert story.startswith(py) and f"{0.25:+.1f} min" in story
+
+
+def test_fmt_minutes_matches_python(spark):
+    secs = [90, -30, 15, -3, 0, 27, 213, -213, 3]
+    df = spark.createDataFrame([(s,) for s in secs], "s int")
+    got = [r.v for r in df.select(A.fmt_minutes("s").alias("v")).collect()]
+
+    def py(sec):
+        m = sec / 60
+        return f"{'+' if m >= 0 else ''}{m:.1f} min"
+    assert got == [py(s) for s in secs]
