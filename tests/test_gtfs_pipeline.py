@@ -311,3 +311,13 @@ def test_fallback_flags_equal_default_without_null_starts(spark, feed, landing):
     lean = M.match_fallback(sched, rt, rt_null_starts=False, sched_null_starts=False)
     assert full.count() == lean.count() > 0
     assert full.exceptAll(lean.select(*full.columns)).count() == 0
+
+
+def test_cli_entry_points(spark, landing, tmp_path):
+    from adherence.plans import jobs
+    wh = str(tmp_path / "wh")
+    base = ["--service-date", SERVICE_DATE, "--raw-base-path", str(landing), "--warehouse", wh]
+    assert jobs.main(["transform", *base, "--operator-name", "SL"]) == 0
+    assert jobs.main(["quality", "--service-date", SERVICE_DATE, "--warehouse", wh]) == 0
+    assert jobs.main(["energy", "--service-date", SERVICE_DATE, "--warehouse", wh]) == 0
+    assert spark.read.parquet(f"{wh}/fact_trip_delay").count() > 0
