@@ -176,7 +176,8 @@ def heatmap_pivot(heatmap: DataFrame) -> DataFrame:
     """One row per day present (Mon..Sun order via ``day_of_week``), one column per hour."""
     hours = list(range(24))
     p = heatmap.groupBy("day_name", "day_of_week").pivot("hour_of_day", hours).agg(F.first("avg_delay_sec"))
-    return p.select("day_name", "day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours])
+    out = p.select("day_name", "day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours])
+    return out.orderBy("day_of_week")  # Mon..Sun, at most seven rows
 
 
 def worst_time_slots(heatmap: DataFrame, k: int = 8) -> DataFrame:
