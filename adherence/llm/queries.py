@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from adherence.llm import mixing, token_counts
+from adherence.llm import mixing, near_dup, token_counts
 
 QUERIES = {
     "op2_token_counts": token_counts.op2_token_counts,
     "op7_mixing": mixing.op7_mixing,
+    "op10_near_dup": near_dup.op10_near_dup,
 }
 
 ORACLE = {
     "op7_mixing": mixing.ORACLE,
+    "op10_near_dup": near_dup.ORACLE,
 }
