@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from adherence.llm import decontaminate, mixing, near_dup, quality, token_counts
+from adherence.llm import decontaminate, line_dedup, mixing, near_dup, quality, token_counts
 
 QUERIES = {
     "op2_token_counts": token_counts.op2_token_counts,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_quality": quality.op6_quality,
     "op7_mixing": mixing.op7_mixing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
