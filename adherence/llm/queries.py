@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from adherence.llm import decontaminate, line_dedup, mixing, near_dup, quality, token_counts
+from adherence.llm import decontaminate, html_text, licenses, line_dedup, mixing, near_dup, quality, token_counts, url_filters
 
 QUERIES = {
+    "op1_licenses": licenses.op1_licenses,
     "op2_token_counts": token_counts.op2_token_counts,
+    "op3_url_filters": url_filters.op3_url_filters,
+    "op4_html_text": html_text.op4_html_text,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_quality": quality.op6_quality,
     "op7_mixing": mixing.op7_mixing,
