@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from adherence.llm import decontaminate, html_text, licenses, line_dedup, mixing, near_dup, quality, token_counts, url_filters
+from adherence.llm import (
+    decontaminate,
+    html_text,
+    licenses,
+    line_dedup,
+    metric_search,
+    mixing,
+    near_dup,
+    quality,
+    token_counts,
+    url_filters,
+)
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -12,12 +23,13 @@ QUERIES = {
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_quality": quality.op6_quality,
     "op7_mixing": mixing.op7_mixing,
+    "op8_top_k": metric_search.op8_top_k,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_near_dup": near_dup.op10_near_dup,
 }
 
 ORACLE = {
     "op7_mixing": mixing.ORACLE,
-    "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op8_top_k": metric_search.ORACLE,
     "op10_near_dup": near_dup.ORACLE,
 }
