@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adherence.llm.base import components, only_ids, stored, table
+from adherence.llm.base import BROADCAST_IDS, components, only_ids, stored, table
 from adherence.llm.words import U, Words, mix, shingle_sets, slices
 
 TREES = 10
@@ -190,6 +190,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "n_links")
 
 
+def representatives(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one of each group of near duplicates stays: the one
+    with the least doc_id.  Of rows with equal doc_id one stays, the least by text and then the other
+    columns; rows without doc_id, and those without words, all stay."""
+    judged = stored(near_duplicates(docs, k, percent).select("doc_id", "kept"), "judged")
+    gone = stored(judged.where("not kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    few = gone.count() <= BROADCAST_IDS
+    out = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["id"], "left_anti")
+    again = stored(judged.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id"), "again")
+    if not again.limit(1).count():
+        return out
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    several = out.join(again, out["doc_id"] == again["id"], "left_semi").groupBy("doc_id").agg(F.min(F.struct(F.col("text").alias("by"), F.struct(*columns).alias("row"))).alias("m"))
+    return out.join(again, out["doc_id"] == again["id"], "left_anti").unionByName(several.select("m.row.*"))
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """Rows of nodes with two members at least, with their number and least id."""
     n = rows.groupBy("tree", "node").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from adherence.llm import (
     decontaminate,
     html_text,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_top_k": metric_search.op8_top_k,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_near_dup": near_dup.op10_near_dup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
     "op7_mixing": mixing.ORACLE,
     "op8_top_k": metric_search.ORACLE,
     "op10_near_dup": near_dup.ORACLE,
+    **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
 }
