@@ -30,7 +30,7 @@ from adherence.llm.words import ALNUM, Words, slices
 GRAM = 3
 WINDOW = 4
 COVERAGE = 0.8
-#: Words that an alignment may be off the diagonal of a hit.
+#: Words that an alignment may be off the diagonal of a hit (a quarter of a shorter template).
 BAND = 8
 MOST_WORDS = 1_000_000
 
@@ -179,8 +179,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                 for x, y in _groups(row, which, diagonal, index.words):
                     r, t = int(row[x]), index.words[int(which[x])]
                     f, e = int(w.first[r]), int(w.first[r + 1])
-                    lo, hi = int(diagonal[x]) - f - BAND, int(diagonal[y - 1]) - f + BAND
-                    left = max(0, lo - BAND)  # of the document only the words that the band reaches
+                    band = min(BAND, len(t) // 4)
+                    lo, hi = int(diagonal[x]) - f - band, int(diagonal[y - 1]) - f + band
+                    left = max(0, lo)  # of the document only the words that the band reaches
                     own = w.hashes[f + left:min(e, f + hi + len(t) + 1)]
                     _, matched, s, end = align(own, t, lo - left, hi - left)
                     if matched >= coverage * len(t):
