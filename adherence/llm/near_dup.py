@@ -11,9 +11,10 @@ partners or depth: nodes branch until none is left, and sets that agree on every
 compared in blocks of the node.
 
 A pair of similarity s is missed by all trees with a probability of about ``(1 - s^d)^TREES`` for
-nodes that are small at depth d (1e-8 at s = 0.85, d = 1; 2e-6 at d = 2).  Candidates whose minwise
-shingles agree in under half of the places are passed over (over five standard deviations below the
-threshold); every other candidate is confirmed on the two full sets.
+nodes that are small at depth d (6e-9 at s = 0.85, d = 1; 3e-6 at d = 2).  Candidates whose minwise
+shingles agree in too few of the ``TREES * LEVELS`` places are passed over (4.4 standard deviations below
+the mean at the threshold, 1 in 100 000); every other candidate is confirmed on the two full sets, the
+most alike ones first, as those make the others unnecessary.
 
 Defined cases: null and empty texts have an empty set, linked with nothing; fewer words than a shingle
 has make one shingle; rows without doc_id take no part (component null, kept); rows with equal doc_id
@@ -35,14 +36,18 @@ TREES = 10
 #: Levels of a tree with hashes of their own; deeper levels take those of the following trees.
 LEVELS = 4
 #: Members of a node that are compared exhaustively.
-SMALL = 32
+SMALL = 512
 _PLACES = TREES * LEVELS
-#: Least number of agreeing minwise shingles of a candidate.
-AGREE = _PLACES // 2
 _SCALE = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 _SHIFT = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0xC2B2AE3D27D4EB4F))
 
 
+def _least_agreeing(percent: int) -> int:
+    """Agreeing minwise values of a candidate at least: 4.4 standard deviations below their mean at the threshold."""
+    s = percent / 100
+    return max(1, int(_PLACES * s - 4.4 * (_PLACES * s * (1 - s)) ** 0.5))
+
+
 def signatures(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, sig) of every document with a doc_id: the set's size, a 128-bit key
     of it, and the ``TREES * LEVELS`` minwise values (none for an empty set)."""
@@ -100,16 +105,20 @@ def _places(col) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, _PLACES)
 
 
-def _node_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of small nodes that agree enough and are in two components.  Nodes lie in a row in
-    their partitions; the node that a batch ends in is taken along to the next one."""
+def _node_pairs(rows: DataFrame, agree: int, best: bool) -> DataFrame:
+    """Pairs (a, b, n) of small nodes that agree enough, in n places, and are in two components; if
+    ``best``, only the pair of each member that agrees most.  Nodes lie in a row in their partitions;
+    the node that a batch ends in is taken along to the next one."""
 
     def pairs(batches):
         rest = None
         for batch in batches:
             t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            if not t.num_rows:
+                continue
             key = np.stack([t.column("tree").to_numpy(), t.column("node").to_numpy()])
-            end = int(np.flatnonzero((key != key[:, -1:]).any(axis=0))[-1]) + 1 if (key != key[:, -1:]).any() else 0
+            other = np.flatnonzero((key != key[:, -1:]).any(axis=0))
+            end = int(other[-1]) + 1 if len(other) else 0
             rest = t.slice(end).combine_chunks()
             yield from found(t.slice(0, end))
         if rest is not None:
@@ -120,18 +129,55 @@ def _node_pairs(rows: DataFrame) -> DataFrame:
             return
         tree, node, ids, comp = (t.column(c).to_numpy() for c in ("tree", "node", "id", "comp"))
         sig, at = _places(t.column("sig8")), np.arange(t.num_rows)
+        most, mate = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64)
         for d in range(1, SMALL):
             at = at[at + d < t.num_rows]
             at = at[(node[at] == node[at + d]) & (tree[at] == tree[at + d])]
             if not len(at):
                 break
             near = at[comp[at] != comp[at + d]]
-            near = near[(sig[near] == sig[near + d]).sum(axis=1) >= AGREE]
-            x, y = ids[near], ids[near + d]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            n = (sig[near] == sig[near + d]).sum(axis=1)
+            near, n = near[n >= agree], n[n >= agree]
+            if not best:
+                yield rows_of(ids[near], ids[near + d], n)
+                continue
+            for x, y in ((near, near + d), (near + d, near)):
+                more = n > most[x]
+                most[x[more]], mate[x[more]] = n[more], y[more]
+        has = np.flatnonzero(most)
+        yield rows_of(ids[has], ids[mate[has]], most[has])
+
+    def rows_of(x, y, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(n, pa.int64())], ["a", "b", "n"])
 
     rows = rows.select("tree", "node", "id", "comp", "sig8").repartition("tree", "node").sortWithinPartitions("tree", "node")
-    return rows.mapInArrow(pairs, "a long, b long")
+    return rows.mapInArrow(pairs, "a long, b long, n long")
+
+
+def _best_of_each(pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b, n) those that are the best one of an end: a link a member, if there is one."""
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id"), "n")
+    best = ends.groupBy("id").agg(F.max(F.struct("n", (-F.col("a")).alias("a"), (-F.col("b")).alias("b"))).alias("m"))
+    return best.select((-F.col("m.a")).alias("a"), (-F.col("m.b")).alias("b")).distinct()
+
+
+class _Found:
+    """Links and components so far; a pair is tried once."""
+
+    def __init__(self, docs: DataFrame, k: int, percent: int, none: DataFrame):
+        self.docs, self.k, self.percent = docs, k, percent
+        self.links = self.tried = none
+        self.comp = none.select(F.col("a").alias("id"), F.col("b").alias("comp"))
+
+    def try_pairs(self, pairs: DataFrame) -> None:
+        pairs = stored(pairs.join(self.tried, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.limit(1).count():
+            return
+        self.tried = self.tried.unionByName(pairs)
+        new = stored(confirmed(self.docs, pairs, self.k, self.percent), "links")
+        if new.limit(1).count():
+            self.links = self.links.unionByName(new)
+            self.comp = stored(components(self.links), "comp")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -146,37 +192,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                   .withColumn("sig8", low), "reps")
     short = reps.select("id", "sig8")
 
-    # nodes at depth 1 of every tree; a leader's links come first, the best one of each set
     rows = reps.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = rows.withColumn("node", F.xxhash64("tree", F.element_at("sig", F.col("tree") * LEVELS + 1)))
     rows = stored(_shared(rows.select("tree", "node", "id")), "nodes")
-    leaders = _candidates(_leader_pairs(rows), short)
-    first = (leaders.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m"))
-             .select((-F.col("m.a")).alias("a"), "b"))
-    links = stored(confirmed(docs, first, k, percent), "links")
-    comp = stored(components(links), "comp")
+    agree = _least_agreeing(percent)
+    none = docs.sparkSession.createDataFrame([], "a long, b long")
+    found = _Found(docs, k, percent, none)
 
+    # leaders of all nodes at depth 1 come first, the best one of each set
+    found.try_pairs(_best_of_each(_candidates(_leader_pairs(rows), short, agree)))
     depth = 1
     while True:
-        rows = stored(_open(rows, comp), "nodes")  # nodes with two components at least
-        pairs = _node_pairs(rows.where(F.col("n") <= SMALL).join(short, "id"))
         # a node that every hash leaves whole is compared in blocks
         last = depth >= _PLACES
-        large = rows.where(F.col("n") > SMALL)
-        wide = _candidates(_across(large) if last else _leader_pairs(large, "comp"), short).select("a", "b")
-        pairs = stored(pairs.unionByName(wide).distinct(), "pairs")
-        new = stored(confirmed(docs, pairs, k, percent), "links")
-        if new.limit(1).count():
-            links = links.unionByName(new)
-            comp = stored(components(links), "comp")
+        for best in (True, False):
+            rows = stored(_open(rows.select("tree", "node", "id"), found.comp), "nodes")  # nodes with two components at least
+            large = rows.where(F.col("n") > SMALL)
+            pairs = _node_pairs(rows.where(F.col("n") <= SMALL).join(short, "id"), agree, best)
+            wide = _candidates(_across(large) if last and not best else _leader_pairs(large, "comp"), short, agree)
+            pairs = pairs.unionByName(wide)
+            found.try_pairs(_best_of_each(pairs) if best else pairs.select("a", "b").distinct())
         if last:
             break
-        rows = large.select("tree", "node", "id").join(reps.select("id", "sig"), "id")
+        rows = _open(rows.select("tree", "node", "id"), found.comp).where(F.col("n") > SMALL)
+        rows = rows.select("tree", "node", "id").join(reps.select("id", "sig"), "id")
         place = F.pmod(F.col("tree") * LEVELS + depth, F.lit(_PLACES)) + 1
         rows = stored(_shared(rows.select("tree", F.xxhash64("node", F.element_at("sig", place.cast("int"))).alias("node"), "id")), "nodes")
         if not rows.limit(1).count():
             break
         depth += 1
+    links, comp = found.links, found.comp
 
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     known = (sets.join(comp, "id", "left").join(degree, "id", "left")
@@ -225,14 +270,14 @@ def _leader_pairs(rows: DataFrame, comp: str | None = None) -> DataFrame:
     return rows.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _candidates(pairs: DataFrame, short: DataFrame) -> DataFrame:
+def _candidates(pairs: DataFrame, short: DataFrame, agree: int) -> DataFrame:
     """Pairs whose minwise values agree enough; n: in how many places."""
 
     def count(batches):
         for batch in batches:
             n = (_places(batch.column("x")) == _places(batch.column("y"))).sum(axis=1)
             out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(n, pa.int64())], ["a", "b", "n"])
-            yield out.filter(pa.array(n >= AGREE))
+            yield out.filter(pa.array(n >= agree))
 
     both = (pairs.join(short.select(F.col("id").alias("a"), F.col("sig8").alias("x")), "a")
             .join(short.select(F.col("id").alias("b"), F.col("sig8").alias("y")), "b"))
