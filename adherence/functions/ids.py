@@ -55,3 +55,9 @@ def as_key_string(x) -> Column:
 def stable_key(*parts) -> Column:
     """Stable, distributed surrogate key (no global counter)."""
     return F.xxhash64(*[_c(p).cast("string") for p in parts])
+
+
+def uniform(*parts: Column) -> Column:
+    """Uniform in [0, 1) from a digest of the parts: the same on every engine, run and partitioning."""
+    digest = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13)
+    return F.conv(digest, 16, 10).cast("double") / F.lit(float(1 << 52))

@@ -22,10 +22,10 @@ from adherence.constants import (
     VEHICLE_TYPES,
 )
 from adherence.functions import gtfs_time as T
+from adherence.functions.ids import uniform
 from adherence.functions.numeric import display_round, py_format, py_signed
 from adherence.operators.dims import join_dim
 from adherence.operators.filters import ALL, Filters
-from adherence.operators.order_stats import quantiles, smallest_k
 
 
 
@@ -47,11 +47,11 @@ def delay_view(star, filters: Filters = ALL, *, route: bool = False, stop: bool
     if measured:
         f = f.filter(F.col("delay_seconds").isNotNull())
     if route or filters.needs_routes():
-        f = join_dim(f, star.routes, "route_key", max_rows=star.routes_max_rows)
+        f = join_dim(f, star.routes, "route_key")
     if vehicle or filters.needs_vehicle_types():
-        f = join_dim(f, star.vehicle_types, "vehicle_type_key", max_rows=len(VEHICLE_TYPES))
+        f = join_dim(f, star.vehicle_types, "vehicle_type_key")
     if stop:
-        f = join_dim(f, star.stops, "stop_key", max_rows=star.stops_max_rows)
+        f = join_dim(f, star.stops, "stop_key")
     if date_attrs:
         # dim_date covers every service date, so its attributes are computed in place
         f = f.withColumns({"day_name": T.day_name("full_date"), "day_of_week": T.iso_day_of_week("full_date")})
@@ -229,21 +229,14 @@ def stops_map_evidence(stops: DataFrame, min_observations: int = MAP_MIN_OBSERVA
 def robust_color_range(values: DataFrame, col: str, pad: float = 0.5) -> DataFrame:
     """p5..p95 of ``col`` padded; a spread < 1 uses median +/- 5; empty -> (-5, 15).
 
-    The values are free-valued doubles (per-stop averages), so the quantiles are exact order
-    statistics found by histogram refinement rather than one task's value map; only the three
-    resulting numbers come back, as a one-row frame."""
-    from adherence.session import cut_lineage
-
-    vals = cut_lineage(values.select(col))  # one row per stop: read once, then several small passes
-    lo, mid, hi = quantiles(vals, col, [0.05, 0.5, 0.95])
-    if lo is None:
-        cmin, cmax = EMPTY_COLOR_RANGE
-    elif hi - lo < 1.0:
-        cmin, cmax = mid - 5.0 - pad, mid + 5.0 + pad
-    else:
-        cmin, cmax = lo - pad, hi + pad
-    return values.sparkSession.range(1).select(
-        F.lit(float(cmin)).alias("color_min"), F.lit(float(cmax)).alias("color_max"))
+    One exact ``percentile`` over per-stop averages: as many values as there are stops."""
+    q = values.agg(F.percentile(F.col(col), [0.05, 0.5, 0.95]).alias("q"))
+    lo, mid, hi = (F.col("q")[i] for i in range(3))
+    empty_lo, empty_hi = EMPTY_COLOR_RANGE
+    narrow = hi - lo < 1.0
+    return q.select(
+        F.when(lo.isNull(), F.lit(float(empty_lo))).when(narrow, mid - 5.0 - pad).otherwise(lo - pad).alias("color_min"),
+        F.when(lo.isNull(), F.lit(float(empty_hi))).when(narrow, mid + 5.0 + pad).otherwise(hi + pad).alias("color_max"))
 
 
 # ---------------------------------------------------------------------------- A9-A12, A17
@@ -251,13 +244,16 @@ def robust_color_range(values: DataFrame, col: str, pad: float = 0.5) -> DataFra
 
 def delay_sample(star, filters: Filters = ALL, sample_limit: int = 20000) -> DataFrame:
     """A9 + T3: a deterministic sample of measured delays: the ``sample_limit`` rows with the smallest
-    hash of their grain (the limit is the feature).  Found as an exact order statistic, so no task
-    receives ``sample_limit`` rows from every partition."""
+    digest of their grain (the limit is the feature).
+
+    Digests are uniform, so rows above four times the limit over the number of rows can't be among the
+    smallest; the count is a scalar subquery.  That filter leaves about four times the limit in all
+    partitions together for the ordered limit, which would otherwise get the limit from each."""
     f = delay_view(star, filters, measured=True)
-    h = F.xxhash64("trip_id", "stop_key", "stop_sequence", "date_key")
-    keyed = f.select(h.alias("_h"), "trip_id", "stop_key", "stop_sequence", "date_key", "delay_seconds")
-    return smallest_k(keyed, "_h", sample_limit, ["trip_id", "stop_key", "stop_sequence", "date_key"]).select(
-        "delay_seconds")
+    grain = ["trip_id", "stop_key", "stop_sequence", "date_key"]
+    keyed = f.select(uniform(*[F.col(c).cast("string") for c in grain]).alias("_h"), *grain, "delay_seconds")
+    bound = f.agg(F.lit(4.0 * sample_limit) / F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    return keyed.filter(F.col("_h") <= bound).orderBy("_h", *grain).limit(sample_limit).select("delay_seconds")
 
 
 def punctuality_summary(star, filters: Filters = ALL) -> DataFrame:
@@ -267,7 +263,7 @@ def punctuality_summary(star, filters: Filters = ALL) -> DataFrame:
     n = F.count(F.lit(1))
 
     def share(cond):
-        return (F.lit(100.0) * F.count(F.when(cond, 1)) / n).cast("double")
+        return F.try_divide(F.lit(100.0) * F.count(F.when(cond, 1)), n).cast("double")
 
     cols = [
         n.alias("n"),
@@ -305,17 +301,13 @@ def punctuality_story(summary: DataFrame) -> DataFrame:
     e, o, l = F.col("early_pct"), F.col("on_time_pct"), F.col("late_pct")
     dom = F.when((e >= o) & (e >= l), "early").when(o >= l, "about on time").otherwise("late")
     text = F.format_string(
-        "Out of %,d stop arrivals with a live update, %s%% were about on time (+/-1 min), "
-        "%s%% were early, and %s%% were late. Most arrivals in this filter fall in the %s group. "
-        "Half of arrivals were within about %s min of the plan (median), and 9 out of 10 were at "
-        "or below %s min (p90).",
+        "%,d measured stop arrivals: %s%% on time (within a minute), %s%% early, %s%% late; the largest group is %s. "
+        "The median is %s min off the plan, and nine in ten are at %s min or less.",
         # numbers formatted as Python formats them (format_string's %f would round half-up)
         F.col("n"), py_format(o, 0), py_format(e, 0), py_format(l, 0), dom,
         py_signed(F.col("median_min"), 1), py_signed(F.col("p90_min"), 1),
     )
-    return summary.select(
-        F.when(F.col("n") > 0, text).otherwise(F.lit("No delay measurements available for these filters.")).alias("story")
-    )
+    return summary.select(F.when(F.col("n") > 0, text).otherwise(F.lit("These filters leave no measured delays.")).alias("story"))
 
 
 def fmt_minutes(seconds) -> Column:

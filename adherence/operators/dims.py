@@ -1,4 +1,4 @@
-"""Dimension build and lookup (L1-L4, J15, J16) and size-checked dimension joins."""
+"""Dimension build and lookup (L1-L4, J15, J16) and dimension joins."""
 
 from __future__ import annotations
 
@@ -9,16 +9,10 @@ from adherence.constants import DEFAULT_ROUTE_TYPE, VEHICLE_TYPES
 from adherence.functions import gtfs_time as T
 from adherence.functions.ids import stable_key
 
-# A dimension is broadcast only when its row count is *proven* below this bound (by construction,
-# e.g. a modulo key or a fixed seed).  Anything else is left to AQE, which switches to a broadcast
-# only from measured runtime sizes (spark.sql.adaptive.autoBroadcastJoinThreshold).
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_rows: int | None = None) -> DataFrame:
-    """Join a dimension: broadcast when a proven bound allows, else let AQE pick."""
-    if max_rows is not None and max_rows <= BROADCAST_MAX_ROWS:
-        dim = F.broadcast(dim)
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a dimension.  No hint: AQE broadcasts it only from its measured runtime size
+    (``spark.sql.adaptive.autoBroadcastJoinThreshold``); only literal seeds are broadcast by force."""
     return fact.join(dim, on=on, how=how)
 
 
@@ -80,13 +74,16 @@ def merge_scd1(existing: DataFrame | None, incoming: DataFrame, natural_key: lis
                key_col: str) -> DataFrame:
     """L3/L4: SCD-1 upsert on (natural key, operator).
 
-    Incoming attributes overwrite existing ones; rows only in ``existing`` are kept.  The surrogate
+    Incoming attributes overwrite existing ones (of rows that share a key, the greatest attributes, so a
+    rerun picks the same); rows only in ``existing`` are kept.  The surrogate
     key is a stable hash of (operator, natural key) (D10), so it never changes across runs and
     needs no global counter.
     """
+    rest = [c for c in incoming.columns if c not in natural_key]
+    one = incoming.groupBy(*natural_key).agg(F.max(F.struct(*rest)).alias("_w")).select(*natural_key, "_w.*") if rest \
+        else incoming.distinct()
     inc = (
-        incoming.dropDuplicates(natural_key)
-        .withColumn("operator", F.lit(operator))
+        one.withColumn("operator", F.lit(operator))
         .withColumn(key_col, stable_key(F.lit(operator), *natural_key))
     )
     if existing is None:

@@ -48,9 +48,9 @@ def bus_stop_rows(star, filters: Filters = ALL, vehicle_type: str = BUS) -> Data
     """J14 + P7: bus facts with stop coordinates."""
     vt = star.vehicle_types.filter(F.col("type_name") == vehicle_type).select("vehicle_type_key")
     f = star.facts.filter(filters.date_predicate())
-    f = join_dim(f, vt, "vehicle_type_key", how="left_semi", max_rows=8)
+    f = join_dim(f, vt, "vehicle_type_key", how="left_semi")
     s = star.stops.select("stop_key", "stop_lat", "stop_lon")
-    return join_dim(f, s, "stop_key", max_rows=star.stops_max_rows).select(
+    return join_dim(f, s, "stop_key").select(
         "date_key", "route_key", "vehicle_type_key", "trip_id", "stop_sequence", "stop_key",
         "scheduled_arrival", "actual_arrival", "delay_seconds", "stop_lat", "stop_lon",
     )
@@ -234,7 +234,7 @@ def read_scores(scores: DataFrame, star, start_key: int | None = None, end_key:
         s = s.filter(F.col("date_key") >= start_key)
     if end_key is not None:
         s = s.filter(F.col("date_key") <= end_key)
-    s = join_dim(s, star.routes, "route_key", max_rows=star.routes_max_rows)
+    s = join_dim(s, star.routes, "route_key")
     full_date = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
     return s.select(
         full_date.alias("full_date"), "date_key", "region_id", "region_name", "route_id", "route_short_name",

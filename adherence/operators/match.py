@@ -3,29 +3,27 @@
 Inputs are GTFS tables as read from CSV (all strings) and flat TripUpdates rows (S5 shape).
 
 Shuffle plan of ``scheduled``: the only large join is stop_times ⋈ trips on ``trip_id`` (J3);
-the trip-start aggregate (W1) groups the J3 output by that same key, so it and its join back
-reuse J3's partitioning instead of shuffling again.  Stops and routes are joined through
-``join_dim`` (broadcast only under a proven bound, else AQE decides from runtime sizes).
+the trip start (W1) is a window over that same key, so it needs no further shuffle, and the
+timetable is read once.  Stops and routes are joined without hints (AQE decides from runtime sizes).
 
 The fallback match (J8) joins on (route_id, stop_id, stop_sequence) with a ±300 s band on trip
-start.  Instead of pairing every scheduled and realtime trip of a stop and filtering, start times
-are bucketed by the band width and each realtime row probes its own and the two neighbouring
-buckets, so the join only produces pairs that can pass the band.  Rows with a NULL start on
-either side match regardless of start (the source semantics) and go through a plain equi-join
-whose output *is* the result.
+start, within one service day.  Instead of pairing every scheduled and realtime trip of a stop and
+filtering, start times are bucketed by twice the band and each realtime row probes the one or two
+buckets that its band reaches.  Rows with a NULL start on either side match whatever the other's
+start (the source semantics) on the same day; the output of that equi-join *is* the result.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adherence.constants import DEFAULT_ZONE, FALLBACK_START_BAND_SEC
+from adherence.constants import DEFAULT_ZONE, FALLBACK_START_BAND_SEC, REALTIME_FEED_REGIONAL
 from adherence.functions import delay as DL
 from adherence.functions import gtfs_time as T
-from adherence.functions.ids import as_key_string, operator_agency_predicate, rt_stop_id
+from adherence.functions.ids import as_key_string, operator_agency_predicate, rt_stop_id, uniform
 from adherence.operators.dims import join_dim
 
 
@@ -43,19 +41,16 @@ class Gtfs:
     trips: DataFrame
     stops: DataFrame
     stop_times: DataFrame
-    routes_max_rows: int | None = None
-    stops_max_rows: int | None = None
 
 
 def select_operator(g: Gtfs, static_feed: str) -> tuple[DataFrame, DataFrame]:
     """P1 + J1 + J2: (selected routes, selected trips).  Agencies and routes are dimension-sized;
     the semi joins only filter."""
-    routes = g.routes
-    if g.agency is not None:
-        agencies = g.agency.filter(operator_agency_predicate(static_feed)).select("agency_id").distinct()
-        routes = routes.join(F.broadcast(agencies) if g.routes_max_rows else agencies, "agency_id", "left_semi")
-    trips = join_dim(g.trips, routes.select("route_id"), "route_id", how="left_semi", max_rows=g.routes_max_rows)
-    return routes, trips
+    if g.agency is None or static_feed == REALTIME_FEED_REGIONAL:
+        return g.routes, g.trips  # a per-operator feed holds nothing else
+    agencies = g.agency.filter(operator_agency_predicate(static_feed)).select("agency_id").distinct()
+    routes = g.routes.join(agencies, "agency_id", "left_semi")
+    return routes, join_dim(g.trips, routes.select("route_id"), "route_id", how="left_semi")
 
 
 def sample_trips(trips: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -63,8 +58,7 @@ def sample_trips(trips: DataFrame, fraction: float, seed: int = 42) -> DataFrame
     the stop_times of sampled trips follow through the trip join."""
     if not 0 < fraction < 1:
         raise ValueError("sample fraction must be in (0, 1)")
-    bucket = F.pmod(F.xxhash64(F.col("trip_id").cast("string"), F.lit(seed)), F.lit(10000))
-    return trips.filter(bucket < int(round(fraction * 10000)))
+    return trips.filter(uniform(F.lit(str(seed)), F.col("trip_id").cast("string")) < fraction)
 
 
 def operator_stop_times(g: Gtfs, static_feed: str, sample_fraction: float | None = None) -> DataFrame:
@@ -81,20 +75,17 @@ def trip_starts(stop_times: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     """Departure of the first stop (lowest integer stop_sequence) of each trip -> local start
     and epoch.
 
-    A hash aggregate on the trip key (map-side combined), not a window over whole trips: the
-    ordering pair (sequence, departure seconds) is packed into one bigint so ``min`` picks the first
-    stop, and the service date is constant per trip."""
-    seq = F.col("stop_sequence").try_cast("int").cast("bigint")
-    secs = F.coalesce(T.gtfs_time_to_seconds("departure_time").cast("bigint"), F.lit(_NO_TIME))
-    first = stop_times.groupBy("trip_id").agg(
-        F.min(seq * _PACK + secs).alias("_p"), F.max("service_date").alias("service_date"))
-    dep = F.when(F.col("_p") % _PACK != _NO_TIME, (F.col("_p") % _PACK).cast("int"))
-    local = T.local_datetime(F.col("service_date"), dep)
+    An aggregate on the trip key; the service date is constant per trip."""
+    first = stop_times.groupBy("trip_id").agg(_first_stop().alias("_p"), F.max("service_date").alias("service_date"))
+    local = T.local_datetime(F.col("service_date"), F.col("_p.secs"))
     return first.select("trip_id", local.alias("trip_start_ts"), T.local_to_epoch(local, zone).alias("trip_start_epoch"))
 
 
-_PACK = 1_000_000          # GTFS times stay below 1e6 seconds (277 h)
-_NO_TIME = _PACK - 1       # an unparsable departure sorts last within its sequence
+def _first_stop():
+    """Minimum of (sequence, departure): an unparsable departure comes last within its sequence, a stop
+    without a sequence doesn't count."""
+    seq, secs = F.col("stop_sequence").try_cast("int"), T.gtfs_time_to_seconds("departure_time")
+    return F.min(F.when(seq.isNotNull(), F.struct(seq.alias("seq"), secs.isNull().alias("none"), secs.alias("secs"))))
 
 
 def scheduled(g: Gtfs, static_feed: str, service_date: str | None = None, zone: str = DEFAULT_ZONE,
@@ -103,13 +94,15 @@ def scheduled(g: Gtfs, static_feed: str, service_date: str | None = None, zone:
     st = operator_stop_times(g, static_feed, sample_fraction)
     if service_date is not None:
         st = st.withColumn("service_date", F.lit(service_date).cast("date"))
-    starts = trip_starts(st, zone)
+    # W1 over J3's own partitioning: a trip's visits are few, and lie in one partition already
+    start = T.local_datetime(F.col("service_date"), F.col("_first.secs"))
+    st = st.withColumn("_first", _first_stop().over(Window.partitionBy("trip_id")))
+    st = st.withColumn("trip_start_epoch", T.local_to_epoch(start, zone)).drop("_first")
     stops = g.stops.select(as_key_string(F.col("stop_id")).alias("stop_id"), "stop_name", "stop_lat", "stop_lon")
     routes = g.routes.select(as_key_string(F.col("route_id")).alias("route_id"), "route_short_name",
                              "route_long_name", "route_type")
-    s = join_dim(st, stops, "stop_id", max_rows=g.stops_max_rows)
-    s = join_dim(s, routes, "route_id", max_rows=g.routes_max_rows)
-    s = s.join(starts, "trip_id", "left")
+    s = join_dim(st, stops, "stop_id")
+    s = join_dim(s, routes, "route_id")
     arr = T.gtfs_time_to_datetime(F.col("service_date"), F.col("arrival_time"))
     return s.select(
         "trip_id", "stop_id", "stop_sequence", "route_id", "route_short_name", "route_long_name", "route_type",
@@ -173,43 +166,41 @@ def running_trips(trips: DataFrame, services: DataFrame) -> DataFrame:
 
 
 def match_fallback(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC,
-                   rt_null_starts: bool = True, sched_null_starts: bool = True) -> DataFrame:
-    """Inner on (route_id, stop_id, stop_sequence) where either start is NULL or the starts
-    differ by at most ``band`` seconds; the realtime trip_id is discarded.
-
-    One equi-join on (route_id, stop_id, stop_sequence, bucket): a scheduled row carries its start
-    bucket (or the NULL-start marker) plus, when some realtime start is NULL, one ANY copy; a
-    realtime row with a start probes its own and the two neighbouring buckets (and the NULL-start
-    marker when some scheduled start is NULL), a realtime row without a start probes ANY.  Every result pair is produced exactly once and no pair outside the band is formed,
-    except neighbours within one bucket that the residual removes."""
-    keys = ["route_id", "stop_id", "stop_sequence"]
-    null_mark, any_mark = F.lit(-(1 << 62)), F.lit((1 << 62))
-    s_start = F.col("trip_start_epoch")
-    r = rt.select(*keys, F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch")
-    r_start = F.col("rt_trip_start_epoch")
-    # a caller that knows a side has no NULL start (e.g. from its load report) can drop the copies
-    # made for them; probing here would cost a pass over the input, so the default keeps them
-    rt_nulls, sched_nulls = rt_null_starts, sched_null_starts
-    s_bucket = F.when(s_start.isNull(), null_mark).otherwise(F.floor(s_start / band))
-    s = sched.withColumn("_b", F.explode(F.array(s_bucket, any_mark)) if rt_nulls else s_bucket)
-    rb = F.floor(r_start / band)
-    near = [rb - 1, rb, rb + 1] + ([null_mark] if sched_nulls else [])
-    probes = F.when(r_start.isNull(), F.array(any_mark)).otherwise(F.array(*near))
-    r = r.withColumn("_b", F.explode(probes))
-    j = s.join(r, keys + ["_b"])
+                   default_date: str | None = None) -> DataFrame:
+    """Inner on (service day, route_id, stop_id, stop_sequence) where either start is NULL or the
+    starts differ by at most ``band`` seconds; the realtime trip_id is discarded.
+
+    A realtime row's day is its start_date, or ``default_date`` (the day of a daily job) where it has
+    none; a row without either has no day to match.
+
+    One equi-join, so each side is read once: starts fall into buckets of twice the band, of which the
+    band around a realtime start reaches one or two, and a bucket of its own holds scheduled rows
+    without a start; a realtime row without a start meets a second copy of every scheduled row."""
+    keys = ["service_date", "route_id", "stop_id", "stop_sequence"]
+    no_start, any_start = F.lit(-(1 << 62)), F.lit(1 << 62)
+    s_start, r_start = F.col("trip_start_epoch"), F.col("rt_trip_start_epoch")
+    day = F.to_date(F.col("start_date"), "yyyyMMdd") if "start_date" in rt.columns else F.lit(None).cast("date")
+    if default_date is not None:
+        day = F.coalesce(day, F.lit(default_date).cast("date"))
+    r = rt.select(day.alias("service_date"), *keys[1:], F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch")
+    width = 2 * band
+    probes = F.array_distinct(F.array(F.floor((r_start - band) / width), F.floor((r_start + band) / width), no_start))
+    s = sched.withColumn("_b", F.explode(F.array(F.coalesce(F.floor(s_start / width), no_start), any_start)))
+    r = r.withColumn("_b", F.explode(F.when(r_start.isNull(), F.array(any_start)).otherwise(probes)))
     ok = r_start.isNull() | s_start.isNull() | (F.abs(r_start - s_start) <= band)
-    return j.filter(ok).drop("_b")
+    return s.join(r, [*keys, "_b"]).filter(ok).drop("_b")
 
 
-def match(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC) -> tuple[DataFrame, str]:
+def match(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC, default_date: str | None = None,
+          keep_unmatched: bool = False) -> tuple[DataFrame, str]:
     """The primary match unless it is empty, then the fallback; both empty is an error.
 
     The emptiness test is one cheap limit-1 job; Catalyst cannot express a data-dependent plan
     switch, so the branch happens on the driver with nothing but a boolean."""
     primary = match_primary(sched, rt)
     if not primary.isEmpty():
-        return primary, "primary"
-    fallback = match_fallback(sched, rt, band)
+        return match_primary(sched, rt, keep_unmatched), "primary"
+    fallback = match_fallback(sched, rt, band, default_date)
     if fallback.isEmpty():
         raise NoMatchError("no rows after matching the schedule with realtime updates")
     return fallback, "fallback"
@@ -230,20 +221,17 @@ def referenced_stops(stops: DataFrame, stop_times: DataFrame) -> DataFrame:
     return stops.join(used, "stop_id", "left_semi").select("stop_id", "stop_name", "stop_lat", "stop_lon").distinct()
 
 
-def id_overlap(static: dict[str, DataFrame], realtime: dict[str, DataFrame]) -> DataFrame:
-    """Per id kind, distinct ids in the static feed, in realtime, and in both.
+def id_overlap(static: DataFrame, realtime: DataFrame) -> DataFrame:
+    """Per id kind, distinct ids in the static feed, in realtime, and in both, from rows of
+    (id_kind, id) on each side: one pass over each, one full outer join, one aggregate."""
+    a = static.filter(F.col("id").isNotNull()).distinct().withColumn("_s", F.lit(True))
+    b = realtime.filter(F.col("id").isNotNull()).distinct().withColumn("_r", F.lit(True))
+    seen_s, seen_r = F.col("_s").isNotNull(), F.col("_r").isNotNull()
+    return a.join(b, ["id_kind", "id"], "full_outer").groupBy("id_kind").agg(
+        F.count_if(seen_s).alias("static_ids"), F.count_if(seen_r).alias("realtime_ids"), F.count_if(seen_s & seen_r).alias("common_ids"))
 
-    One full-outer join of the two distinct id sets per kind, counted in one aggregate."""
-    out = None
-    for kind in static:
-        a = static[kind].select(F.col(kind).cast("string").alias("id")).distinct().withColumn("_s", F.lit(True))
-        b = realtime[kind].select(F.col(kind).cast("string").alias("id")).distinct().withColumn("_r", F.lit(True))
-        j = a.join(b, "id", "full_outer").filter(F.col("id").isNotNull())
-        n = j.agg(
-            F.count_if(F.col("_s").isNotNull()).alias("static_ids"),
-            F.count_if(F.col("_r").isNotNull()).alias("realtime_ids"),
-            F.count_if(F.col("_s").isNotNull() & F.col("_r").isNotNull()).alias("common_ids"),
-        ).select(F.lit(kind).alias("id_kind"), "*")
-        out = n if out is None else out.unionByName(n)
-    return out
 
+def ids_of(df: DataFrame, kinds: list[str]) -> DataFrame:
+    """(id_kind, id) rows of the id columns of a frame, read once."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("id_kind"), F.col(k).cast("string").alias("id")) for k in kinds])
+    return df.select(F.explode(pairs).alias("p")).select("p.*")

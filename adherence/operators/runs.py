@@ -34,7 +34,7 @@ def append(df: DataFrame, path: str) -> None:
 
 def latest(runs: DataFrame) -> DataFrame:
     """The latest run per service date by finished_at DESC NULLS LAST, with its most recent
-    dq_status event (matched on dag_run_id when given, else the latest event of the date).
+    dq_status event: matched on dag_run_id, else the date's latest event that names no logged run.
 
     The window is per service date; a date holds a handful of run rows."""
     w = Window.partitionBy("service_date").orderBy(F.col("finished_at").desc_nulls_last(), F.col("run_id").desc())
@@ -43,6 +43,8 @@ def latest(runs: DataFrame) -> DataFrame:
     ev = runs.filter(F.col("dq_status").isNotNull())
     by_run = ev.filter(F.col("dag_run_id").isNotNull()).groupBy("service_date", "dag_run_id").agg(
         F.max_by("dq_status", "finished_at").alias("dq_by_run"))
-    by_date = ev.groupBy("service_date").agg(F.max_by("dq_status", "finished_at").alias("dq_by_date"))
+    # the date's latest event counts only if it names no run, or none that is logged
+    loose = ev.join(run_rows.select("service_date", "dag_run_id"), ["service_date", "dag_run_id"], "left_anti")
+    by_date = loose.groupBy("service_date").agg(F.max_by("dq_status", "finished_at").alias("dq_by_date"))
     out = last_run.join(by_run, ["service_date", "dag_run_id"], "left").join(by_date, "service_date", "left")
     return out.withColumn("dq_status", F.coalesce("dq_by_run", "dq_by_date")).drop("dq_by_run", "dq_by_date")

@@ -25,6 +25,7 @@ from adherence.operators import facts as FACTS
 from adherence.operators import match as M
 from adherence.operators import quality as Q
 from adherence.operators import runs as RUNS
+from adherence.session import cut_lineage
 from adherence.sources import gtfs_static as G
 from adherence.sources import landing as L
 from adherence.sources import tripupdates as TU
@@ -34,19 +35,15 @@ from adherence.sources.driver import Star
 log = logging.getLogger("adherence.jobs")
 
 
-def _read_dim(spark: SparkSession, path: str) -> DataFrame | None:
-    """The existing dimension, or None on the first load.  Only absence means "first load": any
-    other read error propagates, so a failing read can never replace a dimension with new rows only."""
-    from adherence.session import path_exists
-
-    return spark.read.parquet(path) if path_exists(spark, path) else None
-
-
 def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehouse: str, operator_name: str,
                   static_feed: str = STATIC_FEED_NATIONAL, realtime_feed: str = REALTIME_FEED_REGIONAL,
                   sample_fraction: float | None = None, dag_run_id: str | None = None, staging: str | None = None,
-                  zone: str = DEFAULT_ZONE, mode: str = "latest") -> dict:
-    """Raw GTFS + TripUpdates of one service date -> dims merged, facts replaced, run recorded."""
+                  zone: str = DEFAULT_ZONE, mode: str = "latest", keep_unmatched: bool = False,
+                  quarantine_out_of_range: bool = False, same_day_only: bool = False, use_calendar: bool = False) -> dict:
+    """Raw GTFS + TripUpdates of one service date -> dims merged, facts replaced, run recorded.
+
+    ``same_day_only`` drops realtime trips of another start date, ``use_calendar`` scheduled trips whose
+    service doesn't run that day (both D6); ``keep_unmatched`` keeps visits without realtime (D5)."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     staging = staging or f"{warehouse}/_staging/{service_date}"
     archives = L.list_files(spark, raw_base, "static", "gtfs.zip").filter(
@@ -57,33 +54,35 @@ def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehou
     L.check_members(members)
     G.stage_members(members, staging).count()
     feed = G.read_feed(spark, staging)
-
-    snaps = TU.read_snapshots(spark, f"{raw_base}/realtime/{service_date}")
-    if mode == "latest":                      # D27: only the last snapshot of the day (S7)
-        snaps = snaps.join(L.latest_snapshots(snaps.select("path", "service_date", "snapshot_ts")), "path", "left_semi")
-    rt = TU.require_rows(TU.decode(snaps, zone=zone))
-    rt = M.prepare_realtime(rt, static_feed, realtime_feed)
-
+    if use_calendar:
+        calendar, dates = (G.read_optional(spark, staging, t) for t in ("calendar", "calendar_dates"))
+        if calendar is not None or dates is not None:
+            feed.trips = M.running_trips(feed.trips, M.active_services(calendar, dates, service_date))
+
+    # Only the last snapshot of the day is read (S7), unless all are asked for
+    paths = f"{raw_base}/realtime/{service_date}" if mode == "all" else L.latest_snapshot_path(spark, raw_base, service_date)
+    # decoded once: the match looks at it twice
+    rt = cut_lineage(TU.decode(TU.read_snapshots(spark, paths), zone=zone))
+    rt = M.prepare_realtime(TU.require_rows(rt), static_feed, realtime_feed)
+    if same_day_only:
+        rt = M.same_service_day(rt, service_date)
+
+    own_routes, _ = M.select_operator(feed, static_feed)
     sched = M.scheduled(feed, static_feed, service_date=service_date, zone=zone, sample_fraction=sample_fraction)
-    matched, strategy = M.match(sched, rt)
-    derived = M.derive(matched, zone)
+    matched, strategy = M.match(sched, rt, default_date=service_date, keep_unmatched=keep_unmatched)
+    derived = cut_lineage(M.derive(matched, zone))  # facts, rejects and the report come from these rows
 
-    routes_in = feed.routes.select("route_id", "route_short_name", "route_long_name")
-    stops_in = M.referenced_stops(feed.stops, feed.stop_times).select(
+    routes_in = own_routes.select("route_id", "route_short_name", "route_long_name")
+    stops_in = M.referenced_stops(feed.stops, M.operator_stop_times(feed, static_feed)).select(
         "stop_id", "stop_name", F.col("stop_lat").try_cast("double").alias("stop_lat"),
         F.col("stop_lon").try_cast("double").alias("stop_lon"))
-    routes = D.merge_scd1(_read_dim(spark, f"{warehouse}/dim_route"), routes_in, ["route_id"], operator_name, "route_key")
-    stops = D.merge_scd1(_read_dim(spark, f"{warehouse}/dim_stop"), stops_in, ["stop_id"], operator_name, "stop_key")
-    # merged dims are cut from their lineage before they overwrite the tables they were read from
-    routes, stops = routes.checkpoint(eager=True), stops.checkpoint(eager=True)
-    routes.write.mode("overwrite").parquet(f"{warehouse}/dim_route")
-    stops.write.mode("overwrite").parquet(f"{warehouse}/dim_stop")
-
-    vt = D.vehicle_type_dim(spark)
-    facts, report, rejects = FACTS.build(derived, routes, stops, vt)
-    facts = facts.checkpoint(eager=True)      # reused by the write and by the counts below
-    W.write_facts(facts, f"{warehouse}/fact_trip_delay")
-    W.write_facts(rejects, f"{warehouse}/fact_rejects")      # D12/Q10: set aside with a reason
+    routes = W.replace_dim(D.merge_scd1(W.read_dim(spark, f"{warehouse}/dim_route"), routes_in, ["route_id"], operator_name, "route_key"), f"{warehouse}/dim_route")
+    stops = W.replace_dim(D.merge_scd1(W.read_dim(spark, f"{warehouse}/dim_stop"), stops_in, ["stop_id"], operator_name, "stop_key"), f"{warehouse}/dim_stop")
+
+    facts, report, rejects = FACTS.build(derived, routes, stops, D.vehicle_type_dim(spark), quarantine_out_of_range, operator_name)
+    dk = int(service_date.replace("-", ""))
+    W.write_facts(facts, f"{warehouse}/fact_trip_delay", requested=dk)
+    W.write_facts(rejects, f"{warehouse}/fact_rejects", requested=dk)      # D12/Q10: set aside with a reason
     rep = report.first().asDict()
     rep.update(strategy=strategy, service_date=service_date)
     RUNS.append(RUNS.run_record(spark, service_date, "success", rep["rows_loaded"], dag_run_id, started),
@@ -102,14 +101,16 @@ def run_quality(spark: SparkSession, service_date: str, warehouse: str, raw_base
         spark.range(1).select(F.lit(dk).alias("date_key"), *[F.lit(0).cast("bigint").alias(c) for c in
                                                              ("row_count", "null_trip_ids", "out_of_range", "null_delays")])
     ).groupBy("date_key").agg(*[F.sum(c).alias(c) for c in ("row_count", "null_trip_ids", "out_of_range", "null_delays")])
-    dims = {"route": (spark.read.parquet(f"{warehouse}/dim_route"), "route_key"),
-            "stop": (spark.read.parquet(f"{warehouse}/dim_stop"), "stop_key")}
+    day = spark.range(1).select(F.lit(service_date).cast("date").alias("full_date"))
+    dims = {"date": (D.calendar_from_dates(day), "date_key"),
+            "route": (W.read_dim(spark, f"{warehouse}/dim_route"), "route_key"),
+            "stop": (W.read_dim(spark, f"{warehouse}/dim_stop"), "stop_key"),
+            "vehicle_type": (D.vehicle_type_dim(spark), "vehicle_type_key")}
     age = None
     if raw_base is not None:
         side = L.read_sidecars(spark, f"{raw_base}/static/{service_date}")
         ages = L.static_age_days(side, as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-        row = ages.select("age_days").first()
-        age = None if row is None else row.age_days
+        age = ages.agg(F.min("age_days")).first()[0]  # of the newest pull
     rep = Q.report(stats, Q.duplicate_grain(facts), Q.orphan_rows_by_date(facts, dims),
                    F.lit(age).cast("double"))
     status = Q.status(rep).first()
@@ -123,7 +124,7 @@ def run_energy(spark: SparkSession, service_date: str, warehouse: str) -> int:
     """Scores of one date for every region; requested partitions are replaced even when empty."""
     dk = int(service_date.replace("-", ""))
     facts = W.read_star(spark, f"{warehouse}/fact_trip_delay", dk, dk)
-    star = Star(facts, spark.read.parquet(f"{warehouse}/dim_route"), spark.read.parquet(f"{warehouse}/dim_stop"),
+    star = Star(facts, W.read_dim(spark, f"{warehouse}/dim_route"), W.read_dim(spark, f"{warehouse}/dim_stop"),
                 D.vehicle_type_dim(spark))
     scores = E.compute(star).checkpoint(eager=True)
     W.write_energy(scores, f"{warehouse}/fact_route_energy_score", requested=[(dk, r) for r, _, _ in E.REGIONS])
@@ -141,6 +142,11 @@ def main(argv=None) -> int:
     p.add_argument("--realtime-feed", default=REALTIME_FEED_REGIONAL)
     p.add_argument("--sample-fraction", type=float)
     p.add_argument("--dag-run-id")
+    p.add_argument("--mode", choices=["latest", "all"], default="latest", help="the day's last snapshot, or all of them")
+    p.add_argument("--keep-unmatched", action="store_true", help="keep scheduled visits without realtime")
+    p.add_argument("--quarantine-out-of-range", action="store_true", help="out-of-range delays go to the rejects")
+    p.add_argument("--same-day-only", action="store_true", help="drop realtime trips of another start date")
+    p.add_argument("--use-calendar", action="store_true", help="only trips whose service runs that day")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"adherence-{a.job}").getOrCreate()
     from adherence.session import ensure_checkpoint_dir
@@ -148,7 +154,8 @@ def main(argv=None) -> int:
     ensure_checkpoint_dir(spark)
     if a.job == "transform":
         run_transform(spark, a.service_date, a.raw_base_path, a.warehouse, a.operator_name, a.operator,
-                      a.realtime_feed, a.sample_fraction, a.dag_run_id)
+                      a.realtime_feed, a.sample_fraction, a.dag_run_id, mode=a.mode, keep_unmatched=a.keep_unmatched,
+                      quarantine_out_of_range=a.quarantine_out_of_range, same_day_only=a.same_day_only, use_calendar=a.use_calendar)
     elif a.job == "quality":
         run_quality(spark, a.service_date, a.warehouse, a.raw_base_path, dag_run_id=a.dag_run_id)
     else:

@@ -217,6 +217,17 @@ def q_energy_top(spark, d):
         "route_short_name", "energy_score", "p90_hours", "rank")
 
 
+@register("energy_top_hours", _sql(f"""
+    SELECT route_short_name, {R('p90_hours')} AS p90_hours, {R('energy_score')} AS energy_score,
+           row_number() OVER (ORDER BY p90_hours DESC, energy_score DESC, route_id) AS rank
+    FROM collapsed ORDER BY p90_hours DESC, energy_score DESC, route_id LIMIT 15"""))
+def q_energy_top_hours(spark, d):
+    """Top 15 routes by the 90th percentile of trip hours."""
+    c = _collapsed(spark, d)
+    return A.top_k(c, 15, F.col("p90_hours").desc(), F.col("energy_score").desc(), F.col("route_id").asc()).select(
+        "route_short_name", "p90_hours", "energy_score", "rank")
+
+
 @register("energy_flagged_list", _sql("""
     SELECT route_short_name, route_long_name, round_even(energy_score * 10, 0) / 10 AS energy_score,
            round_even(p90_hours * 100, 0) / 100 AS p90_hours,

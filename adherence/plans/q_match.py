@@ -12,7 +12,7 @@ from adherence.operators import facts as FACTS
 from adherence.operators import match as M
 from adherence.operators.delays import delay_view
 from adherence.plans.oracle import with_views
-from adherence.plans.registry import R, memo, register, star
+from adherence.plans.registry import R, register, star
 from adherence.sources import driver
 
 ZONE = "Europe/Stockholm"
@@ -62,14 +62,13 @@ _M_VIEWS = [
                CASE WHEN start_time IS NOT NULL THEN
                  {_epoch(f"CAST(strptime(start_date, '%Y%m%d') AS TIMESTAMP) + to_seconds({_parse('start_time')})")} END
                  AS trip_start_epoch,
-               start_date, CAST(l_suppkey AS VARCHAR) AS stop_id, CAST(l_linenumber AS VARCHAR) AS stop_sequence,
+               start_date, CASE WHEN l_linenumber = 7 AND l_linestatus = 'F' THEN 'x' ELSE '' END || CAST(l_suppkey AS VARCHAR) AS stop_id, CAST(l_linenumber AS VARCHAR) AS stop_sequence,
                CASE WHEN NOT (l_returnflag = 'N' AND l_linestatus = 'F') AND l_returnflag <> 'R'
                     THEN CAST((l_quantity - 20) * 30 AS INTEGER) END AS delay_seconds,
                CASE WHEN NOT (l_returnflag = 'N' AND l_linestatus = 'F') AND l_returnflag <> 'A'
                     THEN {_epoch('CAST(d.full_date AS TIMESTAMP) + to_seconds((5 + l_orderkey % 21) * 3600 + 7 * l_linenumber * 60)')}
                          + CAST((l_quantity - 20) * 30 AS INTEGER) END AS actual_epoch
-        FROM lineitem JOIN rtd d ON l_orderkey = d.o_orderkey
-        WHERE NOT (l_linenumber = 7 AND l_linestatus = 'F')"""),
+        FROM lineitem JOIN rtd d ON l_orderkey = d.o_orderkey"""),
     ("primary_m", """
         SELECT s.*, r.delay_seconds, r.actual_epoch, r.stop_sequence AS rt_stop_sequence
         FROM sched s JOIN rt r USING (trip_id, stop_id)"""),
@@ -81,17 +80,16 @@ def _sql(body: str, views=("trips",)) -> str:
 
 
 def _gtfs(spark, d):
-    return memo(spark, d, "gtfs", lambda: driver.gtfs(spark, d))
+    return driver.gtfs(spark, d)
 
 
 def _sched(spark, d):
     # a per-operator (regional) feed: every agency is kept, so the whole timetable is matched
-    return memo(spark, d, "sched", lambda: M.scheduled(_gtfs(spark, d), REALTIME_FEED_REGIONAL, zone=ZONE))
+    return M.scheduled(_gtfs(spark, d), REALTIME_FEED_REGIONAL, zone=ZONE)
 
 
 def _rt(spark, d):
-    return memo(spark, d, "rt", lambda: M.prepare_realtime(
-        driver.realtime_updates(spark, d, ZONE), REALTIME_FEED_REGIONAL, REALTIME_FEED_REGIONAL))
+    return M.prepare_realtime(driver.realtime_updates(spark, d, ZONE), REALTIME_FEED_REGIONAL, REALTIME_FEED_REGIONAL)
 
 
 @register("gtfs_seconds", _sql(f"""
@@ -167,6 +165,7 @@ def q_actual_and_delay(spark, d):
     SELECT s.trip_id, s.stop_id, s.stop_sequence, s.trip_start_epoch, r.trip_start_epoch AS rt_trip_start_epoch,
            r.delay_seconds, r.actual_epoch
     FROM sched s JOIN rt r ON s.route_id = r.route_id AND s.stop_id = r.stop_id AND s.stop_sequence = r.stop_sequence
+      AND strftime(s.service_date, '%Y%m%d') = r.start_date
     WHERE r.trip_start_epoch IS NULL OR s.trip_start_epoch IS NULL
        OR abs(r.trip_start_epoch - s.trip_start_epoch) <= 300"""))
 def q_rt_match_fallback(spark, d):
@@ -189,9 +188,9 @@ def q_rt_match_fallback(spark, d):
     views=("trips", "dim_route", "dim_stop")))
 def q_id_overlap(spark, d):
     """Static vs realtime id coverage for trips, routes and stops."""
-    g, rt = _gtfs(spark, d), _rt(spark, d)
-    return M.id_overlap({"trip_id": g.stop_times, "route_id": g.routes, "stop_id": g.stops},
-                        {"trip_id": rt, "route_id": rt, "stop_id": rt})
+    g = _gtfs(spark, d)
+    static = M.ids_of(g.stop_times, ["trip_id"]).unionByName(M.ids_of(g.routes, ["route_id"])).unionByName(M.ids_of(g.stops, ["stop_id"]))
+    return M.id_overlap(static, M.ids_of(_rt(spark, d), ["trip_id", "route_id", "stop_id"]))
 
 
 @register("referenced_stops", _sql(f"""
@@ -269,7 +268,9 @@ def q_wide_export(spark, d):
     return v.select(*[c.strip() for c in _WIDE_COLS.split(",")])
 
 
-@register("trip_sample")  # P10: deterministic hash sample (rows-only check; the fraction is the feature)
+@register("trip_sample", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey % 200 AS VARCHAR) AS route_id FROM orders
+    WHERE ('0x' || substr(md5('42|' || CAST(o_orderkey AS VARCHAR)), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 < 0.05""")
 def q_trip_sample(spark, d):
     g = _gtfs(spark, d)
     return M.sample_trips(g.trips, 0.05).select("trip_id", "route_id")
@@ -294,13 +295,107 @@ def q_transform_facts(spark, d):
     """The load path on the driver data: J7 match -> F5/F6 derive -> J15/J16 key lookup -> D12
     rejects -> W3 de-duplication (D8 order) -> fact rows, reported with natural keys."""
     g = _gtfs(spark, d)
-    derived = M.derive(M.match_primary(_sched(spark, d), _rt(spark, d)), ZONE)
+    matched, _ = M.match(_sched(spark, d), _rt(spark, d))  # J9
+    derived = M.derive(matched, ZONE)
     routes = D.merge_scd1(None, g.routes.select("route_id", "route_short_name", "route_long_name"),
                           ["route_id"], "SL", "route_key")
-    stops = D.merge_scd1(None, M.referenced_stops(g.stops, g.stop_times).select("stop_id", "stop_name"),
-                         ["stop_id"], "SL", "stop_key")
-    facts, _, _ = FACTS.build(derived, routes, stops, D.vehicle_type_dim(spark), routes_max_rows=driver.ROUTES)
-    out = D.join_dim(facts, routes.select("route_key", "route_id"), "route_key", max_rows=driver.ROUTES)
+    stops = D.merge_scd1(None, g.stops.select("stop_id", "stop_name"), ["stop_id"], "SL", "stop_key")
+    facts, _, _ = FACTS.build(derived, routes, stops, D.vehicle_type_dim(spark), operator="SL")
+    out = D.join_dim(facts, routes.select("route_key", "route_id"), "route_key")
     out = D.join_dim(out, stops.select("stop_key", "stop_id"), "stop_key")
     return out.select("date_key", "trip_id", "stop_id", "stop_sequence", "route_id", "vehicle_type_key",
                       "scheduled_arrival", "actual_arrival", "delay_seconds")
+
+
+@register("dim_merge", """
+    SELECT c_custkey AS customer, 'op' AS operator,
+           c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '' ELSE ' new' END AS name,
+           CASE WHEN c_custkey % 2 = 0 THEN 'kept' ELSE 'incoming' END AS origin
+    FROM customer""")
+def q_dim_merge(spark, d):
+    """L3/L4: the SCD-1 update path: every customer is in the dimension, those with an odd key come in
+    again with another name (twice, with an older one to lose), and win."""
+    c = driver.read(spark, d, "customer", "c_custkey", "c_mktsegment").select(F.col("c_custkey").alias("customer"), F.col("c_mktsegment").alias("name"))
+    existing = D.merge_scd1(None, c.withColumn("origin", F.lit("kept")), ["customer"], "op", "customer_key")
+    odd = c.where("customer % 2 = 1").withColumn("origin", F.lit("incoming"))
+    incoming = odd.withColumn("name", F.concat("name", F.lit(" new"))).unionByName(odd)
+    out = D.merge_scd1(existing, incoming, ["customer"], "op", "customer_key")
+    return out.select("customer", "operator", "name", "origin")
+
+
+_FLAT = """
+    SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_suppkey AS VARCHAR) AS stop_id, l_linenumber AS stop_sequence,
+           CASE WHEN l_returnflag <> 'N' THEN CAST((l_quantity - 20) * 30 AS INTEGER) END AS delay_seconds,
+           CASE WHEN l_returnflag = 'R' THEN 1700000000 + l_orderkey END AS actual_epoch,
+           CASE WHEN l_linestatus = 'F' THEN CAST(l_partkey AS VARCHAR) END AS route_id
+    FROM lineitem WHERE l_linenumber <> 6"""
+
+
+@register("feed_flatten", _FLAT)
+def q_feed_flatten(spark, d):
+    """Every lineitem as an update of a JSON feed, written and flattened again: arrivals
+    (flag R: delay and time), departures only (A: a delay), neither (N); blank route ids become NULL and
+    updates with a blank stop id (line 6) are dropped, as the flattening does."""
+    from adherence.sources import tripupdates as TU
+
+    li = driver.read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    delay = ((F.col("l_quantity") - 20) * 30).cast("int")
+    flag = F.col("l_returnflag")
+    arrival = F.when(flag == "R", F.struct(delay.alias("delay"), (F.lit(1700000000) + F.col("l_orderkey")).alias("time")))
+    departure = F.when(flag != "N", F.struct(delay.alias("delay")))
+    stop = F.when(F.col("l_linenumber") == 6, F.lit("")).otherwise(F.col("l_suppkey").cast("string"))
+    update = F.struct(F.col("l_linenumber").alias("stop_sequence"), stop.alias("stop_id"), arrival.alias("arrival"), departure.alias("departure"))
+    route = F.when(F.col("l_linestatus") == "F", F.col("l_partkey").cast("string")).otherwise(F.lit(""))
+    trip = F.struct(F.col("l_orderkey").cast("string").alias("trip_id"), route.alias("route_id"))
+    entity = F.struct(F.struct(trip.alias("trip"), F.array(update).alias("stop_time_update")).alias("trip_update"))
+    feed = li.select(F.to_json(F.struct(F.array(entity).alias("entity"))).alias("value"))
+    feed = feed.select(F.from_json("value", TU.JSON_SCHEMA).alias("f")).select("f.entity")
+    return TU.flatten_json(feed).select("trip_id", "stop_id", F.col("stop_sequence").cast("int").alias("stop_sequence"), "delay_seconds", "actual_epoch", "route_id")
+
+
+@register("wide_csv_parse", """
+    SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, l_linenumber AS stop_sequence,
+           CASE WHEN l_returnflag <> 'N' THEN CAST(l_shipdate AS TIMESTAMP) END AS scheduled_arrival,
+           CAST(l_quantity AS INTEGER) AS delay_seconds,
+           CASE WHEN l_returnflag = 'A' THEN 3 WHEN l_returnflag = 'R' THEN CAST(hour(CAST(l_shipdate AS TIMESTAMP)) AS INTEGER) END AS hour_of_day
+    FROM lineitem""")
+def q_wide_csv_parse(spark, d):
+    """Every lineitem as a line of the wide CSV (an unreadable time on flag N, an hour given on A
+    only), parsed as the reader parses files."""
+    from adherence.sources import warehouse as W
+
+    li = driver.read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag")
+    flag = F.col("l_returnflag")
+    when = F.when(flag == "N", F.lit("not a time")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    given = {"trip_id": F.col("l_orderkey").cast("string"), "stop_sequence": F.col("l_linenumber").cast("string"),
+             "scheduled_arrival": when, "delay_seconds": F.col("l_quantity").cast("int").cast("string"),
+             "hour_of_day": F.when(flag == "A", F.lit("3"))}
+    cells = [F.coalesce(given.get(f.name, F.lit(None).cast("string")), F.lit("")) for f in W.WIDE_SCHEMA.fields]
+    out = W.parse_wide(li.select(F.concat_ws(",", *cells).alias("value")))
+    return out.select("trip_id", "stop_sequence", "scheduled_arrival", "delay_seconds", "hour_of_day")
+
+
+@register("latest_run", """
+    SELECT service_date, run_id, status, rows_fact, dq_status FROM (
+      SELECT CAST(o_orderdate AS DATE) AS service_date, CAST(o_orderkey AS VARCHAR) AS run_id, o_orderpriority AS status, o_custkey AS rows_fact,
+             CASE WHEN o_orderkey % 3 = 0 THEN 'warn' WHEN o_orderkey % 3 = 1 THEN 'passed' ELSE loose END AS dq_status,
+             row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey % 1000 DESC, CAST(o_orderkey AS VARCHAR) DESC) AS rn
+      FROM orders LEFT JOIN (SELECT o_orderdate AS od, 'failed' AS loose FROM orders WHERE o_orderkey % 7 = 0 GROUP BY o_orderdate) ON od = o_orderdate)
+    WHERE rn = 1""")
+def q_latest_run(spark, d):
+    """Orders as runs of their date; two of three have an event of their own, some dates have
+    an event that names no run, which only counts where the latest run has none."""
+    from adherence.operators import runs as RUNS
+
+    o = driver.read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    key, none = F.col("o_orderkey"), F.lit(None)
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + key % 1000)
+
+    def event(run_id, dag, status, n, dq):
+        return [run_id.cast("string").alias("run_id"), dag.cast("string").alias("dag_run_id"), F.to_date("o_orderdate").alias("service_date"), none.cast("timestamp").alias("started_at"),
+                at.alias("finished_at"), status.cast("string").alias("status"), none.cast("long").alias("rows_ingested"), n.cast("long").alias("rows_fact"), dq.cast("string").alias("dq_status")]
+
+    runs = o.select(*event(key, key, F.col("o_orderpriority"), F.col("o_custkey"), none))
+    own = o.where(key % 3 < 2).select(*event(none, key, none, none, F.when(key % 3 == 0, "warn").otherwise("passed")))
+    loose = o.where(key % 7 == 0).select(*event(none, none, none, none, F.lit("failed")))
+    return RUNS.latest(runs.unionByName(own).unionByName(loose)).select("service_date", "run_id", "status", "rows_fact", "dq_status")

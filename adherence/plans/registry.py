@@ -40,24 +40,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-_STAR_CACHE: dict = {}
-
-
 def star(spark: SparkSession, sf_dir: str):
-    """The driver star of a directory, built once per session: DataFrames are immutable logical
-    plans, so queries can share one (each still executes over the whole tables)."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-    if key not in _STAR_CACHE:
-        _STAR_CACHE[key] = driver.star(spark, sf_dir)
-    return _STAR_CACHE[key]
-
-
-def memo(spark: SparkSession, sf_dir: str, name: str, build):
-    """Share one lazily-built view (a logical plan, no data) between the queries of a session."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
-    if key not in _STAR_CACHE:
-        _STAR_CACHE[key] = build()
-    return _STAR_CACHE[key]
+    """The driver star of a directory."""
+    return driver.star(spark, sf_dir)
 
 
 def R(x: str) -> str:
@@ -284,6 +269,31 @@ def q_punctuality_dominant(spark, d):
     return A.punctuality_dominant(A.punctuality_summary(star(spark, d)))
 
 
+_NO_FACTS = Filters(start_date="1900-01-01", end_date="1900-01-02")
+
+
+@register("punctuality_empty", """
+    SELECT 0::BIGINT AS n, CAST(NULL AS DOUBLE) AS early_pct, CAST(NULL AS DOUBLE) AS within_5_pct, CAST(NULL AS DOUBLE) AS median_min,
+           CAST(NULL AS VARCHAR) AS dominant""")
+def q_punctuality_empty(spark, d):
+    """A10-A12 under a filter that no fact passes: no rows is an answer, not an error."""
+    s = A.punctuality_summary(star(spark, d), _NO_FACTS)
+    return s.select("n", "early_pct", "within_5_pct", "median_min").join(A.punctuality_dominant(s), "n")  # one row each
+
+
+@register("punctuality_story", with_views(["facts"], f"""
+    SELECT format('{{:,}}', n) || ' measured stop arrivals: ' || format('{{:.0f}}', on_time_pct) || '% on time (within a minute), '
+        || format('{{:.0f}}', early_pct) || '% early, ' || format('{{:.0f}}', late_pct) || '% late; the largest group is '
+        || CASE WHEN early_pct >= on_time_pct AND early_pct >= late_pct THEN 'early' WHEN on_time_pct >= late_pct THEN 'about on time' ELSE 'late' END
+        || '. The median is ' || format('{{:+.1f}}', median_min) || ' min off the plan, and nine in ten are at '
+        || format('{{:+.1f}}', p90_min) || ' min or less.' AS story FROM ({_PUNCT_SQL})
+    UNION ALL SELECT 'These filters leave no measured delays.'"""))
+def q_punctuality_story(spark, d):
+    """A12's sentence over all facts, and under a filter that none passes."""
+    st = star(spark, d)
+    return A.punctuality_story(A.punctuality_summary(st)).unionByName(A.punctuality_story(A.punctuality_summary(st, _NO_FACTS)))
+
+
 @register("available_routes", with_views(["facts", "dim_route"], """
     SELECT DISTINCT r.route_id, r.route_short_name FROM dim_route r
     WHERE r.route_key IN (SELECT route_key FROM facts)"""))
@@ -298,6 +308,9 @@ def q_available_vehicle_types(spark, d):
     return A.available_vehicle_types(star(spark, d))
 
 
-@register("delay_sample")  # A9: deterministic hash-ordered sample; rows-only check
+@register("delay_sample", with_views(["facts"], """
+    SELECT delay_seconds FROM facts WHERE delay_seconds IS NOT NULL
+    ORDER BY ('0x' || substr(md5(concat_ws('|', trip_id, stop_key, stop_sequence, date_key)), 1, 13))::BIGINT,
+             trip_id, stop_key, stop_sequence, date_key LIMIT 20000"""))
 def q_delay_sample(spark, d):
     return A.delay_sample(star(spark, d))

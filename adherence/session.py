@@ -8,7 +8,6 @@ exists for tests and the bench only.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,15 +43,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is respected as-is; if it is missing
-    there, this fails rather than invent a machine-local folder.  Only a local master (tests,
-    bench) gets a scratch folder.
+    there, this fails rather than invent a machine-local folder.  A local master (tests, bench) gets a
+    folder in its warehouse.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not current:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name shared storage on a cluster")
-        current = tempfile.mkdtemp(prefix="adherence-ckpt-")
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current

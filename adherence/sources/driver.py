@@ -8,8 +8,8 @@ Mapping (same expressions as the DuckDB oracle in ``adherence.plans.oracle``):
 * GTFS time of a stop visit: hour ``5 + l_orderkey % 21`` (up to 25, so post-midnight times
   occur), minute ``7 * l_linenumber``.
 * delay: NULL when ``l_returnflag = 'N' and l_linestatus = 'F'``, else ``(l_quantity - 20) * 30``.
-* realtime feed: every lineitem row (natural duplicates included) except line 7 of finished
-  lines; returnflag R carries only a time, A only a delay, N/F neither.
+* realtime feed: every lineitem row (natural duplicates included); the updates of line 7 of finished
+  lines name a stop id that the timetable lacks (``x`` before it); returnflag R carries only a time, A only a delay, N/F neither.
 
 Every view is lazy; nothing is collected.  Grain duplicates are collapsed with an aggregate
 (``max`` of a struct led by the total order) so map-side partial aggregation shrinks a hot key
@@ -18,7 +18,6 @@ before the shuffle.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,54 +38,16 @@ SEGMENT_ROUTE_TYPE = {
 }
 
 
-# tables large enough that a single-split scan would serialise the map side of the plan
-_SPREAD = {"lineitem", "orders", "events", "customer"}
-# per-process memo of facts about input files that do not change between queries: the schema
-# (so later reads skip Parquet footer inference, which is a Spark job per read) and the split count
-_FILE_FACTS: dict[tuple[str, int], tuple] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    par = spark.sparkContext.defaultParallelism
-    key = (path, par)
-    if key not in _FILE_FACTS:
-        probe = spark.read.parquet(path)
-        _FILE_FACTS[key] = (probe.schema, _read_units(probe))
-    schema, units = _FILE_FACTS[key]
-    df = spark.read.schema(schema).parquet(path)
-    df = df.select(*cols) if cols else df
-    spread_on = name in _SPREAD and os.environ.get("ADHERENCE_SPREAD", "1") == "1"
-    return spread(df, units, par) if spread_on else df
-
-
-def _read_units(df: DataFrame, max_files: int = 64) -> int:
-    """How many tasks can actually read data: Parquet splits only at row groups, so for a table of a
-    few files count their row groups (footers only); a table of many files counts as well split."""
-    files = df.inputFiles()
-    if len(files) > max_files:
-        return len(files)
-    from pyarrow import parquet as pq
-
-    from adherence.sources.gtfs_static import _fs
-
-    units = 0
-    for f in files:
-        fs, p = _fs(f)
-        with fs.open_input_file(p) as fh:
-            units += pq.ParquetFile(fh).metadata.num_row_groups
-    return units
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.select(*cols) if cols else df
 
 
-SPREAD_BELOW = 64
-
-
-def spread(df: DataFrame, units: int, par: int) -> DataFrame:
-    """Give a severely under-split input (a file or two with a handful of row groups) as many
-    partitions as the cluster has cores.  Anything with at least ``min(par, SPREAD_BELOW)``
-    readable units is left alone: its map side is already parallel enough, and a large table is
-    never re-shuffled just to widen it."""
-    return df if units >= min(par, SPREAD_BELOW) else df.repartition(par)
+def stop_visits(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """lineitem, hashed by trip: the grain contains the trip, so the de-duplication, the trip join and
+    the trip start all work on this one exchange.  A trip is a bounded number of visits."""
+    li = read(spark, sf_dir, "lineitem", *cols)
+    return li.withColumn("trip_id", F.col("l_orderkey").cast("string")).repartition("trip_id")
 
 
 def _segment_route_type(seg: Column) -> Column:
@@ -119,6 +80,10 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def by_trip(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("trip_id", F.col("o_orderkey").cast("string")).drop("o_orderkey")
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per trip (order): service date, route, route_type text."""
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
@@ -137,8 +102,8 @@ def dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W3 on the raw stop visits: one row per grain (l_orderkey, l_suppkey, l_linenumber); the
     winner is first under ``l_shipdate desc, l_partkey desc, l_extendedprice desc, l_quantity
     desc`` (a total order on this data).  ``dup_count`` keeps how many rows were collapsed."""
-    li = read(
-        spark, sf_dir, "lineitem",
+    li = stop_visits(
+        spark, sf_dir,
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
     )
@@ -146,9 +111,9 @@ def dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("l_shipdate", "l_partkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus")
     ).alias("w")
     return (
-        li.groupBy("l_orderkey", "l_suppkey", "l_linenumber")
+        li.groupBy("trip_id", "l_orderkey", "l_suppkey", "l_linenumber")
         .agg(best, F.count(F.lit(1)).alias("n_rows"))
-        .select("l_orderkey", "l_suppkey", "l_linenumber", "w.*", (F.col("n_rows") - 1).alias("dup_count"))
+        .select("trip_id", "l_orderkey", "l_suppkey", "l_linenumber", "w.*", (F.col("n_rows") - 1).alias("dup_count"))
     )
 
 
@@ -159,8 +124,8 @@ def _delay(qty: Column, rflag: Column, lstatus: Column) -> Column:
 
 
 def raw_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(
-        spark, sf_dir, "lineitem",
+    return stop_visits(
+        spark, sf_dir,
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
     )
 
@@ -176,13 +141,13 @@ def facts(spark: SparkSession, sf_dir: str, vehicle_types: DataFrame | None = No
     secs = sched_seconds(F.col("l_orderkey"), F.col("l_linenumber"))
     delay = _delay(F.col("l_quantity"), F.col("l_returnflag"), F.col("l_linestatus"))
     sched = T.local_datetime(F.col("full_date"), secs)
-    return li.join(t, li.l_orderkey == t.o_orderkey).select(
+    return li.join(by_trip(t), "trip_id").select(
         "date_key",
         "full_date",
         "route_key",
         F.col("l_suppkey").alias("stop_key"),
         "vehicle_type_key",
-        F.col("l_orderkey").cast("string").alias("trip_id"),
+        "trip_id",
         F.col("l_linenumber").alias("stop_sequence"),
         sched.alias("scheduled_arrival"),
         F.timestamp_add("SECOND", delay, sched).alias("actual_arrival"),
@@ -223,14 +188,12 @@ def stop_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass
 class Star:
-    """Fact table plus its dimensions; ``*_max_rows`` is a proven size bound or None."""
+    """Fact table plus its dimensions."""
 
     facts: DataFrame
     routes: DataFrame
     stops: DataFrame
     vehicle_types: DataFrame
-    routes_max_rows: int | None = None
-    stops_max_rows: int | None = None
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
@@ -240,8 +203,6 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         routes=route_dim(spark, sf_dir),
         stops=stop_dim(spark, sf_dir),
         vehicle_types=vt,
-        routes_max_rows=ROUTES,
-        stops_max_rows=None,
     )
 
 
@@ -250,12 +211,12 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 
 def schedule_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """stop_times.txt shape (all strings, as read from GTFS CSV) plus route_id and service date."""
-    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber").distinct()
+    li = stop_visits(spark, sf_dir, "l_orderkey", "l_suppkey", "l_linenumber").distinct()
     t = order_trips(spark, sf_dir).select("o_orderkey", "route_key", "full_date")
     secs = sched_seconds(F.col("l_orderkey"), F.col("l_linenumber"))
     txt = gtfs_time_text(secs)
-    return li.join(t, li.l_orderkey == t.o_orderkey).select(
-        F.col("l_orderkey").cast("string").alias("trip_id"),
+    return li.join(by_trip(t), "trip_id").select(
+        "trip_id",
         F.col("route_key").cast("string").alias("route_id"),
         F.col("l_suppkey").cast("string").alias("stop_id"),
         F.col("l_linenumber").cast("string").alias("stop_sequence"),
@@ -280,22 +241,22 @@ def rt_trip_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def realtime_updates(spark: SparkSession, sf_dir: str, zone: str = DEFAULT_ZONE) -> DataFrame:
     """Flat TripUpdates rows (S5 output shape) derived from lineitem, duplicates included."""
-    li = read(
-        spark, sf_dir, "lineitem",
-        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
-    ).filter(~((F.col("l_linenumber") == 7) & (F.col("l_linestatus") == "F")))
+    li = raw_lineitem(spark, sf_dir)
+    # updates of line 7 of finished lines name a stop that the timetable doesn't have
+    unknown = (F.col("l_linenumber") == 7) & (F.col("l_linestatus") == "F")
+    stop = F.col("l_suppkey").cast("string")
     t = rt_trip_descriptors(spark, sf_dir)
     rflag, lstatus = F.col("l_returnflag"), F.col("l_linestatus")
     secs = sched_seconds(F.col("l_orderkey"), F.col("l_linenumber"))
     sched_epoch = T.local_to_epoch(T.local_datetime(F.col("full_date"), secs), zone)
     d = ((F.col("l_quantity") - 20) * 30).cast("int")
     neither = (rflag == "N") & (lstatus == "F")
-    return li.join(t, li.l_orderkey == t.o_orderkey).select(
-        F.col("l_orderkey").cast("string").alias("trip_id"),
+    return li.join(by_trip(t), "trip_id").select(
+        "trip_id",
         F.col("route_key").cast("string").alias("route_id"),
         T.rt_start_to_epoch(F.col("start_date"), F.col("start_time"), zone).alias("trip_start_epoch"),
         "start_date",
-        F.col("l_suppkey").cast("string").alias("stop_id"),
+        F.when(unknown, F.concat(F.lit("x"), stop)).otherwise(stop).alias("stop_id"),
         F.col("l_linenumber").alias("stop_sequence"),
         F.when(~neither & (rflag != "R"), d).alias("delay_seconds"),
         F.when(~neither & (rflag != "A"), sched_epoch + d).alias("actual_epoch"),
@@ -359,8 +320,6 @@ def gtfs(spark: SparkSession, sf_dir: str):
         trips=trips_txt(spark, sf_dir),
         stops=stops_txt(spark, sf_dir),
         stop_times=stop_times_txt(spark, sf_dir),
-        routes_max_rows=ROUTES,
-        stops_max_rows=None,
     )
 
 
@@ -375,7 +334,8 @@ def quality_facts(facts_df: DataFrame) -> DataFrame:
 
 
 def loaded_stop_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stop dimension missing the stops of suppliers with a negative balance (not loaded yet),
-    which leaves orphan facts for the referential checks."""
-    s = read(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal").filter(F.col("s_acctbal") >= 0)
-    return stop_dim(spark, sf_dir).join(s.select(F.col("s_suppkey").alias("stop_key")), "stop_key", "left_semi")
+    """A stop dimension in which the stops of suppliers with a negative balance have another key
+    (its negative), which leaves orphan facts for the referential checks.  No row is left out."""
+    s = read(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal")
+    d = stop_dim(spark, sf_dir).join(s, F.col("stop_key") == F.col("s_suppkey"))
+    return d.withColumn("stop_key", F.when(F.col("s_acctbal") < 0, -F.col("stop_key")).otherwise(F.col("stop_key"))).drop("s_suppkey", "s_acctbal")

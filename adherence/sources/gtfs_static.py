@@ -60,8 +60,9 @@ def list_members(archives: DataFrame) -> DataFrame:
 def stage_members(members: DataFrame, staging: str) -> DataFrame:
     """One task per (archive, member): stream the member to ``{staging}/{table}/{archive-id}.txt``.
 
-    Written under a temporary name and then moved into place; the content is a pure function of
-    the archive, so a retried or speculative task rewrites the same bytes."""
+    Written under ``_tmp`` (which readers of the folder pass over) and then moved into place; the content
+    is a pure function of the archive, so a retried or speculative task rewrites the same bytes, and
+    what a killed task leaves behind is never read."""
     def run(batches):
         for pdf in batches:
             out = []
@@ -71,8 +72,9 @@ def stage_members(members: DataFrame, staging: str) -> DataFrame:
                 target = f"{staging.rstrip('/')}/{table}/{arch}.txt"
                 sfs, sp = _fs(p)
                 tfs, tp = _fs(target)
-                tfs.create_dir(tp.rsplit("/", 1)[0], recursive=True)
-                tmp = f"{tp}.{uuid.uuid4().hex}.tmp"
+                folder = tp.rsplit("/", 1)[0]
+                tfs.create_dir(f"{folder}/_tmp", recursive=True)
+                tmp = f"{folder}/_tmp/{uuid.uuid4().hex}"
                 with sfs.open_input_file(sp) as f, zipfile.ZipFile(f) as zf, zf.open(m) as src, \
                         tfs.open_output_stream(tmp) as dst:
                     shutil.copyfileobj(src, dst, 1 << 20)
@@ -102,3 +104,13 @@ def read_feed(spark: SparkSession, staged: str, tables=("agency", "routes", "tri
     t = {name: read_table(spark, f"{staged}/{name}", name) for name in tables}
     return Gtfs(agency=t.get("agency"), routes=t["routes"], trips=t["trips"], stops=t["stops"],
                 stop_times=t["stop_times"])
+
+
+def read_optional(spark: SparkSession, staged: str, table: str) -> DataFrame | None:
+    """A table that a feed may lack, as strings under its own header; None if it isn't there."""
+    from adherence.session import path_exists
+
+    if not path_exists(spark, f"{staged}/{table}"):
+        return None
+    raw = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").csv(f"{staged}/{table}")
+    return raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns])

@@ -27,7 +27,7 @@ FLAT_SCHEMA = T.StructType([
     T.StructField("start_date", T.StringType()),
     T.StructField("start_time", T.StringType()),
     T.StructField("stop_id", T.StringType()),
-    T.StructField("stop_sequence", T.IntegerType()),
+    T.StructField("stop_sequence", T.LongType()),
     T.StructField("delay_seconds", T.IntegerType()),
     T.StructField("actual_epoch", T.LongType()),
 ])
@@ -106,8 +106,6 @@ def decode_feed(path: str, payload: bytes, zero_is_missing: bool = False) -> lis
                 continue
             delay, t = _event(stu, zero_is_missing)
             seq = stu.stop_sequence if stu.HasField("stop_sequence") else None
-            if seq is not None and seq > 2_147_483_647:  # uint32 beyond the int column: unusable
-                seq = None
             if zero_is_missing and not seq:
                 seq = None
             rows.append((path, trip_id, route_id, start_date, start_time, stop_id, seq, delay, t))
@@ -117,11 +115,10 @@ def decode_feed(path: str, payload: bytes, zero_is_missing: bool = False) -> lis
 def _decode_batches(zero_is_missing: bool):
     def run(batches):
         for pdf in batches:
-            out = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                out.extend(decode_feed(path, bytes(content), zero_is_missing))
-            yield pd.DataFrame(out, columns=FLAT_SCHEMA.fieldNames()).astype(
-                {"stop_sequence": "Int32", "delay_seconds": "Int32", "actual_epoch": "Int64"})
+            for path, content in zip(pdf["path"], pdf["content"]):  # one file's rows at a time
+                out = decode_feed(path, bytes(content), zero_is_missing)
+                yield pd.DataFrame(out, columns=FLAT_SCHEMA.fieldNames()).astype(
+                    {"stop_sequence": "Int64", "delay_seconds": "Int32", "actual_epoch": "Int64"})
     return run
 
 
@@ -183,7 +180,7 @@ JSON_SCHEMA = T.StructType([T.StructField("entity", T.ArrayType(T.StructType([
             T.StructField("trip_id", T.StringType()), T.StructField("route_id", T.StringType()),
             T.StructField("start_date", T.StringType()), T.StructField("start_time", T.StringType())])),
         T.StructField("stop_time_update", T.ArrayType(T.StructType([
-            T.StructField("stop_sequence", T.IntegerType()), T.StructField("stop_id", T.StringType()),
+            T.StructField("stop_sequence", T.LongType()), T.StructField("stop_id", T.StringType()),
             T.StructField("arrival", _EVENT), T.StructField("departure", _EVENT)]))),
     ])),
 ])))])

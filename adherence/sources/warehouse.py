@@ -58,8 +58,9 @@ class EmptyExportError(ValueError):
     """Refusing to export an empty delay table."""
 
 
-def write_facts(facts: DataFrame, path: str) -> None:
-    """Replace the service dates present in ``facts`` (dynamic partition overwrite).
+def write_facts(facts: DataFrame, path: str, requested: int | None = None) -> None:
+    """Replace the service dates present in ``facts`` (dynamic partition overwrite).  A ``requested``
+    date key that ``facts`` has no rows of is emptied: nothing stale stays behind a reload.
 
     Rows are range-partitioned on (date_key, route_key, trip_id): each task writes a contiguous key
     range, so it touches few date folders, and a very large date is split over several tasks
@@ -69,6 +70,38 @@ def write_facts(facts: DataFrame, path: str) -> None:
     (facts.repartitionByRange("date_key", "route_key", "trip_id").sortWithinPartitions(
         "date_key", "route_key", "trip_id", "stop_sequence")
      .write.mode("overwrite").partitionBy("date_key").parquet(path))
+    if requested is not None and facts.filter(F.col("date_key") == requested).isEmpty():
+        _delete(spark, f"{path.rstrip('/')}/date_key={requested}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a dimension, oldest first."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [str(s.getPath().toString()) for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith("v=")]
+    return sorted(v for v in found if fs.exists(jvm.org.apache.hadoop.fs.Path(v, "_SUCCESS")))
+
+
+def read_dim(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version of a dimension; None if there is none.  A read error is one: it never
+    passes for a first load."""
+    found = _versions(spark, path)
+    return spark.read.parquet(found[-1]) if found else None
+
+
+def replace_dim(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
+    """``df`` as the next version of a dimension, read back.  Readers switch when the version is complete,
+    so a job that fails leaves the old one in place; versions before the last ``keep`` are removed."""
+    spark = df.sparkSession
+    old = _versions(spark, path)
+    last = int(old[-1].rsplit("v=", 1)[1]) if old else 0
+    df.write.parquet(f"{path.rstrip('/')}/v={last + 1:09d}")
+    for v in old[: max(0, len(old) + 1 - keep)]:
+        _delete(spark, v)
+    return read_dim(spark, path)
 
 
 def write_energy(scores: DataFrame, path: str, requested: list[tuple[int, str]] | None = None) -> None:
@@ -108,7 +141,16 @@ def read_star(spark: SparkSession, path: str, start_key: int | None = None, end_
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
     """The wide delay CSV (gz is read natively); bad timestamps become NULL; the hour is
     derived from the scheduled arrival when absent."""
-    raw = spark.read.schema(WIDE_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return _typed(spark.read.schema(WIDE_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path))
+
+
+def parse_wide(lines: DataFrame) -> DataFrame:
+    """The same for lines (``value``) that are in a frame already, without a header."""
+    parsed = F.from_csv("value", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in WIDE_SCHEMA.fields), {"mode": "PERMISSIVE"})
+    return _typed(lines.select(parsed.alias("r")).select("r.*"))
+
+
+def _typed(raw: DataFrame) -> DataFrame:
     sched = F.try_to_timestamp("scheduled_arrival").cast("timestamp_ntz")
     act = F.try_to_timestamp("actual_arrival").cast("timestamp_ntz")
     return raw.withColumn("full_date", F.col("full_date").try_cast("date")).withColumn(
@@ -123,14 +165,12 @@ def read_energy_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("full_date", F.col("full_date").try_cast("date")).withColumn("is_flagged", flag)
 
 
-def export_wide(wide: DataFrame, path: str, single_file: bool = False) -> None:
-    """Gz CSV.  Empty input is refused (one-row probe).  ``single_file`` sorts globally into
-    one ordered file for small hand-offs; otherwise the export stays parallel."""
+def export_wide(wide: DataFrame, path: str, ordered: bool = False) -> None:
+    """Gz CSV.  Empty input is refused (one-row probe).  ``ordered`` sorts globally, over as many
+    files as the sort has ranges; their names are in order."""
     if wide.isEmpty():
         raise EmptyExportError("no delay facts to export")
-    out = wide
-    if single_file:
-        out = wide.orderBy("date_key", "trip_id", "stop_sequence").coalesce(1)
+    out = wide.orderBy("date_key", "trip_id", "stop_sequence") if ordered else wide
     out.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(path)
 
 
@@ -150,8 +190,8 @@ def load_star(spark: SparkSession, warehouse: str, start_key: int | None = None,
 
     return Star(
         facts=read_star(spark, f"{warehouse}/fact_trip_delay", start_key, end_key),
-        routes=spark.read.parquet(f"{warehouse}/dim_route"),
-        stops=spark.read.parquet(f"{warehouse}/dim_stop"),
+        routes=read_dim(spark, f"{warehouse}/dim_route"),
+        stops=read_dim(spark, f"{warehouse}/dim_stop"),
         vehicle_types=vehicle_type_dim(spark),
     )
 

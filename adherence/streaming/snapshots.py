@@ -2,9 +2,9 @@
 
 * R1: new snapshot files are picked up by a file-source ``readStream``; ``trigger(availableNow)``
   processes whatever has landed since the last checkpoint and stops (the 15-minute poll).
-* R2: keep the latest update per key across snapshots.  The streaming aggregation keeps one state
-  row per key (``max_by`` over (snapshot time, tie-break)); ``foreachBatch`` rewrites only the
-  partitions (service dates) touched by the micro-batch, so the table is idempotent per batch.
+* R2: keep the latest update per key across snapshots.  The stream keeps no state: ``foreachBatch``
+  reduces the micro-batch (``max_by`` over (snapshot time, tie-break)) and merges it into the partitions
+  (service dates) that it touches, so a repeated batch changes nothing.
 * R3: delay per key per 15-minute tumbling window with a watermark (append mode: a window is
   emitted once the watermark passes its end; later rows for it are dropped as late).
 
@@ -65,26 +65,21 @@ def stream_files(spark, path: str, schema, fmt: str = "parquet", max_files: int
 
 def run_latest_merge(stream: DataFrame, keys: list[str], order: list[str], value_cols: list[str], table_path: str,
                      checkpoint: str, partition_col: str):
-    """R2 as a streaming job: stateful keep-latest aggregation, each micro-batch merged into a
-    Parquet table partitioned by ``partition_col`` with dynamic partition overwrite."""
-    agg = latest_per_key(stream, keys, order, value_cols)
-
+    """R2 as a streaming job without state: the table itself holds the latest row of each key, so each
+    micro-batch is reduced and merged into the partitions (``partition_col``) that it touches."""
     def merge(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        from adherence.session import path_exists
+        from adherence.session import cut_lineage, path_exists
 
-        touched = batch.select(partition_col).distinct()
+        new = cut_lineage(latest_per_key(batch, keys, order, value_cols))  # decoded once, used twice
         if path_exists(spark, table_path):   # only absence means "first batch"; read errors propagate
-            current = spark.read.parquet(table_path).join(touched, partition_col, "left_semi")
-            merged = latest_per_key(current.unionByName(batch.select(*current.columns)), keys, order, value_cols)
-        else:
-            merged = batch
-        # materialise before overwriting the files it was read from
-        merged = merged.checkpoint(eager=True)
-        merged.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
-
-    return (agg.writeStream.outputMode("update").foreachBatch(merge)
+            current = spark.read.parquet(table_path).join(new.select(partition_col).distinct(), partition_col, "left_semi")
+            # materialise before overwriting the files it was read from
+            new = cut_lineage(latest_per_key(current.unionByName(new.select(*current.columns)), keys, order, value_cols))
+        new.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
+
+    return (stream.writeStream.outputMode("append").foreachBatch(merge)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

@@ -20,7 +20,7 @@ def star(spark, by_route: dict, null_name_route=None):
     f = spark.createDataFrame(facts, FACT)
     r = spark.createDataFrame(routes, "route_key long, route_id string, route_short_name string, route_long_name string")
     s = spark.createDataFrame([(1, "1", "Stop", 59.3, 18.0)], "stop_key long, stop_id string, stop_name string, stop_lat double, stop_lon double")
-    return Star(f, r, s, vehicle_type_dim(spark), routes_max_rows=100, stops_max_rows=10)
+    return Star(f, r, s, vehicle_type_dim(spark))
 
 
 def test_filter_keys_and_predicate(spark):
@@ -64,7 +64,7 @@ def test_punctuality(spark):
     ladder = {r.within_minutes: r.percent for r in A.punctuality_ladder(A.punctuality_summary(st)).collect()}
     assert ladder[10] == 100.0
     story = A.punctuality_story(A.punctuality_summary(st)).first().story
-    assert story.startswith("Out of 6 stop arrivals")
+    assert story.startswith("6 measured stop arrivals")
 
 
 def test_color_range(spark):
@@ -115,8 +115,7 @@ def test_story_rounds_like_python(spark):
     s = spark.createDataFrame([(8, 12.5, 37.5, 50.0, 0.25, 1.0)],
                               "n long, early_pct double, on_time_pct double, late_pct double, median_min double, p90_min double")
     story = A.punctuality_story(s).first().story
-    py = (f"Out of **{8:,}** ".replace("**", "") + f"stop arrivals with a live update, {37.5:.0f}% were about on time "
-          f"(+/-1 min), {12.5:.0f}% were early, and {50.0:.0f}% were late.")
+    py = f"{8:,} measured stop arrivals: {37.5:.0f}% on time (within a minute), {12.5:.0f}% early, {50.0:.0f}% late;"
     assert story.startswith(py) and f"{0.25:+.1f} min" in story
 
 

@@ -272,7 +272,7 @@ def test_jobs_end_to_end(spark, landing, tmp_path):
     n1 = spark.read.parquet(f"{wh}/fact_trip_delay").count()
     jobs.run_transform(spark, SERVICE_DATE, str(landing), wh, "SL")          # rerun: same date replaced
     assert spark.read.parquet(f"{wh}/fact_trip_delay").count() == n1 == rep["rows_loaded"]
-    assert spark.read.parquet(f"{wh}/dim_route").count() == 3
+    assert W.read_dim(spark, f"{wh}/dim_route").count() == 2  # the operator's own
     rep_dq = {r.check_id: r.passed for r in jobs.run_quality(spark, SERVICE_DATE, wh).collect()}
     assert rep_dq["DQ-001"] and rep_dq["DQ-005"] and rep_dq["DQ-006"] and not rep_dq["DQ-007"]
     with pytest.raises(Exception, match="DQ-001"):
@@ -304,13 +304,63 @@ def test_stream_snapshots_keep_latest(spark, landing, tmp_path):
     assert got.select(*cols).exceptAll(batch.select(*cols)).count() == 0
 
 
-def test_fallback_flags_equal_default_without_null_starts(spark, feed, landing):
-    sched = M.scheduled(feed, STATIC_FEED_NATIONAL, service_date=SERVICE_DATE)
-    rt = _rt(spark, landing, "fallback").filter(F.col("trip_start_epoch").isNotNull())
-    full = M.match_fallback(sched, rt)
-    lean = M.match_fallback(sched, rt, rt_null_starts=False, sched_null_starts=False)
-    assert full.count() == lean.count() > 0
-    assert full.exceptAll(lean.select(*full.columns)).count() == 0
+def test_first_stop_beyond_any_hour(spark):
+    """The first stop is the one with the lowest sequence, however late it departs."""
+    df = spark.createDataFrame([("T", "1", "300:00:00", dt.date(2026, 7, 12)), ("T", "2", "05:00:00", dt.date(2026, 7, 12))],
+                               "trip_id string, stop_sequence string, departure_time string, service_date date")
+    assert M.trip_starts(df).first().trip_start_ts == dt.datetime(2026, 7, 24, 12)
+
+
+def test_same_ids_of_two_operators_do_not_fan_out(spark):
+    from adherence.operators import dims as D
+    from adherence.operators import facts as FACTS
+    routes = spark.createDataFrame([("R", "a", 1), ("R", "b", 2)], "route_id string, operator string, route_key long")
+    stops = spark.createDataFrame([("S", "a", 3), ("S", "b", 4)], "stop_id string, operator string, stop_key long")
+    row = spark.createDataFrame([("T", "S", "1", "R", "3", dt.date(2026, 7, 12), dt.datetime(2026, 7, 12, 8), None, None, 60),
+                                 (None, "S", "1", "R", "3", dt.date(2026, 7, 12), dt.datetime(2026, 7, 12, 8), None, None, 60)],
+                                "trip_id string, stop_id string, stop_sequence string, route_id string, route_type string, service_date date, "
+                                "scheduled_arrival timestamp_ntz, actual_arrival timestamp_ntz, actual_epoch long, delay_seconds int")
+    facts, report, rejects = FACTS.build(row, routes, stops, D.vehicle_type_dim(spark), operator="b")
+    got = facts.collect()
+    assert [(r.route_key, r.stop_key) for r in got] == [(2, 4)]
+    rep = report.first()
+    assert rep.rows_loaded == 1 and rep.rows_rejected == 1 and rep.rows_seen == 2 and rejects.count() == 1
+
+
+def test_a_reload_without_rows_leaves_none(spark, tmp_path):
+    from adherence.sources import warehouse as W
+    df = spark.createDataFrame([(20260712, 1, "T", 1), (20260713, 1, "T", 1)], "date_key int, route_key long, trip_id string, stop_sequence int")
+    path = str(tmp_path / "rejects")
+    W.write_facts(df, path)
+    W.write_facts(df.limit(0), path, requested=20260712)
+    assert [r.date_key for r in spark.read.parquet(path).select("date_key").collect()] == [20260713]
+
+
+def test_dimension_versions(spark, tmp_path):
+    from adherence.sources import warehouse as W
+    path = str(tmp_path / "dim")
+    assert W.read_dim(spark, path) is None
+    for n in (1, 2, 3):
+        assert W.replace_dim(spark.range(n), path).count() == n
+    (tmp_path / "dim" / "v=000000009").mkdir()  # a version that was never completed
+    assert W.read_dim(spark, path).count() == 3
+    assert sorted(p.name for p in (tmp_path / "dim").iterdir()) == ["v=000000002", "v=000000003", "v=000000009"]
+
+
+def test_leftover_staging_files_are_not_data(spark, tmp_path):
+    (tmp_path / "stops" / "_tmp").mkdir(parents=True)
+    (tmp_path / "stops" / "a.txt").write_text("stop_id,stop_name,stop_lat,stop_lon\nS1,One,59.1,18.1\n")
+    (tmp_path / "stops" / "_tmp" / "0123").write_text("stop_id,stop_name,stop_lat,stop_lon\nS1,One,59.1,18.1\nS2,Tr")
+    assert G.read_table(spark, str(tmp_path / "stops"), "stops").count() == 1
+
+
+def test_status_of_another_run_does_not_leak(spark):
+    from adherence.operators import runs as RUNS
+    a = RUNS.run_record(spark, "2026-07-12", "success", 1, "A", finished_at=dt.datetime(2026, 7, 12, 1))
+    b = RUNS.run_record(spark, "2026-07-12", "success", 1, "B", finished_at=dt.datetime(2026, 7, 12, 2))
+    ev = RUNS.dq_event(spark, "2026-07-12", "passed", "A")
+    assert RUNS.latest(a.unionByName(b).unionByName(ev)).first().dq_status is None
+    assert RUNS.latest(a.unionByName(b).unionByName(RUNS.dq_event(spark, "2026-07-12", "warn"))).first().dq_status == "warn"
 
 
 def test_cli_entry_points(spark, landing, tmp_path):

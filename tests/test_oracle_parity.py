@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from adherence.plans import catalog
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -26,11 +27,11 @@ def duck(sf_dir):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
-    df = E.queries()[name](spark, sf_dir)
+    df = catalog.QUERIES[name](spark, sf_dir)
     got = _norm([tuple(r) for r in df.collect()], df.columns)
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(catalog.ORACLE[name])
     cols = [c[0] for c in cur.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == _norm(cur.fetchall(), cols)
@@ -48,7 +49,7 @@ def test_partition_invariance(spark, sf_dir, name):
         res = []
         for n in ("1", "16"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            df = E.queries()[name](spark, sf_dir)
+            df = catalog.QUERIES[name](spark, sf_dir)
             res.append(_norm([tuple(r) for r in df.collect()], df.columns))
         assert res[0] == res[1]
     finally:

@@ -2,7 +2,7 @@
 plan, and column pruning down to the Parquet scans (no query reads a column it never uses)."""
 import pytest
 
-import __spark_entry__ as E
+from adherence.plans import catalog
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "MapInPandas", "FlatMapGroupsInPandas", "Scan ExistingRDD"]
@@ -22,13 +22,9 @@ def scans(spark_plan):
     return out
 
 
-# order statistics are computed eagerly into a checkpoint / a one-row result (see order_stats)
-MATERIALISED = {"delay_sample", "robust_color_range"}
-
-
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - MATERIALISED))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_plan_hygiene(spark, sf_dir, name):
-    qe = E.queries()[name](spark, sf_dir)._jdf.queryExecution()
+    qe = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution()
     plan = qe.sparkPlan()
     text = plan.toString() + qe.executedPlan().toString()
     for bad in FORBIDDEN:

@@ -65,33 +65,17 @@ def test_epoch_matches_python_zoneinfo_fold0(spark, stamps):
         assert e == int(s.replace(tzinfo=z, fold=0).timestamp()), s
 
 
-def test_exact_order_statistics_against_brute_force(spark):
-    import random
-
-    from adherence.operators import order_stats as OS
-    rnd = random.Random(7)
-    vals = [rnd.choice([1.5, 2.0, 2.0, 2.0]) if i % 3 == 0 else rnd.gauss(0, 100) for i in range(70_000)]
-    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double")
-    s = sorted(vals)
-    for k in (0, 1, 12345, 69_999):
-        assert OS.kth_smallest(df, "v", k) == s[k]
-    exp = df.agg(F.percentile("v", [0.05, 0.5, 0.95])).first()[0]
-    got = [OS.quantile(df, "v", p) for p in (0.05, 0.5, 0.95)]
-    assert got == exp
-    assert OS.quantiles(df, "v", [0.05, 0.5, 0.95]) == exp          # above SMALL: order statistics
-    small = df.limit(1000)
-    assert OS.quantiles(small, "v", [0.5]) == small.agg(F.percentile("v", [0.5])).first()[0]
-
+def test_uniform_digests(spark):
+    """The same digest everywhere, spread evenly; a sample of any fraction is near its size."""
+    import hashlib
 
-def test_smallest_k_equals_ordered_limit(spark):
-    from adherence.operators import order_stats as OS
-    df = spark.range(0, 200_000).select(F.xxhash64("id").alias("h"), F.col("id"))
-    got = sorted(r.id for r in OS.smallest_k(df, "h", 1000, ["id"]).collect())
-    exp = sorted(r.id for r in df.orderBy("h", "id").limit(1000).collect())
-    assert got == exp
-    ties = spark.range(0, 100).select((F.col("id") % 3).alias("h"), "id")
-    got = sorted(r.id for r in OS.smallest_k(ties, "h", 40, ["id"]).collect())
-    assert got == sorted(r.id for r in ties.orderBy("h", "id").limit(40).collect())
+    from adherence.functions.ids import uniform
+    from adherence.operators import match as M
+    df = spark.range(0, 20_000).select(F.col("id").cast("string").alias("trip_id"))
+    for r in df.limit(20).select("trip_id", uniform(F.lit("42"), F.col("trip_id")).alias("u")).collect():
+        assert r.u == int(hashlib.md5(f"42|{r.trip_id}".encode()).hexdigest()[:13], 16) / 2 ** 52
+    assert abs(M.sample_trips(df, 0.1).count() - 2000) < 250
+    assert 0 < M.sample_trips(spark.range(0, 400_000).select(F.col("id").alias("trip_id")), 0.00004).count() < 60
 
 
 @settings(max_examples=3, deadline=None)
@@ -107,7 +91,8 @@ def test_bucketed_band_join_equals_brute_force(spark, sched_rows, rt_rows):
     r = spark.createDataFrame([("r", str(a), str(b), e, i, None) for i, (a, b, e) in enumerate(rt_rows)],
                               "route_id string, stop_id string, stop_sequence string, trip_start_epoch long, "
                               "delay_seconds int, actual_epoch long")
-    got = sorted((x.trip_id, x.delay_seconds) for x in M.match_fallback(s, r, band=300).collect())
+    s = s.withColumn("service_date", F.lit("2026-07-12").cast("date"))
+    got = sorted((x.trip_id, x.delay_seconds) for x in M.match_fallback(s, r, band=300, default_date="2026-07-12").collect())
     exp = sorted((f"t{i}", j) for i, (a, b, e) in enumerate(sched_rows) for j, (c, d, f) in enumerate(rt_rows)
                  if (a, b) == (c, d) and (e is None or f is None or abs(e - f) <= 300))
     assert got == exp
