@@ -11,9 +11,11 @@ under its two segments, and probes the segments of lines of its own length and o
 Candidates are verified by a bit-parallel edit distance on the band of three diagonals.
 
 Segments that many lines share (over ``FEW`` in a bucket) are not paired.  Their lines are indexed
-again under all but one of ``BLOCKS`` blocks, and those that still meet many lines under all but one
-character, where whoever meets is one edit apart and is linked to the least of them.  Each step finds
-every link of the lines it is given, so none is lost, and no bucket gives more than ``FEW`` squared pairs.
+again under all but one of ``BLOCKS`` blocks; those that still meet many lines, under all but one part
+of that block, and so on until a part has ``SHORT`` characters; there they are indexed under all but
+one character, where whoever meets is one edit apart and is linked to the least of them.  Each step
+finds every link of the lines it is given, so none is lost, and no bucket gives more than ``FEW``
+squared pairs.
 
 All in DataFrame functions.  Line texts move only for candidates; all else is hashes (128 bits for
 equality).  Defined cases: a null text stays null and an empty one empty; rows with equal doc_id and
@@ -31,6 +33,7 @@ from adherence.llm.base import components, only_ids, stored, table
 
 MIN_CHARS = 24
 BLOCKS = 16
+SHORT = 12
 #: Lines of a bucket that are paired directly.
 FEW = 16
 _LAST = (1 << 63) - 1
@@ -100,58 +103,64 @@ def within_one(a: Column, b: Column) -> Column:
     ``r0`` and ``r1`` hold, for the characters of ``a`` read so far, the diagonals (bit 0: one character
     of ``b`` less, 1: as many, 2: one more) that are reached with no and with one edit."""
     x, y = F.split(a, ""), F.split(b, "")
-    start = F.struct(F.lit(2).alias("r0"), F.lit(6).alias("r1"))
+    # by place of a: on which diagonals its character is that of b.  Outside of the fold below, whose
+    # function would split the strings anew for every character if it looked at them
+    def bits(other, v):
+        return F.zip_with(x, other, lambda c, d: F.when(c == d, F.lit(v)).otherwise(F.lit(0)))
 
-    def step(s, i):
-        c = F.get(F.col("x"), i)
-        bit = lambda j, v: F.when(F.get(F.col("y"), j) == c, F.lit(v)).otherwise(F.lit(0))
-        same = bit(i - 1, 1).bitwiseOR(bit(i, 2)).bitwiseOR(bit(i + 1, 4))
+    def both(p, q):
+        return F.zip_with(p, q, lambda c, d: F.coalesce(c, F.lit(0)) + F.coalesce(d, F.lit(0)))
+
+    before, after = F.concat(F.array(F.lit(None).cast("string")), y), F.slice(y, 2, F.greatest(F.size(y), F.lit(1)))
+    same_at = F.slice(both(both(bits(before, 1), bits(y, 2)), bits(after, 4)), 1, F.length(a))
+
+    def step(s, same):
         r0 = s["r0"].bitwiseAND(same)
         one = s["r1"].bitwiseAND(same).bitwiseOR(s["r0"]).bitwiseOR(F.shiftright(s["r0"], 1)).bitwiseOR(F.shiftleft(r0, 1))
         return F.struct(r0.alias("r0"), one.bitwiseAND(F.lit(7)).alias("r1"))
 
-    end = F.aggregate(F.sequence(F.lit(0), F.length(a) - 1), start, step)
+    end = F.aggregate(same_at, F.struct(F.lit(2).alias("r0"), F.lit(6).alias("r1")), step)
     more = F.length(b) - F.length(a)
     last = F.when(more == -1, 1).when(more == 0, 2).when(more == 1, 4).otherwise(0)
-    return x, y, end["r1"].bitwiseAND(last) != 0
+    return end["r1"].bitwiseAND(last) != 0
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("ta"))
     b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("tb"))
     both = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
-    x, y, near = within_one(F.col("ta"), F.col("tb"))
-    return both.withColumn("x", x).withColumn("y", y).where(near).select("a1", "a2", "b1", "b2")
-
-
-def _blocks(texts: DataFrame) -> DataFrame:
-    """(key, h1, h2, own): lines under all but one of ``BLOCKS`` blocks, cut by their own length (own = 1)
-    and by that of lines of one character less, one block being a character longer (own = 0)."""
-    n, s = F.length("line"), F.col("line")
-
-    def keys(m, more, own):
-        cut = lambda k: (F.lit(k) * m / BLOCKS).cast("int")
-        return [F.struct(F.xxhash64(m, F.lit(k), F.substring(s, F.lit(1), cut(k)), F.substring(s, cut(k + 1) + 1 + more, n)).alias("key"),
-                         F.lit(own).alias("own")) for k in range(BLOCKS)]
-
-    every = F.array(*keys(n, 0, 1), *keys(n - 1, 1, 0))
-    return texts.select("h1", "h2", F.explode(every).alias("k")).select("k.key", "h1", "h2", "k.own").distinct()
-
-
-def _but_one(texts: DataFrame) -> DataFrame:
-    """Links (a1, a2, b1, b2) of lines that agree in all but one character: whoever meets is linked to
-    the least line of the bucket.  A line that lacks a character of another meets it by its whole."""
-    n, s = F.length("line"), F.col("line")
-    rest = lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, n))
-    key = lambda kind, k: F.struct(F.lit(kind).alias("kind"), k.alias("key"))
-    every = F.concat(F.array(key("whole", F.xxhash64(s))),
-                     F.transform(F.sequence(F.lit(1), n), lambda i: key("lacks", F.xxhash64(rest(i)))),
-                     F.transform(F.sequence(F.lit(1), n), lambda i: key("changed", F.xxhash64(i, rest(i)))))
-    rows = texts.select("h1", "h2", F.explode(every).alias("k")).select(
+    return both.where(within_one(F.col("ta"), F.col("tb"))).select("a1", "a2", "b1", "b2")
+
+
+def _narrowed(rows: DataFrame) -> DataFrame:
+    """Of (key, h1, h2, own, lo, hi, line): lines that agree outside lo..hi (of the shorter line's places;
+    own = 0 marks the longer one) under keys that say so for each of ``BLOCKS`` parts of lo..hi."""
+    lo, hi, more = F.col("lo"), F.col("hi"), 1 - F.col("own")
+
+    def part(k: int):
+        a, b = (lo + F.floor((hi - lo) * j / BLOCKS).cast("int") for j in (k, k + 1))
+        kept = F.substring("line", lo + 1, a - lo), F.substring("line", b + 1 + more, hi - b)
+        return F.struct(F.xxhash64("key", a, b, *kept).alias("key"), a.alias("lo"), b.alias("hi"))
+
+    return rows.select("h1", "h2", "own", "line", F.explode(F.array(*map(part, range(BLOCKS)))).alias("k")).where("k.hi > k.lo").select(
+        "k.key", "h1", "h2", "own", "k.lo", "k.hi", "line")
+
+
+def _but_one(rows: DataFrame) -> DataFrame:
+    """Links (a1, a2, b1, b2) of lines that agree outside a short part (rows as in ``_narrowed``) and in
+    all but one character of it: whoever meets is linked to the least line of the bucket.  A line that
+    lacks a character of another meets it by its whole part."""
+    part = F.substring("line", F.col("lo") + 1, F.col("hi") - F.col("lo") + 1 - F.col("own"))
+    rows = rows.withColumn("part", part).withColumn("n", F.length("part"))
+    rest = lambda i: F.concat(F.substring("part", F.lit(1), i - 1), F.substring("part", i + 1, F.col("n")))
+    key = lambda kind, *x: F.struct(F.lit(kind).alias("kind"), F.xxhash64("key", *x).alias("key"))
+    at = F.sequence(F.lit(1), F.col("n"))
+    shorter = F.concat(F.array(key("whole", "part")), F.transform(at, lambda i: key("changed", i, rest(i))))
+    longer = F.transform(at, lambda i: key("lacks", rest(i)))
+    rows = rows.select("h1", "h2", F.explode(F.when(F.col("own") == 1, shorter).otherwise(longer)).alias("k")).select(
         "h1", "h2", (F.col("k.kind") == "changed").alias("changed"), "k.key", (F.col("k.kind") == "whole").alias("whole")).distinct()
-    line = F.struct("h1", "h2")
     # two lines that lack a character each may be two edits apart: only a line that is there as a whole links them
-    lead = (rows.groupBy("changed", "key").agg(F.count("*").alias("n"), F.min(F.when(F.col("whole") | F.col("changed"), line)).alias("to"))
+    lead = (rows.groupBy("changed", "key").agg(F.count("*").alias("n"), F.min(F.when(F.col("whole") | F.col("changed"), F.struct("h1", "h2"))).alias("to"))
             .where("n > 1 and to is not null"))
     return rows.join(lead, ["changed", "key"]).select(
         F.col("to.h1").alias("a1"), F.col("to.h2").alias("a2"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
@@ -165,16 +174,20 @@ def _near_links(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataF
     wanted = met.select("h1", "h2").distinct()
     texts = stored(_texts(docs, lines, wanted), "texts")
     links = _verified(_pairs(met), texts)
-    crowded = met.where(F.col("n") > FEW)
-    if not crowded.limit(1).count():
-        return links
-    again = texts.join(crowded.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
-    met = stored(_met(_blocks(again)), "met")
-    links = links.unionByName(_verified(_pairs(met), texts))
-    crowded = met.where(F.col("n") > FEW)
-    if not crowded.limit(1).count():
-        return links
-    return links.unionByName(_but_one(texts.join(crowded.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")))
+    crowded = met.where(F.col("n") > FEW).select("h1", "h2").distinct()
+    # lines of crowded buckets begin anew, with the whole line as the part in which they may differ
+    n = F.length("line")
+    part = lambda own, m: F.struct(F.xxhash64(m).alias("key"), F.lit(own).alias("own"), F.lit(0).alias("lo"), m.cast("int").alias("hi"))
+    rows = texts.join(crowded, ["h1", "h2"], "left_semi").select("h1", "h2", "line", F.explode(F.array(part(1, n), part(0, n - 1))).alias("k")).select("h1", "h2", "line", "k.*")
+    while crowded.limit(1).count():
+        met = stored(_met(_narrowed(rows).drop("line").distinct()), "met")
+        links = links.unionByName(_verified(_pairs(met), texts))
+        crowded = met.where(F.col("n") > FEW)
+        rows = crowded.join(texts, ["h1", "h2"])
+        short = F.col("hi") - F.col("lo") <= SHORT
+        links = links.unionByName(_but_one(rows.where(short)))
+        rows, crowded = rows.where(~short), crowded.where(~short)
+    return links
 
 
 def repeats(docs: DataFrame) -> DataFrame:

@@ -3,18 +3,17 @@
 A document is the set of its distinct word shingles.  Equal sets are collapsed first.  ``TREES``
 independent trees branch the sets: at each node of a tree a set goes to the child named by its
 minwise shingle under that level's hash, so two sets of similarity s stay together with probability s
-a level.  A node that is small is compared exhaustively; a larger one is compared with its leader
-(its least id) and branches on.  Linked sets are one component, so pairs whose ends are already in
-one component are not looked at again: a large cluster of near copies costs a link a member, not all
-pairs, and a node whose members are all in one component is finished.  There is no cap on members,
+a level.  A node that is small is compared exhaustively, in one task and by full sets; a larger one is
+compared with its leader (its least id) and branches on.  Linked sets are one component, so a node gives
+a spanning set of links and no pairs, what is in one component already is not looked at again, and a
+node whose members are all in one component is finished.  There is no cap on members,
 partners or depth: nodes branch until none is left, and sets that agree on every minwise shingle are
 compared in blocks of the node.
 
 A pair of similarity s is missed by all trees with a probability of about ``(1 - s^d)^TREES`` for
 nodes that are small at depth d (6e-9 at s = 0.85, d = 1; 3e-6 at d = 2).  Candidates whose minwise
 shingles agree in too few of the ``TREES * LEVELS`` places are passed over (4.4 standard deviations below
-the mean at the threshold, 1 in 100 000); every other candidate is confirmed on the two full sets, the
-most alike ones first, as those make the others unnecessary.
+the mean at the threshold, 1 in 100 000); every other candidate is confirmed on the two full sets.
 
 Defined cases: null and empty texts have an empty set, linked with nothing; fewer words than a shingle
 has make one shingle; rows without doc_id take no part (component null, kept); rows with equal doc_id
@@ -36,7 +35,7 @@ TREES = 10
 #: Levels of a tree with hashes of their own; deeper levels take those of the following trees.
 LEVELS = 4
 #: Members of a node that are compared exhaustively.
-SMALL = 512
+SMALL = 2048
 _PLACES = TREES * LEVELS
 _SCALE = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 _SHIFT = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0xC2B2AE3D27D4EB4F))
@@ -77,11 +76,16 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(sign, schema)
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of some documents, from one pass over all."""
+    return stored(only_ids(docs.select(F.col("doc_id").alias("id"), "text").where("id is not null"), ids), "texts")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Of the pairs (a, b), those whose full shingle sets have ``100 * both >= percent * either``.
     Only texts that are in a pair move, once by each end."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
-    texts = stored(only_ids(docs.select(F.col("doc_id").alias("id"), "text").where("id is not null"), ids), "texts")
+    texts = _texts_of(docs, ids)
     both = (pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b"))
 
@@ -105,12 +109,11 @@ def _places(col) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, _PLACES)
 
 
-def _node_pairs(rows: DataFrame, agree: int, best: bool) -> DataFrame:
-    """Pairs (a, b, n) of small nodes that agree enough, in n places, and are in two components; if
-    ``best``, only the pair of each member that agrees most.  Nodes lie in a row in their partitions;
-    the node that a batch ends in is taken along to the next one."""
+def _by_node(found):
+    """A function of Arrow batches whose nodes (tree, node) lie in a row: ``found`` gets one table of whole
+    nodes after the other; the node that a batch ends in is taken along to the next one."""
 
-    def pairs(batches):
+    def run(batches):
         rest = None
         for batch in batches:
             t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
@@ -120,38 +123,89 @@ def _node_pairs(rows: DataFrame, agree: int, best: bool) -> DataFrame:
             other = np.flatnonzero((key != key[:, -1:]).any(axis=0))
             end = int(other[-1]) + 1 if len(other) else 0
             rest = t.slice(end).combine_chunks()
-            yield from found(t.slice(0, end))
+            if end:
+                yield from found(t.slice(0, end).combine_chunks())
         if rest is not None:
             yield from found(rest)
 
+    return run
+
+
+def _involved(rows: DataFrame, agree: int) -> DataFrame:
+    """Of members (tree, node, id, comp, sig8) of small nodes, those that agree enough with a member of
+    another component."""
+
     def found(t):
-        if t.num_rows < 2:
-            return
-        tree, node, ids, comp = (t.column(c).to_numpy() for c in ("tree", "node", "id", "comp"))
+        tree, node, comp = (t.column(c).to_numpy() for c in ("tree", "node", "comp"))
         sig, at = _places(t.column("sig8")), np.arange(t.num_rows)
-        most, mate = np.zeros(t.num_rows, np.int64), np.zeros(t.num_rows, np.int64)
+        hit = np.zeros(t.num_rows, bool)
         for d in range(1, SMALL):
             at = at[at + d < t.num_rows]
             at = at[(node[at] == node[at + d]) & (tree[at] == tree[at + d])]
             if not len(at):
                 break
             near = at[comp[at] != comp[at + d]]
-            n = (sig[near] == sig[near + d]).sum(axis=1)
-            near, n = near[n >= agree], n[n >= agree]
-            if not best:
-                yield rows_of(ids[near], ids[near + d], n)
-                continue
-            for x, y in ((near, near + d), (near + d, near)):
-                more = n > most[x]
-                most[x[more]], mate[x[more]] = n[more], y[more]
-        has = np.flatnonzero(most)
-        yield rows_of(ids[has], ids[mate[has]], most[has])
-
-    def rows_of(x, y, n):
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(n, pa.int64())], ["a", "b", "n"])
+            near = near[(sig[near] == sig[near + d]).sum(axis=1) >= agree]
+            hit[near] = hit[near + d] = True
+        for batch in t.select(["tree", "node", "id", "comp"]).filter(pa.array(hit)).to_batches():
+            yield batch
 
     rows = rows.select("tree", "node", "id", "comp", "sig8").repartition("tree", "node").sortWithinPartitions("tree", "node")
-    return rows.mapInArrow(pairs, "a long, b long, n long")
+    return rows.mapInArrow(_by_node(found), "tree int, node long, id long, comp long")
+
+
+def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sorted sets, as products of their 0-1 rows over the elements that two
+    of them have, some thousand elements at a time."""
+    n = len(sets)
+    rows = np.repeat(np.arange(n), [len(s) for s in sets])
+    codes, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    keep = count[codes] > 1
+    rows, codes = rows[keep], codes[keep]
+    order = np.argsort(codes, kind="stable")
+    rows, codes = rows[order], np.unique(codes[order], return_inverse=True)[1]
+    out = np.zeros((n, n), np.float32)  # exact up to 2^24 elements
+    step = 4096
+    for a in range(0, int(codes[-1]) + 1 if len(codes) else 0, step):
+        lo, hi = np.searchsorted(codes, [a, a + step])
+        block = np.zeros((n, step), np.float32)
+        block[rows[lo:hi], codes[lo:hi] - a] = 1
+        out += block @ block.T
+    return out
+
+
+def _node_links(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between components, a spanning set of them for each small node, from its members' full
+    shingle sets, compared all with all."""
+
+    def found(t):
+        tree, node = t.column("tree").to_numpy(), t.column("node").to_numpy()
+        begin = np.flatnonzero(np.concatenate([[True], (tree[1:] != tree[:-1]) | (node[1:] != node[:-1])]))
+        for a, b in zip(begin, np.append(begin[1:], t.num_rows), strict=True):
+            if b - a > 1:
+                yield links(t.slice(a, b - a))
+
+    def links(t):
+        text, sets = t.column("text"), []
+        text = text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text
+        for x, y in slices(text):
+            sets += shingle_sets(Words(text.slice(x, y - x)), k)
+        ids, size = t.column("id").to_numpy(), np.array([len(s) for s in sets], np.int64)
+        label = np.unique(t.column("comp").to_numpy(), return_inverse=True)[1]
+        both = _shared_counts(sets).astype(np.int64)
+        hit = (both > 0) & (100 * both >= percent * (size[:, None] + size[None] - both))
+        out = []
+        for i in range(len(ids)):
+            near = np.flatnonzero(hit[i])
+            for other in np.unique(label[near]):
+                if other != label[i]:
+                    j = near[label[near] == other][0]
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    label[label == other] = label[i]
+        return pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    both = rows.join(texts, "id").select("tree", "node", "id", "comp", "text").repartition("tree", "node").sortWithinPartitions("tree", "node", "id")
+    return both.mapInArrow(_by_node(found), "a long, b long").distinct()
 
 
 def _best_of_each(pairs: DataFrame) -> DataFrame:
@@ -174,7 +228,16 @@ class _Found:
         if not pairs.limit(1).count():
             return
         self.tried = self.tried.unionByName(pairs)
-        new = stored(confirmed(self.docs, pairs, self.k, self.percent), "links")
+        self._add(stored(confirmed(self.docs, pairs, self.k, self.percent), "links"))
+
+    def try_nodes(self, members: DataFrame) -> None:
+        members = stored(members, "members")
+        ids = stored(members.select("id").distinct(), "ends")
+        if not ids.limit(1).count():
+            return
+        self._add(stored(_node_links(members, _texts_of(self.docs, ids), self.k, self.percent), "links"))
+
+    def _add(self, new: DataFrame) -> None:
         if new.limit(1).count():
             self.links = self.links.unionByName(new)
             self.comp = stored(components(self.links), "comp")
@@ -203,23 +266,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     found.try_pairs(_best_of_each(_candidates(_leader_pairs(rows), short, agree)))
     depth = 1
     while True:
+        # one tree links most members of a cluster; the others look at what it has left apart
+        for trees in (F.col("tree") == 0, F.col("tree") > 0):
+            own = stored(_open(rows.where(trees).select("tree", "node", "id"), found.comp), "nodes")
+            found.try_nodes(_involved(own.where(F.col("n") <= SMALL).join(short, "id"), agree))
+        large = stored(_open(rows.select("tree", "node", "id"), found.comp).where(F.col("n") > SMALL), "nodes")
+        if not large.limit(1).count():
+            break
         # a node that every hash leaves whole is compared in blocks
         last = depth >= _PLACES
-        for best in (True, False):
-            rows = stored(_open(rows.select("tree", "node", "id"), found.comp), "nodes")  # nodes with two components at least
-            large = rows.where(F.col("n") > SMALL)
-            pairs = _node_pairs(rows.where(F.col("n") <= SMALL).join(short, "id"), agree, best)
-            wide = _candidates(_across(large) if last and not best else _leader_pairs(large, "comp"), short, agree)
-            pairs = pairs.unionByName(wide)
-            found.try_pairs(_best_of_each(pairs) if best else pairs.select("a", "b").distinct())
+        pairs = _candidates(_across(large) if last else _leader_pairs(large, "comp"), short, agree)
+        found.try_pairs(pairs.select("a", "b").distinct() if last else _best_of_each(pairs))
         if last:
             break
-        rows = _open(rows.select("tree", "node", "id"), found.comp).where(F.col("n") > SMALL)
-        rows = rows.select("tree", "node", "id").join(reps.select("id", "sig"), "id")
+        rows = _open(large.select("tree", "node", "id"), found.comp).select("tree", "node", "id").join(reps.select("id", "sig"), "id")
         place = F.pmod(F.col("tree") * LEVELS + depth, F.lit(_PLACES)) + 1
         rows = stored(_shared(rows.select("tree", F.xxhash64("node", F.element_at("sig", place.cast("int"))).alias("node"), "id")), "nodes")
-        if not rows.limit(1).count():
-            break
         depth += 1
     links, comp = found.links, found.comp
 
