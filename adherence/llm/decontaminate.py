@@ -4,9 +4,9 @@ A seed is a mask over ``SPAN`` words with some places ignored; two passages that
 substituted words still share the hash of a window whose differing words fall on ignored places.
 Hashes of the benchmark (every position, every mask) are joined with those of the documents; each
 hit names a document, an item and a diagonal (their offset), and the overlap around it is verified
-word by word: on the diagonal, equal and substituted words are scored (+1, -2) and the best-scoring
-run is kept.  A run counts if it has ``MIN_WORDS`` words or, for a
-shorter item, nearly all of it, at most ``MAX_WRONG`` of them substituted.
+word by word.  A run of the diagonal counts if it begins and ends with an equal word and has
+``MIN_WORDS`` words or, for a shorter item, nearly all of it, at most ``MAX_WRONG`` of them
+substituted; every such run that is part of no longer one is given, so two of them may overlap.
 
 A bit filter of a fixed size (``1 << FILTER_BITS`` bits, however large the benchmark is) keeps document
 windows that are in no item from being moved at all.  It only spares work: what it lets through is
@@ -106,14 +106,25 @@ def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     return docs.mapInArrow(hits, "id long, h long, at long")
 
 
-def _run(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
-    """(first item word, end item word, equal words) of the best-scoring run on the diagonal."""
+def _runs(doc: np.ndarray, item: np.ndarray, diagonal: int, need: int) -> list[tuple[int, int, int]]:
+    """(first item word, end item word, equal words) of every maximal run of the diagonal: it begins and
+    ends with an equal word, has ``need`` words and at most ``MAX_WRONG`` of them substituted, and is part
+    of no other such run."""
     lo, hi = max(0, -diagonal), min(len(item), len(doc) - diagonal)
     same = doc[lo + diagonal:hi + diagonal] == item[lo:hi]
-    score = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-    end = int((score - np.minimum.accumulate(score)).argmax())
-    start = int(score[:end + 1].argmin())
-    return lo + start, lo + end, int(same[start:end].sum())
+    starts = np.flatnonzero(same)
+    if not len(starts):
+        return []
+    wrong = round(100 * MAX_WRONG)
+    # a run is within MAX_WRONG if the score at its end is not below that at its start
+    score = np.concatenate([[0], np.cumsum(np.where(same, wrong, wrong - 100))])
+    at_ends = score[starts + 1]
+    beyond = np.maximum.accumulate(at_ends[::-1])  # from the last end to the first
+    last = len(starts) - 1 - np.searchsorted(beyond, score[starts], "left")
+    longest = np.concatenate([[True], last[1:] > np.maximum.accumulate(last)[:-1]])
+    ends = starts[last] + 1
+    equal = np.concatenate([[0], np.cumsum(same)])
+    return [(lo + int(s), lo + int(e), int(equal[e] - equal[s])) for s, e in zip(starts[longest], ends[longest], strict=True) if e - s >= need]
 
 
 def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -142,10 +153,8 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
                     doc = d.hashes[d.first[k]:d.first[k + 1]]
                     if max(0, -diagonal) >= min(len(item), len(doc) - diagonal):
                         continue
-                    s, e, same = _run(doc, item, diagonal)
-                    n = e - s
-                    if n >= min(MIN_WORDS, max(1, round(0.9 * len(item)))) and n - same <= MAX_WRONG * n:
-                        rows.append((k, s + diagonal, s, n, same, n / len(item)))
+                    need = min(MIN_WORDS, max(1, round(0.9 * len(item))))
+                    rows += [(k, s + diagonal, s, e - s, same, (e - s) / len(item)) for s, e, same in _runs(doc, item, diagonal, need)]
                 at, dw, iw, n, same, cover = (list(x) for x in zip(*rows, strict=True)) if rows else ([],) * 6
                 keep = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from adherence.llm import decontaminate as D
 
 
@@ -53,3 +55,31 @@ def test_finds_every_whole_item(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
     whole = {(d["doc_id"], i["item_id"]) for d in docs for i in items if i["text"] in d["text"]}
     assert whole and whole <= got
+
+
+def test_every_maximal_run():
+    rnd = random.Random(9)
+    for _ in range(300):
+        n = rnd.randint(1, 60)
+        doc = np.arange(n, dtype=np.uint64)
+        item = doc.copy()
+        for i in range(n):
+            if rnd.random() < rnd.choice([0.1, 0.25, 0.4]):
+                item[i] = 1000 + i
+        diagonal = rnd.randint(-5, 5)
+        doc = np.concatenate([np.full(max(0, diagonal), 5000, np.uint64), doc])[max(0, -diagonal):]
+        same = [0 <= i + diagonal < len(doc) and doc[i + diagonal] == item[i] for i in range(n)]
+        fits = [(s, e) for s in range(n) for e in range(s + 13, n + 1) if same[s] and same[e - 1] and 5 * same[s:e].count(False) <= e - s]
+        want = [(s, e, sum(same[s:e])) for s, e in fits if not any((a, b) != (s, e) and a <= s and e <= b for a, b in fits)]
+        if max(0, -diagonal) < min(len(item), len(doc) - diagonal):
+            assert D._runs(doc, item, diagonal, 13) == want
+
+
+def test_overlap_beside_a_badly_changed_stretch(spark):
+    w = [f"w{i}" for i in range(128)]
+    text = [x if i < 20 or (i - 20) % 4 else f"other{i}" for i, x in enumerate(w)]  # 20 exact words, then 27 times 1 wrong and 3 right
+    a, b = _table(spark, [(1, " ".join(text), 0)], "doc_id"), _table(spark, [(1, " ".join(w), 0)], "item_id")
+    got = D.overlaps(a, b).collect()
+    assert any(r["doc_word"] == 0 and r["n_words"] >= 20 for r in got)
+    assert all(5 * (r["n_words"] - r["n_equal"]) <= r["n_words"] for r in got)
+    assert D.clean(a, b).count() == 0
