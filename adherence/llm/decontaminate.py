@@ -1,8 +1,10 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a mask over ``SPAN`` words with some places ignored; two passages that differ by
+A seed is a mask over a few words with some places ignored; two passages that differ by
 substituted words still share the hash of a window whose differing words fall on ignored places.
-Hashes of the benchmark (every position, every mask) are joined with those of the documents; each
+The masks of each kind of item (by its number of words) are chosen so that wherever the substituted
+words of a run that counts may stand, some window of it has them all on ignored places: no such run is
+without a seed.  Hashes of the benchmark (every position, every mask of the item's kind) are joined with those of the documents; each
 hit names a document, an item and a diagonal (their offset), and the overlap around it is verified
 word by word.  A run of the diagonal counts if it begins and ends with an equal word and has
 ``MIN_WORDS`` words or, for a shorter item, nearly all of it, at most ``MAX_WRONG`` of them
@@ -14,7 +16,8 @@ joined by the full hash, and by nothing else.  Texts of documents without a hit
 
 Defined cases: null and empty texts, on either side, match nothing; rows without doc_id can't be named
 and take no part in ``overlaps`` (``clean`` keeps them); rows with equal doc_id are one document; items
-with equal text both match; an item of fewer words than a seed is matched as a whole, word for word;
+with equal text both match; an item of fewer words than ``KINDS`` begin with may have none substituted
+(of four words none is a fifth) and is matched as a whole, word for word;
 extra columns are kept by ``clean`` and otherwise not looked at; empty tables give an empty result.
 """
 
@@ -28,9 +31,14 @@ from pyspark.sql import functions as F
 from adherence.llm.base import BROADCAST_IDS, only_ids, stored, table
 from adherence.llm.words import ALNUM, U, Words, mix, slices
 
-#: Kept places of the masks, of span 11 and weight 8; one is whole words in a row.
-MASKS = ((0, 1, 2, 3, 4, 5, 6, 7), (0, 1, 2, 4, 6, 7, 9, 10), (0, 2, 3, 5, 6, 8, 9, 10))
-SPAN = 11
+#: (least words of an item, kept places of its masks).  Runs of 26 words and more have a part of 13 to 25 words
+#: with no larger share of substituted words, so the last kind is complete if all runs of 13 to 25 words are hit.
+KINDS = (
+    (5, ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4))),
+    (8, ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 3, 4, 5), (0, 1, 3, 6, 7))),
+    (14, ((0, 1, 2, 3, 5, 6, 7), (0, 1, 2, 3, 6, 8, 9), (0, 1, 2, 4, 5, 9, 10), (0, 1, 3, 7, 9, 10, 11),
+          (0, 1, 4, 7, 8, 9, 10), (0, 2, 5, 7, 9, 10, 11), (0, 3, 5, 7, 8, 10, 11))),
+)
 MIN_WORDS = 13
 MAX_WRONG = 0.2
 FILTER_BITS = 25
@@ -38,15 +46,12 @@ FILTER_BITS = 25
 ITEM_BYTES = 16 << 20
 
 
-def _seeds(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(word position, hash) of every window under every mask; a text of fewer words than a mask spans
-    is one window of all its words."""
-    at, hashes = [], []
-    for m, mask in enumerate(MASKS):
-        pos, h = w.grams(list(mask))
-        at.append(pos)
-        hashes.append(mix(h + U(m + 1)))
-    return np.concatenate(at), np.concatenate(hashes)
+def _seeds(w: Words, kinds):
+    """(kind, word position, hash) of every window, mask by mask of the kinds."""
+    for kind in kinds:
+        for m, mask in enumerate(KINDS[kind][1]):
+            pos, h = w.grams(list(mask))
+            yield kind, pos, mix(h + U(16 * kind + m + 1))
 
 
 def _probes(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -54,8 +59,9 @@ def _probes(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """(h, item_id, at) of the benchmark: window hashes and their word positions, over words of
-    letters and digits in lower case."""
+    """(h, item_id, at, kind) of the benchmark: window hashes under the masks of the item's kind, and their
+    word positions, over words of letters and digits in lower case."""
+    least = np.array([n for n, _ in KINDS])
 
     def seeds(batches):
         for batch in batches:
@@ -63,11 +69,14 @@ def item_seeds(items: DataFrame) -> DataFrame:
                 part = batch.slice(a, b - a)
                 w = Words(part.column("text"), ALNUM)
                 ids = np.asarray(part.column("item_id"))
-                pos, h = _seeds(w)
-                row = np.searchsorted(w.first, pos, "right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row], pa.int64()), pa.array(pos - w.first[row])], ["h", "item_id", "at"])
+                own = np.searchsorted(least, np.diff(w.first), "right") - 1
+                for kind, pos, h in _seeds(w, range(len(KINDS))):
+                    row = np.searchsorted(w.first, pos, "right") - 1
+                    keep = own[row] == kind
+                    pos, h, row = pos[keep], h[keep], row[keep]
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row], pa.int64()), pa.array(pos - w.first[row]), pa.array(np.full(len(pos), kind, np.int32))], ["h", "item_id", "at", "kind"])
 
-    return items.select("item_id", "text").where("item_id is not null").mapInArrow(seeds, "h long, item_id long, at long")
+    return items.select("item_id", "text").where("item_id is not null").mapInArrow(seeds, "h long, item_id long, at long, kind int")
 
 
 def _filter(seeds: DataFrame) -> np.ndarray:
@@ -84,6 +93,7 @@ def _filter(seeds: DataFrame) -> np.ndarray:
 def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     """(id, h, at): windows of documents that pass the filter."""
     bits = docs.sparkSession.sparkContext.broadcast(_filter(seeds))
+    kinds = sorted(r["kind"] for r in seeds.select("kind").distinct().collect())
 
     def hits(batches):
         words = bits.value
@@ -95,10 +105,13 @@ def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
             for a, b in slices(batch.column("text")):
                 part = batch.slice(a, b - a)
                 w = Words(part.column("text"), ALNUM)
-                pos, h = _seeds(w)
-                for k in range(3):
-                    keep = is_set(_probes(h)[k]) if len(h) else np.zeros(0, bool)
-                    pos, h = pos[keep], h[keep]
+                found = [(np.zeros(0, np.int64), np.zeros(0, U))]
+                for _, pos, h in _seeds(w, kinds):
+                    for k in range(3):
+                        keep = is_set(_probes(h)[k]) if len(h) else np.zeros(0, bool)
+                        pos, h = pos[keep], h[keep]
+                    found.append((pos, h))
+                pos, h = (np.concatenate(x) for x in zip(*found, strict=True))
                 row = np.searchsorted(w.first, pos, "right") - 1
                 ids = part.column("id").take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(h.view(np.int64)), pa.array(pos - w.first[row])], ["id", "h", "at"])
@@ -167,9 +180,9 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _whole_short(named: DataFrame, items: DataFrame) -> DataFrame:
-    """(id, item_id, diagonal) for items of fewer words than the shortest mask spans: they have no
+    """(id, item_id, diagonal) for items of fewer words than ``KINDS`` begin with: they have no
     window, and are looked for whole, as a run of words."""
-    span = min(max(m) for m in MASKS) + 1
+    span = KINDS[0][0]
     word = r"[A-Za-z0-9\x{80}-\x{10FFFF}]+"
     lower = lambda c: F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     n = F.regexp_count("item", F.lit(word))
@@ -179,7 +192,7 @@ def _whole_short(named: DataFrame, items: DataFrame) -> DataFrame:
         return named.sparkSession.createDataFrame([], "id long, item_id long, diagonal long")
     keyed = short.select("item_id", F.regexp_extract_all("item", F.lit(f"({word})")).alias("w"))
     keyed = keyed.select("item_id", F.size("w").alias("n"), F.array_join("w", " ").alias("g"))
-    sizes = [r["n"] for r in keyed.select("n").distinct().collect()]  # fewer than a mask spans
+    sizes = [r["n"] for r in keyed.select("n").distinct().collect()]  # fewer than KINDS begin with
     words = named.select("id", F.regexp_extract_all(lower("text"), F.lit(f"({word})")).alias("w"))
     runs = F.array(*map(F.lit, sizes))
     grams = words.select("id", "w", F.explode(runs).alias("n")).where("size(w) >= n").select(

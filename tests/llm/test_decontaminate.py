@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -83,3 +84,34 @@ def test_overlap_beside_a_badly_changed_stretch(spark):
     assert any(r["doc_word"] == 0 and r["n_words"] >= 20 for r in got)
     assert all(5 * (r["n_words"] - r["n_equal"]) <= r["n_words"] for r in got)
     assert D.clean(a, b).count() == 0
+
+
+def test_masks_hit_every_placement():
+    def missed(masks, n, wrong):
+        """Placements of the wrong words inside a run of n words that no window of a mask has on ignored places."""
+        out = []
+        # a part of a longer run may begin or end with a wrong word
+        for places in itertools.combinations(range(n) if n >= D.KINDS[-1][0] else range(1, n - 1), wrong):
+            if not any(all(s + k not in places for k in m) for m in masks for s in range(n - m[-1])):
+                out.append(places)
+        return out
+
+    for words in range(5, 26):
+        masks = [m for least, m in D.KINDS if least <= words][-1]
+        for n in range(min(D.MIN_WORDS, max(1, round(0.9 * words))), words + 1):
+            assert not missed(masks, n, n // 5), (words, n)
+
+
+def test_short_and_heavily_changed_items(spark):
+    rnd = random.Random(2)
+    sizes = {5: [2], 6: [3], 7: [3], 8: [3], 9: [4], 10: [3, 6], 13: [4, 8], 15: [3, 7, 11], 20: [4, 8, 12, 16]}
+    items, docs = [], []
+    for n, places in sizes.items():
+        words = [f"n{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words), 0))
+        for k in places:
+            words[k] = "other"
+        noise = [f"z{rnd.randrange(1000)}" for _ in range(40)]
+        docs.append((n, " ".join(noise[:20] + words + noise[20:]), 0))
+    got = D.overlaps(_table(spark, docs, "doc_id"), _table(spark, items, "item_id")).collect()
+    assert {(r["doc_id"], r["item_id"], r["n_words"], r["n_equal"]) for r in got} == {(n, n, n, n - len(p)) for n, p in sizes.items()}
