@@ -2,8 +2,8 @@
 
 Lines are trimmed.  Equal lines, and lines one edit (a character put in, taken out or changed) apart,
 are one class, closed over such links; of each class the first occurrence in the corpus (least doc_id,
-then place) stays and the others go.  Lines of fewer than ``MIN_CHARS`` characters always stay: at one
-edit most of them would meet something.
+then place) stays and the others go.  Lines of fewer than ``MIN_CHARS`` characters are compared for
+equality only: at one edit most of them would meet something.  Empty lines always stay.
 
 With a threshold of one edit a line is cut into two segments by its length.  Two lines that are one
 edit apart share a segment, unchanged, at a place that their lengths determine; so each line is indexed
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from adherence.llm.base import components, only_ids, stored, table
 
+#: Characters of a line that is compared up to an edit.
 MIN_CHARS = 24
 BLOCKS = 16
 SHORT = 12
@@ -52,18 +53,19 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("mark"), "text").where("text is not null")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc, mark, pos, h1, h2, k1..k4) of every line that is long enough: a 128-bit hash, the two
-    segments it is indexed under and the two it probes."""
+def _lines(docs: DataFrame, shortest: int) -> DataFrame:
+    """(doc, mark, pos, h1, h2, k1..k4) of every line of ``shortest`` characters or more: a 128-bit hash,
+    the two segments it is indexed under and the two it probes (null for a line under ``MIN_CHARS``)."""
     d = _named(docs).select("doc", "mark", F.posexplode(_split(F.col("text"))).alias("pos", "line"))
-    d = d.where(F.length("line") >= MIN_CHARS).withColumn("line", _trim(F.col("line")))
+    d = d.where(F.length("line") >= shortest).withColumn("line", _trim(F.col("line")))
     n, s = F.col("n"), F.col("line")
     half, less = F.expr("n div 2").cast("int"), F.expr("(n - 1) div 2").cast("int")
-    d = d.withColumn("n", F.length("line")).where(n >= MIN_CHARS)
+    d = d.withColumn("n", F.length("line")).where(n >= shortest)
+    key = lambda *x: F.when(n >= MIN_CHARS, F.xxhash64(*x))
     return d.select(
         "doc", "mark", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(77), "line").alias("h2"),
-        F.xxhash64(n, F.lit(1), F.substring(s, F.lit(1), half)).alias("k1"), F.xxhash64(n, F.lit(2), F.substring(s, half + 1, n)).alias("k2"),
-        F.xxhash64(n - 1, F.lit(1), F.substring(s, F.lit(1), less)).alias("k3"), F.xxhash64(n - 1, F.lit(2), F.substring(s, less + 2, n)).alias("k4"))
+        key(n, F.lit(1), F.substring(s, F.lit(1), half)).alias("k1"), key(n, F.lit(2), F.substring(s, half + 1, n)).alias("k2"),
+        key(n - 1, F.lit(1), F.substring(s, F.lit(1), less)).alias("k3"), key(n - 1, F.lit(2), F.substring(s, less + 2, n)).alias("k4"))
 
 
 def _met(keys: DataFrame) -> DataFrame:
@@ -169,7 +171,7 @@ def _but_one(rows: DataFrame) -> DataFrame:
 def _near_links(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """(a1, a2, b1, b2): links between different lines, enough of them to connect all that are linked."""
     one = lambda c, own: F.struct(F.col(c).alias("key"), F.lit(own).alias("own"))
-    keys = distinct.select("h1", "h2", F.explode(F.array(one("k1", 1), one("k2", 1), one("k3", 0), one("k4", 0))).alias("k")).select("k.key", "h1", "h2", "k.own")
+    keys = distinct.where("k1 is not null").select("h1", "h2", F.explode(F.array(one("k1", 1), one("k2", 1), one("k3", 0), one("k4", 0))).alias("k")).select("k.key", "h1", "h2", "k.own")
     met = stored(_met(keys), "met")
     wanted = met.select("h1", "h2").distinct()
     texts = stored(_texts(docs, lines, wanted), "texts")
@@ -190,9 +192,10 @@ def _near_links(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataF
     return links
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(doc, mark, pos, near) of every line that goes: near, if no line before it in the corpus equals it."""
-    lines = stored(_lines(docs), "lines")
+def repeats(docs: DataFrame, shortest: int = MIN_CHARS) -> DataFrame:
+    """(doc, mark, pos, near) of every line of ``shortest`` characters or more that goes: near, if no line
+    before it in the corpus equals it."""
+    lines = stored(_lines(docs, shortest), "lines")
     distinct = stored(lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(k).alias(k) for k in ("k1", "k2", "k3", "k4")]), "distinct")
     links = stored(_near_links(docs, lines, distinct).distinct(), "links")
     comp = components(links.select(F.col("a1").alias("a"), F.col("b1").alias("b")))
@@ -209,8 +212,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 
 def _gone(docs: DataFrame) -> DataFrame:
-    """(doc, mark, gone, n_near): places of the lines that go, in order, by document."""
-    return repeats(docs).groupBy("doc", "mark").agg(F.array_sort(F.collect_list("pos")).alias("gone"), F.sum(F.col("near").cast("long")).alias("n_near"))
+    """(doc, mark, gone, n_near): places of the lines that go, of all that aren't empty, in order, by document."""
+    return repeats(docs, shortest=1).groupBy("doc", "mark").agg(F.array_sort(F.collect_list("pos")).alias("gone"), F.sum(F.col("near").cast("long")).alias("n_near"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

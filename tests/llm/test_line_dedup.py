@@ -101,3 +101,14 @@ def test_banded_distance(spark, a, b):
 def test_crowded_steps_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(L, "FEW", 2)
     test_equals_brute_force(spark)
+
+
+def test_equal_short_lines_go(spark):
+    line = "a line that is long enough for an edit"
+    rows = [(1, f"Menu\n{line}\n\n \nown"), (2, f"  Menu\nMenus\n\n \n{line}s\n}}"), (3, "}\nMenu"), (4, "é\né"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = {(r["doc"], r["mark"]): r["doc"] for r in L._named(df).collect()}
+    got = {marks[r["doc"], r["mark"]]: (r["gone"], r["n_near"]) for r in L._gone(df).collect()}
+    assert got == {2: ([0, 4], 1), 3: ([0, 1], 0), 4: ([1], 0)}
+    assert {r["doc_id"]: r["text"] for r in L.without_repeats(df).collect()} == {
+        1: rows[0][1], 2: "Menus\n\n \n}", 4: "é", 5: None}
