@@ -7,7 +7,13 @@ the template stands in it unchanged.  Hits of a template that lie near each othe
 diagonals are candidates, each of which is aligned with the template in a band around the diagonals:
 equal words score 2, a changed, left out or put in word costs 1.  An alignment is reported with its
 span in the text, the template's words that it matches and their part of the template (coverage), if
-that is at least ``COVERAGE``.
+that is at least ``COVERAGE``.  No alignment is made where the template's words that have an equal one
+in the band are too few for that.  Of templates that align with the same span (each span for the most
+part inside the other), such as notices of sibling licences, the one with the highest coverage counts, and
+of equal ones that with the most words.
+
+Templates are the short notices of ``TEMPLATES``, some of them the beginning of a text (coverage is that
+of the template), and the whole texts and notices in ``license_texts``.
 
 A scan is one pass without a shuffle: the index is as large as the templates, which are a parameter
 (checked to be under ``MOST_WORDS`` words).  Of a document only the words around hits are aligned; where
@@ -20,6 +26,9 @@ are not looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from itertools import groupby
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +73,13 @@ TEMPLATES = {
 }
 
 
+def shipped() -> dict[str, str]:
+    """``TEMPLATES`` and the files of ``license_texts`` by name: "X whole text" or "X notice"."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    whole = {f.stem if f.stem.endswith(" notice") else f"{f.stem} whole text": f.read_text("utf-8") for f in files}
+    return TEMPLATES | whole
+
+
 def winnowed(hashes: np.ndarray) -> np.ndarray:
     """Places of the fingerprints: the least hash (the last, if equal) of every window; all places of a
     text that has one window at most."""
@@ -147,6 +163,29 @@ def align(doc: np.ndarray, template: np.ndarray, lo: int, hi: int) -> tuple[int,
     return best
 
 
+def _most(doc: np.ndarray, template: np.ndarray, lo: int, hi: int) -> int:
+    """Words that an alignment as in ``align`` matches at most: those with an equal one in the band."""
+    hit = np.zeros(len(template), bool)
+    for d in range(lo, hi + 1):
+        a, b = max(0, -d), min(len(template), len(doc) - d)
+        if a < b:
+            hit[a:b] |= doc[a + d:b + d] == template[a:b]
+    return int(hit.sum())
+
+
+def _best(rows: list[tuple]) -> list[tuple]:
+    """Of the rows of one text, as in ``scan``, those beside which no better one has the same span."""
+    out = []
+    for x in rows:
+        for y in rows:
+            both = min(x[5], y[5]) - max(x[4], y[4])
+            if y[0] == x[0] and y[1] != x[1] and (y[3], y[2]) > (x[3], x[2]) and both >= COVERAGE * max(x[5] - x[4], y[5] - y[4]):
+                break
+        else:
+            out.append(x)
+    return out
+
+
 def _groups(row, which, diagonal, words) -> list[tuple[int, int]]:
     """(first, end) of hits that one alignment covers: of one row and template, on diagonals that are no
     further apart than the band, or half the template's words if it is short."""
@@ -161,7 +200,7 @@ def _groups(row, which, diagonal, words) -> list[tuple[int, int]]:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, license, matched, coverage, start_word, end_word, start_byte, end_byte) of every match;
     bytes of the UTF-8 text, the end being past the last."""
-    sent = docs.sparkSession.sparkContext.broadcast(templates or TEMPLATES)
+    sent = docs.sparkSession.sparkContext.broadcast(templates or shipped())
     names = ["doc_id", "license", "matched", "coverage", "start_word", "end_word", "start_byte", "end_byte"]
 
     def run(batches):
@@ -183,11 +222,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                     lo, hi = int(diagonal[x]) - f - band, int(diagonal[y - 1]) - f + band
                     left = max(0, lo)  # of the document only the words that the band reaches
                     own = w.hashes[f + left:min(e, f + hi + len(t) + 1)]
+                    if len(own) < coverage * len(t) or _most(own, t, lo - left, hi - left) < coverage * len(t):
+                        continue
                     _, matched, s, end = align(own, t, lo - left, hi - left)
                     if matched >= coverage * len(t):
                         rows.append((r, index.names[int(which[x])], matched, matched / len(t), s + left, end + left,
                                      int(w.starts[f + left + s] - w.offsets[r]), int(w.ends[f + left + end - 1] - w.offsets[r])))
-                rows = sorted(set(rows))
+                rows = [x for _, own in groupby(sorted(set(rows)), key=lambda x: x[0]) for x in _best(list(own))]
                 ids = part.column("doc_id").take(pa.array([x[0] for x in rows], pa.int64()))
                 kinds = [pa.string(), pa.int64(), pa.float64(), *[pa.int64()] * 4]
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array([x[i + 1] for x in rows], k) for i, k in enumerate(kinds)]], names)

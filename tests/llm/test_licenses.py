@@ -36,3 +36,16 @@ def test_changed_notices_and_spans(spark):
         if r["doc_id"] == 1:
             assert r["matched"] == len(L.Words(__import__("pyarrow").array([" ".join(less)]), L.ALNUM).starts)
     assert L.scan(df.limit(0)).count() == 0
+
+
+def test_whole_texts_and_siblings(spark):
+    texts = {n: t for n, t in L.shipped().items() if n not in L.TEMPLATES}
+    assert {"MIT whole text", "GPL-3.0 whole text", "MPL-2.0 whole text", "AGPL-3.0-or-later notice", "CC-BY-SA-4.0 notice"} <= set(texts)
+    rows = [(i, "before it " + t + " after it") for i, t in enumerate(texts.values())]
+    rows += [(1000, L.TEMPLATES["MIT text"])]  # a part is not reported as the whole
+    got = L.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    for i, name in enumerate(texts):
+        assert [r["coverage"] for r in got if r["doc_id"] == i and r["license"] == name] == [1.0], name
+    notices = {i: n for i, n in enumerate(texts) if n.endswith("notice")}
+    assert {(r["doc_id"], r["license"]) for r in got if r["doc_id"] in notices and r["license"] in notices.values()} == set(notices.items())
+    assert {r["license"] for r in got if r["doc_id"] == 1000} == {"MIT text"}
