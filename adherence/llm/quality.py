@@ -175,7 +175,7 @@ def fit(features: list[np.ndarray], labels: list[int], rounds: int = ROUNDS) ->
 
 def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | None:
     """The field, from labels (doc_id, quality) of documents that aren't held out; None without labels
-    of both kinds."""
+    of both kinds.  Of rows with equal doc_id one takes part, the greatest by its features."""
     known = (labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
@@ -194,7 +194,8 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain |
 
     picked = (docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(known.withColumnRenamed("doc_id", "id")), "id")
               .withColumn("h", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))))
-    rows = picked.mapInArrow(features, "id long, y int, f binary").toArrow().sort_by([("id", "ascending"), ("f", "ascending")]).to_pylist()
+    one = picked.mapInArrow(features, "id long, y int, f binary").groupBy("id", "y").agg(F.max("f").alias("f"))
+    rows = one.toArrow().sort_by("id").to_pylist()
     if len({r["y"] for r in rows}) < 2:
         return None
     return fit([np.frombuffer(r["f"], np.float32).reshape(-1, N_FEATURES).astype(np.float64) for r in rows], [r["y"] for r in rows])

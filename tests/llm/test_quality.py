@@ -52,3 +52,16 @@ def test_edge_cases(spark):
     kept = Q.good(df, chain, 0.0)
     assert kept.columns == df.columns and kept.count() == len(rows)
     assert Q.scores(df.limit(0), chain).count() == 0
+
+
+def test_one_row_of_an_id_is_learned_from(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda features, y: seen.append((features, y)))
+    ids = [r["id"] for r in spark.range(40).where(~Q.held_out(Q.F.col("id"))).collect()]
+    rows = [(i, f"document {i}\nwith a line of its own {i * i}") for i in ids]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    for docs in (rows, rows + [rows[0]] * 300 + [(ids[1], None)]):
+        Q.learned(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), labels)
+    (a, y), (b, z) = seen
+    assert len(a) == len(b) == len(ids) and y == z
+    assert all(np.array_equal(p, q) for p, q in zip(a, b, strict=True))
