@@ -12,6 +12,7 @@ from adherence.llm import (
     mixing,
     near_dup,
     quality,
+    spelling,
     token_counts,
     url_filters,
 )
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_top_k": metric_search.op8_top_k,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_near_dup": near_dup.op10_near_dup,
+    "op11_spelling": spelling.op11_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
