@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from adherence.llm import (
+    collocations,
     decontaminate,
     html_text,
     licenses,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_near_dup": near_dup.op10_near_dup,
     "op11_spelling": spelling.op11_spelling,
+    "op12_collocations": collocations.op12_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -36,5 +38,6 @@ ORACLE = {
     "op7_mixing": mixing.ORACLE,
     "op8_top_k": metric_search.ORACLE,
     "op10_near_dup": near_dup.ORACLE,
+    "op12_collocations": collocations.ORACLE,
     **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
 }
