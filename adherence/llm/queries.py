@@ -16,6 +16,7 @@ from adherence.llm import (
     spelling,
     token_counts,
     url_filters,
+    warc,
 )
 
 QUERIES = {
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_near_dup": near_dup.op10_near_dup,
     "op11_spelling": spelling.op11_spelling,
     "op12_collocations": collocations.op12_collocations,
+    "op13_warc": warc.op13_warc,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -39,5 +41,6 @@ ORACLE = {
     "op8_top_k": metric_search.ORACLE,
     "op10_near_dup": near_dup.ORACLE,
     "op12_collocations": collocations.ORACLE,
+    "op13_warc": warc.ORACLE,
     **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
 }
