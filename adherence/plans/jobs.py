@@ -24,24 +24,32 @@ from adherence.operators import energy as E
 from adherence.operators import facts as FACTS
 from adherence.operators import match as M
 from adherence.operators import quality as Q
+from adherence.operators import rollup as U
 from adherence.operators import runs as RUNS
 from adherence.session import cut_lineage
 from adherence.sources import gtfs_static as G
 from adherence.sources import landing as L
 from adherence.sources import tripupdates as TU
+from adherence.sources import versions as V
 from adherence.sources import warehouse as W
 from adherence.sources.driver import Star
 
 log = logging.getLogger("adherence.jobs")
 
+FACTS_TABLE, REJECTS_TABLE, ENERGY_TABLE = "fact_trip_delay", "fact_rejects", "fact_route_energy_score"
+
 
 def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehouse: str, operator_name: str,
                   static_feed: str = STATIC_FEED_NATIONAL, realtime_feed: str = REALTIME_FEED_REGIONAL,
                   sample_fraction: float | None = None, dag_run_id: str | None = None, staging: str | None = None,
                   zone: str = DEFAULT_ZONE, mode: str = "latest", keep_unmatched: bool = False,
-                  quarantine_out_of_range: bool = False, same_day_only: bool = False, use_calendar: bool = False) -> dict:
+                  quarantine_out_of_range: bool = False, same_day_only: bool = False, use_calendar: bool = False,
+                  with_energy: bool = False, retain: int = 0) -> dict:
     """Raw GTFS + TripUpdates of one service date -> dims merged, facts replaced, run recorded.
 
+    Facts, rejects, both parts of the roll-up and, ``with_energy``, the energy scores of the date are staged
+    and then change together (``versions``); a job that ends before that leaves the old load as it was.
+    Files of the ``retain`` versions before stay, for readers that are under way.
     ``same_day_only`` drops realtime trips of another start date, ``use_calendar`` scheduled trips whose
     service doesn't run that day (both D6); ``keep_unmatched`` keeps visits without realtime (D5)."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -81,8 +89,16 @@ def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehou
 
     facts, report, rejects = FACTS.build(derived, routes, stops, D.vehicle_type_dim(spark), quarantine_out_of_range, operator_name)
     dk = int(service_date.replace("-", ""))
-    W.write_facts(facts, f"{warehouse}/fact_trip_delay", requested=dk)
-    W.write_facts(rejects, f"{warehouse}/fact_rejects", requested=dk)      # D12/Q10: set aside with a reason
+    load, day = V.Load(spark, warehouse), [V.partition_of(date_key=dk)]
+    load.write(W.arranged(facts), FACTS_TABLE, ["date_key"], day)
+    load.write(rejects, REJECTS_TABLE, ["date_key"], day)                 # D12/Q10: set aside with a reason
+    star = Star(load.staged(FACTS_TABLE), routes, stops, D.vehicle_type_dim(spark))
+    rollup = U.build(star)
+    load.write(rollup.delays, W.HISTOGRAM_TABLE, ["date_key"], day)
+    load.write(rollup.trips, W.TRIPS_TABLE, ["date_key"], day)
+    if with_energy:
+        _stage_energy(load, star, dk)
+    load.publish(retain=retain)
     rep = report.first().asDict()
     rep.update(strategy=strategy, service_date=service_date)
     RUNS.append(RUNS.run_record(spark, service_date, "success", rep["rows_loaded"], dag_run_id, started),
@@ -111,8 +127,8 @@ def run_quality(spark: SparkSession, service_date: str, warehouse: str, raw_base
         side = L.read_sidecars(spark, f"{raw_base}/static/{service_date}")
         ages = L.static_age_days(side, as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         age = ages.agg(F.min("age_days")).first()[0]  # of the newest pull
-    rep = Q.report(stats, Q.duplicate_grain(facts), Q.orphan_rows_by_date(facts, dims),
-                   F.lit(age).cast("double"))
+    # seven rows, computed once: the status, the gate and the caller look at them
+    rep = cut_lineage(Q.report(stats, Q.duplicate_grain(facts), Q.orphan_rows_by_date(facts, dims), F.lit(age).cast("double")))
     status = Q.status(rep).first()
     RUNS.append(RUNS.dq_event(spark, service_date, status.dq_status if status else "failed", dag_run_id),
                 f"{warehouse}/pipeline_runs")
@@ -120,15 +136,19 @@ def run_quality(spark: SparkSession, service_date: str, warehouse: str, raw_base
     return rep
 
 
-def run_energy(spark: SparkSession, service_date: str, warehouse: str) -> int:
+def _stage_energy(load: V.Load, star: Star, dk: int) -> None:
+    regions = [V.partition_of(date_key=dk, region_id=r) for r, _, _ in E.REGIONS]
+    load.write(E.compute(star).repartition("date_key", "region_id"), ENERGY_TABLE, ["date_key", "region_id"], regions)
+
+
+def run_energy(spark: SparkSession, service_date: str, warehouse: str, retain: int = 0) -> int:
     """Scores of one date for every region; requested partitions are replaced even when empty."""
     dk = int(service_date.replace("-", ""))
-    facts = W.read_star(spark, f"{warehouse}/fact_trip_delay", dk, dk)
-    star = Star(facts, W.read_dim(spark, f"{warehouse}/dim_route"), W.read_dim(spark, f"{warehouse}/dim_stop"),
-                D.vehicle_type_dim(spark))
-    scores = E.compute(star).checkpoint(eager=True)
-    W.write_energy(scores, f"{warehouse}/fact_route_energy_score", requested=[(dk, r) for r, _, _ in E.REGIONS])
-    return scores.count()
+    load = V.Load(spark, warehouse)
+    _stage_energy(load, W.load_star(spark, warehouse, dk, dk), dk)
+    n = load.staged(ENERGY_TABLE).count()
+    load.publish(retain=retain)
+    return n
 
 
 def main(argv=None) -> int:
@@ -146,6 +166,8 @@ def main(argv=None) -> int:
     p.add_argument("--keep-unmatched", action="store_true", help="keep scheduled visits without realtime")
     p.add_argument("--quarantine-out-of-range", action="store_true", help="out-of-range delays go to the rejects")
     p.add_argument("--same-day-only", action="store_true", help="drop realtime trips of another start date")
+    p.add_argument("--with-energy", action="store_true", help="score the date in the same load")
+    p.add_argument("--retain", type=int, default=0, help="versions before the new one whose files stay")
     p.add_argument("--use-calendar", action="store_true", help="only trips whose service runs that day")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"adherence-{a.job}").getOrCreate()
@@ -155,11 +177,12 @@ def main(argv=None) -> int:
     if a.job == "transform":
         run_transform(spark, a.service_date, a.raw_base_path, a.warehouse, a.operator_name, a.operator,
                       a.realtime_feed, a.sample_fraction, a.dag_run_id, mode=a.mode, keep_unmatched=a.keep_unmatched,
-                      quarantine_out_of_range=a.quarantine_out_of_range, same_day_only=a.same_day_only, use_calendar=a.use_calendar)
+                      quarantine_out_of_range=a.quarantine_out_of_range, same_day_only=a.same_day_only, use_calendar=a.use_calendar,
+                      with_energy=a.with_energy, retain=a.retain)
     elif a.job == "quality":
         run_quality(spark, a.service_date, a.warehouse, a.raw_base_path, dag_run_id=a.dag_run_id)
     else:
-        run_energy(spark, a.service_date, a.warehouse)
+        run_energy(spark, a.service_date, a.warehouse, a.retain)
     return 0
 
 

@@ -1,9 +1,10 @@
 """Warehouse tables on Parquet and the wide CSV exchange format.
 
-Fact tables are partitioned by ``date_key`` (energy scores by ``date_key, region_id``) and loaded
-with dynamic partition overwrite: reloading a service date replaces exactly that date, and a
-failed job leaves the previous files in place until commit.  Parquet has no transactions; a
-table format with atomic commits can be swapped in behind these functions.
+Fact tables are partitioned by ``date_key`` (energy scores by ``date_key, region_id``).  The jobs load
+them as versions (``versions``): a reload of a service date stages new folders of facts, rejects, roll-up and
+scores, and one pointer switches them together; ``read_star`` and ``load_star`` follow it.  ``write_facts``
+and ``write_energy`` write plain folders by dynamic partition overwrite, for exchange with other readers:
+there each partition is replaced on its own.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adherence.functions import gtfs_time as GT
+from adherence.sources import versions as V
+
+HISTOGRAM_TABLE, TRIPS_TABLE = "rollup_delays", "rollup_trips"
 
 FACT_SCHEMA = T.StructType([
     T.StructField("date_key", T.IntegerType(), False),
@@ -58,20 +62,23 @@ class EmptyExportError(ValueError):
     """Refusing to export an empty delay table."""
 
 
+def arranged(facts: DataFrame) -> DataFrame:
+    """Facts range-partitioned and sorted on (date_key, route_key, trip_id): each task writes a contiguous key
+    range, so it touches few date folders, and a very large date is split over several tasks instead of
+    landing in one."""
+    return facts.repartitionByRange("date_key", "route_key", "trip_id").sortWithinPartitions("date_key", "route_key", "trip_id", "stop_sequence")
+
+
 def write_facts(facts: DataFrame, path: str, requested: int | None = None) -> None:
     """Replace the service dates present in ``facts`` (dynamic partition overwrite).  A ``requested``
     date key that ``facts`` has no rows of is emptied: nothing stale stays behind a reload.
 
-    Rows are range-partitioned on (date_key, route_key, trip_id): each task writes a contiguous key
-    range, so it touches few date folders, and a very large date is split over several tasks
-    instead of landing in one.  Files are capped by ``spark.sql.files.maxRecordsPerFile``."""
+    Files are capped by ``spark.sql.files.maxRecordsPerFile``."""
     spark = facts.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (facts.repartitionByRange("date_key", "route_key", "trip_id").sortWithinPartitions(
-        "date_key", "route_key", "trip_id", "stop_sequence")
-     .write.mode("overwrite").partitionBy("date_key").parquet(path))
+    arranged(facts).write.mode("overwrite").partitionBy("date_key").parquet(path)
     if requested is not None and facts.filter(F.col("date_key") == requested).isEmpty():
-        _delete(spark, f"{path.rstrip('/')}/date_key={requested}")
+        V.delete(spark, f"{path.rstrip('/')}/date_key={requested}")
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
@@ -100,7 +107,7 @@ def replace_dim(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     last = int(old[-1].rsplit("v=", 1)[1]) if old else 0
     df.write.parquet(f"{path.rstrip('/')}/v={last + 1:09d}")
     for v in old[: max(0, len(old) + 1 - keep)]:
-        _delete(spark, v)
+        V.delete(spark, v)
     return read_dim(spark, path)
 
 
@@ -116,21 +123,16 @@ def write_energy(scores: DataFrame, path: str, requested: list[tuple[int, str]]
                     .select("date_key", "region_id").distinct().collect()}   # requested partitions only
         for date_key, region in requested:  # requested partitions: a few per run, not data-sized
             if (date_key, region) not in produced:
-                _delete(spark, f"{path.rstrip('/')}/date_key={date_key}/region_id={region}")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    """Remove one partition folder through the Hadoop FileSystem of the path (HDFS, S3A, local)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
+                V.delete(spark, f"{path.rstrip('/')}/date_key={date_key}/region_id={region}")
 
 
 def read_star(spark: SparkSession, path: str, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
-    """Fact reader; the literal date_key bounds prune partitions statically."""
-    df = spark.read.parquet(path)
+    """Fact reader; the literal date_key bounds prune partitions statically.  A table that has versions
+    is read in its newest one, of which only the partitions in the bounds are listed."""
+    root, table = path.rstrip("/").rsplit("/", 1)
+    df = V.read(spark, root, table, V.between("date_key", start_key, end_key))
+    if df is None:
+        df = spark.read.parquet(path)
     if start_key is not None:
         df = df.filter(F.col("date_key") >= start_key)
     if end_key is not None:
@@ -196,6 +198,15 @@ def load_star(spark: SparkSession, warehouse: str, start_key: int | None = None,
     )
 
 
+def load_rollup(spark: SparkSession, warehouse: str, start_key: int | None = None, end_key: int | None = None):
+    """The roll-up that the loads keep, for the dashboard's questions (``operators.rollup``)."""
+    from adherence.operators.rollup import Rollup
+
+    star = load_star(spark, warehouse, start_key, end_key)
+    delays, trips = (read_star(spark, f"{warehouse}/{t}", start_key, end_key) for t in (HISTOGRAM_TABLE, TRIPS_TABLE))
+    return Rollup(delays, trips, star.routes, star.stops, star.vehicle_types)
+
+
 def star_from_wide(wide: DataFrame):
     """The star seen through the wide exchange format (S12 input for the same delay queries):
     stable hash keys for routes and stops, dimension tables as distinct rows of the wide frame

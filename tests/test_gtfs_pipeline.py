@@ -371,3 +371,57 @@ def test_cli_entry_points(spark, landing, tmp_path):
     assert jobs.main(["quality", "--service-date", SERVICE_DATE, "--warehouse", wh]) == 0
     assert jobs.main(["energy", "--service-date", SERVICE_DATE, "--warehouse", wh]) == 0
     assert spark.read.parquet(f"{wh}/fact_trip_delay").count() > 0
+
+
+def test_a_load_changes_all_its_tables_or_none(spark, landing, tmp_path, monkeypatch):
+    """Facts, rejects, roll-up and scores of a date switch together; killed before, none does."""
+    from adherence.operators import delays as A
+    from adherence.operators import rollup as U
+    from adherence.plans import jobs
+    from adherence.sources import versions as V
+
+    wh = str(tmp_path / "warehouse")
+    first = jobs.run_transform(spark, SERVICE_DATE, str(landing), wh, "SL", with_energy=True)
+    tables = ["fact_trip_delay", "fact_rejects", "fact_route_energy_score", W.HISTOGRAM_TABLE, W.TRIPS_TABLE]
+    assert V.names(spark, wh) == sorted(tables)
+
+    def content():
+        return {t: sorted(map(str, V.read(spark, wh, t).collect())) for t in tables}
+
+    before = content()
+    assert len(before["fact_trip_delay"]) == first["rows_loaded"] and before["fact_route_energy_score"]
+    write = V.Load.write
+    for dies_at in tables[1:]:
+        def killed(self, df, table, *args, dies_at=dies_at):
+            if table == dies_at:
+                raise RuntimeError(f"killed at {dies_at}")
+            return write(self, df.limit(1), table, *args)  # the new load is another one
+
+        monkeypatch.setattr(V.Load, "write", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            jobs.run_transform(spark, SERVICE_DATE, str(landing), wh, "SL", with_energy=True)
+        assert content() == before
+    monkeypatch.setattr(V.Load, "write", lambda self, df, table, *args: write(self, df.limit(1), table, *args))
+    jobs.run_transform(spark, SERVICE_DATE, str(landing), wh, "SL", with_energy=True, retain=1)
+    after = content()
+    assert len(after["fact_trip_delay"]) == 1 and after["fact_route_energy_score"] != before["fact_route_energy_score"]
+    monkeypatch.setattr(V.Load, "write", write)
+    jobs.run_transform(spark, SERVICE_DATE, str(landing), wh, "SL", with_energy=True)
+    assert content() == before
+
+    star, rollup = W.load_star(spark, wh, 20260712, 20260712), W.load_rollup(spark, wh, 20260712, 20260712)
+    same = lambda a, b: sorted(map(tuple, a.select(*b.columns).collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    assert same(A.kpis(star), U.kpis(rollup)) and same(A.punctuality_summary(star), U.punctuality_summary(rollup))
+    assert same(A.route_lateness(star, min_observations=1), U.route_lateness(rollup, min_observations=1))
+    assert same(A.delay_heatmap(star), U.delay_heatmap(rollup)) and same(A.stops_map(star), U.stops_map(rollup))
+    empty = W.load_rollup(spark, wh, 20250101, 20250102)
+    assert same(A.kpis(W.load_star(spark, wh, 20250101, 20250102)), U.kpis(empty))
+
+
+def test_histograms_of_dates_merge(spark, sf_dir):
+    from adherence.operators import rollup as U
+    from adherence.sources import driver
+    facts = driver.facts(spark, sf_dir)
+    whole = U.delay_histogram(facts)
+    parts = U.merge_histograms(*[U.delay_histogram(facts.where(F.col("stop_sequence") % 3 == i)) for i in range(3)])
+    assert parts.select(*whole.columns).exceptAll(whole).isEmpty() and whole.exceptAll(parts.select(*whole.columns)).isEmpty()
