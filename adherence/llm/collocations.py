@@ -11,7 +11,7 @@ Phrases of one and two words come first; a longer one is only looked at where bo
 consists of, less a word, survived.
 
 What survives goes into a bit filter of a fixed size, and a last pass over the texts counts exactly, by the
-words themselves, each phrase that the filter lets pass.  Hashes only decide what is counted: one that
+words themselves and again by hash partition, each phrase that the filter lets pass.  Hashes only decide what is counted: one that
 several phrases share, or a filter that is full, lets a rare phrase be counted, and its count shows that it
 is rare.  (Inside one slice of a few MB of text, phrases are told apart by 64-bit hashes.)
 
@@ -23,6 +23,7 @@ words has no rows, and an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ MASS = 1 << 24
 #: Bits of a hash that summaries keep, and bits of the filter (16 MB, whatever the size of the corpus).
 HASH_BITS, FILTER_BITS = 48, 27
 #: Hashes, and exact counts, that a task holds before it passes them on.
-HELD, HELD_PHRASES = 1 << 22, 500_000
+HELD, HELD_PHRASES = 1 << 21, 700_000
 #: Copies of the counts that phrases look up, so that the phrases of a very frequent word spread.
 SALTS = 16
 
@@ -52,7 +53,7 @@ _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _WORD = ~_BREAKS
 _WORD[[0x20, 0x09]] = False
-_SLICE = 1 << 23
+_SLICE = 1 << 21
 
 
 class _Pieces:
@@ -66,6 +67,7 @@ class _Pieces:
         self.lang = np.asarray(lang.indices)
         own = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") for x in self.langs], U)
         self._salt = own[self.lang] if len(own) else np.zeros(0, U)
+        self._lower = self._odd = None
         # non-decreasing, and equal for the words of one piece only
         self._piece = self.rows + (np.cumsum(_BREAKS[w.raw])[w.starts] if len(w.raw) else 0)
 
@@ -92,11 +94,17 @@ class _Pieces:
             before[pos] = True
         return out
 
-    def text(self, at: int, size: int) -> str:
-        """A phrase, lower-cased (A-Z only), its words joined by one space."""
+    def texts(self, at: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """Phrases, lower-cased (A-Z only), their words joined by one space."""
         w = self.words
-        starts, ends = w.starts[at:at + size], w.ends[at:at + size]
-        return b" ".join(w.raw[a:b].tobytes() for a, b in zip(starts, ends, strict=True)).lower().decode()
+        if self._lower is None:
+            self._lower = w.raw.tobytes().lower()
+            spaced = (w.starts[1:] - w.ends[:-1] == 1) & (w.raw[w.ends[:-1]] == 0x20)
+            self._odd = np.concatenate([[0], np.cumsum(~spaced)])
+        data, last = self._lower, at + size - 1
+        as_is = (self._odd[last] == self._odd[at]).tolist()
+        rows = zip(at.tolist(), size.tolist(), w.starts[at].tolist(), w.ends[last].tolist(), as_is, strict=True)
+        return [data[a:b] if same else b" ".join(data[w.starts[j]:w.ends[j]] for j in range(i, i + k)) for i, k, a, b, same in rows]
 
 
 def _read(batches):
@@ -163,11 +171,8 @@ def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (hashes >> U(HASH_BITS - 28)) * U(parts) >> U(28)
 
 
-def _surviving(docs: DataFrame, sizes: tuple[int, ...], least: int, kept: np.ndarray | None) -> np.ndarray:
+def _surviving(docs: DataFrame, sizes: tuple[int, ...], least: int, parts: int, kept: np.ndarray | None) -> np.ndarray:
     """The filter ``kept`` with the phrases of these sizes added that may occur ``least`` times."""
-    # a word takes two bytes at least, with the one that ends it
-    most = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    parts = max(1, -(-most * len(sizes) // (2 * MASS)))
     seen = stored(_partition_summaries(docs, sizes, parts, kept), "summaries")
     mass = seen.groupBy("part").agg((F.floor(F.sum("mass") * SLACK / F.lit(least)) + 1).cast("long").alias("capacity"))
 
@@ -208,39 +213,93 @@ def _surviving(docs: DataFrame, sizes: tuple[int, ...], least: int, kept: np.nda
     return out
 
 
+class _Counts:
+    """Exact counts of a task, in the order of the phrases' hashes."""
+
+    def __init__(self):
+        self.hashes, self.n, self.text = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, object)
+        self.size, self.lang = np.zeros(0, np.uint8), np.zeros(0, np.int32)
+        self.langs: dict[str, int] = {}
+        self.words: Counter = Counter()
+
+    def add(self, p: _Pieces, longest: int, kept: np.ndarray) -> None:
+        code = np.array([self.langs.setdefault(x, len(self.langs)) for x in p.langs], np.int32)
+        if len(p.langs):
+            self.words.update(dict(zip(p.langs, np.bincount(p.lang[p.rows], minlength=len(p.langs)).tolist(), strict=True)))
+        found = p.passing(longest, kept)
+        pos, hashes = (np.concatenate([f[i] for f in found.values()]) for i in (0, 1))
+        sizes = np.repeat(np.array(list(found), np.uint8), [len(f[0]) for f in found.values()])
+        hashes, first, n = np.unique(hashes, return_index=True, return_counts=True)
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(at), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        self.n[at[known]] += n[known]
+        at, new = at[~known], first[~known]
+        self.hashes, self.n = np.insert(self.hashes, at, hashes[~known]), np.insert(self.n, at, n[~known])
+        text = np.empty(len(new), object)
+        text[:] = p.texts(pos[new], sizes[new].astype(np.int64))
+        self.text, self.size = np.insert(self.text, at, text), np.insert(self.size, at, sizes[new])
+        self.lang = np.insert(self.lang, at, code[p.lang[p.rows[pos[new]]]] if len(code) else [])
+
+    def rows(self, parts: int) -> pa.RecordBatch:
+        """(part, lang, phrases, sizes, counts): the phrases of a partition and language in one row, a line
+        break between them, which none of them has; and in partition 0 all words as the empty phrase."""
+        names, part = list(self.langs), _part_of(self.hashes >> U(64 - HASH_BITS), parts).astype(np.int64)
+        order = np.lexsort((self.lang, part))
+        key = part[order] * max(1, len(names)) + self.lang[order]
+        begin = np.flatnonzero(np.diff(key, prepend=-1))
+        out = [(0, lang, b"", b"\0", np.int64(n).tobytes()) for lang, n in self.words.items() if n]
+        for a, b in zip(begin, np.append(begin, len(key))[1:], strict=True):
+            own = order[a:b]
+            out.append((int(part[own[0]]), names[self.lang[own[0]]], b"\n".join(self.text[own]), self.size[own].tobytes(), self.n[own].tobytes()))
+        types = pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["part", "lang", "phrases", "sizes", "counts"])
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """(lang, phrase, size, f) of every phrase of up to ``longest`` words that occurs ``least`` times in its
     language; and a row of size 0 with the number of all words for each language."""
+    # a word takes two bytes at least, with the one that ends it
+    most = (docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0) // 2
     kept = None
     for sizes in [(1, 2), *[(size,) for size in range(3, longest + 1)]]:
-        kept = _surviving(docs, sizes, least, kept)
+        kept = _surviving(docs, sizes, least, max(1, -(-most * len(sizes) // MASS)), kept)
+    parts = max(1, -(-most * longest // MASS))
 
     def count(batches):
-        held: dict = {}
+        held = _Counts()
         for p in _read(batches):
-            n = np.bincount(p.lang[p.rows], minlength=len(p.langs)) if len(p.langs) else []
-            for lang, words in zip(p.langs, n, strict=True):
-                if words:
-                    held.setdefault((lang, 0), [lang, "", 0, 0])[3] += int(words)
-            for size, (pos, hashes) in p.passing(longest, kept).items():
-                hashes, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-                for h, at, f in zip(hashes.tolist(), pos[first].tolist(), counts.tolist(), strict=True):
-                    known = held.get((h, size))
-                    if known is None:
-                        held[h, size] = [p.langs[p.lang[p.rows[at]]], p.text(at, size), size, f]
-                    else:
-                        known[3] += f
-            if len(held) > HELD_PHRASES:
-                yield counted(held)
-                held = {}
-        yield counted(held)
-
-    def counted(held):
-        types = pa.string(), pa.string(), pa.int32(), pa.int64()
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in held.values()], t) for i, t in enumerate(types)], ["lang", "phrase", "size", "f"])
-
-    counts = docs.select("lang", "text").mapInArrow(count, "lang string, phrase string, size int, f long")
-    return counts.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("size") == 0))
+            held.add(p, longest, kept)
+            if len(held.hashes) > HELD_PHRASES:
+                yield held.rows(parts)
+                held = _Counts()
+        yield held.rows(parts)
+
+    def add_up(batches):
+        key, held = None, {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = batch.column("part")[i].as_py(), batch.column("lang")[i].as_py()
+                if own != key:
+                    if key is not None:
+                        yield often(key[1], held)
+                    key, held = own, {}
+                phrases, sizes, counts = (batch.column(c)[i].as_py() for c in ("phrases", "sizes", "counts"))
+                for phrase, size, n in zip(phrases.split(b"\n"), sizes, np.frombuffer(counts, np.int64).tolist(), strict=True):
+                    now = held.get(phrase)
+                    held[phrase] = (size, n if now is None else now[1] + n)
+        if key is not None:
+            yield often(key[1], held)
+
+    def often(lang, held):
+        rows = [(p, size, n) for p, (size, n) in held.items() if n >= least or size == 0]
+        columns = [pa.array([lang] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.binary()).cast(pa.string()),
+                   pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "f"])
+
+    seen = docs.select("lang", "text").mapInArrow(count, "part long, lang string, phrases binary, sizes binary, counts binary")
+    return seen.repartition("part").sortWithinPartitions("part", "lang").mapInArrow(add_up, "lang string, phrase string, size int, f long")
 
 
 def scored(counts: DataFrame, inside: int = INSIDE) -> DataFrame:
