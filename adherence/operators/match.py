@@ -10,7 +10,8 @@ The fallback match (J8) joins on (route_id, stop_id, stop_sequence) with a ±300
 start, within one service day.  Instead of pairing every scheduled and realtime trip of a stop and
 filtering, start times are bucketed by twice the band and each realtime row probes the one or two
 buckets that its band reaches.  Rows with a NULL start on either side match whatever the other's
-start (the source semantics) on the same day; the output of that equi-join *is* the result.
+start (the source semantics) on the same day, in joins of their own that a feed without such rows
+doesn't have.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from adherence.functions import delay as DL
 from adherence.functions import gtfs_time as T
 from adherence.functions.ids import as_key_string, operator_agency_predicate, rt_stop_id, uniform
 from adherence.operators.dims import join_dim
+from adherence.session import cut_lineage
+
+#: Rows of one key that a task may get from a side of the fallback match; keys that a broadcast may name.
+HOT_ROWS, BROADCAST_KEYS = 100_000, 200_000
 
 
 class NoMatchError(ValueError):
@@ -165,30 +170,62 @@ def running_trips(trips: DataFrame, services: DataFrame) -> DataFrame:
     return trips.join(services, "service_id", "left_semi")
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner equi-join of stored frames whose keys may hold any share of the rows.
+
+    The rows of each key are counted first.  A key with more than ``hot_rows`` on a side is dealt over a
+    grid: its left rows are split over so many strips, its right rows over so many, each row is copied once
+    for each strip of the other side, and every pair meets in exactly one cell of at most about
+    ``hot_rows`` by ``hot_rows``.  Without such a key it is the plain join, and no row is copied."""
+    counts = [f.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for f, n in ((left, "_nl"), (right, "_nr"))]
+    hot = counts[0].join(counts[1], keys).where(f"_nl > {hot_rows} or _nr > {hot_rows}")
+    hot = cut_lineage(hot.select(*keys, F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_strips"), F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_lanes")))
+    n_hot = hot.limit(BROADCAST_KEYS + 1).count()  # at most the rows of both sides over hot_rows
+    if not n_hot:
+        return left.join(right, keys)
+    marked = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
+    other = F.sequence(F.lit(0), F.col("_copies") - 1)
+
+    def dealt(side: DataFrame, mine: str, theirs: str, own_name: str, other_name: str) -> DataFrame:
+        # numbered where they are stored, so a task that runs again deals its rows alike
+        out = side.withColumn("_row", F.monotonically_increasing_id()).join(marked, keys, "left")
+        out = out.withColumns({own_name: F.pmod("_row", F.coalesce(mine, F.lit(1))).cast("int"), "_copies": F.coalesce(theirs, F.lit(1))})
+        return out.withColumn(other_name, F.explode(other)).drop("_row", "_copies", "_strips", "_lanes")
+
+    grid = [dealt(left, "_strips", "_lanes", "_strip", "_lane"), dealt(right, "_lanes", "_strips", "_lane", "_strip")]
+    return grid[0].join(grid[1], [*keys, "_strip", "_lane"]).drop("_strip", "_lane")
+
+
 def match_fallback(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC,
-                   default_date: str | None = None) -> DataFrame:
+                   default_date: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Inner on (service day, route_id, stop_id, stop_sequence) where either start is NULL or the
     starts differ by at most ``band`` seconds; the realtime trip_id is discarded.
 
     A realtime row's day is its start_date, or ``default_date`` (the day of a daily job) where it has
     none; a row without either has no day to match.
 
-    One equi-join, so each side is read once: starts fall into buckets of twice the band, of which the
-    band around a realtime start reaches one or two, and a bucket of its own holds scheduled rows
-    without a start; a realtime row without a start meets a second copy of every scheduled row."""
+    Three disjoint parts.  Both starts known: an equi-join on the keys and a bucket of starts; buckets are
+    twice as wide as the band, so a realtime row probes the one or two that its band reaches.  A scheduled
+    row without a start meets all realtime rows of its keys; a realtime row without one meets the scheduled
+    rows that have a start.  Both sides are checkpointed and looked at first: the second and third part are
+    in the plan only if there are such rows, so without any no row is copied for them, and keys that hold
+    very many of the rows are dealt over tasks (``spread_join``)."""
     keys = ["service_date", "route_id", "stop_id", "stop_sequence"]
-    no_start, any_start = F.lit(-(1 << 62)), F.lit(1 << 62)
-    s_start, r_start = F.col("trip_start_epoch"), F.col("rt_trip_start_epoch")
     day = F.to_date(F.col("start_date"), "yyyyMMdd") if "start_date" in rt.columns else F.lit(None).cast("date")
     if default_date is not None:
         day = F.coalesce(day, F.lit(default_date).cast("date"))
-    r = rt.select(day.alias("service_date"), *keys[1:], F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch")
+    s = cut_lineage(sched)
+    r = cut_lineage(rt.select(day.alias("service_date"), *keys[1:], F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch"))
+    s_start, r_start = F.col("trip_start_epoch"), F.col("rt_trip_start_epoch")
     width = 2 * band
-    probes = F.array_distinct(F.array(F.floor((r_start - band) / width), F.floor((r_start + band) / width), no_start))
-    s = sched.withColumn("_b", F.explode(F.array(F.coalesce(F.floor(s_start / width), no_start), any_start)))
-    r = r.withColumn("_b", F.explode(F.when(r_start.isNull(), F.array(any_start)).otherwise(probes)))
-    ok = r_start.isNull() | s_start.isNull() | (F.abs(r_start - s_start) <= band)
-    return s.join(r, [*keys, "_b"]).filter(ok).drop("_b")
+    probes = F.array_distinct(F.array(F.floor((r_start - band) / width), F.floor((r_start + band) / width)))
+    timed = spread_join(s.where(s_start.isNotNull()).withColumn("_b", F.floor(s_start / width)),
+                        r.where(r_start.isNotNull()).withColumn("_b", F.explode(probes)), [*keys, "_b"], hot_rows)
+    out = timed.where(F.abs(r_start - s_start) <= band).drop("_b")
+    for left, right in ((s.where(s_start.isNull()), r), (s.where(s_start.isNotNull()), r.where(r_start.isNull()))):
+        if not (left if right is r else right).isEmpty():
+            out = out.unionByName(spread_join(left, right, keys, hot_rows))
+    return out
 
 
 def match(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC, default_date: str | None = None,

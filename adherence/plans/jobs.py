@@ -68,10 +68,15 @@ def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehou
             feed.trips = M.running_trips(feed.trips, M.active_services(calendar, dates, service_date))
 
     # Only the last snapshot of the day is read (S7), unless all are asked for
-    paths = f"{raw_base}/realtime/{service_date}" if mode == "all" else L.latest_snapshot_path(spark, raw_base, service_date)
-    # decoded once: the match looks at it twice
-    rt = cut_lineage(TU.decode(TU.read_snapshots(spark, paths), zone=zone))
-    rt = M.prepare_realtime(TU.require_rows(rt), static_feed, realtime_feed)
+    if mode != "all":
+        L.latest_snapshot_path(spark, raw_base, service_date)  # there is one, or an error says so
+    options = {"from": service_date, "to": service_date, "latest": str(mode != "all").lower()}
+    snapshots = cut_lineage(TU.load(spark, f"{raw_base}/realtime", **options))  # decoded once: the match looks at it twice
+    letters = TU.dead_letters(snapshots)
+    if not letters.isEmpty():
+        log.warning("snapshots of %s that cannot be decoded are in %s/dead_letters", service_date, warehouse)
+        letters.write.mode("append").parquet(f"{warehouse}/dead_letters")
+    rt = M.prepare_realtime(TU.require_rows(TU.updates(snapshots, zone=zone)), static_feed, realtime_feed)
     if same_day_only:
         rt = M.same_service_day(rt, service_date)
 

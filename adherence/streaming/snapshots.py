@@ -232,7 +232,7 @@ def run_window_stats(stream: DataFrame, ts: str, keys: list[str], value: str, wa
 
 def stream_trip_updates(spark, realtime_root: str, zone: str | None = None, max_files: int | None = None) -> DataFrame:
     """R1 on the real feed: new ``tripupdates.pb`` snapshots under ``realtime_root`` as a stream of
-    flat TripUpdates rows (binaryFile stream -> mapInPandas decoder, one snapshot per task)."""
+    flat TripUpdates rows (binaryFile stream -> decoder, one snapshot per task)."""
     from adherence.constants import DEFAULT_ZONE
     from adherence.sources import tripupdates as TU
 
@@ -244,6 +244,26 @@ def stream_trip_updates(spark, realtime_root: str, zone: str | None = None, max_
     return TU.decode(r.load(realtime_root), zone=zone or DEFAULT_ZONE)
 
 
+def run_feed_deltas(spark, realtime_root: str, root: str, table: str, checkpoint: str, zone: str | None = None):
+    """R1 + R2 on the landing folder: each micro-batch decodes the snapshots since the last one; the latest
+    row of each key becomes a delta of ``table``, and snapshots that cannot be decoded rows of
+    ``<table>_dead``, both in one version."""
+    from adherence.constants import DEFAULT_ZONE
+    from adherence.sources import tripupdates as TU
+
+    def add(batch: DataFrame, epoch_id: int) -> None:
+        load = _batch_load(batch, epoch_id, root, checkpoint)
+        if load:
+            rows = cut_lineage(batch)  # decoded once, looked at twice
+            load.write(latest_per_key(TU.updates(rows, zone=zone or DEFAULT_ZONE), UPDATE_KEYS, UPDATE_ORDER, UPDATE_VALUES), table, ["service_date"])
+            load.write(TU.dead_letters(rows), f"{table}_dead", ["service_date"])
+            load.publish(add=True)
+
+    stream = TU.load(spark, realtime_root, stream=True)
+    return (stream.writeStream.outputMode("append").foreachBatch(add)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 UPDATE_KEYS = ["service_date", "trip_id", "stop_id", "stop_sequence"]
 UPDATE_ORDER = ["snapshot_ts", "actual_epoch", "delay_seconds"]
 UPDATE_VALUES = ["route_id", "start_date", "trip_start_epoch", "path"]

@@ -425,3 +425,116 @@ def test_histograms_of_dates_merge(spark, sf_dir):
     whole = U.delay_histogram(facts)
     parts = U.merge_histograms(*[U.delay_histogram(facts.where(F.col("stop_sequence") % 3 == i)) for i in range(3)])
     assert parts.select(*whole.columns).exceptAll(whole).isEmpty() and whole.exceptAll(parts.select(*whole.columns)).isEmpty()
+
+
+def _fallback_sides(spark, null_schedule, null_realtime, hot):
+    """A hot key that holds a third of both sides, and starts around bucket borders."""
+    import random
+    rng = random.Random(7)
+    start = lambda p: None if rng.random() < p else rng.randrange(0, 2400, 25)
+    key = lambda i: ("R", "S", "1") if i % 3 == 0 and hot else (f"R{i % 5}", f"S{i % 4}", str(i % 3))
+    day = dt.date(2026, 7, 12)
+    s = [(day, *key(i), f"T{i}", start(null_schedule)) for i in range(240)]
+    r = [(f"X{i}", *key(i), start(null_realtime), "20260712" if i % 7 else None, i, None) for i in range(300)]
+    return (spark.createDataFrame(s, "service_date date, route_id string, stop_id string, stop_sequence string, trip_id string, trip_start_epoch long"),
+            spark.createDataFrame(r, "trip_id string, route_id string, stop_id string, stop_sequence string, trip_start_epoch long, start_date string, delay_seconds int, actual_epoch long"))
+
+
+@pytest.mark.parametrize("nulls", [(0, 0), (0.3, 0), (0, 0.3), (0.3, 0.3)])
+@pytest.mark.parametrize("hot_rows", [9, 100_000])
+def test_fallback_parts_equal_brute_force(spark, nulls, hot_rows):
+    """J8 with each NULL case, hot keys dealt over a grid or not: every pair once."""
+    s, r = _fallback_sides(spark, *nulls, hot=True)
+    got = M.match_fallback(s, r, default_date="2026-07-12", hot_rows=hot_rows)
+    day = F.coalesce(F.to_date("start_date", "yyyyMMdd"), F.lit("2026-07-12").cast("date"))
+    q = r.select(day.alias("service_date"), "route_id", "stop_id", "stop_sequence", F.col("trip_start_epoch").alias("rt"), "delay_seconds")
+    want = s.join(q, ["service_date", "route_id", "stop_id", "stop_sequence"]).where(
+        "rt is null or trip_start_epoch is null or abs(rt - trip_start_epoch) <= 300")
+    rows = lambda d: sorted((x.trip_id, x.delay_seconds) for x in d.select("trip_id", "delay_seconds").collect())
+    assert rows(got) == rows(want) and got.count() > 500
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 + sum(n > 0 for n in nulls)          # no part without such rows
+    if hot_rows == 100_000:
+        assert plan.count("Generate explode") == 1                            # the probes of the band, and no copies
+
+
+def test_spread_join_bounds_what_a_task_gets(spark):
+    """A key with a third of the rows on both sides ends in cells of about ``hot_rows`` a side."""
+    left = spark.range(900).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    right = spark.range(600).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("b"))
+    out = M.spread_join(left, right, ["k"], hot_rows=50)
+    assert out.count() == left.join(right, "k").count() == out.distinct().count()
+    assert out.where("k = 0").count() == 300 * 200
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_strip" in plan and "_lane" in plan
+    small = M.spread_join(left, right, ["k"], hot_rows=500)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_strip" not in small
+
+
+def test_snapshot_source_plans_folders_and_sets_dead_snapshots_aside(spark, landing, tmp_path):
+    """Equal to the file reader; filters reach the folder listing; a broken snapshot fails nothing."""
+    import shutil
+    root = tmp_path / "realtime"
+    shutil.copytree(landing / "realtime", root)
+    other = root / "2026-07-13" / "06-00-00"
+    other.mkdir(parents=True)
+    (other / "tripupdates.pb").write_bytes(_feed(PRIMARY[:2]))
+    for name, content in (("06-30-00", b"\xff not a feed"), ("06-45-00", None)):
+        (root / SERVICE_DATE / name).mkdir()
+        if content is not None:
+            (root / SERVICE_DATE / name / "tripupdates.pb").write_bytes(content)
+    (root / SERVICE_DATE / "notes").mkdir()
+    snaps = TU.load(spark, str(root))
+    columns = ["service_date", "snapshot_ts", "trip_id", "route_id", "start_date", "stop_id", "stop_sequence", "delay_seconds", "actual_epoch", "trip_start_epoch"]
+    flat = TU.updates(snaps).select(*columns)
+    want = TU.decode(TU.read_snapshots(spark, [str(landing / "realtime"), str(root / "2026-07-13")])).select(*columns)
+    assert flat.count() == want.count() > 0 and flat.exceptAll(want).isEmpty()
+    dead = {str(r.snapshot_ts): r.error for r in TU.dead_letters(snaps).collect()}
+    assert sorted(dead) == ["2026-07-12 06:30:00", "2026-07-12 06:45:00"]
+    assert "DecodeError" in dead["2026-07-12 06:30:00"] and "FileNotFound" in dead["2026-07-12 06:45:00"]
+    parts = lambda d: d.rdd.getNumPartitions()
+    assert parts(snaps) == 5
+    assert parts(TU.load(spark, str(root)).where("service_date = DATE'2026-07-13'")) == 1
+    assert parts(TU.load(spark, str(root)).where("snapshot_ts < TIMESTAMP_NTZ'2026-07-12 06:30:00'")) == 2
+    assert parts(TU.load(spark, str(root), **{"from": "2026-07-13"})) == 1
+    assert [str(r[0]) for r in TU.load(spark, str(root), latest="true").select("snapshot_ts").distinct().orderBy("snapshot_ts").collect()] == [
+        "2026-07-12 06:45:00", "2026-07-13 06:00:00"]
+    assert TU.load(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_feed_stream_deltas_and_dead_letters(spark, landing, tmp_path):
+    """R1 + R2 from the landing folder: what lands between runs is picked up, dead snapshots beside it."""
+    import shutil
+
+    from adherence.sources import versions as V
+    from adherence.streaming import snapshots as S
+    src, root, wh, ck = landing / "realtime" / SERVICE_DATE, tmp_path / "realtime", str(tmp_path / "wh"), str(tmp_path / "ck")
+    run = lambda: S.run_feed_deltas(spark, str(root), wh, "latest", ck).awaitTermination(300)
+    shutil.copytree(src / "06-00-00", root / SERVICE_DATE / "06-00-00")
+    run()
+    (root / SERVICE_DATE / "06-05-00").mkdir()
+    (root / SERVICE_DATE / "06-05-00" / "tripupdates.pb").write_bytes(b"\xff\xff")
+    shutil.copytree(src / "06-15-00", root / SERVICE_DATE / "06-15-00")
+    run()
+    run()  # nothing new
+    got = S.read_latest(spark, wh, "latest", S.UPDATE_KEYS, S.UPDATE_ORDER, S.UPDATE_VALUES)
+    want = S.latest_per_key(TU.decode(TU.read_snapshots(spark, str(landing / "realtime"))), S.UPDATE_KEYS, S.UPDATE_ORDER, S.UPDATE_VALUES)
+    columns = [c for c in want.columns if c != "path"]
+    assert got.count() == want.count() > 0 and got.select(*columns).exceptAll(want.select(*columns)).isEmpty()
+    assert [str(r.snapshot_ts) for r in V.read(spark, wh, "latest_dead").collect()] == ["2026-07-12 06:05:00"]
+
+
+def test_transform_sets_dead_snapshots_aside(spark, landing, tmp_path):
+    import shutil
+
+    from adherence.plans import jobs
+    base, wh = tmp_path / "landing", str(tmp_path / "wh")
+    shutil.copytree(landing / "static", base / "static")
+    shutil.copytree(landing / "realtime", base / "realtime")
+    broken = base / "realtime" / SERVICE_DATE / "06-20-00"
+    broken.mkdir()
+    (broken / "tripupdates.pb").write_bytes(b"\xff\xff")
+    rep = jobs.run_transform(spark, SERVICE_DATE, str(base), wh, "SL", mode="all")
+    assert rep["rows_loaded"] > 0 and spark.read.parquet(f"{wh}/dead_letters").count() == 1
+    with pytest.raises(ValueError, match="no TripUpdates"):
+        jobs.run_transform(spark, SERVICE_DATE, str(base), wh, "SL")  # the latest one is dead
