@@ -26,7 +26,7 @@ from adherence.functions import delay as DL
 from adherence.functions import gtfs_time as T
 from adherence.functions.ids import as_key_string, operator_agency_predicate, rt_stop_id, uniform
 from adherence.operators.dims import join_dim
-from adherence.session import cut_lineage
+from adherence.session import materialized
 
 #: Rows of one key that a task may get from a side of the fallback match; keys that a broadcast may name.
 HOT_ROWS, BROADCAST_KEYS = 100_000, 200_000
@@ -179,7 +179,7 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: in
     ``hot_rows`` by ``hot_rows``.  Without such a key it is the plain join, and no row is copied."""
     counts = [f.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for f, n in ((left, "_nl"), (right, "_nr"))]
     hot = counts[0].join(counts[1], keys).where(f"_nl > {hot_rows} or _nr > {hot_rows}")
-    hot = cut_lineage(hot.select(*keys, F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_strips"), F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_lanes")))
+    hot = materialized(hot.select(*keys, F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_strips"), F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_lanes")), "hot-keys")
     n_hot = hot.limit(BROADCAST_KEYS + 1).count()  # at most the rows of both sides over hot_rows
     if not n_hot:
         return left.join(right, keys)
@@ -207,15 +207,15 @@ def match_fallback(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_B
     Three disjoint parts.  Both starts known: an equi-join on the keys and a bucket of starts; buckets are
     twice as wide as the band, so a realtime row probes the one or two that its band reaches.  A scheduled
     row without a start meets all realtime rows of its keys; a realtime row without one meets the scheduled
-    rows that have a start.  Both sides are checkpointed and looked at first: the second and third part are
+    rows that have a start.  Both sides are stored and looked at first: the second and third part are
     in the plan only if there are such rows, so without any no row is copied for them, and keys that hold
     very many of the rows are dealt over tasks (``spread_join``)."""
     keys = ["service_date", "route_id", "stop_id", "stop_sequence"]
     day = F.to_date(F.col("start_date"), "yyyyMMdd") if "start_date" in rt.columns else F.lit(None).cast("date")
     if default_date is not None:
         day = F.coalesce(day, F.lit(default_date).cast("date"))
-    s = cut_lineage(sched)
-    r = cut_lineage(rt.select(day.alias("service_date"), *keys[1:], F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch"))
+    s = materialized(sched, "scheduled")
+    r = materialized(rt.select(day.alias("service_date"), *keys[1:], F.col("trip_start_epoch").alias("rt_trip_start_epoch"), "delay_seconds", "actual_epoch"), "realtime")
     s_start, r_start = F.col("trip_start_epoch"), F.col("rt_trip_start_epoch")
     width = 2 * band
     probes = F.array_distinct(F.array(F.floor((r_start - band) / width), F.floor((r_start + band) / width)))

@@ -5,9 +5,8 @@ available on Parquet; they are checked here (DQ-002, DQ-006, DQ-005) and enforce
 by ``facts.build`` (NOT NULL violations go to the rejects, the grain is de-duplicated, rows
 without dimension keys are counted and skipped).
 
-All statistics of a fact table come out of a single aggregate pass (no repeated scans);
-the duplicate count is a two-level aggregate whose first level combines map-side.  Only the
-small per-date report ever reaches the driver (``gate``).
+All checks of a fact table come out of one pass (``profile``): an aggregate over two grouping sets whose
+first level combines map-side.  Only the small per-date report ever reaches the driver (``gate``).
 """
 
 from __future__ import annotations
@@ -69,18 +68,57 @@ def referential(facts: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> Dat
     return out
 
 
+def profile(facts: DataFrame, dims: dict[str, tuple[DataFrame, str]], grain: list[str] = GRAIN, copies: str | None = None) -> DataFrame:
+    """Everything DQ-001 to DQ-006 need of each date, from one pass over the facts: row_count,
+    null_trip_ids, out_of_range, null_delays, orphan_rows and dup_count.
+
+    One aggregate over two grouping sets, combined map-side: the rows of each (date, foreign keys), which
+    the statistics and the referential tests come from, and of each grain.  The dimensions then mark key
+    combinations, not facts, and a second aggregate per date ends it; the plan has one branch, so the facts
+    are read once.  ``copies`` names a column that says how many source rows stand behind a fact, where a
+    de-duplication has counted them."""
+    keys = sorted({key for _, key in dims.values()})
+    d = F.col("delay_seconds")
+    rows = facts.withColumns({"_bad": _out_of_range(d), "_no_trip": F.col("trip_id").isNull(), "_no_delay": d.isNull(),
+                              "_copies": F.col(copies) if copies else F.lit(1)})
+    # the grouping sets take columns of their own, so that a key may be in both
+    rows = rows.select("date_key", *[F.col(k).alias(f"k_{k}") for k in keys], *[F.col(c).alias(f"g_{c}") for c in grain if c != "date_key"],
+                       "_bad", "_no_trip", "_no_delay", "_copies")
+    of_keys, of_grain = [["date_key", *[c for c in rows.columns if c.startswith(p)]] for p in ("k_", "g_")]
+    one = rows.groupingSets([of_keys, of_grain], "date_key", *of_keys[1:], *of_grain[1:]).agg(
+        F.grouping(of_grain[1]).alias("by_keys"), F.count(F.lit(1)).alias("n"), F.sum("_copies").alias("copies"), F.count_if("_no_trip").alias("no_trip"),
+        F.count_if("_bad").alias("bad"), F.count_if("_no_delay").alias("no_delay"))
+    by_keys = F.col("by_keys") == 1
+    missing = F.lit(0)
+    for label, (dim, key) in dims.items():
+        there = dim.select(F.col(key).alias(f"k_{key}"), F.lit(1).alias(f"_{label}")).distinct()
+        one = one.join(there, f"k_{key}", "left")
+        missing = missing + F.when(by_keys & F.col(f"_{label}").isNull(), 1).otherwise(0)
+    total = lambda c: F.coalesce(F.sum(F.when(by_keys, c)), F.lit(0)).cast("bigint")
+    return one.groupBy("date_key").agg(
+        total(F.col("n")).alias("row_count"), total(F.col("no_trip")).alias("null_trip_ids"), total(F.col("bad")).alias("out_of_range"),
+        total(F.col("no_delay")).alias("null_delays"), total(F.col("n") * missing).alias("orphan_rows"),
+        F.coalesce(F.sum(F.when(~by_keys, F.col("copies") - 1)), F.lit(0)).cast("bigint").alias("dup_count"))
+
+
 def report(stats: DataFrame, dups: DataFrame, orphans_by_date: DataFrame | None = None,
            static_age_days: Column | None = None) -> DataFrame:
-    """Q1-Q7 (and L9's constraints) as rows (date_key, check_id, severity, passed, observed).
-
-    ``static_age_days`` is the age of the static feed against an injected ``as_of`` time (S9);
-    unknown age fails DQ-007, as in the source system.
-    """
+    """Q1-Q7 from frames of their own for the statistics, the duplicates and the orphans."""
     s = stats.join(dups, "date_key", "left")
     if orphans_by_date is not None:
         s = s.join(orphans_by_date, "date_key", "left")
     else:
         s = s.withColumn("orphan_rows", F.lit(0).cast("bigint"))
+    return report_of(s, static_age_days)
+
+
+def report_of(s: DataFrame, static_age_days: Column | None = None) -> DataFrame:
+    """Q1-Q7 (and L9's constraints) as rows (date_key, check_id, severity, passed, observed), from one row a
+    date as ``profile`` gives it.
+
+    ``static_age_days`` is the age of the static feed against an injected ``as_of`` time (S9);
+    unknown age fails DQ-007, as in the source system.
+    """
     total = F.col("row_count")
     null_rate = F.when(total > 0, F.col("null_delays") / total).otherwise(F.lit(0.0))
     age = static_age_days if static_age_days is not None else F.lit(None).cast("double")

@@ -117,11 +117,6 @@ def run_quality(spark: SparkSession, service_date: str, warehouse: str, raw_base
     """DQ-001..007 for one date, status persisted as an event, then the ERROR gate."""
     dk = int(service_date.replace("-", ""))
     facts = W.read_star(spark, f"{warehouse}/fact_trip_delay", dk, dk)
-    stats = Q.fact_stats(facts)
-    stats = stats.unionByName(  # an empty date still produces its row (DQ-001 fails)
-        spark.range(1).select(F.lit(dk).alias("date_key"), *[F.lit(0).cast("bigint").alias(c) for c in
-                                                             ("row_count", "null_trip_ids", "out_of_range", "null_delays")])
-    ).groupBy("date_key").agg(*[F.sum(c).alias(c) for c in ("row_count", "null_trip_ids", "out_of_range", "null_delays")])
     day = spark.range(1).select(F.lit(service_date).cast("date").alias("full_date"))
     dims = {"date": (D.calendar_from_dates(day), "date_key"),
             "route": (W.read_dim(spark, f"{warehouse}/dim_route"), "route_key"),
@@ -132,8 +127,11 @@ def run_quality(spark: SparkSession, service_date: str, warehouse: str, raw_base
         side = L.read_sidecars(spark, f"{raw_base}/static/{service_date}")
         ages = L.static_age_days(side, as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         age = ages.agg(F.min("age_days")).first()[0]  # of the newest pull
+    p = Q.profile(facts, dims)
+    none = spark.range(1).select(F.lit(dk).alias("date_key"), *[F.lit(0).cast("bigint").alias(c) for c in p.columns if c != "date_key"])
+    p = p.unionByName(none).groupBy("date_key").agg(*[F.sum(c).alias(c) for c in p.columns if c != "date_key"])  # an empty date has its row too
     # seven rows, computed once: the status, the gate and the caller look at them
-    rep = cut_lineage(Q.report(stats, Q.duplicate_grain(facts), Q.orphan_rows_by_date(facts, dims), F.lit(age).cast("double")))
+    rep = cut_lineage(Q.report_of(p, F.lit(age).cast("double")))
     status = Q.status(rep).first()
     RUNS.append(RUNS.dq_event(spark, service_date, status.dq_status if status else "failed", dag_run_id),
                 f"{warehouse}/pipeline_runs")

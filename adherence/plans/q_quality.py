@@ -49,11 +49,12 @@ def _raw(spark, d):
 
 
 def _report(spark, d):
-    f = _qfacts(spark, d)
-    stats = Q.fact_stats(f)
-    dups = Q.duplicate_grain(_raw(spark, d))
-    orphans = Q.orphan_rows_by_date(f, {"stop": (driver.loaded_stop_dim(spark, d), "stop_key")})
-    return Q.report(stats, dups, orphans, _age())
+    """All checks from one pass: the de-duplicated facts know how many raw rows stand behind each."""
+    f = driver.facts(spark, d, counts=True)
+    f = driver.quality_facts(f.withColumn("visit_trip", F.col("trip_id")))
+    grain = ["visit_trip", "stop_key", "date_key", "stop_sequence"]
+    p = Q.profile(f, {"stop": (driver.loaded_stop_dim(spark, d), "stop_key")}, grain, copies="n_rows")
+    return Q.report_of(p, _age())
 
 
 def _age():

@@ -8,6 +8,7 @@ exists for tests and the bench only.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +69,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read again: it is computed once, survives
+    lost executors, and later filters and column choices reach its files."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

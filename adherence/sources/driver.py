@@ -130,10 +130,11 @@ def raw_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def facts(spark: SparkSession, sf_dir: str, vehicle_types: DataFrame | None = None, dedupe: bool = True) -> DataFrame:
+def facts(spark: SparkSession, sf_dir: str, vehicle_types: DataFrame | None = None, dedupe: bool = True, counts: bool = False) -> DataFrame:
     """``fact_trip_delay`` shape (natural keys double as surrogate keys here).
 
-    ``dedupe=False`` gives the candidate rows before W3 (grain duplicates included)."""
+    ``dedupe=False`` gives the candidate rows before W3 (grain duplicates included); ``counts`` adds
+    ``n_rows``, how many of them each fact stands for."""
     li = dedup_lineitem(spark, sf_dir) if dedupe else raw_lineitem(spark, sf_dir)
     t = trips(spark, sf_dir)
     vt = vehicle_types if vehicle_types is not None else D.vehicle_type_dim(spark)
@@ -153,6 +154,7 @@ def facts(spark: SparkSession, sf_dir: str, vehicle_types: DataFrame | None = No
         F.timestamp_add("SECOND", delay, sched).alias("actual_arrival"),
         delay.alias("delay_seconds"),
         F.lit(FACT_DATA_SOURCE).alias("data_source"),
+        *([(F.col("dup_count") + 1).alias("n_rows")] if counts else []),
     )
 
 

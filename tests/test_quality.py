@@ -53,3 +53,29 @@ def test_rejects_split(spark):
     ok, bad = Q.split_rejects(df)
     assert ok.count() == 2
     assert sorted(r.reject_reason for r in bad.collect()) == ["delay_out_of_range", "null_trip_id"]
+
+
+def test_profile_equals_the_checks_one_by_one(spark):
+    """One pass against the frames of each check, with nulls, duplicates, several dates and odd keys."""
+    import random
+
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    rows = [(rng.choice([1, 2, 3]), rng.choice([None, "a", "b", "c"]), rng.choice([1, 2, 9, None]), rng.choice([1, 2]), rng.choice([5, 6, None]),
+             rng.choice([None, 0, 50_000, -9_000]), rng.randint(1, 4)) for _ in range(500)]
+    facts = spark.createDataFrame(rows, "date_key int, trip_id string, stop_key long, stop_sequence int, route_key long, delay_seconds int, n_rows long")
+    dims = {"stop": (spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "stop_key long, n string"), "stop_key"),
+            "route": (spark.createDataFrame([(5,)], "route_key long"), "route_key")}
+    got = Q.profile(facts, dims)
+    want = Q.fact_stats(facts).join(Q.duplicate_grain(facts), "date_key").join(Q.orphan_rows_by_date(facts, dims), "date_key")
+    assert got.count() == 3 and sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    copies = Q.profile(facts, dims, copies="n_rows").agg(F.sum("dup_count")).first()[0]
+    assert copies == sum(r[6] for r in rows) - len({r[:4] for r in rows})
+    assert Q.profile(facts.where("false"), dims).count() == 0
+
+
+@pytest.mark.parametrize("name", ["dq_report", "dq_status"])
+def test_checks_read_the_facts_once(spark, sf_dir, name):
+    from adherence.plans import catalog
+    plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_linenumber#") and plan.count("l_returnflag#") and plan.count("Relation [l_orderkey") == 1
