@@ -221,9 +221,11 @@ def stops_map(star, filters: Filters = ALL) -> DataFrame:
 def stops_map_evidence(stops: DataFrame, min_observations: int = MAP_MIN_OBSERVATIONS) -> DataFrame:
     """Keep stops with enough evidence, or all of them when none has enough.
 
-    The fallback test is a scalar subquery over the per-stop aggregate, not a global window."""
-    best = stops.agg(F.max("n_observations")).scalar()
-    return stops.filter((F.col("n_observations") >= min_observations) | (F.coalesce(best, F.lit(0)) < min_observations))
+    A window over the per-stop aggregate: one row a stop and place, whatever the number of facts, and the
+    facts are read once."""
+    best = F.max("n_observations").over(Window.partitionBy())
+    out = stops.withColumn("_best", best)
+    return out.where((F.col("n_observations") >= min_observations) | (F.col("_best") < min_observations)).drop("_best")
 
 
 def robust_color_range(values: DataFrame, col: str, pad: float = 0.5) -> DataFrame:
@@ -242,18 +244,27 @@ def robust_color_range(values: DataFrame, col: str, pad: float = 0.5) -> DataFra
 # ---------------------------------------------------------------------------- A9-A12, A17
 
 
+#: Digest ranges that the sample's bound is found on.
+SAMPLE_RANGES = 1 << 16
+
+
 def delay_sample(star, filters: Filters = ALL, sample_limit: int = 20000) -> DataFrame:
     """A9 + T3: a deterministic sample of measured delays: the ``sample_limit`` rows with the smallest
-    digest of their grain (the limit is the feature).
+    digest of their grain (the limit is the feature), exact for every limit.
 
-    Digests are uniform, so rows above four times the limit over the number of rows can't be among the
-    smallest; the count is a scalar subquery.  That filter leaves about four times the limit in all
-    partitions together for the ordered limit, which would otherwise get the limit from each."""
+    First the rows of each of ``SAMPLE_RANGES`` ranges of the digest are counted (map-side combined); the
+    lowest ranges that hold ``sample_limit`` rows together hold the smallest ones for certain.  Only their
+    rows, the limit and one range's more in all partitions together, reach the ordered limit, which would
+    otherwise get the limit from each partition."""
     f = delay_view(star, filters, measured=True)
     grain = ["trip_id", "stop_key", "stop_sequence", "date_key"]
-    keyed = f.select(uniform(*[F.col(c).cast("string") for c in grain]).alias("_h"), *grain, "delay_seconds")
-    bound = f.agg(F.lit(4.0 * sample_limit) / F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
-    return keyed.filter(F.col("_h") <= bound).orderBy("_h", *grain).limit(sample_limit).select("delay_seconds")
+    digest = uniform(*[F.col(c).cast("string") for c in grain])
+    within = F.floor(digest * SAMPLE_RANGES)
+    counts = f.groupBy(within.alias("r")).agg(F.count(F.lit(1)).alias("n"))
+    below = F.coalesce(F.sum("n").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    last = counts.withColumn("_below", below).where(F.col("_below") < sample_limit).agg(F.max("r").alias("r")).scalar()
+    keyed = f.where(within <= last).select(digest.alias("_h"), *grain, "delay_seconds")
+    return keyed.orderBy("_h", *grain).limit(sample_limit).select("delay_seconds")
 
 
 def punctuality_summary(star, filters: Filters = ALL) -> DataFrame:

@@ -14,6 +14,7 @@ import argparse
 import datetime as dt
 import logging
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +54,8 @@ def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehou
     ``same_day_only`` drops realtime trips of another start date, ``use_calendar`` scheduled trips whose
     service doesn't run that day (both D6); ``keep_unmatched`` keeps visits without realtime (D5)."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    staging = staging or f"{warehouse}/_staging/{service_date}"
+    # a folder of this run's own: what an earlier archive had and this one lacks is not read
+    staging = f"{staging or f'{warehouse}/_staging/{service_date}'}/{uuid.uuid4().hex}"
     archives = L.list_files(spark, raw_base, "static", "gtfs.zip").filter(
         F.col("service_date") == F.lit(service_date).cast("date"))
     if archives.isEmpty():
@@ -105,6 +107,7 @@ def run_transform(spark: SparkSession, service_date: str, raw_base: str, warehou
         _stage_energy(load, star, dk)
     load.publish(retain=retain)
     rep = report.first().asDict()
+    V.delete(spark, staging)
     rep.update(strategy=strategy, service_date=service_date)
     RUNS.append(RUNS.run_record(spark, service_date, "success", rep["rows_loaded"], dag_run_id, started),
                 f"{warehouse}/pipeline_runs")

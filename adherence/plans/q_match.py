@@ -294,8 +294,12 @@ def q_trip_sample(spark, d):
 def q_transform_facts(spark, d):
     """The load path on the driver data: J7 match -> F5/F6 derive -> J15/J16 key lookup -> D12
     rejects -> W3 de-duplication (D8 order) -> fact rows, reported with natural keys."""
+    return _load_path(spark, d, _rt(spark, d))
+
+
+def _load_path(spark, d, rt, with_strategy=False):
     g = _gtfs(spark, d)
-    matched, _ = M.match(_sched(spark, d), _rt(spark, d))  # J9
+    matched, strategy = M.match(_sched(spark, d), rt)  # J9
     derived = M.derive(matched, ZONE)
     routes = D.merge_scd1(None, g.routes.select("route_id", "route_short_name", "route_long_name"),
                           ["route_id"], "SL", "route_key")
@@ -304,7 +308,44 @@ def q_transform_facts(spark, d):
     out = D.join_dim(facts, routes.select("route_key", "route_id"), "route_key")
     out = D.join_dim(out, stops.select("stop_key", "stop_id"), "stop_key")
     return out.select("date_key", "trip_id", "stop_id", "stop_sequence", "route_id", "vehicle_type_key",
-                      "scheduled_arrival", "actual_arrival", "delay_seconds")
+                      "scheduled_arrival", "actual_arrival", "delay_seconds", *([F.lit(strategy).alias("strategy")] if with_strategy else []))
+
+
+_FALLBACK_M = ("fallback_m", """
+    SELECT s.*, r.delay_seconds, r.actual_epoch FROM sched s
+    JOIN rt r ON s.route_id = r.route_id AND s.stop_id = r.stop_id AND s.stop_sequence = r.stop_sequence
+      AND strftime(s.service_date, '%Y%m%d') = r.start_date
+    WHERE r.trip_start_epoch IS NULL OR s.trip_start_epoch IS NULL OR abs(r.trip_start_epoch - s.trip_start_epoch) <= 300""")
+
+
+@register("transform_facts_fallback", with_views(["dim_vehicle_type"], f"""
+    SELECT CAST(strftime(service_date, '%Y%m%d') AS INTEGER) AS date_key, trip_id, stop_id,
+           CAST(stop_sequence AS INTEGER) AS stop_sequence, route_id, COALESCE(vt.vehicle_type_key, 4) AS vehicle_type_key,
+           scheduled_arrival, CAST(timezone('{ZONE}', to_timestamp(ae)) AS TIMESTAMP) AS actual_arrival,
+           delay2 AS delay_seconds, 'fallback' AS strategy
+    FROM (SELECT *, CAST(COALESCE(rd, ae - scheduled_epoch) AS INTEGER) AS delay2 FROM (
+            SELECT trip_id, stop_id, stop_sequence, route_id, service_date, scheduled_arrival, scheduled_epoch,
+                   delay_seconds AS rd, COALESCE(actual_epoch, scheduled_epoch + delay_seconds) AS ae
+            FROM fallback_m)) d
+    LEFT JOIN dim_vehicle_type vt ON vt.gtfs_route_type = COALESCE(TRY_CAST(
+        CASE WHEN CAST(route_id AS INTEGER) % 10 = 9 THEN '' WHEN CAST(route_id AS INTEGER) % 10 = 8 THEN '715'
+             ELSE CAST(CAST(route_id AS INTEGER) % 5 AS VARCHAR) END AS INTEGER), 3)
+    QUALIFY row_number() OVER (PARTITION BY trip_id, stop_id, service_date, stop_sequence
+        ORDER BY ae DESC NULLS LAST, delay2 DESC NULLS LAST) = 1""", [*_M_VIEWS, _FALLBACK_M]))
+def q_transform_facts_fallback(spark, d):
+    """J9's other branch: the realtime feed names its trips otherwise, so the primary match is empty and
+    the load goes by route, stop, sequence and start."""
+    rt = _rt(spark, d).withColumn("trip_id", F.concat(F.lit("other:"), "trip_id"))
+    return _load_path(spark, d, rt, with_strategy=True)
+
+
+@register("sampled_stop_times", with_views([], """
+    SELECT trip_id, route_id, stop_id, stop_sequence, service_date FROM st_txt
+    WHERE ('0x' || substr(md5('42|' || trip_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 < 0.05""", _M_VIEWS))
+def q_sampled_stop_times(spark, d):
+    """The stop times of the sampled trips."""
+    st = M.operator_stop_times(_gtfs(spark, d), REALTIME_FEED_REGIONAL, sample_fraction=0.05)
+    return st.select("trip_id", "route_id", "stop_id", "stop_sequence", "service_date")
 
 
 @register("dim_merge", """

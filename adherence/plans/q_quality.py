@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from adherence.operators import quality as Q
 from adherence.operators.dims import join_dim
 from adherence.plans.oracle import with_views
 from adherence.plans.registry import register, star
+from adherence.session import ensure_checkpoint_dir
 from adherence.sources import driver
+from adherence.sources import versions as V
 
 AS_OF = "2030-01-01"
 
@@ -180,3 +184,25 @@ def q_key_lookup_report(spark, d):
     j = join_dim(raw, stops, "stop_key", how="left")
     j = join_dim(j, routes, "route_key", how="left")
     return Q.load_report(j.withColumn("has_dim", F.col("_s").isNotNull() & F.col("_r").isNotNull()))
+
+
+@register("reload_switch", with_views(["facts"], """
+    SELECT year, kind, COUNT(*) AS n, CAST(SUM(delay_seconds) AS BIGINT) AS total FROM (
+      SELECT CAST(date_key // 10000 AS INTEGER) AS year,
+             CASE WHEN date_key // 10000 = 1997 THEN delay_seconds + 60 ELSE delay_seconds END AS delay_seconds,
+             CASE WHEN delay_seconds IS NULL OR (date_key // 10000 = 1997 AND delay_seconds < 0) THEN 'rejected' ELSE 'loaded' END AS kind
+      FROM facts WHERE date_key // 10000 <> 1995) GROUP BY year, kind"""))
+def q_reload_switch(spark, d):
+    """All years are loaded as facts and rejects (no delay); a second load replaces 1997 with other
+    values and a stricter rule, and empties 1995, in both tables at once."""
+    root = f"{ensure_checkpoint_dir(spark)}/reload-{uuid.uuid4().hex}"
+    f = star(spark, d).facts.select((F.col("date_key") / 10000).cast("int").alias("year"), "trip_id", "stop_key", "delay_seconds")
+    changed = f.where("year = 1997").withColumn("delay_seconds", F.col("delay_seconds") + 60)
+    for rows, rejected, years in ((f, F.col("delay_seconds").isNull(), []),
+                                  (changed, F.col("delay_seconds").isNull() | (F.col("delay_seconds") < 60), ["year=1995", "year=1997"])):
+        load = V.Load(spark, root)
+        load.write(rows.where(~rejected), "loaded", ["year"], years)
+        load.write(rows.where(rejected), "rejected", ["year"], years)
+        load.publish()
+    both = [V.read(spark, root, kind).withColumn("kind", F.lit(kind)) for kind in ("loaded", "rejected")]
+    return both[0].unionByName(both[1]).groupBy("year", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("delay_seconds").alias("total"))

@@ -314,3 +314,33 @@ def q_available_vehicle_types(spark, d):
              trip_id, stop_key, stop_sequence, date_key LIMIT 20000"""))
 def q_delay_sample(spark, d):
     return A.delay_sample(star(spark, d))
+
+
+def _sample_sql(limit: int) -> str:
+    return f"""
+    SELECT delay_seconds FROM facts WHERE delay_seconds IS NOT NULL
+    ORDER BY ('0x' || substr(md5(concat_ws('|', trip_id, stop_key, stop_sequence, date_key)), 1, 13))::BIGINT,
+             trip_id, stop_key, stop_sequence, date_key LIMIT {limit}"""
+
+
+@register("delay_sample_1", with_views(["facts"], _sample_sql(1)))
+def q_delay_sample_1(spark, d):
+    """A9 at the smallest limit."""
+    return A.delay_sample(star(spark, d), sample_limit=1)
+
+
+@register("delay_sample_7", with_views(["facts"], _sample_sql(7)))
+def q_delay_sample_7(spark, d):
+    return A.delay_sample(star(spark, d), sample_limit=7)
+
+
+@register("route_filtered_kpis", with_views(["wide"], f"""
+    SELECT COUNT(*) AS total_facts, COUNT(DISTINCT trip_id) AS trips_observed,
+           {R('quantile_cont(delay_seconds, 0.5)')} AS median_delay_sec,
+           {R('AVG(CASE WHEN delay_seconds IS NULL THEN NULL WHEN delay_seconds <= 0 THEN 1.0 ELSE 0.0 END)::DOUBLE')} AS on_time_rate,
+           COUNT(delay_seconds) AS observed_delay_count,
+           {R('CASE WHEN COUNT(*) > 0 THEN COUNT(delay_seconds) / COUNT(*) END')} AS realtime_match_rate
+    FROM wide WHERE route_id IN ('7', '42', '119') AND date_key >= 19950301"""))
+def q_route_filtered_kpis(spark, d):
+    """The filter by route ids, with an open end of the dates."""
+    return A.kpis(star(spark, d), Filters(start_date="1995-03-01", route_ids=("7", "42", "119")))

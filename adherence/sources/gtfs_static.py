@@ -9,6 +9,8 @@ text files are ordinary splittable CSV for ``spark.read.csv``.
 
 from __future__ import annotations
 
+import csv
+import io
 import os
 import shutil
 import uuid
@@ -87,14 +89,40 @@ def stage_members(members: DataFrame, staging: str) -> DataFrame:
         run, "path string, member string, table string, staged_path string, bytes long")
 
 
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a table by their own header.  Tasks read the first line of each file; the driver gets a
+    header for each file, one an archive."""
+    def run(batches):
+        for pdf in batches:
+            names = []
+            for p in pdf["path"]:
+                fs, fp = _fs(p)
+                with fs.open_input_stream(fp, compression=None) as f:
+                    first = io.TextIOWrapper(f, encoding="utf-8-sig", newline="").readline()
+                names.append(next(csv.reader([first.rstrip("\r\n")]), []))
+            yield pd.DataFrame({"path": pdf["path"], "names": names})
+
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select("path")
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in files.mapInPandas(run, "path string, names array<string>").collect():
+        out.setdefault(tuple(n.strip() for n in r.names), []).append(r.path)
+    return out
+
+
 def read_table(spark: SparkSession, path: str, table: str, columns: list[str] | None = None) -> DataFrame:
-    """Header CSV, every column a string (no inference), extra columns ignored, missing ones NULL."""
+    """Header CSV under an explicit schema: every column a string (no inference), bound by the names in
+    each file's own header, as archives order their columns differently; extra columns ignored, missing
+    ones NULL."""
     cols = columns or GTFS_COLUMNS[table]
-    raw = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").csv(path)
-    # strip a UTF-8 byte-order mark from the first header name
-    raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
-    return raw.select(*[F.col(c).cast(T.StringType()) if c in raw.columns else F.lit(None).cast(T.StringType()).alias(c)
-                        for c in cols])
+    out = None
+    for names, files in sorted(headers(spark, path).items()):
+        # a name that comes twice counts once, where it stands first
+        own = [n if names.index(n) == i else f"{n}#{i}" for i, n in enumerate(names)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in own])
+        raw = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("encoding", "UTF-8").csv(sorted(files))
+        part = raw.select(*[F.col(f"`{c}`") if c in own else F.lit(None).cast("string").alias(c) for c in cols])
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], ", ".join(f"{c} string" for c in cols))
 
 
 def read_feed(spark: SparkSession, staged: str, tables=("agency", "routes", "trips", "stops", "stop_times")):
@@ -107,10 +135,7 @@ def read_feed(spark: SparkSession, staged: str, tables=("agency", "routes", "tri
 
 
 def read_optional(spark: SparkSession, staged: str, table: str) -> DataFrame | None:
-    """A table that a feed may lack, as strings under its own header; None if it isn't there."""
+    """A table that a feed may lack; None if it isn't there."""
     from adherence.session import path_exists
 
-    if not path_exists(spark, f"{staged}/{table}"):
-        return None
-    raw = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").csv(f"{staged}/{table}")
-    return raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns])
+    return read_table(spark, f"{staged}/{table}", table) if path_exists(spark, f"{staged}/{table}") else None

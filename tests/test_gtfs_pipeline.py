@@ -538,3 +538,48 @@ def test_transform_sets_dead_snapshots_aside(spark, landing, tmp_path):
     assert rep["rows_loaded"] > 0 and spark.read.parquet(f"{wh}/dead_letters").count() == 1
     with pytest.raises(ValueError, match="no TripUpdates"):
         jobs.run_transform(spark, SERVICE_DATE, str(base), wh, "SL")  # the latest one is dead
+
+
+def test_columns_are_bound_by_each_files_header(spark, tmp_path):
+    """Two archives with other column orders, an extra column, a byte-order mark and a missing column."""
+    folder = tmp_path / "stops"
+    folder.mkdir()
+    (folder / "a.txt").write_text("stop_id,stop_name,stop_lat,stop_lon\nS1,\"One, two\",59.1,18.1\n", encoding="utf-8-sig")
+    (folder / "b.txt").write_text("zone,stop_lon,stop_lat,stop_name,stop_id\r\nZ,18.2,59.2,Two,S2\r\n")
+    (folder / "c.txt").write_text("stop_id,stop_name,stop_id\nS3,Three,other\n")
+    (folder / "d.txt").write_text("")
+    rows = sorted(tuple(r) for r in G.read_table(spark, str(folder), "stops").collect())
+    assert rows == [("S1", "One, two", "59.1", "18.1"), ("S2", "Two", "59.2", "18.2"), ("S3", "Three", None, None)]
+    (tmp_path / "trips").mkdir()
+    (tmp_path / "trips" / "a.txt").write_text("")
+    assert G.read_table(spark, str(tmp_path / "trips"), "trips").count() == 0
+
+
+def test_members_that_an_archive_no_longer_has_are_gone(spark, landing, tmp_path):
+    """A re-pulled archive without its calendar is read without one."""
+    import shutil
+
+    from adherence.plans import jobs
+    base, wh = tmp_path / "landing", str(tmp_path / "wh")
+    shutil.copytree(landing / "static", base / "static")
+    shutil.copytree(landing / "realtime", base / "realtime")
+    archive = base / "static" / SERVICE_DATE / "gtfs.zip"
+    plain = archive.read_bytes()
+    with zipfile.ZipFile(archive, "a") as z:
+        z.writestr("calendar_dates.txt", "service_id,date,exception_type\nother,20260712,1\n")
+    with pytest.raises(M.NoMatchError):  # no trip runs by that calendar
+        jobs.run_transform(spark, SERVICE_DATE, str(base), wh, "SL", use_calendar=True)
+    archive.write_bytes(plain)
+    assert jobs.run_transform(spark, SERVICE_DATE, str(base), wh, "SL", use_calendar=True)["rows_loaded"] > 0
+
+
+def test_sample_is_exact_for_every_limit(spark, sf_dir):
+    from adherence.operators import delays as A
+    from adherence.operators.filters import Filters
+    from adherence.sources import driver
+    st = driver.star(spark, sf_dir)
+    some = Filters(start_date="1997-01-01", end_date="1997-01-31")
+    n = A.delay_view(st, some, measured=True).count()
+    for limit in (1, 2, 7, n - 1, n, n + 5):
+        assert A.delay_sample(st, some, limit).count() == min(limit, n)
+    assert A.delay_sample(st, Filters(start_date="1900-01-01", end_date="1900-01-02"), 3).count() == 0
