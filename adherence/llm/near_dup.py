@@ -1,23 +1,26 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is the set of its distinct word shingles.  Equal sets are collapsed first.  ``TREES``
-independent trees branch the sets: at each node of a tree a set goes to the child named by its
-minwise shingle under that level's hash, so two sets of similarity s stay together with probability s
-a level.  A node that is small is compared exhaustively, in one task and by full sets; a larger one is
-compared with its leader (its least id) and branches on.  Linked sets are one component, so a node gives
-a spanning set of links and no pairs, what is in one component already is not looked at again, and a
-node whose members are all in one component is finished.  There is no cap on members,
-partners or depth: nodes branch until none is left, and sets that agree on every minwise shingle are
-compared in blocks of the node.
-
-A pair of similarity s is missed by all trees with a probability of about ``(1 - s^d)^TREES`` for
-nodes that are small at depth d (6e-9 at s = 0.85, d = 1; 3e-6 at d = 2).  Candidates whose minwise
-shingles agree in too few of the ``TREES * LEVELS`` places are passed over (4.4 standard deviations below
-the mean at the threshold, 1 in 100 000); every other candidate is confirmed on the two full sets.
+independent trees branch the sets: in each tree a set goes to the node named by its minwise shingle, so
+two sets of similarity s share a node of a tree with probability s.  Nodes are looked at one kind after the
+other, and what is in one component by then is not looked at again:
+
+1. every set is tried with the least one of the best of its nodes, by their full sets;
+2. nodes of up to ``SMALL`` members are compared exhaustively, in one task and by full sets, first those
+   of one tree, which link most of a cluster, then those of the others;
+3. the members of larger nodes branch once more, together, by their rarest shingles, until only sets
+   meet that may be linked (``prefix_join``).  That step is exact for any two of them, however many there
+   are and whatever template they share.
+
+Linked sets are one component, so a step gives a spanning set of links and no pairs.  There is no cap on
+members or partners.  A pair of similarity s is missed by all trees with a probability of
+``(1 - s)^TREES`` (6e-9 at 0.85).  In step 2 pairs whose minwise shingles agree in too few of the
+``PLACES`` places are passed over (4.4 standard deviations below the mean at the threshold, 1 in 100 000);
+every other pair is confirmed on the two full sets.
 
 Defined cases: null and empty texts have an empty set, linked with nothing; fewer words than a shingle
-has make one shingle; rows without doc_id take no part (component null, kept); rows with equal doc_id
-must be one document (the last step keeps one of them); extra columns are not looked at; an empty
+has make one shingle; rows without doc_id take no part (component null, kept); texts that share a doc_id are
+one document, whose links are those of any of its texts; extra columns are not looked at; an empty
 table gives an empty result.
 """
 
@@ -28,15 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adherence.llm import prefix_join
 from adherence.llm.base import BROADCAST_IDS, components, only_ids, stored, table
 from adherence.llm.words import U, Words, mix, shingle_sets, slices
 
 TREES = 10
-#: Levels of a tree with hashes of their own; deeper levels take those of the following trees.
-LEVELS = 4
-#: Members of a node that are compared exhaustively.
+#: Members of a node that are compared exhaustively; nodes with more branch by their rarest shingles.
 SMALL = 2048
-_PLACES = TREES * LEVELS
+#: Minwise shingles of a set; the first ``TREES`` of them name its nodes.
+PLACES = _PLACES = 40
 _SCALE = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 _SHIFT = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0xC2B2AE3D27D4EB4F))
 
@@ -216,31 +219,44 @@ def _best_of_each(pairs: DataFrame) -> DataFrame:
 
 
 class _Found:
-    """Links and components so far; a pair is tried once."""
+    """Links and components so far."""
 
     def __init__(self, docs: DataFrame, k: int, percent: int, none: DataFrame):
         self.docs, self.k, self.percent = docs, k, percent
-        self.links = self.tried = none
+        self.links = none
         self.comp = none.select(F.col("a").alias("id"), F.col("b").alias("comp"))
 
     def try_pairs(self, pairs: DataFrame) -> None:
-        pairs = stored(pairs.join(self.tried, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.limit(1).count():
-            return
-        self.tried = self.tried.unionByName(pairs)
-        self._add(stored(confirmed(self.docs, pairs, self.k, self.percent), "links"))
+        pairs = stored(pairs, "pairs")
+        if pairs.limit(1).count():
+            self._add(stored(confirmed(self.docs, pairs, self.k, self.percent), "links"))
 
     def try_nodes(self, members: DataFrame) -> None:
         members = stored(members, "members")
         ids = stored(members.select("id").distinct(), "ends")
-        if not ids.limit(1).count():
-            return
-        self._add(stored(_node_links(members, _texts_of(self.docs, ids), self.k, self.percent), "links"))
+        if ids.limit(1).count():
+            self._add(stored(_node_links(members, _texts_of(self.docs, ids), self.k, self.percent), "links"))
+
+    def try_sets(self, members: DataFrame) -> None:
+        ids = stored(members.select("id").distinct(), "ends")
+        if ids.limit(1).count():
+            sets = stored(prefix_join.token_sets(only_ids(self.docs.select(F.col("doc_id").alias("id"), "text").where("id is not null"), ids), self.k), "sets")
+            self._add(stored(prefix_join.links(sets, self.comp, self.percent), "links"))
 
     def _add(self, new: DataFrame) -> None:
-        if new.limit(1).count():
-            self.links = self.links.unionByName(new)
-            self.comp = stored(components(self.links), "comp")
+        """Components grow by the new links alone: those between components, then a new name for each
+        component that another one takes in."""
+        if not new.limit(1).count():
+            return
+        self.links = self.links.unionByName(new)
+        of = lambda c: self.comp.select(F.col("id").alias(c), F.col("comp").alias(f"c{c}"))
+        between = (new.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                   .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+        named = components(between).select(F.col("id").alias("comp"), F.col("comp").alias("now"))
+        few = named.limit(BROADCAST_IDS // 2 + 1).count() <= BROADCAST_IDS // 2
+        ends = new.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(self.comp.select("id"), "id", "left_anti")
+        known = self.comp.unionByName(ends.select("id", F.col("id").alias("comp")))
+        self.comp = stored(known.join(F.broadcast(named) if few else named, "comp", "left").select("id", F.coalesce("now", "comp").alias("comp")), "comp")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -251,38 +267,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     same = ["n_shingles", "s1", "s2"]
     sets = stored(signed.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("id")), "sets")
     low = F.concat(*[F.substring(F.to_binary(F.lpad(F.hex(F.col("sig")[i]), 16, "0"), F.lit("hex")), 8, 1) for i in range(_PLACES)])
-    reps = stored(sets.select("id").join(signed.select(F.col("doc_id").alias("id"), "sig"), "id").dropDuplicates(["id"])
-                  .withColumn("sig8", low), "reps")
+    first = sets.select("id").join(signed.select(F.col("doc_id").alias("id"), "sig"), "id").groupBy("id").agg(F.min("sig").alias("sig"))
+    reps = stored(first.withColumn("sig8", low), "reps")
     short = reps.select("id", "sig8")
 
     rows = reps.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    rows = rows.withColumn("node", F.xxhash64("tree", F.element_at("sig", F.col("tree") * LEVELS + 1)))
+    rows = rows.withColumn("node", F.element_at("sig", F.col("tree") + 1))
     rows = stored(_shared(rows.select("tree", "node", "id")), "nodes")
     agree = _least_agreeing(percent)
-    none = docs.sparkSession.createDataFrame([], "a long, b long")
-    found = _Found(docs, k, percent, none)
+    found = _Found(docs, k, percent, docs.sparkSession.createDataFrame([], "a long, b long"))
 
-    # leaders of all nodes at depth 1 come first, the best one of each set
     found.try_pairs(_best_of_each(_candidates(_leader_pairs(rows), short, agree)))
-    depth = 1
-    while True:
-        # one tree links most members of a cluster; the others look at what it has left apart
-        for trees in (F.col("tree") == 0, F.col("tree") > 0):
-            own = stored(_open(rows.where(trees).select("tree", "node", "id"), found.comp), "nodes")
-            found.try_nodes(_involved(own.where(F.col("n") <= SMALL).join(short, "id"), agree))
-        large = stored(_open(rows.select("tree", "node", "id"), found.comp).where(F.col("n") > SMALL), "nodes")
-        if not large.limit(1).count():
-            break
-        # a node that every hash leaves whole is compared in blocks
-        last = depth >= _PLACES
-        pairs = _candidates(_across(large) if last else _leader_pairs(large, "comp"), short, agree)
-        found.try_pairs(pairs.select("a", "b").distinct() if last else _best_of_each(pairs))
-        if last:
-            break
-        rows = _open(large.select("tree", "node", "id"), found.comp).select("tree", "node", "id").join(reps.select("id", "sig"), "id")
-        place = F.pmod(F.col("tree") * LEVELS + depth, F.lit(_PLACES)) + 1
-        rows = stored(_shared(rows.select("tree", F.xxhash64("node", F.element_at("sig", place.cast("int"))).alias("node"), "id")), "nodes")
-        depth += 1
+    for trees in (F.col("tree") == 0, F.col("tree") > 0):
+        own = stored(_open(rows.where(trees).where(F.col("n") <= SMALL).select("tree", "node", "id"), found.comp), "nodes")
+        found.try_nodes(_involved(own.join(short, "id"), agree))
+    found.try_sets(_open(rows.where(F.col("n") > SMALL).select("tree", "node", "id"), found.comp))
     links, comp = found.links, found.comp
 
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
@@ -320,15 +319,13 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _open(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    """Rows of nodes that have members of two components at least."""
+    """Rows of nodes that have members of two components at least, with their components."""
     own = rows.select("tree", "node", "id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    n = (own.groupBy("tree", "node").agg(F.count("*").alias("n"), F.min(F.struct("id", "comp")).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-         .where("lo <> hi").select("tree", "node", "n", F.col("lead.id").alias("leader"), F.col("lead.comp").alias("leader_comp")))
-    return own.join(n, ["tree", "node"])
+    n = own.groupBy("tree", "node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return own.join(n.select("tree", "node"), ["tree", "node"])
 
 
-def _leader_pairs(rows: DataFrame, comp: str | None = None) -> DataFrame:
-    rows = rows.where("leader_comp <> comp") if comp else rows
+def _leader_pairs(rows: DataFrame) -> DataFrame:
     return rows.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
 
 
@@ -346,17 +343,6 @@ def _candidates(pairs: DataFrame, short: DataFrame, agree: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(count, "a long, b long, n long")
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Pairs of different components inside nodes that no hash divides.  One row a component and
-    block of ``SMALL`` members is paired at a time; members are exploded only after that."""
-    block = rows.withColumn("block", F.xxhash64("id") % F.greatest(F.lit(1), (F.col("n") / SMALL).cast("long")))
-    blocks = block.groupBy("tree", "node", "comp", "block").agg(F.collect_list("id").alias("ids"))
-    x, y = blocks.alias("x"), blocks.alias("y")
-    met = x.join(y, (F.col("x.tree") == F.col("y.tree")) & (F.col("x.node") == F.col("y.node")) & (F.col("x.comp") < F.col("y.comp")))
-    return (met.select(F.explode("x.ids").alias("i"), F.col("y.ids").alias("other")).select("i", F.explode("other").alias("j"))
-            .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
-
-
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, percent=85).drop("n_links")
 

@@ -77,3 +77,60 @@ def test_one_of_each_group_stays(spark):
     assert out.columns == df.columns
     assert sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 1, 3, 4, 5]
     assert N.representatives(df.limit(0)).count() == 0
+
+
+def _template_rows(seed, n=400, planted=60, shared=0.9, words=120):
+    """A template that makes unrelated documents just less similar than the threshold, and changed copies."""
+    rnd = random.Random(seed)
+    head = [f"t{i}" for i in range(int(words * shared))]
+    own = lambda d: [f"o{d}x{i}" for i in range(words - len(head))]
+    rows = [(d, " ".join(head + own(d))) for d in range(n)]
+    for p in range(planted):
+        d = rnd.randrange(n)
+        t = (head + own(d))
+        t[rnd.randrange(len(head), words)] = f"n{p}"  # one of the words of its own
+        rows.append((n + p, " ".join(t)))
+    return rows
+
+
+@pytest.mark.parametrize("shared", [0.5, 0.88, 0.9, 0.97])
+def test_hot_template_finds_every_link(spark, monkeypatch, shared):
+    """Nodes forty times as large as what is compared exhaustively; the similarity of unrelated documents
+    far below, just below and above the threshold."""
+    monkeypatch.setattr(N, "SMALL", 10)
+    rows = _template_rows(int(shared * 100), shared=shared)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in N.near_duplicates(df, 3, 85).collect()}
+    assert got == brute(rows, 3, 85)
+
+
+def test_prefix_join_alone_is_exact(spark, monkeypatch):
+    """All links between all sets, small blocks, and components known before."""
+    from adherence.llm import prefix_join as P
+    rows = [r for r in _rows(5, 150) if r[0] is not None]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    want = {d: c for d, (n, c, _) in brute(rows, 3, 85).items() if n}
+    monkeypatch.setattr(P, "BLOCK", 1500)
+    sets = P.token_sets(texts, 3).where("size > 0").cache()
+    for known in ([], [(d, c) for d, c in want.items() if d % 2]):
+        comp = spark.createDataFrame(known, "id long, comp long")
+        edges = [tuple(r) for r in P.links(sets, comp, 85).collect()] + known
+        root = {d: d for d in want}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+        assert {d: find(d) for d in want} == want
+
+
+def test_texts_that_share_an_id_and_clashing_columns(spark):
+    one, two = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    rows = [(1, one, "x", 1), (1, two, "y", 2), (2, two, "z", 3), (3, "c " * 100_000, "z", 4), (4, "c " * 100_001, None, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id string, comp long")
+    got = {(r.doc_id, r.component_id) for r in N.near_duplicates(df, 3, 85).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3), (4, 3)}
