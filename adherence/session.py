@@ -54,7 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name shared storage on a cluster")
         current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
