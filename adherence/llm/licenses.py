@@ -7,8 +7,11 @@ the template stands in it unchanged.  Hits of a template that lie near each othe
 diagonals are candidates, each of which is aligned with the template in a band around the diagonals:
 equal words score 2, a changed, left out or put in word costs 1.  An alignment is reported with its
 span in the text, the template's words that it matches and their part of the template (coverage), if
-that is at least ``COVERAGE``.  No alignment is made where the template's words that have an equal one
-in the band are too few for that.  Of templates that align with the same span (each span for the most
+that is at least ``COVERAGE``.  Where no single alignment has that, those of the template that follow each
+other in the text and in the template are chained, with up to as many words between two of them as the
+template has; the chain of most words is reported if it has the coverage, with its parts.  So a licence with a
+passage put in, left out or exchanged is found, whatever its length.  No alignment is made where the
+template's words that have an equal one in the bands are too few for the coverage.  Of templates that align with the same span (each span for the most
 part inside the other), such as notices of sibling licences, the one with the highest coverage counts, and
 of equal ones that with the most words.
 
@@ -41,6 +44,9 @@ WINDOW = 4
 COVERAGE = 0.8
 #: Words that an alignment may be off the diagonal of a hit (a quarter of a shorter template).
 BAND = 8
+#: Words that a part of a chain matches at least; fingerprints that it has, with at most so many words between
+#: two; and the share of a template's fingerprints that a text with a chain of it has.
+PART, HITS, GAP, SEEN = 6, 3, 32, 0.3
 MOST_WORDS = 1_000_000
 
 # Short notices and grants as they stand in files, by licence.
@@ -104,6 +110,7 @@ class Index:
             size = min(GRAM, len(own))  # a template of fewer words has them all as its only run
             if size:
                 rows += [(size, h, t, at) for h, at in _runs(own, size)]
+        self.prints = np.bincount([r[2] for r in rows], minlength=len(self.names)).tolist() if rows else [0] * len(self.names)
         self.by_size = {}
         for size in sorted({r[0] for r in rows}):
             own = sorted((int(h), t, at) for s, h, t, at in rows if s == size)
@@ -130,39 +137,56 @@ def _runs(own: np.ndarray, size: int) -> list[tuple[int, int]]:
     return [(int(h[i]), int(i)) for i in winnowed(h)]
 
 
-def align(doc: np.ndarray, template: np.ndarray, lo: int, hi: int) -> tuple[int, int, int, int]:
-    """(score, words matched, first, end word of ``doc``) of the best local alignment of the template
-    whose place minus template's place lies in lo..hi."""
+def align(doc: np.ndarray, template: np.ndarray, lo: int, hi: int) -> tuple[int, int, int, int, int, int]:
+    """(score, words matched, first, end word of ``doc``, first, end word of the template) of the best local
+    alignment whose place minus template's place lies in lo..hi."""
     m, width = len(template), hi - lo + 1
-    score = np.zeros(width + 2, np.int64)  # by diagonal, with a border
-    start = np.zeros(width + 2, np.int64)
-    match = np.zeros(width + 2, np.int64)
-    best = (0, 0, 0, 0)
-    low = -(1 << 40)
-    score[0] = score[-1] = low
+    score, start, match, since = (np.zeros(width + 2, np.int64) for _ in range(4))  # by diagonal, with a border
+    best = (0,) * 6
+    score[0] = score[-1] = -(1 << 40)
+    step = np.arange(width)
     for i in range(m):
         at = np.arange(lo, hi + 1) + i
         inside = (at >= 0) & (at < len(doc))
         equal = inside & (doc[np.clip(at, 0, len(doc) - 1)] == template[i])
-        s, b, k = score[1:-1] + np.where(equal, 2, -1), start[1:-1].copy(), match[1:-1] + equal
+        s, b, k, t = score[1:-1] + np.where(equal, 2, -1), start[1:-1].copy(), match[1:-1] + equal, since[1:-1].copy()
         skip = score[2:] - 1  # a template's word that the text leaves out
         take = skip > s
-        s, b, k = np.where(take, skip, s), np.where(take, start[2:], b), np.where(take, match[2:], k)
+        s, b, k, t = (np.where(take, x, y) for x, y in ((skip, s), (start[2:], b), (match[2:], k), (since[2:], t)))
         fresh = (s <= 0) | ~inside
         s, k = np.where(fresh, 0, s), np.where(fresh, 0, k)
-        b = np.where(fresh, at + 1, b)
+        b, t = np.where(fresh, at + 1, b), np.where(fresh, i + 1, t)
         first = equal & (k == 1) & (s == 2)
-        b = np.where(first, at, b)
-        for d in range(1, width):  # words that the text puts in
-            if s[d - 1] - 1 > s[d]:
-                s[d], b[d], k[d] = s[d - 1] - 1, b[d - 1], k[d - 1]
-        score[1:-1], start[1:-1], match[1:-1] = s, b, k
-        d = int(s.argmax())
-        if s[d] > best[0]:
-            best = (int(s[d]), int(k[d]), int(b[d]), int(at[d]) + 1)
+        b, t = np.where(first, at, b), np.where(first, i, t)
+        reach = np.maximum.accumulate(s + step)  # words that the text puts in: each costs one
+        of = np.maximum.accumulate(np.where(s + step == reach, step, 0))
+        score[1:-1], start[1:-1], match[1:-1], since[1:-1] = reach - step, b[of], k[of], t[of]
+        d = int(score[1:-1].argmax())
+        if score[d + 1] > best[0]:
+            best = (int(score[d + 1]), int(match[d + 1]), int(start[d + 1]), int(at[d]) + 1, int(since[d + 1]), i + 1)
     return best
 
 
+def chained(parts: list[tuple], gap: int) -> list[tuple]:
+    """Of parts (matched, first, end, template's first, end) the chain of most words matched in which each
+    follows the one before, in the text (by ``gap`` words at most) and in the template.  Where a part begins
+    up to ``GAP`` words before the other ends, as chance has it at a cut, it is shortened by them."""
+    parts = sorted(parts, key=lambda p: (p[2], p[4], p[1]))
+    best, before = [p[0] for p in parts], [-1] * len(parts)
+    over = lambda q, p: max(0, q[2] - p[1], q[4] - p[3])
+    for j, p in enumerate(parts):
+        for i, q in enumerate(parts[:j]):
+            less = over(q, p)
+            if less <= min(GAP, p[0] - 1) and p[1] <= q[2] + gap and p[2] > q[2] and p[4] > q[4] and best[i] + p[0] - less > best[j]:
+                best[j], before[j] = best[i] + p[0] - less, i
+    out, at = [], max(range(len(parts)), key=best.__getitem__, default=-1)
+    while at >= 0:
+        p, less = parts[at], over(parts[before[at]], parts[at]) if before[at] >= 0 else 0
+        out.append((p[0] - less, p[1] + less, p[2], p[3] + less, p[4]))
+        at = before[at]
+    return out[::-1]
+
+
 def _most(doc: np.ndarray, template: np.ndarray, lo: int, hi: int) -> int:
     """Words that an alignment as in ``align`` matches at most: those with an equal one in the band."""
     hit = np.zeros(len(template), bool)
@@ -197,11 +221,49 @@ def _groups(row, which, diagonal, words) -> list[tuple[int, int]]:
     return out
 
 
+def _rows_of(own: np.ndarray, t: np.ndarray, prints: int, groups: list[tuple], coverage: float) -> list[tuple]:
+    """(matched, first, end, parts) of a template (of so many fingerprints) in the words of a text, from groups
+    of hits (lowest and highest diagonal with the band, places in the template in order): each group that
+    covers enough by itself, or else the best chain of what lies around rows of hits."""
+    whole = []
+    for lo, hi, _ in groups:
+        left = max(0, lo)  # of the text only the words that the band reaches
+        near = own[left:hi + len(t) + 1]
+        if len(near) >= coverage * len(t) and _most(near, t, lo - left, hi - left) >= coverage * len(t):
+            _, matched, s, end, u, v = align(near, t, lo - left, hi - left)
+            if matched >= coverage * len(t):
+                whole.append((matched, s + left, end + left, [(matched, s + left, end + left, u, v)]))
+    if whole:
+        return whole
+    if len(np.unique(np.concatenate([at for *_, at in groups]))) < SEEN * prints:
+        return []
+    around, ranges, reached = 2 * WINDOW + BAND, [], np.zeros(len(t), bool)
+    for lo, hi, at in groups:
+        for run in np.split(at, np.flatnonzero(np.diff(at) > GAP) + 1):
+            if len(run) >= HITS:
+                u, v = max(0, int(run[0]) - around), min(len(t), int(run[-1]) + GRAM + around)
+                ranges.append((lo, hi, u, v))
+                reached[u:v] = True
+    if len(ranges) < 2 or reached.sum() < coverage * len(t):
+        return []
+    parts = []
+    for lo, hi, u, v in ranges:
+        left = max(0, lo + u)
+        _, matched, s, end, x, y = align(own[left:hi + v + 1], t[u:v], lo + u - left, hi + u - left)
+        if matched >= PART:
+            parts.append((matched, s + left, end + left, x + u, y + u))
+    chain = chained(parts, len(t))
+    matched = sum(p[0] for p in chain)
+    return [(matched, chain[0][1], chain[-1][2], chain)] if matched >= coverage * len(t) else []
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
-    """(doc_id, license, matched, coverage, start_word, end_word, start_byte, end_byte) of every match;
-    bytes of the UTF-8 text, the end being past the last."""
+    """(doc_id, license, matched, coverage, start_word, end_word, start_byte, end_byte, parts) of every match;
+    bytes of the UTF-8 text, the end being past the last.  ``parts``: first and end word in the text and in
+    the template of each alignment that the match consists of."""
     sent = docs.sparkSession.sparkContext.broadcast(templates or shipped())
-    names = ["doc_id", "license", "matched", "coverage", "start_word", "end_word", "start_byte", "end_byte"]
+    names = ["doc_id", "license", "matched", "coverage", "start_word", "end_word", "start_byte", "end_byte", "parts"]
+    part_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("start_word", "end_word", "template_start", "template_end")]))
 
     def run(batches):
         index = Index(sent.value)
@@ -215,26 +277,22 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                 order = np.lexsort((place - at, which, row))
                 place, which, at, row = place[order], which[order], at[order], row[order]
                 diagonal = place - at
-                for x, y in _groups(row, which, diagonal, index.words):
-                    r, t = int(row[x]), index.words[int(which[x])]
-                    f, e = int(w.first[r]), int(w.first[r + 1])
+                for (r, n), groups in groupby(_groups(row, which, diagonal, index.words), key=lambda g: (int(row[g[0]]), int(which[g[0]]))):
+                    t, f, e = index.words[n], int(w.first[r]), int(w.first[r + 1])
                     band = min(BAND, len(t) // 4)
-                    lo, hi = int(diagonal[x]) - f - band, int(diagonal[y - 1]) - f + band
-                    left = max(0, lo)  # of the document only the words that the band reaches
-                    own = w.hashes[f + left:min(e, f + hi + len(t) + 1)]
-                    if len(own) < coverage * len(t) or _most(own, t, lo - left, hi - left) < coverage * len(t):
-                        continue
-                    _, matched, s, end = align(own, t, lo - left, hi - left)
-                    if matched >= coverage * len(t):
-                        rows.append((r, index.names[int(which[x])], matched, matched / len(t), s + left, end + left,
-                                     int(w.starts[f + left + s] - w.offsets[r]), int(w.ends[f + left + end - 1] - w.offsets[r])))
+                    found = [(int(diagonal[x]) - f - band, int(diagonal[y - 1]) - f + band, np.sort(at[x:y])) for x, y in groups]
+                    for matched, s, end, parts in _rows_of(w.hashes[f:e], t, index.prints[n], found, coverage):
+                        rows.append((r, index.names[n], matched, matched / len(t), s, end, int(w.starts[f + s] - w.offsets[r]),
+                                     int(w.ends[f + end - 1] - w.offsets[r]), tuple(p[1:] for p in parts)))
                 rows = [x for _, own in groupby(sorted(set(rows)), key=lambda x: x[0]) for x in _best(list(own))]
                 ids = part.column("doc_id").take(pa.array([x[0] for x in rows], pa.int64()))
                 kinds = [pa.string(), pa.int64(), pa.float64(), *[pa.int64()] * 4]
-                yield pa.RecordBatch.from_arrays([ids, *[pa.array([x[i + 1] for x in rows], k) for i, k in enumerate(kinds)]], names)
+                spans = pa.array([[dict(zip(("start_word", "end_word", "template_start", "template_end"), p, strict=True)) for p in x[8]] for x in rows], part_type)
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array([x[i + 1] for x in rows], k) for i, k in enumerate(kinds)], spans], names)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, license string, matched long, coverage double, start_word long, end_word long, start_byte long, end_byte long")
+        run, "doc_id long, license string, matched long, coverage double, start_word long, end_word long, start_byte long, end_byte long, "
+             "parts array<struct<start_word: long, end_word: long, template_start: long, template_end: long>>")
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
