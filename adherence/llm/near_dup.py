@@ -8,13 +8,16 @@ other, and what is in one component by then is not looked at again:
 1. every set is tried with the least one of the best of its nodes, by their full sets;
 2. nodes of up to ``SMALL`` members are compared exhaustively, in one task and by full sets, first those
    of one tree, which link most of a cluster, then those of the others;
-3. the members of larger nodes branch once more, together, by their rarest shingles, until only sets
-   meet that may be linked (``prefix_join``).  That step is exact for any two of them, however many there
-   are and whatever template they share.
+3. the members of larger nodes branch again, by ``AGAIN`` further minwise shingles each, and the nodes
+   of up to ``SMALL`` members are compared exhaustively;
+4. what then still lies in larger nodes shares a template.  Those sets branch all together by their
+   rarest shingles, until only sets meet that may be linked (``prefix_join``).  That step is exact for any
+   two of them, however many there are and whatever they share.
 
 Linked sets are one component, so a step gives a spanning set of links and no pairs.  There is no cap on
 members or partners.  A pair of similarity s is missed by all trees with a probability of
-``(1 - s)^TREES`` (6e-9 at 0.85).  In step 2 pairs whose minwise shingles agree in too few of the
+``(1 - s)^TREES`` (6e-9 at 0.85) where nodes are small, and ``(1 - s (1 - (1 - s)^AGAIN))^TREES`` (7e-9) where
+they branch again.  In steps 2 and 3 pairs whose minwise shingles agree in too few of the
 ``PLACES`` places are passed over (4.4 standard deviations below the mean at the threshold, 1 in 100 000);
 every other pair is confirmed on the two full sets.
 
@@ -38,8 +41,10 @@ from adherence.llm.words import U, Words, mix, shingle_sets, slices
 TREES = 10
 #: Members of a node that are compared exhaustively; nodes with more branch by their rarest shingles.
 SMALL = 2048
-#: Minwise shingles of a set; the first ``TREES`` of them name its nodes.
-PLACES = _PLACES = 40
+#: Branches of a member of a larger node.
+AGAIN = 3
+#: Minwise shingles of a set: one for each tree, and then ``AGAIN`` for each.
+PLACES = _PLACES = TREES * (1 + AGAIN)
 _SCALE = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 _SHIFT = mix(np.arange(1, _PLACES + 1, dtype=U) * U(0xC2B2AE3D27D4EB4F))
 
@@ -281,6 +286,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     for trees in (F.col("tree") == 0, F.col("tree") > 0):
         own = stored(_open(rows.where(trees).where(F.col("n") <= SMALL).select("tree", "node", "id"), found.comp), "nodes")
         found.try_nodes(_involved(own.join(short, "id"), agree))
+    large = _open(rows.where(F.col("n") > SMALL).select("tree", "node", "id"), found.comp).select("tree", "node", "id")
+    again = large.join(reps.select("id", "sig"), "id").withColumn("branch", F.explode(F.sequence(F.lit(0), F.lit(AGAIN - 1))))
+    place = F.lit(TREES + 1) + F.col("tree") * AGAIN + F.col("branch")
+    again = again.withColumn("node", F.xxhash64("node", "branch", F.element_at("sig", place.cast("int"))))
+    rows = stored(_shared(again.select("tree", "node", "id")), "nodes")
+    own = stored(_open(rows.where(F.col("n") <= SMALL).select("tree", "node", "id"), found.comp), "nodes")
+    found.try_nodes(_involved(own.join(short, "id"), agree))
     found.try_sets(_open(rows.where(F.col("n") > SMALL).select("tree", "node", "id"), found.comp))
     links, comp = found.links, found.comp
 

@@ -7,7 +7,8 @@ tokens at least, and ``percent |B| / 100``; so the first common token is among t
 meet in a token are compared by their full sets: no link is lost, whatever the order, and a good order
 makes few sets meet.  The order is by how often a token occurs, counted in ``1 << BUCKETS`` buckets, so the
 tokens of a template that a third of all sets share come last, and those sets meet only where the rest of
-them agrees.
+them agrees.  Linked sets are of like size, so a node is a token and a class of sizes, in which the largest is
+``100 / percent`` times the smallest: a stem goes to its own class, a reach to its own and the one below.
 
 Sets that are in one component already need no comparison.  Of a token's sets, therefore, those outside
 its largest component meet all, and those inside it only the ones outside.  Where many are left to meet, stems and
@@ -80,7 +81,8 @@ def frequency_order(sets: DataFrame) -> np.ndarray:
 
 
 def branches(sets: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
-    """(token, id, size, stem): the nodes that each set goes to; those of its stem are marked."""
+    """(token, id, size, stem): the nodes (tokens with a class of sizes) that each set goes to; those of its
+    stem are marked."""
 
     def run(batches):
         for batch in batches:
@@ -96,11 +98,14 @@ def branches(sets: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
             keep = place < reach[row]
             row, place, tokens = row[keep], place[keep], tokens[keep]
             ids = batch.column("id").to_numpy()
-            for at in range(0, len(row), 1 << 18):
-                r = row[at:at + (1 << 18)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[at:at + (1 << 18)].view(np.int64)), pa.array(ids[r]), pa.array(size[r]), pa.array(place[at:at + (1 << 18)] < stem[r])],
-                    ["token", "id", "size", "stem"])
+            # a little wider than the ratio, so that rounding parts no pair
+            kind = np.floor(np.log(np.maximum(size, 1)) / np.log(100.0001 / percent)).astype(np.int64)
+            for at in range(0, len(row), 1 << 17):
+                r, t, first = row[at:at + (1 << 17)], tokens[at:at + (1 << 17)], place[at:at + (1 << 17)]
+                for below in (0, 1):
+                    node = mix(t + (kind[r] - below).astype(U) * U(0x9E3779B97F4A7C15))
+                    stems = first < stem[r] if not below else np.zeros(len(r), bool)
+                    yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[r]), pa.array(size[r]), pa.array(stems)], ["token", "id", "size", "stem"])
 
     return sets.select("id", "size", "tokens").mapInArrow(run, "token long, id long, size long, stem boolean")
 
