@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from adherence.operators.dims import literal_table
 from adherence.sources.tripupdates import with_layout
 
+# The landing folder's file names above, the members an archive must have, and the fields of its
+# sidecar and audit records.
 REQUIRED_MEMBERS = ["stops.txt", "routes.txt", "trips.txt", "stop_times.txt"]
 
 METADATA_SCHEMA = T.StructType([
