@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adherence.session import ensure_checkpoint_dir
+
 #: Rows of one bigint that a checked broadcast may hold (16 MB of ids); beyond it the join is shuffled.
 BROADCAST_IDS = 2_000_000
 
@@ -19,13 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``).  Where that is unset, as in tests,
-    a folder beside the warehouse is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The shared folder of the cluster (``spark.checkpoint.dir``); only a local session without one gets a
+    folder beside its warehouse."""
+    return ensure_checkpoint_dir(spark)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -73,7 +73,7 @@ def templates(urls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From (host, path, verdict): the template of every (host, path), and of every (host, template) its
     counts, smoothed purity and whether it is rejected."""
     segments = F.split(F.regexp_replace("path", "^/", ""), "/")
-    some = F.when(F.size(segments) > DEPTH, F.concat(F.slice(segments, 1, DEPTH - 1), F.array(F.array_join(F.slice(segments, DEPTH, 10000), "/")))).otherwise(segments)
+    some = F.when(F.size(segments) > DEPTH, F.concat(F.slice(segments, 1, DEPTH - 1), F.array(F.array_join(F.slice(segments, F.lit(DEPTH), F.size(segments)), "/")))).otherwise(segments)
     paths = (urls.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum((F.col("verdict") == "block").cast("long")).alias("blocked"), F.count("verdict").alias("known"))
              .withColumn("blocked", F.coalesce("blocked", F.lit(0))).withColumn("segments", F.transform(some, _shape)).withColumn("template", F.lit("")))
     paths = stored(paths, "paths")
