@@ -43,3 +43,89 @@ def test_impure_templates_are_rejected(spark):
     got = {r["page_id"]: r for r in U.judged(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
     assert all(got[200 + i]["verdict"] == "block" and got[200 + i]["rule"] is None and got[200 + i]["template"] == "/item/*" for i in range(40))
     assert got[400]["verdict"] == got[401]["verdict"] == got[300]["verdict"] == "allow"
+
+
+def _plain_shape(s):
+    import re
+    if re.search(r"^[0-9]+(\.[a-z0-9]+)?$", s) or re.search(r"^[0-9a-f-]*[0-9][0-9a-f-]*$", s) and len(s) >= 6:
+        return "*"
+    return s
+
+
+def plain_templates(urls):
+    """The tree, node by node: {(host, path): template}, {(host, template): purity} of (host, path, verdict)."""
+    import math
+    from collections import defaultdict
+    paths = {}
+    for host, path, verdict in urls:
+        p = paths.setdefault((host, path), [0, 0, 0])
+        p[0], p[1], p[2] = p[0] + 1, p[1] + (verdict == "block"), p[2] + (verdict is not None)
+    known = sum(v is not None for _, _, v in urls)
+    overall = (sum(v == "block" for _, _, v in urls) + 1) / (known + 2)
+    segments = {}
+    for host, path in paths:
+        own = (path[1:] if path.startswith("/") else path).split("/")
+        own = own if len(own) <= U.DEPTH else [*own[:U.DEPTH - 1], "/".join(own[U.DEPTH - 1:])]
+        segments[host, path] = [_plain_shape(s) for s in own]
+    template, purity = dict.fromkeys(paths, ""), {}
+    for host in {h for h, _ in paths}:
+        mine = [v for (h, _), v in paths.items() if h == host]
+        purity[host, ""] = (sum(v[1] for v in mine) + U.SMOOTH * overall) / (sum(v[2] for v in mine) + U.SMOOTH)
+    for depth in range(U.DEPTH):
+        below = defaultdict(lambda: defaultdict(list))
+        for key, own in segments.items():
+            if len(own) > depth:
+                below[key[0], template[key]][own[depth]].append(key)
+        moved = {}
+        for (host, up), children in below.items():
+            total = sum(paths[k][0] for keys in children.values() for k in keys)
+            variable = len(children) > U.BRANCHES and (len(children) > U.MANY * total or len(children) > 20 * U.BRANCHES)
+            branches = defaultdict(list)
+            for segment, keys in children.items():
+                branches["*" if variable else segment] += keys
+            rows = []
+            for branch, keys in branches.items():
+                blocked, seen = (sum(paths[k][i] for k in keys) for i in (1, 2))
+                rate = (blocked + 0.5) / (seen + 1)
+                rows.append((seen < U.LABELLED, rate, branch, math.sqrt(rate * (1 - rate) / (seen + 1)), keys))
+            rows.sort(key=lambda r: r[:3])
+            groups = []
+            for r in rows:
+                q = groups[-1][-1] if groups else None
+                apart = q is None or r[0] != q[0] or not r[0] and abs(r[1] - q[1]) > U.SIMILAR * math.sqrt(r[3] ** 2 + q[3] ** 2)
+                groups.append([r]) if apart else groups[-1].append(r)
+            for g in groups:
+                name = min(r[2] for r in g) + ("~" if len(g) > 1 else "")
+                keys = [k for r in g for k in r[4]]
+                moved.update(dict.fromkeys(keys, f"{up}/{name}"))
+                blocked, seen = (sum(paths[k][i] for k in keys) for i in (1, 2))
+                purity[host, f"{up}/{name}"] = (blocked + U.SMOOTH * purity[host, up]) / (seen + U.SMOOTH)
+        template.update(moved)
+    return template, purity
+
+
+def test_templates_and_purity_against_a_plain_tree(spark):
+    """Wildcards, merged branches, weak ones, long paths, hot urls; every template and every purity."""
+    import random
+    rnd = random.Random(8)
+    words = ["news", "shop", "help", "item", "a", "b", "c", "d", "2024-01-02", "77", "x.html", ""]
+    urls = [("deep.example", "/" + "/".join(f"s{i}" for i in range(12_000)), "block"), ("deep.example", "/", None)]
+    for host in ("one.example", "two.example", "three.example"):
+        kind = {w: rnd.random() for w in words}
+        for i in range(700):
+            own = [rnd.choice(words if rnd.random() < 0.8 else [f"v{rnd.randrange(400)}"]) for _ in range(rnd.randint(0, 9))]
+            chance = kind.get(own[0], 0.5) if own else 0.5
+            urls.append((host, "/" + "/".join(own), None if rnd.random() < 0.4 else "block" if rnd.random() < chance else "allow"))
+    urls += [("hot.example", "/same", "block")] * 200
+    of_path, of_template = U.templates(spark.createDataFrame(urls, "host string, path string, verdict string").repartition(4))
+    template, purity = plain_templates(urls)
+    assert {(r.host, r.path): r.template for r in of_path.collect()} == template
+    got = {(r.host, r.template): r.p for r in of_template.collect()}
+    assert got.keys() == purity.keys() and all(abs(got[k] - purity[k]) < 1e-9 for k in got)
+    assert any("~" in t for t in template.values()) and any("*" in t for t in template.values())
+
+
+def test_repeated_page_ids_and_bare_hosts(spark):
+    rows = [(1, "http://a.example"), (1, "http://a.example"), (1, "http://a.example/x"), (2, "http://a.example?q"), (3, "nothing")]
+    got = sorted((r.page_id, r.host, r.path, r.verdict) for r in U.judged(spark.createDataFrame(rows, "page_id long, url string")).collect())
+    assert got == [(1, "a.example", "", "allow"), (1, "a.example", "", "allow"), (1, "a.example", "/x", "allow"), (2, "a.example", "", "allow"), (3, "", "", "allow")]
