@@ -30,6 +30,8 @@ from adherence.session import materialized
 
 #: Rows of one key that a task may get from a side of the fallback match; keys that a broadcast may name.
 HOT_ROWS, BROADCAST_KEYS = 100_000, 200_000
+#: Buckets of keys whose rows are counted first.
+KEY_BUCKETS = 1 << 20
 
 
 class NoMatchError(ValueError):
@@ -173,11 +175,18 @@ def running_trips(trips: DataFrame, services: DataFrame) -> DataFrame:
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Inner equi-join of stored frames whose keys may hold any share of the rows.
 
-    The rows of each key are counted first.  A key with more than ``hot_rows`` on a side is dealt over a
+    Rows are counted first, by ``KEY_BUCKETS`` hashes of the key, of which a task sends one number each; and in
+    the buckets that hold more than ``hot_rows`` of a side, by the key.  A key with more than ``hot_rows`` on a side is dealt over a
     grid: its left rows are split over so many strips, its right rows over so many, each row is copied once
     for each strip of the other side, and every pair meets in exactly one cell of at most about
     ``hot_rows`` by ``hot_rows``.  Without such a key it is the plain join, and no row is copied."""
-    counts = [f.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for f, n in ((left, "_nl"), (right, "_nr"))]
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).alias("_bucket")
+    full = [f.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select("_bucket") for f in (left, right)]
+    full = materialized(full[0].unionByName(full[1]).distinct(), "full-buckets")  # KEY_BUCKETS rows at most
+    if full.isEmpty():
+        return left.join(right, keys)
+    counts = [f.withColumn("_bucket", bucket).join(F.broadcast(full), "_bucket", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+              for f, n in ((left, "_nl"), (right, "_nr"))]
     hot = counts[0].join(counts[1], keys).where(f"_nl > {hot_rows} or _nr > {hot_rows}")
     hot = materialized(hot.select(*keys, F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_strips"), F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_lanes")), "hot-keys")
     n_hot = hot.limit(BROADCAST_KEYS + 1).count()  # at most the rows of both sides over hot_rows
