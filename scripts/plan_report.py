@@ -1,4 +1,4 @@
-"""Write PLANS.md: for every registered query, the shape of its physical plan at a scale factor
+"""Write PLANS.md: for every registered query of the core, the shape of its physical plan at a scale factor
 (shuffles, join strategies, aggregate and window operators), read from Spark's own plans.
 
 usage: python scripts/plan_report.py [sf_dir] [out.md]
@@ -44,7 +44,7 @@ def shape(plan: str) -> Counter:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = Path(sys.argv[2] if len(sys.argv) > 2 else Path(__file__).resolve().parents[1] / "PLANS.md")
-    import __spark_entry__ as E
+    from adherence.plans import catalog
     from adherence.session import local_session
 
     spark = local_session(shuffle_partitions=16)
@@ -53,7 +53,7 @@ def main() -> None:
              "Counts of operators in each registered query's physical plan, generated by "
              "`scripts/plan_report.py`. AQE may still turn a SMJ into a broadcast at runtime.", "",
              "| query | " + " | ".join(cols) + " |", "|---|" + "---|" * len(cols)]
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(catalog.QUERIES.items()):
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         c = shape(plan)
         lines.append(f"| {name} | " + " | ".join(str(c.get(k, "")) for k in cols) + " |")
