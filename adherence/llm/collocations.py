@@ -41,11 +41,11 @@ LEAST, LONGEST, TOP, INSIDE = 10, 3, 2000, 50
 #: Counters of a summary: so many times the partition's mass divided by ``least``.
 SLACK = 4
 #: Occurrences in a hash partition, about.
-MASS = 1 << 24
+MASS = 1 << 23
 #: Bits of a hash that summaries keep, and bits of the filter (16 MB, whatever the size of the corpus).
 HASH_BITS, FILTER_BITS = 48, 27
-#: Hashes, and exact counts, that a task holds before it passes them on.
-HELD, HELD_PHRASES = 1 << 21, 700_000
+#: Hashes, and exact counts, that a task holds before it passes them on; hashes that a merge takes in at once.
+HELD, HELD_PHRASES, MERGED = 1 << 21, 700_000, 1 << 20
 #: Copies of the counts that phrases look up, so that the phrases of a very frequent word spread.
 SALTS = 16
 
@@ -190,7 +190,7 @@ def _surviving(docs: DataFrame, sizes: tuple[int, ...], least: int, parts: int,
                 hashes[:, :HASH_BITS // 8] = six
                 waiting.append((hashes.view(U).reshape(-1), np.frombuffer(batch.column("counts")[i].as_buffer(), np.uint8).astype(np.int64)))
                 n += len(hashes)
-                if n > HELD:
+                if n > MERGED:
                     summary, waiting, n = merged(summary, waiting, most_kept), [], 0
         if part is not None:
             yield ended(part, merged(summary, waiting, most_kept))
@@ -204,7 +204,9 @@ def _surviving(docs: DataFrame, sizes: tuple[int, ...], least: int, parts: int,
         np.bitwise_or.at(field, (bits >> U(3)).astype(np.int64) - first, U(1).astype(np.uint8) << (bits & U(7)).astype(np.uint8))
         return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([field.tobytes()], pa.binary())], ["first", "field"])
 
-    rows = seen.join(mass, "part").select("part", "capacity", "hashes", "counts")
+    # broadcast: over a join by shuffle on ``part`` Spark would leave the repartition out, and might then read a
+    # partition's rows in several tasks, where each summary falls below ``least``
+    rows = seen.join(F.broadcast(mass), "part").select("part", "capacity", "hashes", "counts")
     fields = rows.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "first long, field binary")
     out = np.zeros(1 << FILTER_BITS - 3, np.uint8) if kept is None else kept.copy()
     for r in fields.toLocalIterator():  # ranges of the filter: its own size all together
