@@ -10,10 +10,15 @@ from adherence.functions import gtfs_time as T
 from adherence.functions.ids import stable_key
 
 
+#: Rows of a dimension that a broadcast may hold; beyond it the join is planned without a hint.
+DIM_ROWS = 200_000
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join a dimension.  No hint: AQE broadcasts it only from its measured runtime size
-    (``spark.sql.adaptive.autoBroadcastJoinThreshold``); only literal seeds are broadcast by force."""
-    return fact.join(dim, on=on, how=how)
+    """Join a dimension.  Its rows are counted first, up to one more than ``DIM_ROWS``: so few are broadcast, so
+    that facts are neither shuffled nor sorted by the few values of a foreign key; else Spark decides."""
+    few = dim.limit(DIM_ROWS + 1).count() <= DIM_ROWS
+    return fact.join(F.broadcast(dim) if few else dim, on=on, how=how)
 
 
 def vehicle_type_dim(spark: SparkSession) -> DataFrame:

@@ -26,7 +26,7 @@ from adherence.functions import delay as DL
 from adherence.functions import gtfs_time as T
 from adherence.functions.ids import as_key_string, operator_agency_predicate, rt_stop_id, uniform
 from adherence.operators.dims import join_dim
-from adherence.session import materialized
+from adherence.session import TASK_ROWS, by_rows, materialized
 
 #: Rows of one key that a task may get from a side of the fallback match; keys that a broadcast may name.
 HOT_ROWS, BROADCAST_KEYS = 100_000, 200_000
@@ -179,19 +179,22 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: in
     the buckets that hold more than ``hot_rows`` of a side, by the key.  A key with more than ``hot_rows`` on a side is dealt over a
     grid: its left rows are split over so many strips, its right rows over so many, each row is copied once
     for each strip of the other side, and every pair meets in exactly one cell of at most about
-    ``hot_rows`` by ``hot_rows``.  Without such a key it is the plain join, and no row is copied."""
+    ``hot_rows`` by ``hot_rows``.  Without such a key it is the plain join, over as many partitions as the rows
+    of the larger side ask for, and no row is copied."""
     bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).alias("_bucket")
     full = [f.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select("_bucket") for f in (left, right)]
     full = materialized(full[0].unionByName(full[1]).distinct(), "full-buckets")  # KEY_BUCKETS rows at most
+    rows = max(left.count(), right.count())
+    plain = (by_rows(left, rows, *keys).join(by_rows(right, rows, *keys), keys) if rows > TASK_ROWS else left.join(right, keys))
     if full.isEmpty():
-        return left.join(right, keys)
+        return plain
     counts = [f.withColumn("_bucket", bucket).join(F.broadcast(full), "_bucket", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
               for f, n in ((left, "_nl"), (right, "_nr"))]
     hot = counts[0].join(counts[1], keys).where(f"_nl > {hot_rows} or _nr > {hot_rows}")
     hot = materialized(hot.select(*keys, F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_strips"), F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_lanes")), "hot-keys")
     n_hot = hot.limit(BROADCAST_KEYS + 1).count()  # at most the rows of both sides over hot_rows
     if not n_hot:
-        return left.join(right, keys)
+        return plain
     marked = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
     other = F.sequence(F.lit(0), F.col("_copies") - 1)
 
@@ -246,7 +249,7 @@ def match(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC,
     primary = match_primary(sched, rt)
     if not primary.isEmpty():
         return match_primary(sched, rt, keep_unmatched), "primary"
-    fallback = match_fallback(sched, rt, band, default_date)
+    fallback = materialized(match_fallback(sched, rt, band, default_date), "fallback")  # looked at, then loaded
     if fallback.isEmpty():
         raise NoMatchError("no rows after matching the schedule with realtime updates")
     return fallback, "fallback"

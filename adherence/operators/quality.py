@@ -20,6 +20,7 @@ from adherence.constants import (
     MAX_NULL_DELAY_RATE,
     MAX_STATIC_AGE_DAYS,
 )
+from adherence.operators.dims import join_dim
 
 ERROR, WARN = "ERROR", "WARN"
 GRAIN = ["trip_id", "stop_key", "date_key", "stop_sequence"]
@@ -54,14 +55,16 @@ def duplicate_grain(facts: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
 def referential(facts: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows whose foreign key has no dimension row, per dimension.
 
-    ``dims`` maps a label to (dimension frame, key column).  The facts are aggregated once into
-    (key combination -> rows), which shrinks map-side; every dimension test is a left-anti join of
-    that aggregate, whose exchange Spark reuses across the branches, so fact rows are read once."""
+    ``dims`` maps a label to (dimension frame, key column).  The facts are aggregated once into the rows of
+    each key of each dimension (not of their combinations), which shrinks map-side to the keys; every
+    dimension test is a left-anti join of that aggregate, whose exchange Spark reuses across the branches, so
+    fact rows are read once."""
     keys = sorted({key for _, key in dims.values()})
-    combos = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = facts.select(*keys).groupingSets([[k] for k in keys], *keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(k).alias(f"_not_{k}") for k in keys])
     out = None
     for label, (dim, key) in dims.items():
-        missing = combos.join(dim.select(key).distinct(), on=key, how="left_anti")
+        missing = join_dim(counts.where(F.col(f"_not_{key}") == 0).select(key, "_n"), dim.select(key).distinct(), key, "left_anti")
         n = missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
         n = n.select(F.lit(label).alias("dimension"), "orphan_rows")
         out = n if out is None else out.unionByName(n)

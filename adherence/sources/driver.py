@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from adherence.constants import DEFAULT_ZONE, FACT_DATA_SOURCE
 from adherence.functions import gtfs_time as T
 from adherence.operators import dims as D
+from adherence.session import by_rows
 
 ROUTES = 200
 # fixed mapping of this fixture (our own, not the reference's): market segment -> GTFS route_type
@@ -45,9 +46,10 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 def stop_visits(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """lineitem, hashed by trip: the grain contains the trip, so the de-duplication, the trip join and
-    the trip start all work on this one exchange.  A trip is a bounded number of visits."""
+    the trip start all work on this one exchange.  A trip is a bounded number of visits; the number of
+    partitions follows the rows, which the files' footers tell."""
     li = read(spark, sf_dir, "lineitem", *cols)
-    return li.withColumn("trip_id", F.col("l_orderkey").cast("string")).repartition("trip_id")
+    return by_rows(li.withColumn("trip_id", F.col("l_orderkey").cast("string")), li.count(), "trip_id")
 
 
 def _segment_route_type(seg: Column) -> Column:
