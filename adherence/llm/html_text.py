@@ -1,18 +1,21 @@
 """Main text of HTML pages, with a host's boilerplate found by suffix arrays.
 
 A page is cut into blocks of text: markup, scripts and styles go, character references are decoded,
-white space inside a block becomes one space.  Where the markup says what a block is, that decides:
-what stands in ``article`` or ``main`` is the main text, and what stands in a menu, header, footer,
-sidebar, notice, advert, form or comment section is not.  Inside an article its own header is text, and
-names of classes only tell of sections, not of paragraphs and headings.
-
-The blocks of a page without such a container that no markup tells apart are settled by the host.  A page's
-stream is the tokens of its blocks in order, with a mark between blocks, so that a menu of many short
-blocks is one long run.  The streams of a host's pages are concatenated and sorted into suffix arrays; of
-neighbours in the order the longest common prefix is known, and where it is ``RUN`` tokens or more, a
-substring is repeated.  Substrings on ``SHARE`` of the host's pages, two at least, are boilerplate: the
-tokens that they cover are removed, and the unique runs between them are kept.  Pages that have a container
-take part with what stands outside, so that boilerplate is known by all pages of the host.
+white space inside a block becomes one space.  Markup says what a block is where it can: what stands in ``article`` or ``main`` is
+the main text, and what stands in a menu, header, footer, sidebar, notice, advert, form or comment section
+is not.  Inside an article its own header is text, and names of classes only tell of sections, not of
+paragraphs and headings.
+
+What the host repeats then settles every page.  A page's stream is the tokens of its blocks outside such
+containers in order, with a mark between blocks, so that a menu of many short blocks is one long run.  The
+streams of a host's pages are concatenated and sorted into suffix arrays; of neighbours in the order the
+longest common prefix is known, and where it is ``RUN`` tokens or more, a substring is repeated.  Substrings
+on ``SHARE`` of the host's pages, two at least, are boilerplate.  On a page without a container, the tokens
+that they cover are removed from the blocks that no markup tells apart, and the unique runs between them are
+kept.  Text in a container is looked up in the same repeats.  An article's text may be shared, quoted in a
+sidebar or taken for a teaser, so it goes only where as large a share of the host's pages, two at least, have
+the substring in their containers and not outside them: a line of the site that one template puts into the
+article and another beside it.
 
 The suffix array of a host is built in parts: its pages are dealt over as many parts as keep one at
 ``PART`` tokens or so.  A part sends one row for the suffixes that share their first ``RUN`` tokens, with
@@ -33,10 +36,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adherence.llm.base import stored, table
+from adherence.llm.base import BROADCAST_IDS, stored, table
 from adherence.llm.url_filters import host_and_path
 from adherence.llm.words import SPACED, U, Words, mix, slices
 
@@ -211,32 +215,25 @@ def _repeats(pages: list[list[str]], ids: list[int]) -> list[tuple[int, int, int
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, text, blocks, kinds): the main text where markup decides, else null; and the other
-    blocks in order, with what markup says of them."""
+    """(page_id, url, host, blocks, kinds): the blocks in order, and what markup says of them."""
 
     def parse(batches):
         for batch in batches:
             for a, b in slices(batch.column("html")):
                 part = batch.slice(a, b - a)
-                text, rest, kinds = [], [], []
-                for page in part.column("html").to_pylist():
-                    found = blocks(page or "")
-                    main = [t for k, t in found if k == MAIN]
-                    text.append(" ".join(main) if main or not any(k == OPEN for k, _ in found) else None)
-                    rest.append([t for k, t in found if k != MAIN])
-                    kinds.append([k for k, _ in found if k != MAIN])
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), part.column("host"), pa.array(text, pa.string()),
-                                                  pa.array(rest, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int32()))], ["page_id", "url", "host", "text", "blocks", "kinds"])
+                found = [blocks(page or "") for page in part.column("html").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), part.column("host"), pa.array([[t for _, t in x] for x in found], pa.list_(pa.string())),
+                                                  pa.array([[k for k, _ in x] for x in found], pa.list_(pa.int32()))], ["page_id", "url", "host", "blocks", "kinds"])
 
     host, _ = host_and_path(F.col("url"))
-    return pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(
-        parse, "page_id long, url string, host string, text string, blocks array<string>, kinds array<int>")
+    return pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(parse, "page_id long, url string, host string, blocks array<string>, kinds array<int>")
 
 
 def repeated_runs(pages: DataFrame) -> DataFrame:
-    """(host, run, n_pages, longest): hashes of the first ``RUN`` tokens of the substrings that ``SHARE`` of a
-    host's pages have outside their main text, from pages as ``parsed`` gives them."""
-    streams = pages.select("host", F.coalesce("page_id", F.lit(-1)).alias("page"), "blocks")
+    """(host, run, n_pages, longest, need): hashes of the first ``RUN`` tokens of the substrings that ``SHARE``
+    of a host's pages (``need``) have outside their containers, from pages as ``parsed`` gives them."""
+    outside = F.transform(F.filter(F.arrays_zip("blocks", "kinds"), lambda x: x["kinds"] != MAIN), lambda x: x["blocks"])
+    streams = pages.select("host", F.coalesce("page_id", F.lit(-1)).alias("page"), outside.alias("blocks"))
     tokens = F.aggregate("blocks", F.lit(0.0), lambda n, b: n + F.length(b) / 6 + 1)  # about so many
     hosts = streams.withColumn("tokens", tokens).groupBy("host", "page").agg(F.sum("tokens").alias("tokens")).groupBy("host").agg(
         F.greatest(F.lit(1), F.ceil(F.sum("tokens") / PART)).cast("int").alias("parts"), F.greatest(F.lit(2), F.ceil(F.count("*") * SHARE)).cast("long").alias("need"))
@@ -262,53 +259,86 @@ def repeated_runs(pages: DataFrame) -> DataFrame:
     ordered = dealt.select("host", "part", "page", "blocks").repartition("host", "part").sortWithinPartitions("host", "part")
     found = ordered.mapInArrow(sort, "host string, run long, n_pages long, longest long")
     merged = found.groupBy("host", "run").agg(F.sum("n_pages").alias("n_pages"), F.max("longest").alias("longest")).where("n_pages > 1")
-    return merged.join(hosts.select("host", "need"), "host").where("n_pages >= need").drop("need")
+    return merged.join(hosts.select("host", "need"), "host").where("n_pages >= need")
+
+
+def _halves(batches):
+    """Some pages at a time (a part of a batch), their blocks and kinds, and their streams: of page ``i`` what
+    stands outside its containers is stream ``2 i``, and what stands in them ``2 i + 1``."""
+    for batch in batches:
+        for a, b in slices(pc.binary_join(batch.column("blocks"), ""), 1 << 20):
+            part = batch.slice(a, b - a)
+            pages, kinds = part.column("blocks").to_pylist(), part.column("kinds").to_pylist()
+            halves = [[b for b, k in zip(p, x, strict=True) if (k == MAIN) == inside] for p, x in zip(pages, kinds, strict=True) for inside in (False, True)]
+            yield part, halves, kinds, _Streams(halves)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars, n_boilerplate): ``n_boilerplate`` counts the tokens outside the main
-    text that the host repeats, or that markup says are boilerplate."""
-    p = stored(parsed(pages).withColumn("key", F.xxhash64("page_id", "url", F.concat_ws("\n", "blocks"))), "parsed")
-    words = lambda blocks: F.aggregate(blocks, F.lit(0).cast("long"), lambda s, b: s + F.size(F.split(b, " ")))
-    boiler = F.filter(F.arrays_zip("blocks", "kinds"), lambda x: x["kinds"] == BOILER)
-    decided = p.where("text is not null").select("page_id", "url", "text", words(F.transform(boiler, lambda x: x["blocks"])).alias("n_boilerplate"))
-
-    undecided = p.where("text is null")
+    """(page_id, url, text, n_chars, n_boilerplate): ``n_boilerplate`` counts the tokens that the host
+    repeats, or that markup says are boilerplate; of a page with a container, those of it that are repeated and
+    those that markup says are boilerplate."""
+    p = stored(parsed(pages).withColumn("key", F.xxhash64("page_id", "url", F.concat_ws("\n", "blocks"), "kinds")), "parsed")
     runs = stored(repeated_runs(p), "runs")
-    salted = runs.select("host", "run", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"))
+    salted = runs.select("host", "run", "need", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"))
+    # checked by count: the hashes of the repeats, so that other runs of the pages needn't be shuffled
+    known = np.unique(np.array([r.run for r in runs.select("run").toLocalIterator()], np.int64)) if runs.count() <= BROADCAST_IDS else None
 
     def own_runs(batches):
-        for batch in batches:
-            s = _Streams(batch.column("blocks").to_pylist())
-            row = pa.array(s.page[s.at])
-            yield pa.RecordBatch.from_arrays([batch.column("host").take(row), batch.column("key").take(row), pa.array(s.run)], ["host", "key", "run"])
-
-    own = undecided.select("host", "key", "blocks").mapInArrow(own_runs, "host string, key long, run long").distinct()
-    hits = (own.withColumn("salt", F.pmod("key", F.lit(SALTS))).join(salted, ["host", "run", "salt"])
-            .groupBy(F.col("key").alias("of")).agg(F.collect_list("run").alias("runs")))
+        """The runs that may go: of a page without a container, or those inside its containers only."""
+        for part, halves, _, s in _halves(batches):
+            half, run = s.page[s.at], s.run
+            if known is not None:
+                hit = np.isin(run, known)
+                half, run = half[hit], run[hit]
+            rows = np.unique(np.rec.fromarrays([half >> 1, run, half & 1], names="page,run,inside"))
+            both = np.zeros(len(rows), bool)  # outside first, then inside, of the same page and run
+            both[1:] = (rows.page[1:] == rows.page[:-1]) & (rows.run[1:] == rows.run[:-1])
+            has_main = np.array([len(x) > 0 for x in halves[1::2]], bool)[rows.page]
+            rows = rows[~both & (has_main == (rows.inside == 1))]
+            at = pa.array(rows.page)
+            yield pa.RecordBatch.from_arrays([*[part.column(c).take(at) for c in ("host", "key", "page_id")], pa.array(rows.run), pa.array(rows.inside == 1)],
+                                             ["host", "key", "page_id", "run", "inside"])
+
+    own = p.select("host", "key", "page_id", "blocks", "kinds").mapInArrow(own_runs, "host string, key long, page_id long, run long, inside boolean").distinct()
+    hits = stored(own.withColumn("salt", F.pmod("key", F.lit(SALTS))).join(salted, ["host", "run", "salt"]).drop("salt"), "hits")
+    often = (hits.where("inside").select("host", "run", "need", F.coalesce("page_id", F.lit(-1)).alias("page")).distinct()
+             .groupBy("host", "run", "need").agg(F.count("*").alias("n")).where("n >= need").select("host", "run"))
+    hits = hits.where("not inside").select("key", "run").unionByName(hits.where("inside").join(often, ["host", "run"], "left_semi").select("key", "run"))
+    hits = hits.groupBy(F.col("key").alias("of")).agg(F.collect_list("run").alias("runs"))
 
     def keep(batches):
-        for batch in batches:
-            pages, kinds = batch.column("blocks").to_pylist(), batch.column("kinds").to_pylist()
-            s = _Streams(pages)
+        for part, halves, kinds, s in _halves(batches):
             covered = np.zeros(len(s.token), bool)
-            repeated = [set(x or ()) for x in batch.column("runs").to_pylist()]
-            for at, run, page in zip(s.at.tolist(), s.run.tolist(), s.page[s.at].tolist(), strict=True):
+            repeated = [set(x or ()) for x in part.column("runs").to_pylist()]
+            some = np.flatnonzero(np.array([len(x) > 0 for x in repeated], bool)[s.page[s.at] >> 1])
+            for at, run, page in zip(s.at[some].tolist(), s.run[some].tolist(), (s.page[s.at[some]] >> 1).tolist(), strict=True):
                 if run in repeated[page]:
                     covered[at:at + RUN] = True
-            stays = ~covered[s.place] & (np.array([k for x in kinds for k in x])[s.block[s.place]] == OPEN)
-            texts, n = [[] for _ in pages], [0] * len(pages)
-            for i, a, b, stay in zip(s.page[s.place].tolist(), s.words.starts.tolist(), s.words.ends.tolist(), stays.tolist(), strict=True):
-                if stay:
-                    texts[i].append(s.words.raw[a:b].tobytes().decode())
-                else:
-                    n[i] += 1
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array([" ".join(t) for t in texts], pa.string()), pa.array(n, pa.int64())],
+            gone = covered[s.place]
+            texts, n, w, block = [], [], s.words, 0
+            for i, (outside, inside) in enumerate(zip(halves[::2], halves[1::2], strict=True)):
+                left, lost = [], 0
+                for own, those in ((outside, [k for k in kinds[i] if k != MAIN]), (inside, [MAIN] * len(inside))):
+                    for text, kind in zip(own, those, strict=True):
+                        a, b = int(w.first[block]), int(w.first[block + 1])
+                        block += 1
+                        cut = int(np.count_nonzero(gone[a:b])) if repeated[i] else 0
+                        if kind == BOILER:
+                            lost += b - a
+                        elif kind == MAIN or not inside:
+                            lost += cut
+                            if not cut:
+                                left.append(text)
+                            elif cut < b - a:
+                                left.extend(w.raw[w.starts[j]:w.ends[j]].tobytes().decode() for j in range(a, b) if not gone[j])
+                texts.append(" ".join(left))
+                n.append(lost)
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(n, pa.int64())],
                                              ["page_id", "url", "text", "n_boilerplate"])
 
-    settled = (undecided.join(hits, undecided["key"] == hits["of"], "left").select("page_id", "url", "blocks", "kinds", "runs")
+    settled = (p.join(hits, p["key"] == hits["of"], "left").select("page_id", "url", "blocks", "kinds", "runs")
                .mapInArrow(keep, "page_id long, url string, text string, n_boilerplate long"))
-    return decided.unionByName(settled).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_boilerplate")
+    return settled.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_boilerplate")
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

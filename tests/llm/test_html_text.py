@@ -158,3 +158,23 @@ def test_repeated_runs_go_where_markup_is_silent(spark):
     assert by[100, "http://other.example/"] == f"{same} number 5" and by[101, None] == by[102, None] == ""
     assert by[103, "http://h.example/103"] == same and by[None, "http://h.example/x"] == "and more text that stays"
     assert H.extracted(df.limit(0)).count() == 0
+
+
+def test_repeats_of_the_site_go_from_articles_too(spark):
+    """A line that one template puts into the article and another into the footer goes; what articles share, quote
+    in a sidebar, or lend to teasers elsewhere stays."""
+    line = "read all our other news on this very site"
+    shared = "a paragraph that several articles of this host have in common with others"
+    quote = "the pulled quote of the story that stands beside it as well"
+    title = "a title of eight words that teasers repeat"
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(8))
+    rows = [(i, f"http://h.example/{i}", f"<article><p>{own(i)}</p><p>{shared}</p><p>{line}</p></article><footer>imprint</footer>") for i in range(6)]
+    rows += [(i, f"http://h.example/{i}", f"<aside>{title}</aside><aside>{quote}</aside><article><p>{own(i)}</p><p>{shared}</p><p>{quote}</p></article><footer>{line}</footer>") for i in range(6, 12)]
+    rows.append((12, "http://h.example/12", f"<article><h1>{title}</h1><p>{own(12)}</p></article>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.text, r.n_boilerplate) for r in H.extracted(df).collect()}
+    for i in range(6):
+        assert got[i] == (f"{own(i)} {shared}", 1 + len(line.split()))
+    for i in range(6, 12):
+        assert got[i][0] == f"{own(i)} {shared} {quote}"
+    assert got[12][0] == f"{title} {own(12)}"
