@@ -46,8 +46,9 @@ MASS = 1 << 23
 HASH_BITS, FILTER_BITS = 48, 27
 #: Hashes, and exact counts, that a task holds before it passes them on; hashes that a merge takes in at once.
 HELD, HELD_PHRASES, MERGED = 1 << 21, 700_000, 1 << 20
-#: Copies of the counts that phrases look up, so that the phrases of a very frequent word spread.
-SALTS = 16
+#: Phrases that occur so often, and more often than one in ``RARE`` words, are looked up in a broadcast frame, so
+#: that no task gets all phrases of a very frequent word.
+HOT, RARE = 100_000, 50_000
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -129,8 +130,9 @@ def merged(summary, others, capacity: int):
 
 
 def _partition_summaries(docs: DataFrame, sizes: tuple[int, ...], parts: int, kept: np.ndarray | None) -> DataFrame:
-    """(part, mass, hashes, counts): what each task saw of each hash partition.  Hashes are six bytes each and
-    counts one; a phrase that occurs more often stands there several times."""
+    """(part, mass, hashes, counts): what each task saw of each hash partition, its mass in one row and the rest
+    (mass null) in another.  Hashes are six bytes each and counts one; a phrase that occurs more often stands
+    there several times."""
 
     def summarise(batches):
         held, n = [], 0
@@ -159,7 +161,8 @@ def _partition_summaries(docs: DataFrame, sizes: tuple[int, ...], parts: int, ke
         begin = np.flatnonzero(np.diff(part, prepend=U(parts)))
         end = np.append(begin, len(part))[1:]
         six = hashes.view(np.uint8).reshape(-1, 8)[:, :HASH_BITS // 8]
-        rows = [(int(part[a]), int(ones[a:b].sum(dtype=np.int64)), six[a:b].tobytes(), ones[a:b].tobytes()) for a, b in zip(begin, end, strict=True)]
+        rows = [r for a, b in zip(begin, end, strict=True) for r in ((int(part[a]), int(ones[a:b].sum(dtype=np.int64)), None, None),
+                                                                     (int(part[a]), None, six[a:b].tobytes(), ones[a:b].tobytes()))]
         types = pa.int64(), pa.int64(), pa.binary(), pa.binary()
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["part", "mass", "hashes", "counts"])
 
@@ -173,27 +176,28 @@ def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 def _surviving(docs: DataFrame, sizes: tuple[int, ...], least: int, parts: int, kept: np.ndarray | None) -> np.ndarray:
     """The filter ``kept`` with the phrases of these sizes added that may occur ``least`` times."""
-    seen = stored(_partition_summaries(docs, sizes, parts, kept), "summaries")
-    mass = seen.groupBy("part").agg((F.floor(F.sum("mass") * SLACK / F.lit(least)) + 1).cast("long").alias("capacity"))
-
     def merge(batches):
+        """The rows of a partition lie in a row, those with its mass first, which tell the capacity."""
         part = None
         for batch in batches:
             for i in range(batch.num_rows):
-                p, capacity = batch.column("part")[i].as_py(), batch.column("capacity")[i].as_py()
+                p, own_mass = batch.column("part")[i].as_py(), batch.column("mass")[i].as_py()
                 if p != part:
                     if part is not None:
-                        yield ended(part, merged(summary, waiting, most_kept))
-                    part, most_kept, summary, waiting, n = p, capacity, (np.zeros(0, U), np.zeros(0, np.int64), 0), [], 0
+                        yield ended(part, merged(summary, waiting, mass * SLACK // least + 1))
+                    part, mass, summary, waiting, n = p, 0, (np.zeros(0, U), np.zeros(0, np.int64), 0), [], 0
+                if own_mass is not None:
+                    mass += own_mass
+                    continue
                 six = np.frombuffer(batch.column("hashes")[i].as_buffer(), np.uint8).reshape(-1, HASH_BITS // 8)
                 hashes = np.zeros((len(six), 8), np.uint8)
                 hashes[:, :HASH_BITS // 8] = six
                 waiting.append((hashes.view(U).reshape(-1), np.frombuffer(batch.column("counts")[i].as_buffer(), np.uint8).astype(np.int64)))
                 n += len(hashes)
                 if n > MERGED:
-                    summary, waiting, n = merged(summary, waiting, most_kept), [], 0
+                    summary, waiting, n = merged(summary, waiting, mass * SLACK // least + 1), [], 0
         if part is not None:
-            yield ended(part, merged(summary, waiting, most_kept))
+            yield ended(part, merged(summary, waiting, mass * SLACK // least + 1))
 
     def ended(part, summary):
         """The bits of the partition's range of the filter."""
@@ -204,10 +208,8 @@ def _surviving(docs: DataFrame, sizes: tuple[int, ...], least: int, parts: int,
         np.bitwise_or.at(field, (bits >> U(3)).astype(np.int64) - first, U(1).astype(np.uint8) << (bits & U(7)).astype(np.uint8))
         return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([field.tobytes()], pa.binary())], ["first", "field"])
 
-    # broadcast: over a join by shuffle on ``part`` Spark would leave the repartition out, and might then read a
-    # partition's rows in several tasks, where each summary falls below ``least``
-    rows = seen.join(F.broadcast(mass), "part").select("part", "capacity", "hashes", "counts")
-    fields = rows.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "first long, field binary")
+    seen = _partition_summaries(docs, sizes, parts, kept)
+    fields = seen.repartition("part").sortWithinPartitions("part", F.desc_nulls_last("mass")).mapInArrow(merge, "first long, field binary")
     out = np.zeros(1 << FILTER_BITS - 3, np.uint8) if kept is None else kept.copy()
     for r in fields.toLocalIterator():  # ranges of the filter: its own size all together
         own = np.frombuffer(r.field, np.uint8)
@@ -220,7 +222,7 @@ class _Counts:
 
     def __init__(self):
         self.hashes, self.n, self.text = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, object)
-        self.size, self.lang = np.zeros(0, np.uint8), np.zeros(0, np.int32)
+        self.lang = np.zeros(0, np.int32)
         self.langs: dict[str, int] = {}
         self.words: Counter = Counter()
 
@@ -241,22 +243,25 @@ class _Counts:
         self.hashes, self.n = np.insert(self.hashes, at, hashes[~known]), np.insert(self.n, at, n[~known])
         text = np.empty(len(new), object)
         text[:] = p.texts(pos[new], sizes[new].astype(np.int64))
-        self.text, self.size = np.insert(self.text, at, text), np.insert(self.size, at, sizes[new])
+        self.text = np.insert(self.text, at, text)
         self.lang = np.insert(self.lang, at, code[p.lang[p.rows[pos[new]]]] if len(code) else [])
 
     def rows(self, parts: int) -> pa.RecordBatch:
-        """(part, lang, phrases, sizes, counts): the phrases of a partition and language in one row, a line
-        break between them, which none of them has; and in partition 0 all words as the empty phrase."""
+        """(part, lang, phrases, counts): the phrases of a partition and language in one row, in order, a line
+        break between them, which none of them has; their counts, of as few bytes as the largest one takes; and in
+        partition 0 all words as the empty phrase."""
         names, part = list(self.langs), _part_of(self.hashes >> U(64 - HASH_BITS), parts).astype(np.int64)
         order = np.lexsort((self.lang, part))
         key = part[order] * max(1, len(names)) + self.lang[order]
         begin = np.flatnonzero(np.diff(key, prepend=-1))
-        out = [(0, lang, b"", b"\0", np.int64(n).tobytes()) for lang, n in self.words.items() if n]
+        out = [(0, lang, b"", np.int64(n).tobytes()) for lang, n in self.words.items() if n]
         for a, b in zip(begin, np.append(begin, len(key))[1:], strict=True):
             own = order[a:b]
-            out.append((int(part[own[0]]), names[self.lang[own[0]]], b"\n".join(self.text[own]), self.size[own].tobytes(), self.n[own].tobytes()))
-        types = pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["part", "lang", "phrases", "sizes", "counts"])
+            own = own[np.argsort(self.text[own])]
+            n = self.n[own]
+            out.append((int(part[own[0]]), names[self.lang[own[0]]], b"\n".join(self.text[own]), n.astype(np.min_scalar_type(n.max())).tobytes()))
+        types = pa.int64(), pa.string(), pa.binary(), pa.binary()
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["part", "lang", "phrases", "counts"])
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
@@ -287,20 +292,19 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
                     if key is not None:
                         yield often(key[1], held)
                     key, held = own, {}
-                phrases, sizes, counts = (batch.column(c)[i].as_py() for c in ("phrases", "sizes", "counts"))
-                for phrase, size, n in zip(phrases.split(b"\n"), sizes, np.frombuffer(counts, np.int64).tolist(), strict=True):
-                    now = held.get(phrase)
-                    held[phrase] = (size, n if now is None else now[1] + n)
+                phrases, counts = batch.column("phrases")[i].as_py().split(b"\n"), batch.column("counts")[i].as_py()
+                for phrase, n in zip(phrases, np.frombuffer(counts, f"u{len(counts) // len(phrases)}").tolist(), strict=True):
+                    held[phrase] = held.get(phrase, 0) + n
         if key is not None:
             yield often(key[1], held)
 
     def often(lang, held):
-        rows = [(p, size, n) for p, (size, n) in held.items() if n >= least or size == 0]
+        rows = [(p, p.count(b" ") + 1 if p else 0, n) for p, n in held.items() if n >= least or not p]
         columns = [pa.array([lang] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.binary()).cast(pa.string()),
                    pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "f"])
 
-    seen = docs.select("lang", "text").mapInArrow(count, "part long, lang string, phrases binary, sizes binary, counts binary")
+    seen = docs.select("lang", "text").mapInArrow(count, "part long, lang string, phrases binary, counts binary")
     return seen.repartition("part").sortWithinPartitions("part", "lang").mapInArrow(add_up, "lang string, phrase string, size int, f long")
 
 
@@ -310,7 +314,6 @@ def scored(counts: DataFrame, inside: int = INSIDE) -> DataFrame:
     floor(1,000,000 a^2 / (l r)) there.  Exact up to counts of 10^16."""
     words = F.split("phrase", " ")
     whole = counts.where("size > 1").select("lang", "phrase", F.col("f").alias("a"), "size")
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
 
     # each cut looks up both parts; their counts lie in one frame
     def joined(first, n):
@@ -319,9 +322,16 @@ def scored(counts: DataFrame, inside: int = INSIDE) -> DataFrame:
     cut = F.transform(F.sequence(F.lit(1), F.col("size") - 1), lambda k: F.array(
         F.struct(k.alias("k"), F.lit(0).alias("side"), joined(F.lit(1), k).alias("part")),
         F.struct(k.alias("k"), F.lit(1).alias("side"), joined(k + 1, F.col("size") - k).alias("part"))))
-    parts = whole.withColumn("words", words).select("lang", "phrase", "a", salt.alias("salt"), F.explode(F.flatten(cut)).alias("c")).select("lang", "phrase", "a", "salt", "c.*")
-    known = counts.where("size > 0").select("lang", F.col("phrase").alias("part"), "f", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"))
-    cuts = parts.join(known, ["lang", "part", "salt"]).groupBy("lang", "phrase", "a", "k").agg(
+    parts = whole.withColumn("words", words).select("lang", "phrase", "a", F.explode(F.flatten(cut)).alias("c")).select("lang", "phrase", "a", "c.*")
+    # a part that occurs f times is looked up by 2 f / least phrases at most for each place and size, as each has
+    # its own occurrences of it.  Those of frequent parts know their count, and then find no partner and spread
+    known = counts.where("size > 0").select("lang", F.col("phrase").alias("part"), "f")
+    hot = max(HOT, (counts.where("size = 0").agg(F.sum("f")).first()[0] or 0) // RARE)
+    often = known.where(F.col("f") > hot).withColumnRenamed("f", "often")
+    parts = parts.join(F.broadcast(often), ["lang", "part"], "left").withColumn("salt", F.when(F.col("often").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("phrase")))
+    seen = known.where(F.col("f") <= hot).withColumn("salt", F.lit(0).cast("long"))
+    looked_up = parts.join(seen, ["lang", "part", "salt"], "left").withColumn("f", F.coalesce("often", "f")).where("f is not null")
+    cuts = looked_up.groupBy("lang", "phrase", "a", "k").agg(
         F.max(F.when(F.col("side") == 0, F.col("f"))).alias("l"), F.max(F.when(F.col("side") == 1, F.col("f"))).alias("r"))
     big = lambda c: F.col(c).cast("decimal(38,0)")
     cuts = cuts.withColumn("n1", F.lit(1_000_000).cast("decimal(38,0)") * big("a") * big("a")).withColumn("n2", big("l") * big("r"))

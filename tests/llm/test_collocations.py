@@ -143,3 +143,17 @@ def test_odd_rows(spark):
     assert {tuple(r) for r in C.collocations(docs).collect()} == plain([r[:2] for r in rows])
     empty = C.collocations(docs.where("false"))
     assert empty.count() == 0 and empty.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+@pytest.mark.parametrize("hot", [30, 10**9])
+def test_frequent_parts_are_looked_up_apart(spark, monkeypatch, hot):
+    """Counts are shuffled once, not once a salt, and summaries aren't stored on their way to the merge."""
+    monkeypatch.setattr(C, "HOT", hot)
+    monkeypatch.setattr(C, "RARE", 10**9)
+    names, kept = [], C.stored
+    monkeypatch.setattr(C, "stored", lambda df, name: names.append(name) or kept(df, name))
+    rows = texts(5)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    out = C.collocations(docs)
+    assert names == ["phrases"] and {tuple(r) for r in out.collect()} == plain(rows)
+    assert "explode(sequence(0" not in out._jdf.queryExecution().optimizedPlan().toString()
