@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adherence import session
 from adherence.constants import DEFAULT_ROUTE_TYPE, VEHICLE_TYPES
 from adherence.functions import gtfs_time as T
 from adherence.functions.ids import stable_key
@@ -14,10 +15,13 @@ from adherence.functions.ids import stable_key
 DIM_ROWS = 200_000
 
 
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner", rows: int | None = None) -> DataFrame:
     """Join a dimension.  Its rows are counted first, up to one more than ``DIM_ROWS``: so few are broadcast, so
-    that facts are neither shuffled nor sorted by the few values of a foreign key; else Spark decides."""
+    that facts are neither shuffled nor sorted by the few values of a foreign key; else Spark decides, over as many
+    partitions as the facts' ``rows`` ask for where their number is given (``by_rows``)."""
     few = dim.limit(DIM_ROWS + 1).count() <= DIM_ROWS
+    if not few and rows is not None and rows > session.TASK_ROWS:
+        fact = session.by_rows(fact, rows, on)
     return fact.join(F.broadcast(dim) if few else dim, on=on, how=how)
 
 

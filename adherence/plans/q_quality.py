@@ -181,7 +181,7 @@ def q_key_lookup_report(spark, d):
     raw = _raw(spark, d)
     stops = driver.loaded_stop_dim(spark, d).select("stop_key", F.lit(True).alias("_s"))
     routes = driver.route_dim(spark, d).select("route_key", F.lit(True).alias("_r"))
-    j = join_dim(raw, stops, "stop_key", how="left")
+    j = join_dim(raw, stops, "stop_key", how="left", rows=driver.read(spark, d, "lineitem").count())
     j = join_dim(j, routes, "route_key", how="left")
     return Q.load_report(j.withColumn("has_dim", F.col("_s").isNotNull() & F.col("_r").isNotNull()))
 
