@@ -246,10 +246,13 @@ def match(sched: DataFrame, rt: DataFrame, band: int = FALLBACK_START_BAND_SEC,
     primary = match_primary(sched, rt)
     if not primary.isEmpty():
         return match_primary(sched, rt, keep_unmatched), "primary"
-    fallback = materialized(match_fallback(sched, rt, band, default_date), "fallback")  # looked at, then loaded
-    if fallback.isEmpty():
+    fallback = match_fallback(sched, rt, band, default_date)
+    visit = [c for c in fallback.columns if c in sched.columns]
+    # looked at, then loaded; the schedule's side in one column, of which later steps read what they need
+    kept = materialized(fallback.select(F.struct(*visit).alias("visit"), *[c for c in fallback.columns if c not in visit]), "fallback")
+    if kept.isEmpty():
         raise NoMatchError("no rows after matching the schedule with realtime updates")
-    return fallback, "fallback"
+    return kept.select(*[F.col(f"visit.{c}").alias(c) if c in visit else c for c in fallback.columns]), "fallback"
 
 
 def derive(matched: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
